@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from agorascope.queries import dashboard, operators
 
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+QUERIES = dashboard.QUERIES | operators.QUERIES
+ORACLES = dashboard.ORACLES | operators.ORACLES
 FLAGSHIP = "post_distribution"
