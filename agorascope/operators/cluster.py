@@ -204,7 +204,7 @@ def hdbscan(rows: DataFrame, min_cluster_size: int = 8, min_samples: int | None
         labels = hdbscan_labels(np.stack(part["v"].to_numpy()).astype(float), min_cluster_size, min_samples)
         return pd.DataFrame({"key": part["key"].to_numpy(), "label": labels.astype("int32")})
 
-    return held.groupBy(F.lit(0)).applyInPandas(run, "key string, label int").withColumnRenamed("key", key)
+    return held.groupBy(F.lit("all")).applyInPandas(run, "key string, label int").withColumnRenamed("key", key)
 
 
 def cluster_posts(posts: DataFrame, method: str = "hdbscan", components: int = 50, prefix: str = "topic", after: int = 0, **options) -> DataFrame:

@@ -14,7 +14,7 @@ def read_csv(spark: SparkSession, path: str, columns: str) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.csv(path, header=True, escape='"', quote='"', mode=mode)
+    df.write.csv(path, header=True, escape='"', quote='"', mode=mode, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def read_terms(spark: SparkSession, path: str) -> DataFrame:
