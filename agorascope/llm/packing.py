@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from agorascope.llm.encoders import ByteBpe, encoder
 from agorascope.llm.staging import Stage
-from agorascope.llm.textkit import strings
+from agorascope.llm.textkit import slices, strings
 
 OPEN = 16
 PIECES = "sequence_id long, offset long, doc_id long, start long, length long, doc_tokens long, ids binary, open boolean"
@@ -106,10 +106,11 @@ def pack(docs: DataFrame, path: str, size: int = 1024, end_id: int = 0, kind: ty
         own, part = encoder(kind, path), TaskContext.get().partitionId()
         packer = Packer(size, OPEN, part << 36)
         for batch in batches:
-            for doc, text in zip(batch.column("doc_id").to_pylist(), strings(batch.column("text")), strict=True):
-                packer.add(doc, np.append(own.ids(text.as_py()), np.uint32(end_id)))
-                if len(packer.rows) >= 2000:
-                    yield packer.batch()
+            text, every = strings(batch.column("text")), batch.column("doc_id").to_pylist()
+            for a, z in slices(text, 1 << 20):
+                for doc, ids in zip(every[a:z], own.many(text.slice(a, z - a).to_pylist()), strict=True):
+                    packer.add(doc, np.append(ids, np.uint32(end_id)))
+                yield packer.batch()
         packer.emit(packer.merged(), True)
         yield packer.batch()
 

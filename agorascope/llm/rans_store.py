@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from agorascope.llm.encoders import WordBpe, encoder
 from agorascope.llm.staging import Stage
-from agorascope.llm.textkit import strings
+from agorascope.llm.textkit import slices, strings
 
 MAGIC = b"RANS0001"
 SCALE = 18
@@ -158,14 +158,16 @@ def write_shards(docs: DataFrame, stage: Stage, path: str, end_id: int, kind: ty
             return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([len(every)], pa.int64()), pa.array([names], pa.list_(pa.int64())), pa.array([[len(x) for x in ids]], pa.list_(pa.int64())), pa.array([encode(every)], pa.binary())], ["part", "seq", "n_ids", "doc_ids", "lengths", "shard"])
 
         for batch in batches:
-            for name, text in zip(batch.column("doc_id").to_pylist(), strings(batch.column("text")), strict=True):
-                got = np.append(own.ids(text.as_py()), np.uint32(end_id))
-                if held and held + len(got) > SHARD:
-                    yield shard()
-                    ids, held, names, seq = [], 0, [], seq + 1
-                ids.append(got)
-                names.append(name)
-                held += len(got)
+            text, every = strings(batch.column("text")), batch.column("doc_id").to_pylist()
+            for a, z in slices(text):
+                for name, got in zip(every[a:z], own.many(text.slice(a, z - a).to_pylist()), strict=True):
+                    got = np.append(got, np.uint32(end_id))
+                    if held and held + len(got) > SHARD:
+                        yield shard()
+                        ids, held, names, seq = [], 0, [], seq + 1
+                    ids.append(got)
+                    names.append(name)
+                    held += len(got)
         if ids:
             yield shard()
 
