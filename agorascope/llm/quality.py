@@ -21,8 +21,8 @@ COMMON = {
     "es": ["de", "la", "que", "el", "en", "y", "a", "los", "del", "se", "las", "por"],
     "fr": ["de", "la", "le", "et", "les", "des", "en", "un", "du", "une", "que", "dans"],
 }
-#: Character classes besides a-z, counted among the characters that are not a-z.
-CLASSES = {"upper": r"\p{Lu}", "accented": r"[\p{L}&&[^a-z\p{Lu}]]", "digit": r"\p{Nd}", "blank": r"[ \t]", "line": r"[\n\r]", "stop": r"[.,;:]", "call": r"[!?]", "mark": r"[#*$%&|<>=_{}\[\]\\~^@+/]"}
+#: Character classes besides a-z and blanks, counted among the characters that are neither.
+CLASSES = {"upper": r"\p{Lu}", "accented": r"[\p{L}&&[^a-z\p{Lu}]]", "digit": r"\p{Nd}", "line": r"[\n\r]", "stop": r"[.,;:]", "call": r"[!?]", "mark": r"[#*$%&|<>=_{}\[\]\\~^@+/]"}
 MIN_WORDS, MIN_CHARS, MIN_JUDGED_WORDS = 20, 100, 40
 #: Jensen-Shannon distances (base 2). A text is rejected if its characters are further than MAX_CHAR + CHAR_SLACK / words
 #: (short texts scatter more) and its common words further than MIN_WORD, or its common words further than MAX_WORD.
@@ -72,29 +72,33 @@ def _share(count: Column, total: Column) -> Column:
     return F.when(total > 0, count / total).otherwise(F.lit(0.0))
 
 
+def _is_in(values: list[str]):
+    return lambda x: x.isin(*values)
+
+
 def _equals(value: Column):
     return lambda x: x == value
 
 
 def histograms(docs: DataFrame, text: str, lang: str) -> DataFrame:
-    """Adds n_chars_, n_words_, char_hist, word_hist (of the text's own language, or of all for others)."""
+    """Adds words_, n_chars_, char_hist, word_hist (null for a language that has no list of common words).
+
+    Common words are counted as they stand between white space, in lower case."""
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    docs = docs.withColumn("n_chars_", F.length(t)).withColumn("odd_", F.regexp_replace(t, "[a-z]+", ""))
-    counts = {n: F.length("odd_") - F.length(F.regexp_replace("odd_", f"{p}+", "")) for n, p in CLASSES.items()}
-    docs = docs.withColumns({f"c_{n}": c for n, c in counts.items()} | {"c_lower": F.col("n_chars_") - F.length("odd_"), "low_": F.lower(t)})
-    known = [f"c_{n}" for n in CLASSES] + ["c_lower"]
+    docs = docs.withColumns({"words_": F.array_remove(F.split(t, BLANK, -1), ""), "n_chars_": F.length(t), "odd_": F.regexp_replace(t, "[a-z]+", "")})
+    docs = docs.withColumns({"c_lower": F.col("n_chars_") - F.length("odd_"), "rare_": F.regexp_replace("odd_", "[ \\t]+", "")})
+    docs = docs.withColumns({f"c_{n}": F.length("rare_") - F.length(F.regexp_replace("rare_", f"{p}+", "")) for n, p in CLASSES.items()} | {"c_blank": F.length("odd_") - F.length("rare_")})
+    known = [f"c_{n}" for n in CLASSES] + ["c_lower", "c_blank"]
     rest = F.col("n_chars_") - sum((F.col(c) for c in known), F.lit(0))
     docs = docs.withColumn("char_hist", F.array(*[_share(F.col(c), F.col("n_chars_")) for c in known], _share(rest, F.col("n_chars_"))))
-    hits = F.lit(None).cast("array<string>")
+    hits, hist = F.lit(None).cast("array<string>"), F.lit(None).cast("array<double>")
     for code, list_ in COMMON.items():
-        pattern = rf"(?<![^\x20\x09-\x0D])({'|'.join(list_)})(?![^\x20\x09-\x0D.,;:!?])"
-        hits = F.when(F.col(lang) == code, F.regexp_extract_all("low_", F.lit(pattern), F.lit(1))).otherwise(hits)
-    docs = docs.withColumn("hits_", hits).withColumn("n_words_", F.regexp_count(t, F.lit(WORD)))
-    hist = F.lit(None).cast("array<double>")
+        hits = F.when(F.col(lang) == code, F.filter("words_", _is_in(list_))).otherwise(hits)
+    docs, n = docs.withColumn("hits_", hits), F.size("words_")
     for code, list_ in COMMON.items():
-        own = F.transform(F.array(*map(F.lit, list_)), lambda w: _share(F.size(F.filter("hits_", _equals(w))), F.col("n_words_")))
-        hist = F.when(F.col(lang) == code, F.concat(own, F.array(1 - _share(F.size("hits_"), F.col("n_words_"))))).otherwise(hist)
-    return docs.withColumn("word_hist", hist).drop("odd_", "low_", "hits_", *known)
+        own = F.transform(F.array(*map(F.lit, list_)), lambda w: _share(F.size(F.filter("hits_", _equals(w))), F.size("words_")))
+        hist = F.when(F.col(lang) == code, F.concat(own, F.array(1 - _share(F.size("hits_"), n)))).otherwise(hist)
+    return docs.withColumn("word_hist", hist).drop("odd_", "rare_", "hits_", *known)
 
 
 def js_distance(p: Column, q: Column) -> Column:
@@ -111,9 +115,9 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[
 
     Medians of shares rounded to a thousandth: exact, and an aggregation buffer holds at most 1001 values for each bin.
     At most one row per known language comes to the driver."""
-    rows = histograms(docs.select(text, lang).where(F.col(lang).isin(*COMMON)), text, lang).where(f"n_chars_ >= {MIN_CHARS} and n_words_ >= {MIN_JUDGED_WORDS}")
+    rows = histograms(docs.select(text, lang).where(F.col(lang).isin(*COMMON)), text, lang).where(f"n_chars_ >= {MIN_CHARS} and size(words_) >= {MIN_JUDGED_WORDS}")
     middle = lambda c, n: F.array(*[F.median(F.round(F.get(c, F.lit(i)), 3)) for i in range(n)]).alias(c)
-    found = rows.groupBy(lang).agg(middle("char_hist", len(CLASSES) + 2), middle("word_hist", 13)).collect()
+    found = rows.groupBy(lang).agg(middle("char_hist", len(CLASSES) + 3), middle("word_hist", 13)).collect()
     scaled = lambda h: [x / (sum(h) or 1.0) for x in h]
     return {r[lang]: (scaled(r["char_hist"]), scaled(r["word_hist"])) for r in found}
 
@@ -123,7 +127,7 @@ def judged(docs: DataFrame, refs: dict, text: str = "text", lang: str = "lang")
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
     wordy = r"[^\x20\x09-\x0D]"
     lines = F.filter(F.split(t, "\n", -1), lambda x: x.rlike(wordy))
-    docs = histograms(docs, text, lang).withColumn("words_", F.array_remove(F.split(t, BLANK, -1), ""))
+    docs = histograms(docs, text, lang)
     docs = docs.withColumns({
         "n_words": F.size("words_").cast("long"),
         "word_chars": (F.col("n_chars_") - F.length(F.regexp_replace(t, WORD, ""))).cast("long"),
@@ -142,7 +146,7 @@ def judged(docs: DataFrame, refs: dict, text: str = "text", lang: str = "lang")
     docs = docs.withColumns({"char_distance": F.when(F.col("n_chars_") >= MIN_CHARS, F.coalesce(char, closest)), "word_distance": F.when(F.col("n_words") >= MIN_JUDGED_WORDS, word)})
     char, word = F.coalesce("char_distance", F.lit(0.0)), F.col("word_distance")
     far = (char > MAX_CHAR + CHAR_SLACK / F.greatest("n_words", F.lit(1))) & F.coalesce(word > MIN_WORD, F.lit(True)) | F.coalesce(word > MAX_WORD, F.lit(False))
-    return docs.withColumn("kept", ~F.col("base_failed") & ~far).drop("words_", "n_chars_", "n_words_", "char_hist", "word_hist")
+    return docs.withColumn("kept", ~F.col("base_failed") & ~far).drop("words_", "n_chars_", "char_hist", "word_hist")
 
 
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
