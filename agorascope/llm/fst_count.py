@@ -31,7 +31,7 @@ from agorascope.llm.textkit import slices, strings, utf8
 LETTER, CONTRACTED, R, V, L, E, NUMBER, BLANK, SPACE, QUOTE, OTHER, RESET = range(12)
 # States: what the character before was part of.
 START, IN_LETTERS, IN_NUMBERS, IN_OTHERS, AFTER_BLANK, AFTER_SPACE, AFTER_QUOTE, QUOTE_R, QUOTE_V, QUOTE_L, CONTRACTION = range(11)
-STATES, CLASSES = 11, 12
+STATES, CLASSES, UNKNOWN = 11, 12, 255
 CHUNK = 4096
 MOST_STATES = 300_000
 
@@ -71,13 +71,11 @@ def _begins(state: int, cls: int, after: int) -> bool:
 
 class Splitter:
     def __init__(self):
-        import regex
+        from tokenizers.pre_tokenizers import ByteLevel
 
-        every = "".join(chr(c) if not 0xD800 <= c < 0xE000 else " " for c in range(0x110000))
-        self.cls = np.full(0x110000 + 1, OTHER, np.uint8)
-        for pattern, cls in ((r"\p{L}+", LETTER), (r"\p{N}+", NUMBER), (r"\s+", SPACE)):
-            for m in regex.finditer(pattern, every):
-                self.cls[m.start() : m.end()] = cls
+        # Classes of characters are asked of the library when they first occur: tables of Unicode differ by version.
+        self.probe = ByteLevel(add_prefix_space=False, use_regex=True)
+        self.cls = np.full(0x110000 + 1, UNKNOWN, np.uint8)
         for c, cls in (("stmd", CONTRACTED), ("r", R), ("v", V), ("l", L), ("e", E), (" ", BLANK), ("'", QUOTE)):
             self.cls[[ord(x) for x in c]] = cls
         self.cls[0x110000] = RESET
@@ -121,9 +119,20 @@ class Splitter:
         entry = np.append(np.uint8(START), total[:-1, START])
         return self.maps[before.T.reshape(-1)[:n], np.repeat(entry, CHUNK)[:n]]
 
+    def classify(self, c: str) -> int:
+        """The class that the library's own pattern gives a character: what it joins with is of its class."""
+        for before, cls in (("a", LETTER), ("1", NUMBER), ("!", OTHER)):
+            if len(self.probe.pre_tokenize_str(before + c)) == 1:
+                return cls
+        return SPACE
+
     def starts(self, codes: np.ndarray) -> np.ndarray:
         """Flags of the characters at which a pre-token begins; code 0x110000 resets."""
         cls = self.cls[codes]
+        new = np.unique(codes[cls == UNKNOWN])
+        if len(new):
+            self.cls[new] = [self.classify(chr(c)) for c in new.tolist()]
+            cls = self.cls[codes]
         after = np.append(cls[1:], np.uint8(RESET))
         return self.begins[self.states(cls), cls, after]
 
