@@ -8,8 +8,9 @@ Stages, none of which drops a link between different sets:
    width follows from its size band. Texts with equal sets fold into the one with the smallest id.
 3. Per prefix shingle, sorted by size, each set is paired with the smallest and the one before it. Bitmaps bound the
    overlap from above, sorted arrays decide; links make components.
-4. Shingles that still hold several components are cut into size-banded tiles of bounded length; all pairs of
-   compatible tiles are compared by bitmap, across components only, and decided as before.
+4. Shingles that still hold several components are cut into size-banded tiles of bounded length; bitmaps are compared
+   across components and compatible tiles, and give groups of sets that may link. Each group, once for all its shingles,
+   is cut into such tiles again and decided by the sorted arrays.
 
 So a group of near copies costs its length, not its square, and a frequent passage only bitmap tests.
 Null ids give a class of their own id (null); null or blank texts have empty sets and link with nothing; extra columns
@@ -18,7 +19,7 @@ are ignored; repeated rows are copies of each other; an empty table gives no row
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 
 import numpy as np
@@ -33,7 +34,8 @@ from agorascope.llm.textkit import shingle_rows, strings
 
 SKETCH = 1 << 20
 BLOCK = 1 << 12
-TILE = 1024
+#: Shingles in a tile, all its sets together, but for the last set.
+TILE = 1 << 20
 #: ids whose set is broadcast to pick texts; more are joined by a shuffle.
 BROADCAST_IDS = 100_000
 
@@ -127,7 +129,7 @@ def _profile_batch(rows: list) -> pa.RecordBatch:
 
 
 def _runs(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
-    """Over postings sorted by key, size and id: those of keys with two sets or more, with the pair of each to the
+    """Over postings sorted by key, size and id: those that may link within their key, with the pair of each to the
     first of its run that is large enough for it, and to the one before. Keeps one row of the run between batches."""
     last, pivot, alone = None, None, True
     for batch in batches:
@@ -152,13 +154,14 @@ def _runs(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.
                 if a < z:
                     p = (doc[a], n[a])
             pivot = p
-        tail = np.append(~head[1:], False)
-        shared = ~head | tail
-        out = [key, doc, n, piv, prev]
-        if carried and alone:  # the row before this batch has company now
+        # Only rows whose size allows a link to a neighbour of their run matter: sizes are sorted, so no other can.
+        near = ~head & (num * n <= den * prev_n)
+        shared = near | np.append(near[1:], False)
+        out = [key, doc, n, piv, np.where(near, prev, doc)]
+        if near[0] and carried and alone:  # the row before this batch has company now
             out = [np.append(v, x) for v, x in zip(last[:3] + (last[1], last[1]), out, strict=True)]
             shared = np.append(True, shared)
-        alone = bool(head[-1])
+        alone = not shared[-1]
         last = (key[-1], doc[-1], n[-1])
         yield pa.RecordBatch.from_arrays([pa.array(x[shared]) for x in out], ["key", "doc_id", "n", "pivot", "prev"])
 
@@ -196,56 +199,171 @@ def _decide(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[p
         yield batch.select(["a", "b"]).filter(pa.array(keep))
 
 
-def _tile_pairs(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
-    """For each pair of tiles (rows sorted by it): pairs across components that sizes and bitmaps allow."""
-    open_tile, rows = None, []
-    for batch in batches:
-        cols = [batch.column(c).to_pylist() for c in ("key", "ti", "tj", "side", "doc_id", "n", "comp")] + [batch.column("sig")]
-        for i in range(batch.num_rows):
-            tile = (cols[0][i], cols[1][i], cols[2][i])
-            if tile != open_tile:
-                yield from _compared(rows, open_tile, num, den)
-                open_tile, rows = tile, []
-            rows.append((cols[3][i], cols[4][i], cols[5][i], cols[6][i], cols[7][i].as_py()))
-    yield from _compared(rows, open_tile, num, den)
-
-
-def _compared(rows: list, tile, num: int, den: int) -> Iterator[pa.RecordBatch]:
-    if not rows:
-        return
-    same = tile[1] == tile[2]
-    left = [r for r in rows if r[0] == 0]
-    right = left if same else [r for r in rows if r[0] == 1]
-    if not left or not right:
-        return
-    out_a, out_b = [], []
-    to = min(len(r[4]) for r in left + right) // 8
-    pack = lambda side: np.vstack([folded(np.frombuffer(r[4], np.uint64), to) for r in side])
-    sig_r = pack(right)
-    doc_r, n_r, comp_r = (np.array([r[i] for r in right]) for i in (1, 2, 3))
-    for i, r in enumerate(left):
-        can = (comp_r != r[3]) & (num * np.maximum(n_r, r[2]) <= den * np.minimum(n_r, r[2]))
-        if same:
-            can[: i + 1] = False
-        at = np.flatnonzero(can)
-        if len(at):
-            mine = folded(np.frombuffer(r[4], np.uint64), to)
-            at = at[enough(overlap_bound(r[2], mine, n_r[at], sig_r[at]), r[2], n_r[at], num, den)]
-            out_a += [min(r[1], d) for d in doc_r[at].tolist()]
-            out_b += [max(r[1], d) for d in doc_r[at].tolist()]
-    yield pa.RecordBatch.from_pydict({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
+def _views(column: pa.Array) -> list[np.ndarray]:
+    """Binary values as 64-bit words, without copies."""
+    column = column.cast(pa.large_binary())
+    at = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    body = column.buffers()[2]
+    data = np.frombuffer(body, np.uint8) if body is not None else np.zeros(0, np.uint8)
+    return [data[a:z].view(np.uint64) for a, z in zip(at[:-1], at[1:], strict=True)]
 
 
-def _decided(pairs: DataFrame, docs: DataFrame, stage: Stage, name: str, k: int, num: int, den: int) -> DataFrame:
-    """Those of the pairs whose sorted arrays meet the threshold."""
+def _tiles(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[pa.RecordBatch]:
+    """Over rows sorted by a tile's columns: the rows of each tile together."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cols = [batch.column(c).to_numpy() for c in by]
+        cuts = np.flatnonzero(np.any([c[1:] != c[:-1] for c in cols], 0)) + 1
+        edges = [0, *cuts.tolist(), batch.num_rows]
+        for a, z in zip(edges[:-1], edges[1:], strict=True):
+            tile = tuple(c[a] for c in cols)
+            if held and tile != last:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0] if len(held) > 1 else held[0]
+                held = []
+            held.append(batch.slice(a, z - a))
+            last = tile
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0] if len(held) > 1 else held[0]
+
+
+class _Forest:
+    """Disjoint sets of rows."""
+
+    def __init__(self, labels: np.ndarray):
+        """Rows of equal labels start in one set."""
+        _, first, back = np.unique(labels, return_index=True, return_inverse=True)
+        self.root = first[back]
+
+    def others(self, row: int, rows: np.ndarray) -> np.ndarray:
+        """Those of the rows that are in another set."""
+        return rows[self.root[rows] != self.root[row]]
+
+    def join(self, row: int, rows: np.ndarray) -> None:
+        old = np.unique(self.root[np.append(rows, row)])
+        self.root[np.isin(self.root, old)] = old[0]
+
+
+def _sides(tile: pa.RecordBatch, num: int, den: int) -> Iterator[tuple[int, Callable[[_Forest], np.ndarray]]]:
+    """Each row of the left side, and what gives the rows right of it, in other sets, whose size allows a link."""
+    side, n = tile.column("side").to_numpy(), tile.column("n").to_numpy()
+    same = tile.column("ti")[0].as_py() == tile.column("tj")[0].as_py()
+    left = np.flatnonzero(side == 0)
+    right = left if same else np.flatnonzero(side == 1)
+    for i in left.tolist():
+        rows = right[right > i] if same else right
+        rows = rows[num * np.maximum(n[rows], n[i]) <= den * np.minimum(n[rows], n[i])]
+        yield i, lambda forest, i=i, rows=rows: forest.others(i, rows)
+
+
+def _tile_groups(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """For each pair of tiles: what sizes and bitmaps allow to link across components, as a tree per group of sets.
+
+    Pairs that the tree joins already are not compared again, and no more rows come out than sets go in."""
+    out: list[tuple] = []
+    for tile in _tiles(batches, ["key", "ti", "tj"]):
+        doc, n, comp = (tile.column(c).to_numpy() for c in ("doc_id", "n", "comp"))
+        if comp.min() == comp.max():
+            continue
+        forest, sigs = _Forest(comp), None
+        before = forest.root.copy()
+        for i, others in _sides(tile, num, den):
+            rows = others(forest)
+            if not len(rows):
+                continue
+            if sigs is None:
+                sigs = _views(tile.column("sig"))
+                size = np.array([len(x) for x in sigs])
+                wide: dict[int, np.ndarray] = {}
+                place: dict[int, np.ndarray] = {}
+            for to in np.unique(np.minimum(size[rows], size[i])).tolist():
+                if to not in wide:
+                    own = np.flatnonzero((size == to) | (size == 2 * to))
+                    wide[to], place[to] = np.vstack([folded(sigs[j], to) for j in own.tolist()]), np.full(len(size), -1)
+                    place[to][own] = np.arange(len(own))
+                some = rows[np.minimum(size[rows], size[i]) == to]
+                some = some[enough(overlap_bound(n[i], folded(sigs[i], to), n[some], wide[to][place[to][some]]), n[i], n[some], num, den)]
+                if len(some):
+                    forest.join(i, some)
+        for root in np.unique(forest.root[forest.root != before]).tolist():
+            own = np.flatnonzero(forest.root == root)
+            out += [(int(doc[own[0]]), int(doc[j])) for j in own[1:].tolist()]
+        if len(out) >= 20_000:
+            yield _pair_rows(out)
+            out = []
+    yield _pair_rows(out)
+
+
+def _pair_rows(rows: list) -> pa.RecordBatch:
+    cols = zip(*rows, strict=True) if rows else [[]] * 2
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["a", "b"])
+
+
+def _tile_links(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """Decides the pairs of two tiles against the sets' arrays. Links between sets that are joined already are left out:
+    they join nothing more."""
+    for tile in _tiles(batches, ["key", "ti", "tj"]):
+        doc, n, comp = (tile.column(c).to_numpy() for c in ("doc_id", "n", "comp"))
+        if comp.min() == comp.max():
+            continue
+        forest, found = _Forest(comp), []
+        every, dense = np.unique(np.concatenate(_views(tile.column("items"))), return_inverse=True)
+        ends = np.cumsum(n)
+        mark = np.zeros(len(every), np.int64)
+        for i, others in _sides(tile, num, den):
+            rows = others(forest)
+            if not len(rows):
+                continue
+            own = dense[ends[i] - n[i] : ends[i]]
+            mark[own] = 1
+            for at in range(0, len(rows), 64):
+                some = rows[at : at + 64]
+                some = forest.others(i, some)
+                if not len(some):
+                    continue
+                inter = np.add.reduceat(mark[np.concatenate([dense[ends[v] - n[v] : ends[v]] for v in some.tolist()])], np.append(0, np.cumsum(n[some][:-1])))
+                some = some[enough(inter, n[i], n[some], num, den)]
+                if len(some):
+                    _, first = np.unique(forest.root[some], return_index=True)
+                    found += [(int(min(doc[i], doc[v])), int(max(doc[i], doc[v]))) for v in some[first].tolist()]
+                    forest.join(i, some)
+            mark[own] = 0
+        yield _pair_rows(found)
+
+
+def _sets(pairs: DataFrame, docs: DataFrame, stage: Stage, name: str, k: int) -> DataFrame:
+    """doc_id and sorted array of every set that the pairs name."""
     ids = stage.table(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), f"{name}-ids")
     few = ids.count() <= BROADCAST_IDS
     texts = docs.join(F.broadcast(ids) if few else ids.hint("shuffle_hash"), "doc_id", "left_semi")
-    items = stage.table(texts.mapInArrow(partial(_arrays, k=k), "doc_id long, items binary"), f"{name}-items")
+    return stage.table(texts.mapInArrow(partial(_arrays, k=k), "doc_id long, items binary"), f"{name}-items")
+
+
+def _decided(pairs: DataFrame, docs: DataFrame, stage: Stage, name: str, k: int, num: int, den: int) -> DataFrame:
+    """Those of the pairs whose sorted arrays meet the threshold."""
+    items = _sets(pairs, docs, stage, name, k)
     met = pairs.join(items.select(F.col("doc_id").alias("b"), F.col("items").alias("items_b")), "b").join(items.select(F.col("doc_id").alias("a"), F.col("items").alias("items_a")), "a")
     return met.mapInArrow(partial(_decide, num=num, den=den), "a long, b long")
 
 
+def _in_tiles(rows: DataFrame, stage: Stage, name: str, num: int, den: int) -> DataFrame:
+    """rows(key, doc_id, n, comp) -> (key, ti, tj, side, doc_id, n, comp): each key's sets, sorted by size, are cut into
+    tiles of TILE shingles, and every two tiles whose sizes allow a link are set side by side."""
+    order = "sum(n) over (partition by key order by n, doc_id rows between unbounded preceding and current row) - n"
+    rows = stage.table(rows.withColumn("tile", F.expr(f"cast(({order}) div {TILE} as int)")), name)
+    tiles = rows.groupBy("key", "tile").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    i, j = tiles.toDF("key", "ti", "lo_i", "hi_i"), tiles.toDF("key", "tj", "lo_j", "hi_j")
+    both = i.join(j, "key").where(f"ti <= tj and {num} * lo_j <= {den} * hi_i").select("key", "ti", "tj")
+    sided = both.select("key", "ti", "tj", F.lit(0).alias("side"), F.col("ti").alias("tile")).unionByName(both.where("ti < tj").select("key", "ti", "tj", F.lit(1).alias("side"), F.col("tj").alias("tile")))
+    return sided.join(rows, ["key", "tile"]).drop("tile")
+
+
+def _by_tile(rows: DataFrame) -> DataFrame:
+    return rows.repartition("key", "ti", "tj").sortWithinPartitions("key", "ti", "tj", "side", "n", "doc_id")
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, num: int = 85, den: int = 100) -> DataFrame:
     """doc_id, n_shingles, class_id (smallest id with an equal set), component_id (smallest id reachable by links)."""
     spark: SparkSession = docs.sparkSession
@@ -255,14 +373,16 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     profile = stage.table(docs.mapInArrow(partial(_profile, k=k, num=num, den=den, levels=levels), "doc_id long, n long, d1 long, d2 long, prefix array<long>, sig binary"), "profile")
     classes = profile.where("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("copies"))
     classes = stage.table(classes, "classes")
-    members = profile.select("doc_id", "n", "d1", "d2").join(classes.where("copies > 1").drop("copies"), ["d1", "d2"], "left").select("doc_id", "n", F.coalesce("class_id", "doc_id").alias("class_id"))
-    copies = members.where("class_id <> doc_id").select("doc_id")
+    members = lambda rows: rows.select("doc_id", "n", "d1", "d2").join(classes.where("copies > 1").drop("copies"), ["d1", "d2"], "left").select("doc_id", "n", F.coalesce("class_id", "doc_id").alias("class_id"))
+    copies = stage.table(members(profile).where("class_id <> doc_id").select("doc_id"), "copies")
     reps = profile.where("n > 0 and doc_id is not null").join(copies, "doc_id", "left_anti")
     postings = reps.select(F.explode("prefix").alias("key"), "doc_id", "n")
     postings = postings.repartition("key").sortWithinPartitions("key", "n", "doc_id")
     shared = stage.table(postings.mapInArrow(partial(_runs, num=num, den=den), "key long, doc_id long, n long, pivot long, prev long"), "shared")
+    slim = stage.table(profile.drop("prefix"), "slim")
+    stage.drop("profile")
 
-    sigs = profile.select("doc_id", "n", "sig")
+    sigs = slim.select("doc_id", "n", "sig")
     near = shared.select(F.explode(F.array("pivot", "prev")).alias("x"), "doc_id").where("x <> doc_id").select(F.least("x", "doc_id").alias("a"), F.greatest("x", "doc_id").alias("b")).distinct()
     near = near.join(sigs.toDF("a", "n_a", "sig_a"), "a").join(sigs.toDF("b", "n_b", "sig_b"), "b").where(num * F.greatest("n_a", "n_b") <= den * F.least("n_a", "n_b"))
     near = stage.table(near.mapInArrow(partial(_bitmap_pairs, num=num, den=den), "a long, b long"), "near")
@@ -271,20 +391,17 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     # Keys that still hold several components, cut into size-banded tiles.
     left = shared.select("key", "doc_id", "n").join(comps.toDF("doc_id", "comp"), "doc_id", "left").withColumn("comp", F.coalesce("comp", "doc_id"))
-    mixed = left.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).where("lo <> hi")
-    rows = stage.table(left.join(mixed.select("key", "m"), "key"), "mixed")
-    order = "row_number() over (partition by key order by n, doc_id) - 1"
-    rows = rows.withColumn("tile", F.when(F.col("m") <= TILE, F.lit(0)).otherwise(F.expr(f"cast(({order}) div {TILE} as int)")))
-    rows = stage.table(rows, "tiled")
-    tiles = rows.groupBy("key", "tile").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    i, j = tiles.toDF("key", "ti", "lo_i", "hi_i"), tiles.toDF("key", "tj", "lo_j", "hi_j")
-    both = i.join(j, "key").where(f"ti <= tj and {num} * lo_j <= {den} * hi_i").select("key", "ti", "tj")
-    sided = both.select("key", "ti", "tj", F.lit(0).alias("side"), F.col("ti").alias("tile")).unionByName(both.where("ti < tj").select("key", "ti", "tj", F.lit(1).alias("side"), F.col("tj").alias("tile")))
-    work = sided.join(rows, ["key", "tile"]).join(sigs.select("doc_id", "sig"), "doc_id").select("key", "ti", "tj", "side", "doc_id", "n", "comp", "sig")
-    work = work.repartition("key", "ti", "tj").sortWithinPartitions("key", "ti", "tj", "side", "n", "doc_id")
-    more = stage.table(work.mapInArrow(partial(_tile_pairs, num=num, den=den), "a long, b long").distinct(), "tile-pairs")
-    if not more.isEmpty():
-        links = stage.table(links.unionByName(_decided(more, docs, stage, "tile", k, num, den)), "links")
+    mixed = left.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
+    rows = left.join(mixed.select("key"), "key", "left_semi")
+    work = _in_tiles(rows, stage, "mixed", num, den).join(sigs.select("doc_id", "sig"), "doc_id").select("key", "ti", "tj", "side", "doc_id", "n", "comp", "sig")
+    trees = stage.table(_by_tile(work).mapInArrow(partial(_tile_groups, num=num, den=den), "a long, b long").distinct(), "trees")
+    if not trees.isEmpty():
+        # Groups that bitmaps leave undecided are decided once each, whatever number of keys they share.
+        groups = connected(trees, stage, "groups").toDF("doc_id", "key")
+        own = groups.join(sigs.select("doc_id", "n"), "doc_id").join(comps.toDF("doc_id", "comp"), "doc_id", "left").select("key", "doc_id", "n", F.coalesce("comp", "doc_id").alias("comp"))
+        items = _sets(trees, docs, stage, "tile", k)
+        work = _in_tiles(own, stage, "grouped", num, den).join(items, "doc_id").select("key", "ti", "tj", "side", "doc_id", "n", "comp", "items")
+        links = stage.table(links.unionByName(_by_tile(work).mapInArrow(partial(_tile_links, num=num, den=den), "a long, b long")), "links")
         comps = connected(links, stage, "round2")
     labels = comps.toDF("class_id", "component")
-    return members.join(labels, "class_id", "left").select("doc_id", F.col("n").alias("n_shingles"), "class_id", F.coalesce("component", "class_id").alias("component_id"))
+    return members(slim).join(labels, "class_id", "left").select("doc_id", F.col("n").alias("n_shingles"), "class_id", F.coalesce("component", "class_id").alias("component_id"))

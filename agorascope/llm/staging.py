@@ -17,6 +17,10 @@ def shared_dir(spark: SparkSession) -> str:
     return root
 
 
+#: Shuffle files of a write are of no use once its table is there.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Stage:
     """Writes tables below one run's own subfolder and rereads them, which cuts their lineage."""
 
@@ -24,6 +28,15 @@ class Stage:
         self.spark, self.root = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self.root}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        path, before = f"{self.root}/{name}", self.spark.conf.get(CLEANUP, "false")
+        self.spark.conf.set(CLEANUP, "true")
+        try:
+            df.write.mode("overwrite").parquet(path)
+        finally:
+            self.spark.conf.set(CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, name: str) -> None:
+        """Deletes a table that nothing will read again."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
