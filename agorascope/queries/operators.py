@@ -11,7 +11,7 @@ from agorascope.functions import labels, sequences, text, timeutil, vectors
 from agorascope.operators import cluster, ctfidf, ingest, merge, packing, quality, sampling, sets, weights
 from agorascope.plans import labeling
 from agorascope.queries.base import COMMENTS, distribution, r, rounded, sql
-from agorascope.sources import tables
+from agorascope.sources import scan, tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -446,3 +446,25 @@ def label_chunks(spark, sf_dir):
     rows = _measured(spark, sf_dir).withColumn("text", F.concat(F.lit("post "), "post_id"))
     terms = rows.select("topic_id").distinct().withColumn("terms", F.array(F.lit("term")))
     return labeling.label_chunks(rows, terms, budget=200).drop("terms")
+
+
+# --- scans
+
+@query(sql("SELECT post_id, score FROM posts WHERE score >= 10 ORDER BY post_id LIMIT 200 OFFSET 50"))
+def scanned_posts(spark, sf_dir):
+    return scan.scan(tables.bare_posts(spark, sf_dir), ["post_id", "score"], F.col("score") >= 10, skip=50, limit=200)
+
+
+@query(sql(f"SELECT post_id, score FROM posts WHERE created_utc >= {tables.AS_OF} - 365 * 86400 ORDER BY score DESC, post_id LIMIT 100"))
+def listing_top(spark, sf_dir):
+    return scan.listing(tables.bare_posts(spark, sf_dir), "top", 100, tables.AS_OF, "year").select("post_id", "score")
+
+
+@query(sql("SELECT DISTINCT topic_id FROM posts WHERE topic_id IS NOT NULL"))
+def distinct_topics(spark, sf_dir):
+    return scan.distinct_values(tables.bare_posts(spark, sf_dir), "topic_id")
+
+
+@query(sql("SELECT comment_id, '[deleted]' AS author, coalesce(comment_text, '') AS body, upvote_score AS score, strftime(created_at, '%Y-%m-%dT%H:%M:%SZ') AS created_at, post_id FROM comments"))
+def exported_comments(spark, sf_dir):
+    return scan.export_comments(tables.comments(spark, sf_dir))
