@@ -33,13 +33,17 @@ SCOPE = {"td", "th", "button", "caption", "object", "html", "body", "article", "
 OUTSIDE = {"nav", "footer", "aside", "form", "button", "select", "menu", "dialog", "head", "svg", "canvas", "object", "audio", "video", "math", "fieldset", "label", "datalist"}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "alertdialog", "menu", "menubar", "toolbar", "tablist"}
 #: Words in class or id that mark what is no part of an article.
-MARKS = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "adsense", "sponsor", "sponsored", "sponsors", "promo", "promotion", "promoted", "banner", "cookie", "cookies", "consent", "gdpr", "notice", "notices", "alert", "popup", "modal", "overlay", "newsletter", "subscribe", "subscription", "signup", "login", "signin", "paywall", "sidebar", "sidebars", "aside", "rail", "menu", "menus", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "footer", "masthead", "topbar", "toolbar", "comment", "comments", "commentlist", "disqus", "replies", "respond", "related", "recommended", "recommendations", "share", "sharing", "social", "widget", "widgets", "pagination", "pager", "search", "outbrain", "taboola", "tags", "toc", "skip", "hidden", "copyright", "disclaimer", "sitemap"}
+MARKS = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "adsense", "sponsor", "sponsored", "sponsors", "promo", "promotion", "promoted", "banner", "cookie", "cookies", "consent", "gdpr", "notice", "notices", "alert", "popup", "modal", "overlay", "newsletter", "subscribe", "subscription", "signup", "login", "signin", "paywall", "sidebar", "sidebars", "aside", "rail", "menu", "menus", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "footer", "masthead", "topbar", "toolbar", "comment", "comments", "commentlist", "disqus", "replies", "reply", "respond", "responses", "related", "recommended", "recommendations", "share", "sharing", "social", "widget", "widgets", "pagination", "pager", "search", "outbrain", "taboola", "tags", "toc", "skip", "hidden", "copyright", "disclaimer", "sitemap"}
+#: Openings of class names that tell a state or category, and what an article element is called that is not the article.
+STATES = {"has", "no", "with", "without", "is", "tag", "category", "type", "status", "format", "js", "layout", "page", "single"}
+OTHER_ARTICLE = {"comment", "comments", "reply", "ad", "ads", "advert", "advertisement", "promo", "promoted", "sponsored", "related", "recommended", "teaser"}
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 PUNCTUATION = re.compile(r"[.,;:!?。，；：！？、…]")
 SPACES = re.compile(r"\s+")
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
-#: Width of the smoothing and share of the deviation that is the threshold.
-SMOOTH, SHARE, HOLD = 1.0, 0.5, 0.8
+#: Width of the smoothing; share of the deviation that is the threshold; shares of the chosen text that the element which
+#: is the article holds, any or one so named.
+SMOOTH, SHARE, HOLD, NAMED = 1.0, 0.5, 0.8, 0.4
 
 
 class Element:
@@ -49,6 +53,13 @@ class Element:
         self.tag, self.parent, self.out, self.linked = tag, parent, out, linked
 
 
+def _marks(tag: str, words: list[str]) -> bool:
+    """Whether the words of a class or id name what is no part of an article; states and categories do not."""
+    if not words or words[0] in STATES:
+        return False
+    return not OTHER_ARTICLE.isdisjoint(words) if tag == "article" else words[0] in MARKS or words[-1] in MARKS
+
+
 def _is_outside(tag: str, attributes: str, parent: Element) -> bool:
     if tag in OUTSIDE:
         return True
@@ -63,7 +74,7 @@ def _is_outside(tag: str, attributes: str, parent: Element) -> bool:
         return False
     for m in ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
-        if name in ("class", "id") and any(w.lower() in MARKS for w in WORD.findall(value)):
+        if name in ("class", "id") and any(_marks(tag, [w.lower() for w in WORD.findall(v)]) for v in value.split()):
             return True
         if name == "role" and value.lower() in ROLES and tag != "article":
             return True
@@ -200,7 +211,7 @@ def main_text(page: str | None) -> str:
             weight[a] = weight.get(a, 0) + len(text)
     inside = [a for a in weight if weight[a] >= HOLD * total and (a.tag in BLOCKS or a.tag == "#") and a.tag not in HEADINGS | {"p", "li", "td", "th", "tr", "tbody", "dd", "dt", "pre", "blockquote", "ul", "ol", "dl", "table"}]
     article = max(inside, key=lambda a: len(_path(a)))
-    named = [a for a in _ancestors(article) if a.tag in ("article", "main")]
+    named = [a for a in _ancestors(article) if a.tag in ("article", "main")] or sorted((a for a in weight if a.tag in ("article", "main") and weight[a] >= NAMED * total), key=lambda a: (-weight[a], -len(_path(a))))
     if named:
         article = named[0]
     kept = []
