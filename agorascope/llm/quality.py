@@ -115,9 +115,11 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[
 
     Medians of shares rounded to a thousandth: exact, and an aggregation buffer holds at most 1001 values for each bin.
     At most one row per known language comes to the driver."""
-    rows = histograms(docs.select(text, lang).where(F.col(lang).isin(*COMMON)), text, lang).where(f"n_chars_ >= {MIN_CHARS} and size(words_) >= {MIN_JUDGED_WORDS}")
-    middle = lambda c, n: F.array(*[F.median(F.round(F.get(c, F.lit(i)), 3)) for i in range(n)]).alias(c)
-    found = rows.groupBy(lang).agg(middle("char_hist", len(CLASSES) + 3), middle("word_hist", 13)).collect()
+    rows = histograms(docs.select(text, lang).where(F.col(lang).isin(*COMMON)), text, lang)
+    rows = rows.withColumn("long_", (F.col("n_chars_") >= MIN_CHARS) & (F.size("words_") >= MIN_JUDGED_WORDS))
+    middle = lambda c, n: F.array(*[F.median(F.when(F.col("long_"), F.round(F.get(c, F.lit(i)), 3))) for i in range(n)]).alias(c)
+    found = rows.groupBy(lang).agg(F.count_if("long_").alias("n"), middle("char_hist", len(CLASSES) + 3), middle("word_hist", 13)).collect()
+    found = [r for r in found if r["n"]]
     scaled = lambda h: [x / (sum(h) or 1.0) for x in h]
     return {r[lang]: (scaled(r["char_hist"]), scaled(r["word_hist"])) for r in found}
 
@@ -157,4 +159,6 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
 def kept_rows(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows, all columns as they are, that the rules keep."""
     rows = docs.select(F.struct("*").alias("row_"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    return judged(rows, references(rows)).where("kept").select("row_.*")
+    # A filter on `kept` would be pushed down with copies of all that it is made of; a generator computes it once.
+    one = F.explode_outer(F.when(F.col("kept"), F.array(F.lit(1))).otherwise(F.array().cast("array<int>")))
+    return judged(rows, references(rows)).select("row_", one.alias("one_")).where("one_ is not null").select("row_.*")
