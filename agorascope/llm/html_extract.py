@@ -2,9 +2,10 @@
 
 A page becomes blocks of text with the path of tags from the root. Per path, text length and punctuation are summed and
 set against its number of nodes; the two ratios are smoothed along the page, fused, and thresholded at a share of their
-deviation. Blocks on paths above it are content nodes; the deepest element that holds nearly all their text is the
-article, and its blocks are kept in page order, but for those in menus, headers, footers, sidebars, notices, adverts,
-forms, reader comments and for lists of links.
+deviation. Blocks on paths above it are content nodes and are all kept, in page order. The named articles that hold them,
+or else the deepest element that holds nearly all their text, add their other blocks, lists of links included unless that
+element is the whole page; so do short blocks between content nodes of one parent. What lies in menus, headers, footers,
+sidebars, notices, adverts, forms and reader comments is no block at all.
 """
 
 from __future__ import annotations
@@ -42,7 +43,7 @@ PUNCTUATION = re.compile(r"[.,;:!?。，；：！？、…]")
 SPACES = re.compile(r"\s+")
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 #: Width of the smoothing; share of the deviation that is the threshold; shares of the chosen text that the element which
-#: is the article holds, any or one so named.
+#: is the article holds, any or those so named together.
 SMOOTH, SHARE, HOLD, NAMED = 1.0, 0.5, 0.8, 0.4
 
 
@@ -203,7 +204,8 @@ def main_text(page: str | None) -> str:
     ratio = scores(found)
     mean = sum(ratio) / len(ratio)
     bar = SHARE * math.sqrt(sum((r - mean) ** 2 for r in ratio) / len(ratio))
-    chosen = [f for f, r in zip(found, ratio, strict=True) if r >= bar and 2 * f[2] <= len(f[1])] or found
+    passed = [r >= bar and 2 * f[2] <= len(f[1]) for f, r in zip(found, ratio, strict=True)]
+    chosen = [f for f, own in zip(found, passed, strict=True) if own] or found
     total = sum(len(t) for _, t, _ in chosen)
     weight: dict[Element, int] = {}
     for e, text, _ in chosen:
@@ -211,12 +213,22 @@ def main_text(page: str | None) -> str:
             weight[a] = weight.get(a, 0) + len(text)
     inside = [a for a in weight if weight[a] >= HOLD * total and (a.tag in BLOCKS or a.tag == "#") and a.tag not in HEADINGS | {"p", "li", "td", "th", "tr", "tbody", "dd", "dt", "pre", "blockquote", "ul", "ol", "dl", "table"}]
     article = max(inside, key=lambda a: len(_path(a)))
-    named = [a for a in _ancestors(article) if a.tag in ("article", "main")] or sorted((a for a in weight if a.tag in ("article", "main") and weight[a] >= NAMED * total), key=lambda a: (-weight[a], -len(_path(a))))
-    if named:
-        article = named[0]
+    named = [a for a in _ancestors(article) if a.tag in ("article", "main")][:1]
+    if not named:
+        tops = [a for a in weight if a.tag in ("article", "main") and not any(b.tag in ("article", "main") for b in _ancestors(a.parent))]
+        named = tops if sum(weight[a] for a in tops) >= NAMED * total else []
+    articles = set(named) or {article}
+    # The first and last chosen block of each parent, between which short ones belong to the article too.
+    ends: dict[Element, list] = {}
+    for k, ((e, _, _), own) in enumerate(zip(found, passed, strict=True)):
+        if own:
+            ends.setdefault(e.parent, [k, k])[1] = k
     kept = []
-    for e, text, linked in found:
-        if article in _ancestors(e) and (2 * linked <= len(text) or not any(a.tag in ("li", "ul", "ol", "td", "dd") for a in _ancestors(e))):
+    for k, ((e, text, linked), own) in enumerate(zip(found, passed, strict=True)):
+        listed = 2 * linked > len(text) and any(a.tag in ("li", "ul", "ol", "td", "dd") for a in _ancestors(e))
+        within = not articles.isdisjoint(_ancestors(e)) and (not listed or any(a.tag not in ("#", "html", "body") for a in articles))
+        first, last = ends.get(e.parent, (k, k))
+        if own or within or first < k < last:
             kept.append(text)
     return "\n".join(kept)
 

@@ -114,6 +114,19 @@ def test_page_text():
     assert html_extract.main_text("<a <b> <p class='x" + "y" * 2000) is not None
 
 
+def test_page_parts():
+    """Chosen blocks stay wherever the article's element ends; lists of links in an article are part of it."""
+    said = lambda w, n: " ".join(f"{w}{i} and more, of it." for i in range(n))
+    lead, body = said("lead", 18), [said(w, 40) for w in ("one", "two", "three", "four")]
+    ps = "".join(f"<p>{b}</p>" for b in body)
+    assert html_extract.main_text(f"<body><div class=post><div class=lead><p>{lead}</p></div><div class=body>{ps}</div></div></body>").split("\n") == [lead, *body]
+    parts = f"<body><div><article><p>{body[0]}</p><p>{body[1]}</p></article><article><h2>Part two</h2><p>{body[2]}</p><p>{lead}</p></article></div></body>"
+    assert html_extract.main_text(parts).split("\n") == [body[0], body[1], "Part two", body[2], lead]
+    cited = f"<body><article>{ps}<ul><li><a href=x>A book, by an author</a></li><li><a href=y>Another one</a></li></ul></article></body>"
+    assert html_extract.main_text(cited).split("\n") == [*body, "A book, by an author", "Another one"]
+    assert html_extract.main_text(f"<body><ul><li><a href=x>Start</a></li></ul>{ps}<ul><li><a href=x>Home</a></li></ul></body>").split("\n") == body
+
+
 def test_pages(spark):
     import html
 
