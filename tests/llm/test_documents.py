@@ -154,6 +154,50 @@ def test_contaminated_is_brute_force(spark):
     assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, items).collect()} == want
 
 
+def brute_matches(own, text_sets, values, threshold=0.8):
+    """Items whose best window of their length reaches the threshold, every window compared."""
+    import numpy as np
+
+    out = set()
+    for i, v in text_sets:
+        m = min(len(v), len(values))
+        if any(own.similarity(np.unique(values[a : a + m]), np.unique(v)) >= threshold for a in range(len(values) - m + 1)):
+            out.add(i)
+    return out
+
+
+def test_contaminated_unequal_weights():
+    """Items that share a passage, texts that repeat shingles: fingerprints lose none that the exact check accepts."""
+    import random
+
+    import pyarrow as pa
+
+    from agorascope.llm.textkit import NO_WORD, shingle_rows
+
+    r = random.Random(3)
+    items = [f"{' '.join(f'p{g}x{j}' for j in range(104))} own{g}q{i}" for g in range(12) for i in range(10)]
+    items += [f"{'yes ' * 30}{' '.join(f'r{g}x{j}' for j in range(14))}" for g in range(20)]
+    docs = [f"lead in {t.rsplit(' ', 1)[0]} other{r.random()} and on it goes" for t in items[:120]]
+    docs += [f"lead in {' '.join(f'r{g}x{j} ' for j in range(14))} {'yes ' * 9}then" for g in range(20)] + [t.replace("yes " * 30, "yes " * 28) for t in items[120:]]
+    cut = lambda texts: [v for _, v in shingle_rows(pa.array(texts, pa.large_string()), decontaminate.K, True, NO_WORD)]
+    own, sets = decontaminate.Items(list(range(len(items))), items), list(enumerate(cut(items)))
+    want = [brute_matches(own, sets, v) for v in cut(docs)]
+    assert sum(map(len, want)) > 1000
+    assert [{m[0] for m in own.matches(v, 0.8)} for v in cut(docs)] == want
+
+
+def test_window_sums():
+    import numpy as np
+
+    r = np.random.default_rng(5)
+    values = r.integers(0, 2**64, 12, np.uint64)[r.integers(0, 12, 200)]
+    weights = 1.0 / (1 + values % np.uint64(7))
+    for m in (1, 5, 30, 200):
+        _, first = zip(*(np.unique(values[a : a + m], return_index=True) for a in range(201 - m)), strict=True)
+        want = [decontaminate._rays(values[a + f], weights[a + f]).sum(0) for a, f in enumerate(first)]
+        assert (decontaminate._window_sums(values, weights, m) == np.array(want)).all()
+
+
 def test_item_passes(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "ITEMS", 10)
     d = "/root/testdata/sf0.001"
