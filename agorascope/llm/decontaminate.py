@@ -1,7 +1,7 @@
 """Benchmark decontamination: item-sized windows by SimHash, multi-index Hamming blocks, exact weighted-shingle check.
 
 Words are runs of letters and digits (and non-ASCII bytes), A-Z lower-cased; features are five-word shingles, weighted by
-one over the number of items that hold them. Every window of a text as long as an item, unless it shares no shingle with
+one over the number of items that hold them, in the whole benchmark; items of equal shingles count once. Every window of a text as long as an item, unless it shares no shingle with
 any item (its similarity is nought then), gets a 64-bit SimHash of its distinct shingles, each a vector of 64 normal
 numbers times the root of its weight: a bit differs with probability angle / pi, whatever the weights, and at similarity
 0.8 the cosine is 8/9 at least, so 9.7 bits are expected to differ, and over RADIUS do in about one case of 10^5. Blocks
@@ -10,11 +10,13 @@ least, so the index misses none; candidates within the radius are decided by wei
 
 Items of fewer than five words are one shingle, their whole sequence: they match texts equal to them. Items or texts
 without words match nothing; null ids are carried; repeated rows are matched alike; empty tables give no rows. Items are
-taken in passes of ITEMS, so what a task holds of them is bounded.
+taken in passes of about ITEMS, those of one id together, so what a task holds of them is bounded; beside them it holds the
+weights of shingles that several items share, which are the same in every pass, as are the results.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -65,12 +67,18 @@ def _prints(sums: np.ndarray) -> np.ndarray:
 
 
 class Items:
-    """One pass of items: shingle weights, and per item length fingerprints with their block index."""
+    """One pass of items: shingle weights, and per item length fingerprints with their block index.
 
-    def __init__(self, ids: list, texts: list[str]):
+    shared: sorted shingles of several items, and how many hold each; counted over the given items if there are none."""
+
+    def __init__(self, ids: list, texts: list[str], shared: tuple[np.ndarray, np.ndarray] | None = None):
         sets = [(i, v) for i, (_, v) in zip(ids, shingle_rows(pa.array(texts, pa.large_string()), K, True, NO_WORD), strict=True) if len(v)]
-        every, df = np.unique(np.concatenate([np.unique(v) for _, v in sets]) if sets else np.zeros(0, np.uint64), return_counts=True)
-        self.known, self.weight = every, 1.0 / df
+        if shared is None:
+            kinds = {u.tobytes(): u for u in (np.unique(v) for _, v in sets)}
+            shared = np.unique(np.concatenate(list(kinds.values())) if kinds else np.zeros(0, np.uint64), return_counts=True)
+        self.shared, self.weight = shared[0], 1.0 / shared[1]
+        every = np.unique(np.concatenate([v for _, v in sets]) if sets else np.zeros(0, np.uint64))
+        self.known = every
         self.filter = np.zeros(1 << 20, bool)
         self.filter[(every & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
         self.lengths: dict[int, tuple] = {}
@@ -93,8 +101,10 @@ class Items:
         return maybe[self.known[at] == values[maybe]] if len(self.known) else maybe[:0]
 
     def weights(self, values: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(self.known, values), len(self.known) - 1)
-        return np.where(self.known[at] == values, self.weight[at], 1.0)
+        if not len(self.shared):
+            return np.ones(len(values))
+        at = np.minimum(np.searchsorted(self.shared, values), len(self.shared) - 1)
+        return np.where(self.shared[at] == values, self.weight[at], 1.0)
 
     def similarity(self, a: np.ndarray, b: np.ndarray) -> float:
         """Weighted Jaccard of two sorted sets."""
@@ -108,7 +118,7 @@ class Items:
             return []
         best: dict[int, tuple] = {}
         wanted = set().union(*(self.owner_lengths[at] for at in np.searchsorted(self.known, values[hits])))
-        for n in wanted:
+        for n in sorted(wanted):
             ids, sets, marks, index = self.lengths[n]
             m = min(n, len(values))
             begin = np.unique(np.clip(hits[:, None] - np.arange(m), 0, len(values) - m))
@@ -126,8 +136,26 @@ class Items:
         return [(i, *v) for i, v in best.items()]
 
 
+def shared_shingles(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that two distinct items at least hold, sorted, and the number of those items. Counted on the executors."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, v in shingle_rows(strings(batch.column("t")), K, True, NO_WORD):
+                if len(v):
+                    u = np.unique(v)
+                    kind = hashlib.md5(u.tobytes(), usedforsecurity=False).digest()
+                    yield pa.RecordBatch.from_arrays([pa.array([kind], pa.binary()), pa.array([u.view(np.int64)], pa.list_(pa.int64()))], ["kind", "held"])
+
+    kinds = rows.select("t").distinct().mapInArrow(run, "kind binary, held array<long>").groupBy("kind").agg(F.first("held").alias("held"))
+    got = kinds.select(F.explode("held").alias("s")).groupBy("s").count().where("count > 1").toArrow()
+    values, df = got["s"].to_numpy().view(np.uint64), got["count"].to_numpy()
+    order = np.argsort(values)
+    return values[order], df[order]
+
+
 def item_passes(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> Iterator[Items]:
-    """The items in passes of ITEMS, by ranges of their row number."""
+    """The items in passes of about ITEMS, by a hash of their ids; weights are those of the whole table."""
     rows = items.select(F.col(id_col).cast("long").alias("i"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
     total = rows.count()
     if total <= ITEMS:
@@ -135,12 +163,13 @@ def item_passes(items: DataFrame, id_col: str = "item_id", text_col: str = "text
         if got:
             yield Items([r["i"] for r in got], [r["t"] for r in got])
         return
+    shared = shared_shingles(rows)
     cuts = -(-total // (ITEMS // 2))
-    parts = rows.withColumn("cut", F.expr(f"pmod(xxhash64(i, t), {cuts})"))
+    parts = rows.withColumn("cut", F.expr(f"pmod(xxhash64(i), {cuts})"))
     for c in range(cuts):
         got = parts.where(F.col("cut") == c).collect()
         if got:
-            yield Items([r["i"] for r in got], [r["t"] for r in got])
+            yield Items([r["i"] for r in got], [r["t"] for r in got], shared)
 
 
 def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -205,6 +205,23 @@ def test_item_passes(spark, monkeypatch):
     assert len(list(decontaminate.item_passes(items))) > 1 and decontaminate.contaminated(docs, items).count() > 0
 
 
+def test_item_passes_agree(spark, monkeypatch):
+    """Split or not, the same rows; items that stand twice count once."""
+    passage = " ".join(f"p{j}" for j in range(60))
+    texts = [" ".join(f"w{i}x{j}" for j in range(59)) for i in range(8)]
+    texts += [*texts, texts[0].upper(), *(f"{passage} own{i}" for i in range(14)), None, "", "tiny one"]
+    items = spark.createDataFrame([(i if i % 9 else None, t) for i, t in enumerate(texts)] + [(3, f"{passage} own3 more")], "item_id long, text string")
+    docs = [f"lead {t or ''} on" for t in texts] + [" ".join(w if j not in (20,) else "edited" for j, w in enumerate(t.split())) for t in texts[:8]] + [f"lead {passage} other", "Tiny one"]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    told = lambda: sorted(map(tuple, decontaminate.contaminated(df, items).collect()), key=repr)
+    whole, clean = told(), sorted(r.doc_id for r in decontaminate.clean_of(df, items).collect())
+    edited = set(range(len(texts), len(texts) + 8))
+    assert {r[0] for r in whole} >= edited and clean
+    monkeypatch.setattr(decontaminate, "ITEMS", 10)
+    assert len(list(decontaminate.item_passes(items))) > 2
+    assert told() == whole and sorted(r.doc_id for r in decontaminate.clean_of(df, items).collect()) == clean
+
+
 def luhn(digits):
     total = 0
     for i, c in enumerate(reversed(digits)):
