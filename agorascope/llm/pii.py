@@ -35,7 +35,7 @@ GENERATORS = {
     "tel": r"(?<![0-9A-Za-z+.-])\(?[0-9]{2,4}\)?[ ./-]{1,2}[0-9]{3,4}[ ./-][0-9]{3,5}(?![0-9A-Za-z])",
     "ssn": r"(?<![0-9A-Za-z.-])[0-9]{3}[ -][0-9]{2}[ -][0-9]{4}(?![0-9A-Za-z])",
     "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])",
-    "secret": r"(?<![A-Za-z0-9_])(?:(?i:password|passwd|pwd|secret|token|api_?key)\s{0,2}[=:]\s{0,2}[\"']?[^\s\"'<>]{4,80}+|[A-Za-z0-9_+/=-]{16,200}+)",
+    "secret": r"(?<![A-Za-z0-9_])(?:(?i:password|passwd|pwd|secret|token|api_?key)\s{0,2}[=:]\s{0,2}[\"']?[^\s\"'<>]{4,}+|[A-Za-z0-9_+/=-]{16,}+)",
     "mail": r"(?<![A-Za-z0-9._-])[A-Za-z0-9._-]{1,64}+ ?(?:\(at\)|\[at\]| at ) ?[A-Za-z0-9-]{1,64}+(?: ?(?:\(dot\)|\[dot\]| dot |\.) ?[A-Za-z]{2,24}+){1,4}+",
 }
 HINTS = {
@@ -47,6 +47,8 @@ HINTS = {
 }
 #: Openings of access keys of well-known services.
 KEYS = r"^(?:AKIA|ASIA|AIza|gh[pousr]_|github_pat_|glpat-|sk-|sk_live_|xox[abprs]-|eyJ)[A-Za-z0-9_-]{12}"
+#: A spelled-out at and a dot after it in a line; the first at decides, so the cost is linear.
+DOTTED = r"(?m)^(?>.*?(?:at|\[at\]|\(at\))).*(?:dot|\.)"
 SAMPLE = 4000
 CONTEXT = 24
 SPAN = "array<struct<kind:string,start:int,end:int>>"
@@ -113,7 +115,7 @@ def features(value: str, before: str, after: str, kind: str) -> list[float]:
     count = lambda p: len(re.findall(p, value))
     return [
         *(float(kind == k) for k in ADDED), float(len(value)), count(r"[0-9]") / n, count(r"[A-Z]") / n, count(r"[a-z]") / n, float(count(r"[ ./()-]")), float(len(set(value))),
-        float(count(r"[0-9](?=[A-Za-z])|[A-Za-z](?=[0-9])")), *(float(bool(re.search(p, before))) for p in HINTS.values()), float(bool(re.search(HINTS["secret"] + r"\s{0,2}[=:]", value))), float(bool(re.search(KEYS, value))), float(bool(re.search(r"[$€£#]\s?$", before))), float(bool(re.search(r"^\s?[%€$]", after))), float(bool(re.search(r"(?:at|\[at\]|\(at\)).*(?:dot|\.)", value))),
+        float(count(r"[0-9](?=[A-Za-z])|[A-Za-z](?=[0-9])")), *(float(bool(re.search(p, before))) for p in HINTS.values()), float(bool(re.search(HINTS["secret"] + r"\s{0,2}[=:]", value))), float(bool(re.search(KEYS, value))), float(bool(re.search(r"[$€£#]\s?$", before))), float(bool(re.search(r"^\s?[%€$]", after))), float(bool(re.search(DOTTED, value))),
     ]
 
 
@@ -123,7 +125,7 @@ def feature_columns(value: Column, before: Column, after: Column, kind: Column)
     flag = lambda c: c.cast("double")
     return [
         *(flag(kind == k) for k in ADDED), F.length(value).cast("double"), count(r"[0-9]") / n, count(r"[A-Z]") / n, count(r"[a-z]") / n, count(r"[ ./()-]"), F.size(F.array_distinct(F.split(value, ""))).cast("double"),
-        count(r"[0-9](?=[A-Za-z])|[A-Za-z](?=[0-9])"), *(flag(before.rlike(p)) for p in HINTS.values()), flag(value.rlike(HINTS["secret"] + r"\s{0,2}[=:]")), flag(value.rlike(KEYS)), flag(before.rlike(r"[$€£#]\s?$")), flag(after.rlike(r"^\s?[%€$]")), flag(value.rlike(r"(?:at|\[at\]|\(at\)).*(?:dot|\.)")),
+        count(r"[0-9](?=[A-Za-z])|[A-Za-z](?=[0-9])"), *(flag(before.rlike(p)) for p in HINTS.values()), flag(value.rlike(HINTS["secret"] + r"\s{0,2}[=:]")), flag(value.rlike(KEYS)), flag(before.rlike(r"[$€£#]\s?$")), flag(after.rlike(r"^\s?[%€$]")), flag(value.rlike(DOTTED)),
     ]
 
 
@@ -167,7 +169,9 @@ def model() -> Boosted:
 
 
 def added_spans(text: Column, base: Column) -> Column:
-    """Selected candidates that lie outside the base spans; of overlapping ones the best, then the first."""
+    """Selected candidates that lie outside the base spans; of overlapping ones the best, then the first.
+
+    A secret runs to its end: one that meets base spans is judged by what stands before them, and gives the pieces around."""
     none = F.array().cast(SPAN_VALUE)
     digits, letters = text.rlike(r"[0-9]"), text.rlike(r"[A-Za-z0-9_+/=-]{16}|(?i:password|passwd|pwd|secret|token|api_?key)\s{0,2}[=:]")
     mail = text.rlike(r"\(at\)|\[at\]|[A-Za-z0-9] at [A-Za-z0-9-]+(?: dot |\.[A-Za-z])")
@@ -175,9 +179,25 @@ def added_spans(text: Column, base: Column) -> Column:
     proposed = F.concat(*[F.when(need[k], found(text, p, k).cast(SPAN_VALUE)).otherwise(none) for k, p in GENERATORS.items()])
     apart = lambda s, t: (s["end"] <= t["start"]) | (t["end"] <= s["start"])
 
+    def inner(s: Column) -> Column:
+        return F.filter(base, lambda t: ~apart(s, t))
+
+    def head(s: Column) -> Column:
+        """The candidate up to the first base span in it; null if that is no candidate."""
+        until = F.array_min(F.transform(inner(s), lambda t: t["start"]))
+        value = F.substr(text, s["start"] + 1, until - s["start"])
+        return F.when(until.isNull(), s["value"]).when((s["kind"] == "secret") & (until > s["start"]) & value.rlike(rf"^{GENERATORS['secret']}$"), value)
+
+    def pieces(s: Column) -> Column:
+        starts = F.concat(F.array(s["start"]), F.array_sort(F.transform(inner(s), lambda t: t["end"])))
+        ends = F.concat(F.array_sort(F.transform(inner(s), lambda t: t["start"])), F.array(s["end"]))
+        around = F.filter(F.arrays_zip(starts.alias("start"), ends.alias("end")), lambda p: p["start"] < p["end"])
+        return F.transform(around, lambda p: F.struct(s["kind"].alias("kind"), p["start"].alias("start"), p["end"].alias("end")))
+
     def scored(s: Column) -> Column:
+        stop = s["start"] + F.length(s["value"])
         before = F.substr(text, F.greatest(s["start"] - CONTEXT, F.lit(0)) + 1, F.least(s["start"], F.lit(CONTEXT)))
-        after = F.substr(text, s["end"] + 1, F.lit(CONTEXT))
+        after = F.substr(text, stop + 1, F.lit(CONTEXT))
         return F.struct((-model().column(feature_columns(s["value"], before, after, s["kind"]))).alias("loss"), s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))
 
     empty = F.array().cast("array<struct<loss:double,start:int,end:int,kind:string>>")
@@ -186,11 +206,12 @@ def added_spans(text: Column, base: Column) -> Column:
         return F.when(F.exists(acc, lambda t: ~apart(s, t)), acc).otherwise(F.concat(acc, F.array(s)))
 
     def select(candidates: Column) -> Column:
-        free = F.filter(candidates, lambda s: F.forall(base, lambda t: apart(s, t)))
+        heads = F.transform(candidates, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), head(s).alias("value")))
+        free = F.filter(heads, lambda s: s["value"].isNotNull())
         ranked = F.array_sort(F.filter(F.transform(free, scored), lambda s: s["loss"] <= -model().threshold))
         return F.aggregate(ranked, empty, choose)
 
-    return F.when(digits | letters | mail, F.transform(_once(proposed, select), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))).cast(SPAN)).otherwise(F.array().cast(SPAN))
+    return F.when(digits | letters | mail, F.flatten(F.transform(_once(proposed, select), pieces)).cast(SPAN)).otherwise(F.array().cast(SPAN))
 
 
 def with_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:

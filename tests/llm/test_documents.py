@@ -268,6 +268,23 @@ def test_pii_redacts(spark):
     assert got == {1: ("mail <EMAIL> now, <IP> too", 26), 2: (None, None), 3: ("clean", 5)}
 
 
+def test_pii_long_secrets(spark):
+    """Secrets of any length go whole; base spans inside or behind them stay spans of their own."""
+    import random
+    import string
+
+    r = random.Random(8)
+    key = lambda n: "".join(r.choice(string.ascii_letters + string.digits) for _ in range(n))
+    jwt = f"eyJ{key(33)}.eyJ{key(72)}.{key(43)}"
+    made = [f"token: {jwt}", f"api_key={key(400)}", f"sk-{key(397)}", f"secret={key(60)}&mail=joe@x.org&more={key(90)}", f"password={key(5000)}"]
+    rows = [(i, f"my {s} and then") for i, s in enumerate(made)] + [(9, "at" * 40_000), (10, "key " + "=a" * 30_000)]
+    got = {x.doc_id: x for x in pii.redacted(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i].text for i in (0, 1, 2, 4)] == ["my <SECRET> and then"] * 4
+    assert got[3].text == "my <SECRET><EMAIL><SECRET> and then" and len(got) == 7
+    told = {x.doc_id: x.spans for x in pii.report(spark.createDataFrame(rows[:4], "doc_id long, text string")).collect()}
+    assert told[0] == f"secret:3:{3 + len(made[0])}" and told[1] == f"secret:3:{3 + len(made[1])}"
+
+
 def test_pii_features_agree(spark):
     from pyspark.sql import functions as F
 
