@@ -47,6 +47,8 @@ HINTS = {
 }
 #: Openings of access keys of well-known services.
 KEYS = r"^(?:AKIA|ASIA|AIza|gh[pousr]_|github_pat_|glpat-|sk-|sk_live_|xox[abprs]-|eyJ)[A-Za-z0-9_-]{12}"
+#: Holds for every text in which the generator of mail matches: its core, without bounds.
+MAILED = r"[A-Za-z0-9._-] ?(?:\(at\)|\[at\]| at ) ?[A-Za-z0-9-]++ ?(?:\(dot\)|\[dot\]| dot |\.) ?[A-Za-z]"
 #: A spelled-out at and a dot after it in a line; the first at decides, so the cost is linear.
 DOTTED = r"(?m)^(?>.*?(?:at|\[at\]|\(at\))).*(?:dot|\.)"
 SAMPLE = 4000
@@ -174,7 +176,7 @@ def added_spans(text: Column, base: Column) -> Column:
     A secret runs to its end: one that meets base spans is judged by what stands before them, and gives the pieces around."""
     none = F.array().cast(SPAN_VALUE)
     digits, letters = text.rlike(r"[0-9]"), text.rlike(r"[A-Za-z0-9_+/=-]{16}|(?i:password|passwd|pwd|secret|token|api_?key)\s{0,2}[=:]")
-    mail = text.rlike(r"\(at\)|\[at\]|[A-Za-z0-9] at [A-Za-z0-9-]+(?: dot |\.[A-Za-z])")
+    mail = text.rlike(MAILED)
     need = {"tel": digits, "ssn": digits, "iban": digits, "secret": letters, "mail": mail}
     proposed = F.concat(*[F.when(need[k], found(text, p, k).cast(SPAN_VALUE)).otherwise(none) for k, p in GENERATORS.items()])
     apart = lambda s, t: (s["end"] <= t["start"]) | (t["end"] <= s["start"])

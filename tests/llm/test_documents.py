@@ -285,6 +285,22 @@ def test_pii_long_secrets(spark):
     assert told[0] == f"secret:3:{3 + len(made[0])}" and told[1] == f"secret:3:{3 + len(made[1])}"
 
 
+def test_pii_mail_test(spark):
+    """The cheap test holds wherever the generator matches, and such addresses go without another one in the text."""
+    import random
+
+    r = random.Random(6)
+    told = ["john.smith at example [dot] com", "john at example (dot) org", "john_ at example dot com", "john at example . com"]
+    parts = ["a", "b_", "c.", "-", "at", "(at)", "[at]", " at ", " ", " ", "dot", " dot ", "(dot)", "[dot]", ".", "com", "x" * 65, "é"]
+    made = told + ["".join(r.choice(parts) for _ in range(r.randint(3, 12))) for _ in range(20_000)]
+    hits = [t for t in made if re.search(pii.GENERATORS["mail"], t)]
+    assert len(hits) > 300 and set(told) <= set(hits) and all(re.search(pii.MAILED, t) for t in hits)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(hits)], "doc_id long, text string")
+    assert df.where(df.text.rlike(pii.GENERATORS["mail"]) & ~df.text.rlike(pii.MAILED)).count() == 0
+    rows = spark.createDataFrame([(i, f"mail me {t} soon") for i, t in enumerate(told)], "doc_id long, text string")
+    assert all("mail:" in x.spans for x in pii.report(rows).collect())
+
+
 def test_pii_features_agree(spark):
     from pyspark.sql import functions as F
 
