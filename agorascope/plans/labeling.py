@@ -62,15 +62,37 @@ def export_missing(comments: DataFrame, posts: DataFrame, mode: str = "both", pe
     return found.select("post_id", "post_text", F.transform("c", lambda c: F.struct(c["comment_id"].alias("comment_id"), c["comment_text"].alias("comment_text"))).alias("comments"))
 
 
+def post_batches(sizes: list[int], room: int, most: int) -> list[int | None]:
+    """Next fit of one post's comments; one that is over the room alone gets no batch, and ends the open one."""
+    out, batch, used, count = [], 0, 0, 0
+    for s in sizes:
+        if count and (used + s > room or (most and count >= most)):
+            batch, used, count = batch + 1, 0, 0
+        fits = s <= room
+        out.append(batch if fits else None)
+        used, count = (used + s, count + 1) if fits else (used, count)
+    return out
+
+
 def stance_requests(exported: DataFrame, template: str, budget: int = 100_000, most_comments: int = 4, most_batches: int = 100, place: str = "{{POSTS_JSON}}") -> DataFrame:
-    """request, prompt, comment_ids: comments in batches of a post, batches in requests under the token budget."""
-    each = exported.select("post_id", "post_text", F.posexplode("comments").alias("i", "c")).select("post_id", "post_text", "i", "c.comment_id", "c.comment_text")
-    each = each.withColumn("batch", F.floor(F.col("i") / most_comments))
+    """request, prompt, comment_ids: comments in batches of a post, batches in requests under the token budget.
+
+    A batch ends where its count or its own prompt would pass a limit; only a comment whose prompt alone does is left out."""
+    said = lambda c: F.struct(c["comment_id"].alias("comment_id"), c["comment_text"].alias("comment_text"))
+    written = lambda c: F.to_json(F.struct("post_id", "post_text", c.alias("comments")))
+    fold = F.udf(lambda sizes, room: post_batches(sizes, room, most_comments), "array<int>")
+    # A prompt of k comments: the template, two brackets, the post, and per comment its text and all but once a comma.
+    sizes = F.transform("comments", lambda c: F.length(F.to_json(said(c))) + 1)
+    fixed = len(template.replace(place, "")) + template.count(place) * (F.length(written(F.slice("comments", 1, 0))) + 1)
+    room = F.floor((4 * budget - fixed) / max(1, template.count(place))).cast("long")
+    each = exported.select("post_id", "post_text", F.posexplode(F.arrays_zip(F.col("comments").alias("c"), fold(sizes, room).alias("batch"))).alias("i", "z"))
+    each = each.select("post_id", "post_text", "i", "z.c.comment_id", "z.c.comment_text", "z.batch").where("batch is not null")
     batches = each.groupBy("post_id", "batch").agg(F.first("post_text").alias("post_text"), F.sort_array(F.collect_list(F.struct("i", "comment_id", "comment_text"))).alias("c"))
-    entry = F.to_json(F.struct("post_id", "post_text", F.transform("c", lambda c: F.struct(c["comment_id"].alias("comment_id"), c["comment_text"].alias("comment_text"))).alias("comments")))
-    rows = batches.select("post_id", "batch", entry.alias("entry"), F.transform("c", lambda c: c["comment_id"]).alias("ids"))
-    rows = rows.withColumnRenamed("batch", "part").withColumn("tokens", text.estimate_tokens(F.col("entry")))
-    rows = packing.packed_in_order(rows, ["post_id", "part"], "tokens", budget - max(1, -(-len(template) // 4)), most_batches)
+    rows = batches.select("post_id", "batch", written(F.transform("c", said)).alias("entry"), F.transform("c", lambda c: c["comment_id"]).alias("ids"))
+    # A batch that fits by its own prompt is never over the limit here, where the template is rounded apart.
+    limit = max(1, budget - max(1, -(-len(template) // 4)))
+    rows = rows.withColumnRenamed("batch", "part").withColumn("tokens", F.least(text.estimate_tokens(F.col("entry")), F.lit(limit)))
+    rows = packing.packed_in_order(rows, ["post_id", "part"], "tokens", limit, most_batches)
     found = rows.groupBy(F.col("batch").alias("request")).agg(F.sort_array(F.collect_list(F.struct("post_id", "part", "entry"))).alias("e"), F.flatten(F.collect_list("ids")).alias("comment_ids"))
     body = F.concat(F.lit("["), F.array_join("e.entry", ","), F.lit("]"))
     return found.select("request", text.render(template, place, body).alias("prompt"), "comment_ids")

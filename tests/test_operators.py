@@ -128,6 +128,21 @@ def test_model_audit(spark):
     assert [(r.expected, r.received, r.reason) for r in audit.collect()] == [(2, 0, "empty_or_invalid_json")]
 
 
+def test_long_comments(spark):
+    """Comments that fit alone are all asked for, in order, by next fit on count and tokens; only one over budget is not."""
+    import json
+
+    comments = [(f"c{i}", "word " * n) for i, n in enumerate([100, 100, 100, 100, 1, 1, 1, 1, 1, 900, 1, 20])]
+    exported = spark.createDataFrame([("p", "text", comments), ("q", 'é "x"', [("d", "y")]), ("r", None, [])], "post_id string, post_text string, comments array<struct<comment_id:string,comment_text:string>>")
+    requests = labeling.stance_requests(exported, "Label: {{POSTS_JSON}}", budget=160, most_batches=1).collect()
+    asked = [json.loads(r.prompt.removeprefix("Label: ")) for r in requests]
+    assert sorted([c["comment_id"] for c in e["comments"]] for x in asked for e in x) == [["c0"], ["c1"], ["c10", "c11"], ["c2"], ["c3", "c4"], ["c5", "c6", "c7", "c8"], ["d"]]
+    assert all(len(r.prompt) <= 4 * 160 and r.comment_ids == [c["comment_id"] for e in x for c in e["comments"]] for r, x in zip(requests, asked, strict=True))
+    tight = [-(-len(r.prompt) // 4) for r in requests if r.comment_ids == ["c0"]][0]
+    exact = lambda budget: {c for r in labeling.stance_requests(exported, "Label: {{POSTS_JSON}}", budget=budget, most_comments=1).collect() for c in r.comment_ids}
+    assert "c0" in exact(tight) and "c0" not in exact(tight - 1)
+
+
 def test_ratings(spark):
     rows = spark.createDataFrame([("a", "n", "d", "t"), ("b", "n", "d", "t")], "post_id string, topic_name string, topic_description string, text string")
     reply = lambda p: str([{"post_id": "a", "matches": True, "fit_score": 80}])
