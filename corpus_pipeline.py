@@ -1,7 +1,8 @@
 """The corpus pipeline: quality rules, n-gram Jaccard join, benchmark decontamination, PII, packing.
 
 Each stage works on all rows its predecessor kept, written as Parquet and read again. All but the last return the columns
-of documents. Repeated rows and null ids go through the stages as their operators define.
+of documents. Repeated rows and null ids go through the stages as their operators define, but for the second: each row is
+a document of its own there, and one row of each group stays.
 """
 
 from __future__ import annotations
@@ -19,12 +20,27 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return quality.kept_rows(docs)
 
 
+def with_keys(stage: Stage, docs: DataFrame) -> DataFrame:
+    """Adds key_, unique: the id, and for null ids and repeats of an id a number above all ids (an error if none is left)."""
+    if docs.groupBy("doc_id").count().where("count > 1 or doc_id is null").isEmpty():
+        return docs.withColumn("key_", F.col("doc_id"))
+    rows = stage.table(docs.withColumn("row_", F.monotonically_increasing_id()), "rows")
+    first = rows.where("doc_id is not null").groupBy("doc_id").agg(F.min("row_").alias("row_"))
+    more = stage.table(rows.select("row_").join(first.select("row_"), "row_", "left_anti").withColumn("more_", F.lit(True)), "more")
+    few = more.count() <= jaccard_join.BROADCAST_IDS
+    top = rows.agg(F.coalesce(F.max("doc_id"), F.lit(0)).cast("long").alias("top")).first()["top"]
+    rows = rows.join(F.broadcast(more) if few else more, "row_", "left")
+    return rows.withColumn("key_", F.when(F.col("more_"), F.col("row_") + 1 + F.lit(max(top, 0))).otherwise(F.col("doc_id"))).drop("row_", "more_")
+
+
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of linked documents."""
-    groups = jaccard_join.jaccard_components(docs)
-    gone = Stage(spark, "copies").table(groups.where("doc_id <> component_id").select("doc_id").distinct(), "gone")
+    """One row of each group of linked documents: that with the smallest id; rows without an id come last, repeats of one too."""
+    stage = Stage(spark, "copies")
+    rows = with_keys(stage, docs)
+    groups = jaccard_join.jaccard_components(rows, id_col="key_")
+    gone = stage.table(groups.where("doc_id <> component_id").select(F.col("doc_id").alias("key_")).distinct(), "gone")
     few = gone.count() <= jaccard_join.BROADCAST_IDS
-    return docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(docs.columns)
+    return rows.join(F.broadcast(gone) if few else gone, "key_", "left_anti").select(docs.columns)
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -158,6 +158,18 @@ def test_native_plans(spark):
         assert not re.search("Python|Pandas|Arrow", plan)
 
 
+def test_one_row_of_each_group(spark):
+    """Repeated rows, repeated ids and null ids: one row of each group stays, all that is in no group stays."""
+    import corpus_pipeline as cp
+
+    said = lambda w: " ".join(f"{w}{i}" for i in range(60))
+    rows = [(5, said("a")), (5, said("a")), (5, said("a")), (9, said("a")), (5, said("b")), (None, said("a") + " end"), (None, said("c")), (None, said("c")), (7, said("d")), (None, said("d")), (None, said("e")), (3, ""), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    got = cp.one_of_each_group(spark, docs, "")
+    want = [(5, said("a")), (5, said("b")), (None, said("c")), (7, said("d")), (None, said("e")), (3, ""), (None, None)]
+    assert got.columns == docs.columns and sorted(((r.doc_id, r.text) for r in got.collect()), key=repr) == sorted(want, key=repr)
+
+
 def test_pipeline(spark):
     """run() equals its stages done one by one, and each stage's decisions hold by brute force."""
     import corpus_pipeline as cp
