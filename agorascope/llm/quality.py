@@ -2,8 +2,9 @@
 
 Two histograms of each text, of character classes and of the commonest words of its language, are held against the
 medians over all texts of that language by Jensen-Shannon distance. Base rules on length and repetition come first; texts
-under a minimum length are not judged by a histogram. The references are one row per known language, whatever the corpus
-holds; texts of an unknown or null language take the closest of all references.
+under a minimum length are not judged by a histogram. The references are one row per language: those of COMMON have both
+histograms, others with LEAST_TEXTS long texts that of characters. A text without a reference of its own language, or of
+null language, has no distances and is judged by the base rules alone.
 
 Null or blank texts have no words and fail the base rules. Ties do not arise: every column is a function of one row and
 the references. Ids are carried, repeated rows get equal rows, other columns are not used; an empty table gives no rows.
@@ -24,6 +25,7 @@ COMMON = {
 #: Character classes besides a-z and blanks, counted among the characters that are neither.
 CLASSES = {"upper": r"\p{Lu}", "accented": r"[\p{L}&&[^a-z\p{Lu}]]", "digit": r"\p{Nd}", "line": r"[\n\r]", "stop": r"[.,;:]", "call": r"[!?]", "mark": r"[#*$%&|<>=_{}\[\]\\~^@+/]"}
 MIN_WORDS, MIN_CHARS, MIN_JUDGED_WORDS = 20, 100, 40
+LEAST_TEXTS = 20
 #: Jensen-Shannon distances (base 2). A text is rejected if its characters are further than MAX_CHAR + CHAR_SLACK / words
 #: (short texts scatter more) and its common words further than MIN_WORD, or its common words further than MAX_WORD.
 MAX_CHAR, CHAR_SLACK, MIN_WORD, MAX_WORD = 0.17, 4.0, 0.15, 0.4
@@ -110,18 +112,18 @@ def js_distance(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(F.aggregate(terms, F.lit(0.0), lambda s, x: s + x) / 2, F.lit(0.0)))
 
 
-def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, tuple[list[float], list[float]]]:
-    """Histograms of the medians over all texts of a known language that are long enough, scaled to a sum of 1.
+def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, tuple[list[float], list[float] | None]]:
+    """Histograms of the medians over all texts of a language that are long enough, scaled to a sum of 1.
 
     Medians of shares rounded to a thousandth: exact, and an aggregation buffer holds at most 1001 values for each bin.
-    At most one row per known language comes to the driver."""
-    rows = histograms(docs.select(text, lang).where(F.col(lang).isin(*COMMON)), text, lang)
+    At most one row per language comes to the driver."""
+    rows = histograms(docs.select(text, lang).where(F.col(lang).isNotNull()), text, lang)
     rows = rows.withColumn("long_", (F.col("n_chars_") >= MIN_CHARS) & (F.size("words_") >= MIN_JUDGED_WORDS))
     middle = lambda c, n: F.array(*[F.median(F.when(F.col("long_"), F.round(F.get(c, F.lit(i)), 3))) for i in range(n)]).alias(c)
-    found = rows.groupBy(lang).agg(F.count_if("long_").alias("n"), middle("char_hist", len(CLASSES) + 3), middle("word_hist", 13)).collect()
-    found = [r for r in found if r["n"]]
+    found = rows.groupBy(lang).agg(F.count_if("long_").alias("n"), middle("char_hist", len(CLASSES) + 3), middle("word_hist", 13))
+    found = found.where((F.col("n") >= LEAST_TEXTS) | (F.col("n") > 0) & F.col(lang).isin(*COMMON)).collect()
     scaled = lambda h: [x / (sum(h) or 1.0) for x in h]
-    return {r[lang]: (scaled(r["char_hist"]), scaled(r["word_hist"])) for r in found}
+    return {r[lang]: (scaled(r["char_hist"]), scaled(r["word_hist"]) if r[lang] in COMMON else None) for r in found}
 
 
 def judged(docs: DataFrame, refs: dict, text: str = "text", lang: str = "lang") -> DataFrame:
@@ -139,13 +141,15 @@ def judged(docs: DataFrame, refs: dict, text: str = "text", lang: str = "lang")
     })
     docs = docs.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")))
     to = lambda v: F.array(*map(F.lit, v))
-    char, word = F.lit(None).cast("double"), F.lit(None).cast("double")
-    closest = [js_distance(F.col("char_hist"), to(c)) for c, _ in refs.values()]
-    closest = (F.least(*closest) if len(closest) > 1 else closest[0]) if closest else char
-    for code, (c, w) in refs.items():
-        char = F.when(F.col(lang) == code, js_distance(F.col("char_hist"), to(c))).otherwise(char)
-        word = F.when(F.col(lang) == code, js_distance(F.col("word_hist"), to(w))).otherwise(word)
-    docs = docs.withColumns({"char_distance": F.when(F.col("n_chars_") >= MIN_CHARS, F.coalesce(char, closest)), "word_distance": F.when(F.col("n_words") >= MIN_JUDGED_WORDS, word)})
+
+    def distance(hist: str, own: dict) -> Column:
+        if not own:
+            return F.lit(None).cast("double")
+        table = F.create_map(*[x for code, h in own.items() for x in (F.lit(code), to(h))])
+        return _once(F.try_element_at(table, F.col(lang)), lambda ref: F.when(ref.isNotNull(), js_distance(F.col(hist), ref)))
+
+    char, word = distance("char_hist", {k: c for k, (c, _) in refs.items()}), distance("word_hist", {k: w for k, (_, w) in refs.items() if w})
+    docs = docs.withColumns({"char_distance": F.when(F.col("n_chars_") >= MIN_CHARS, char), "word_distance": F.when(F.col("n_words") >= MIN_JUDGED_WORDS, word)})
     char, word = F.coalesce("char_distance", F.lit(0.0)), F.col("word_distance")
     far = (char > MAX_CHAR + CHAR_SLACK / F.greatest("n_words", F.lit(1))) & F.coalesce(word > MIN_WORD, F.lit(True)) | F.coalesce(word > MAX_WORD, F.lit(False))
     return docs.withColumn("kept", ~F.col("base_failed") & ~far).drop("words_", "n_chars_", "char_hist", "word_hist")

@@ -43,6 +43,21 @@ def test_quality_labels(spark):
     assert sum(good) >= 0.99 * len(good) and sum(bad) <= 0.15 * len(bad)
 
 
+def test_quality_other_languages(spark):
+    """Clean texts of languages without common words stay, odd ones among many go; without a reference only base rules hold."""
+    import random
+
+    r = random.Random(7)
+    word = lambda s: "".join(r.choice(s) for _ in range(r.randint(3, 9)))
+    text = lambda s: " ".join(word(s) for _ in range(80)) + "."
+    ru, el, en = "абвгдежзиклмнопрстуфхцчшыья", "αβγδεζηθικλμνξοπρστυφχψω", "abcdefghijklmnopqrstuvwxyz"
+    rows = [(i, text(ru), "ru") for i in range(40)] + [(50, text("0123456789#*"), "ru"), (60, text(el), "el"), (61, text(el), None), (62, "α " * 5, "el")]
+    rows += [(70 + i, "the of and to in " * 2 + text(en), "en") for i in range(5)]
+    got = {x.doc_id: x for x in quality.quality(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert all(got[i].kept and got[i].char_distance < 0.17 and got[i].word_distance is None for i in range(40)) and not got[50].kept
+    assert got[60].kept and got[61].kept and got[60].char_distance is None and not got[62].kept and got[70].kept and got[70].word_distance is not None
+
+
 def sets_of(rows):
     out = {}
     for doc, text in rows:
