@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from agorascope.functions.text import or_none, strip
+from agorascope.functions.text import strip
 
 #: Labels and the words that stand for them.
 STANCES = ["agree", "disagree", "neutral"]
@@ -15,12 +15,14 @@ SENTIMENT_WORDS = {"positive": ["pos"], "negative": ["neg"], "neutral": []}
 
 
 def normalize_label(raw: Column, labels: list[str], words: dict[str, list[str]], unknown: str = "drop") -> Column:
-    """The label that a raw one stands for; others are null, or neutral where unknown="neutral". Blank is null."""
-    own = F.lower(or_none(raw))
-    out = F.when(own.isNull(), F.lit(None).cast("string"))
-    for label in labels:
-        out = out.when(own.isin(label, *words.get(label, [])), F.lit(label))
-    return out.otherwise(F.lit("neutral" if unknown == "neutral" else None).cast("string"))
+    """The label that a raw one stands for; others are null, or neutral where unknown="neutral". Blank is null.
+
+    One look-up in a literal map, so the raw label is stripped once per row."""
+    named = {w: label for label in reversed(labels) for w in [*words.get(label, []), label]}
+    table = F.create_map(*[F.lit(x) for pair in named.items() for x in pair])
+    own = F.lower(strip(raw))
+    found = F.try_element_at(table, own)
+    return F.coalesce(found, F.when(own != "", F.lit("neutral"))) if unknown == "neutral" else found
 
 
 def stance(raw: Column, unknown: str = "drop") -> Column:
@@ -32,16 +34,17 @@ def sentiment(raw: Column, unknown: str = "drop") -> Column:
 
 
 def parse_float(raw: Column) -> Column:
-    return F.expr("1.0D") * strip(raw.cast("string")).try_cast("double")
+    return strip(raw.cast("string")).try_cast("double")
 
 
 def clamp(x: Column, low: float, high: float) -> Column:
     return F.when(x.isNotNull(), F.greatest(F.lit(low), F.least(F.lit(high), x)))
 
 
-def confidence(*raw: Column) -> Column:
-    """The first that is a number, within [0, 1]; 1 if there is none."""
-    return clamp(F.coalesce(*map(parse_float, raw), F.lit(1.0)), 0.0, 1.0)
+def confidence(*raw: Column, numbers: bool = False) -> Column:
+    """The first that is a number, within [0, 1]; 1 if there is none. numbers: the columns are numeric already."""
+    given = [r.cast("double") if numbers else parse_float(r) for r in raw]
+    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(*given, F.lit(1.0))))
 
 
 def compute_weight(score: Column, conf: Column) -> Column:

@@ -12,7 +12,8 @@ LINK = r"\[([^\]]+)\]\([^)]+\)"
 INLINE_CODE = r"`([^`]+)`"
 LINE_PREFIX = r"(?mU)^[>\s#*\-+]+\s*"
 SYMBOLS = r"[*_~]"
-EMOJI = r"[\x{1F600}-\x{1F64F}\x{1F300}-\x{1F5FF}\x{1F680}-\x{1F6FF}\x{1F1E0}-\x{1F1FF}\x{2700}-\x{27BF}\x{1F900}-\x{1F9FF}\x{1FA70}-\x{1FAFF}\x{2600}-\x{26FF}]+"
+EMOJI_RANGES = r"\x{1F600}-\x{1F64F}\x{1F300}-\x{1F5FF}\x{1F680}-\x{1F6FF}\x{1F1E0}-\x{1F1FF}\x{2700}-\x{27BF}\x{1F900}-\x{1F9FF}\x{1FA70}-\x{1FAFF}\x{2600}-\x{26FF}"
+EMOJI = f"[{EMOJI_RANGES}]+"
 IMAGE_URL = r"\.(jpg|png|gif|jpeg|webp)$"
 DELETED = ["[deleted]", "[removed]"]
 #: Phrases by which automatic comments are known.
@@ -31,8 +32,12 @@ BOT_PHRASES = [
 ]
 
 
+#: All of Unicode's white space, as \s under (?U) has it.
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    return F.btrim(text, F.lit(WHITE))
 
 
 def or_none(text: Column) -> Column:

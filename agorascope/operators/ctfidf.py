@@ -2,48 +2,84 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Letters, digits and underscores, two at least.
 TOKEN = r"[\p{L}\p{N}_]{2,}"
+SEAMS = "topic_id string, before string, head string, edge int, part int"
 
 
 def stop_words(spark, more: DataFrame | None = None) -> list[str]:
-    """Spark's English list, and the words of a table. Lists are short; at most a few hundred words."""
+    """Spark's English list, and all the words of a table."""
     words = set(StopWordsRemover.loadDefaultStopWords("english"))
-    return sorted(words | ({r["word"] for r in more.limit(10_000).collect()} if more is not None else set()))
+    return sorted(words | ({r["word"] for r in more.select("word").distinct().collect()} if more is not None else set()))
+
+
+def _seams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Over (topic_id, head, tail) in order: the tail of each row with the head of the next of its topic (edge 0), and the
+    first head (edge 1) and last tail (edge 2) of the partition, which meet those of its neighbours."""
+    part, last = TaskContext.get().partitionId(), None
+    for batch in batches:
+        rows = []
+        for topic, head, tail in zip(*(batch.column(c).to_pylist() for c in ("topic_id", "head", "tail")), strict=True):
+            if last is None:
+                rows.append((topic, None, head, 1, part))
+            elif last[0] == topic:
+                rows.append((topic, last[1], head, 0, part))
+            last = (topic, tail)
+        yield _seam_rows(rows)
+    if last is not None:
+        yield _seam_rows([(last[0], last[1], None, 2, part)])
+
+
+def _seam_rows(rows: list) -> pa.RecordBatch:
+    kinds = (pa.string(), pa.string(), pa.string(), pa.int32(), pa.int32())
+    cols = zip(*rows, strict=True) if rows else [[]] * 5
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], [c.split()[0] for c in SEAMS.split(", ")])
+
+
+def _seam_terms(ends: DataFrame) -> DataFrame:
+    """topic_id, term, n of the bigrams that span neighbouring posts. Ranges of posts are independent tasks, so no topic is
+    one task; what meets at the borders of ranges is two rows per range."""
+    found = ends.repartitionByRange("topic_id", "post_id").sortWithinPartitions("topic_id", "post_id").select(F.col("topic_id").cast("string"), "head", "tail").mapInArrow(_seams, SEAMS)
+    borders = found.where("edge > 0").withColumn("tail_", F.lag("before").over(Window.partitionBy("topic_id").orderBy("part", "edge")))
+    meets = borders.where("edge = 1 and tail_ is not null").select("topic_id", F.col("tail_").alias("before"), "head")
+    return found.where("edge = 0").select("topic_id", "before", "head").unionByName(meets).select("topic_id", F.concat_ws(" ", "before", "head").alias("term"), F.lit(1).cast("long").alias("n"))
 
 
 def term_scores(rows: DataFrame, stop: list[str], min_df: int = 2, max_df: float = 0.95, min_posts: int = 1, bigrams: bool = True, across_posts: bool = True) -> DataFrame:
     """rows(topic_id, post_id, text) -> topic_id, term, n, tf, df, score.
 
     Stop words go before bigrams are made. Bigrams also span neighbouring posts (in order of post_id) unless
-    across_posts=False; then no topic's text is ever gathered in one row. df counts topics; max_df is their share."""
+    across_posts=False; then no topic's text is ever gathered in one row. df counts topics; max_df is their share.
+    Words and bigrams are one explode, summed before its shuffle; the ends of posts are a second pass over the texts."""
     words = F.filter(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(TOKEN), F.lit(0)), lambda w: ~w.isin(stop))
     rows = rows.where("topic_id is not null")
     if min_posts > 1:
-        rows = rows.withColumn("m_", F.count("*").over(Window.partitionBy("topic_id"))).where(F.col("m_") >= min_posts)
+        many = rows.groupBy("topic_id").agg(F.count("*").alias("m_")).where(F.col("m_") >= min_posts).select("topic_id")
+        rows = rows.join(many, "topic_id", "left_semi")
     rows = rows.select("topic_id", "post_id", words.alias("w"))
     pairs = lambda w: F.zip_with(F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0))), F.slice(w, 2, F.greatest(F.size(w) - 1, F.lit(0))), lambda a, b: F.concat_ws(" ", a, b))
-    terms = rows.select("topic_id", F.explode("w").alias("term"))
-    if bigrams:
-        terms = terms.unionByName(rows.select("topic_id", F.explode(pairs(F.col("w"))).alias("term")))
-        if across_posts:  # only the ends of neighbouring posts meet, so texts stay apart
-            ends = rows.where(F.size("w") > 0).select("topic_id", "post_id", F.get("w", F.lit(0)).alias("head"), F.element_at("w", -1).alias("tail"))
-            before = F.lag("tail").over(Window.partitionBy("topic_id").orderBy("post_id"))
-            seams = ends.withColumn("before", before).where("before is not null").select("topic_id", F.concat_ws(" ", "before", "head").alias("term"))
-            terms = terms.unionByName(seams)
-    counts = terms.groupBy("topic_id", "term").agg(F.count("*").alias("n"))
-    topics = rows.select("topic_id").distinct().agg(F.count("*").alias("topics"))
-    df = counts.groupBy("term").agg(F.count("*").alias("df"))
-    kept = df.withColumn("one_", F.lit(1)).join(F.broadcast(topics.withColumn("one_", F.lit(1))), "one_").where((F.col("df") >= min_df) & (F.col("df") <= max_df * F.col("topics"))).drop("one_")
-    rows = counts.join(kept, "term")
-    total = F.sum("n").over(Window.partitionBy("topic_id"))
-    rows = rows.withColumn("tf", F.col("n") / total)
+    counts = rows.select("topic_id", F.explode(F.concat("w", pairs(F.col("w"))) if bigrams else F.col("w")).alias("term")).groupBy("topic_id", "term").agg(F.count("*").alias("n"))
+    if bigrams and across_posts:
+        ends = rows.where(F.size("w") > 0).select("topic_id", "post_id", F.get("w", F.lit(0)).alias("head"), F.element_at("w", -1).alias("tail"))
+        seams = _seam_terms(ends).groupBy("topic_id", "term").agg(F.sum("n").alias("n"))
+        # Summed rows: a term has two at most for each topic.
+        counts = counts.withColumn("topic_id", F.col("topic_id").cast("string")).unionByName(seams).repartition("term").groupBy("topic_id", "term").agg(F.sum("n").alias("n"))
+    topics = rows.select("topic_id").distinct().agg(F.count("*").alias("topics")).withColumn("one_", F.lit(1))
+    df = counts.groupBy("term").agg(F.count("*").alias("df")).where(F.col("df") >= min_df).withColumn("one_", F.lit(1))
+    df = df.join(F.broadcast(topics), "one_").where(F.col("df") <= max_df * F.col("topics")).drop("one_")
+    # Dealt by all its columns but n, so the sums and the rows beside them read one and the same exchange.
+    kept = counts.join(df, "term").repartition("term", "topic_id", "df", "topics")
+    totals = kept.groupBy("topic_id").agg(F.sum("n").alias("total"))
     idf = F.log((1 + F.col("topics")) / (1 + F.col("df"))) + 1
-    return rows.select("topic_id", "term", "n", "tf", "df", (F.col("tf") * idf).alias("score"))
+    return kept.join(totals, "topic_id").withColumn("tf", F.col("n") / F.col("total")).select("topic_id", "term", "n", "tf", "df", (F.col("tf") * idf).alias("score"))
 
 
 def top_terms(scores: DataFrame, n: int = 12) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from agorascope.functions import timeutil
+from agorascope.sources import store
 
 #: The moment that ranges of days count back from; never the clock.
 AS_OF = 996_624_000
@@ -53,17 +54,27 @@ def bare_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumns({"topic_name": named, "topic_description": F.concat(named, F.lit(" of orders")), "snapshot_week": timeutil.snapshot_week(F.col("created_utc"))})
 
 
+def _size(spark: SparkSession, sf_dir: str) -> int:
+    """Bytes of both inputs: tables made from them have as many buckets each, so they join without a shuffle."""
+    return sum(store.size_of(read(spark, sf_dir, name)) for name in ("lineitem", "orders"))
+
+
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Posts with distributions and polarization from their comments."""
+    """Posts with distributions and polarization from their comments, as a landed table."""
     from agorascope.operators.weights import post_distribution
 
-    return bare_posts(spark, sf_dir).join(post_distribution(comments(spark, sf_dir)).drop("stance_count", "sentiment_count"), "post_id", "left")
+    def build() -> DataFrame:
+        found = post_distribution(weighted_comments(spark, sf_dir), weighted=True).drop("stance_count", "sentiment_count")
+        return bare_posts(spark, sf_dir).join(found, "post_id", "left")
+
+    return store.landed(spark, "posts", sf_dir, _size(spark, sf_dir), "post_id", build)
 
 
 def weighted_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Comments with their weights, as a landed table."""
     from agorascope.operators.weights import with_weight
 
-    return with_weight(comments(spark, sf_dir))
+    return store.landed(spark, "comments", sf_dir, _size(spark, sf_dir), "post_id", lambda: with_weight(comments(spark, sf_dir)))
 
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
