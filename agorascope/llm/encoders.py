@@ -1,7 +1,7 @@
 """Token ids of public vocabulary files, as the tokenizers library gives them, by faster equal ways where those are proven.
 
 Text of characters whose classes all libraries agree on goes the fast way; any other text, and text that holds a special
-string, goes through the tokenizers library itself. Tests compare both over all such characters.
+string or a very long run of white space, goes through the tokenizers library itself. Tests compare both over all such characters.
 """
 
 from __future__ import annotations
@@ -18,10 +18,18 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: The pre-token pattern that byte-level BPE files of this kind fix.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Long runs of white space overflow the stack of the fast way's pattern matcher.
+_LONG_BLANK = 10_000
+_BLANKS = re.compile(r"\s{2,}+")
 #: Tab, line ends, printable Latin (without the dotted capital I, whose lower case is two characters) and dashes, quotes.
 _UNSURE = re.compile("[^\t\n\r\x20-\x7e\xa1-\xac\xae-įı-ɏ‐-‧]")
 
 
+def _sure(text: str, special: list[str]) -> bool:
+    """Whether the fast way gives this text's ids."""
+    return not (_UNSURE.search(text) or any(s in text for s in special) or (len(text) >= _LONG_BLANK and any(m.end() - m.start() >= _LONG_BLANK for m in _BLANKS.finditer(text))))
+
+
 class ByteBpe:
     """Ids of a byte-level BPE file, by tiktoken over the same vocabulary."""
 
@@ -40,7 +48,7 @@ class ByteBpe:
         self.slow = Tokenizer.from_file(path)
 
     def ids(self, text: str) -> np.ndarray:
-        if _UNSURE.search(text) or any(s in text for s in self.special):
+        if not _sure(text, self.special):
             return np.array(self.slow.encode(text, add_special_tokens=False).ids, np.uint32)
         return np.array(self.fast.encode_ordinary(text), np.uint32)
 
@@ -89,7 +97,7 @@ class WordBpe:
 
     def many(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
-        sure = [not (_UNSURE.search(t) or any(s in t for s in self.special)) for t in texts]
+        sure = [_sure(t, self.special) for t in texts]
         parts = [t.lower().split() if ok else [] for t, ok in zip(texts, sure, strict=True)]
         flat = list(chain.from_iterable(parts))
         ids = list(map(self.cache.get, flat))

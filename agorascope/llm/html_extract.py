@@ -1,11 +1,17 @@
 """Main text of web pages by tag-path ratios.
 
-A page becomes blocks of text with the path of tags from the root. Per path, text length and punctuation are summed and
-set against its number of nodes; the two ratios are smoothed along the page, fused, and thresholded at a share of their
-deviation. Blocks on paths above it are content nodes and are all kept, in page order. The named articles that hold them,
-or else the deepest element that holds nearly all their text, add their other blocks, lists of links included unless that
-element is the whole page; so do short blocks between content nodes of one parent. What lies in menus, headers, footers,
-sidebars, notices, adverts, forms and reader comments is no block at all.
+A page becomes blocks of text, each with the path of block tags from the root. Text length outside links and punctuation
+are summed per path and set against its number of nodes; the two ratios are smoothed along the page over blocks near each
+other in the tree, fused, and weighted by a prior for elements that are seldom part of an article (menus, footers, forms, class names
+of adverts or comments). The threshold that separates the page's positive scores best, by the variance between the two
+sides, chooses paths; their blocks are content nodes. The deepest element that holds nearly all their score is the article: its
+other blocks belong to it too (headings, captions, lists), but for what the prior speaks against. Outside it, content nodes
+stay, and so do headings right above them. Where the article's element is the whole page, other blocks stay only between
+content nodes. Where no block says anything outside links, only the prior speaks.
+
+Null pages count as empty and give an empty text; ids and URLs are carried; repeated rows get equal rows; an empty table
+gives no rows; other columns are not used. A page takes time in proportion to its length: tags that never end are found by
+one backward pass over quotes, elements keep what is asked of their ancestors. Memory is bounded by one page and a batch.
 """
 
 from __future__ import annotations
@@ -13,6 +19,7 @@ from __future__ import annotations
 import html as entities
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -21,7 +28,9 @@ from pyspark.sql import functions as F
 
 from agorascope.llm.textkit import strings
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+#: The rest of a tag: quoted values may hold what ends tags elsewhere.
+REST = re.compile(r"((?>[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "xmp", "noembed", "noframes"}
 RAW_END = {t: re.compile(rf"</{t}[\s/>]", re.I) for t in RAW}
@@ -30,8 +39,9 @@ BLOCKS = {"address", "article", "aside", "blockquote", "body", "center", "dd", "
 #: An opening tag ends an open element of these, up to the scope element.
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"}), "optgroup": ({"optgroup", "option"}, {"select"})}
 SCOPE = {"td", "th", "button", "caption", "object", "html", "body", "article", "section", "div", "blockquote", "li", "table"}
-#: Elements that are no part of an article.
-OUTSIDE = {"nav", "footer", "aside", "form", "button", "select", "menu", "dialog", "head", "svg", "canvas", "object", "audio", "video", "math", "fieldset", "label", "datalist"}
+#: Elements without text of the page, and such as are seldom part of an article.
+HIDDEN = {"head", "svg", "canvas", "object", "audio", "video", "math", "select", "datalist"}
+OUTSIDE = {"nav", "footer", "aside", "form", "button", "menu", "dialog", "fieldset", "label"}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "alertdialog", "menu", "menubar", "toolbar", "tablist"}
 #: Words in class or id that mark what is no part of an article.
 MARKS = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "adsense", "sponsor", "sponsored", "sponsors", "promo", "promotion", "promoted", "banner", "cookie", "cookies", "consent", "gdpr", "notice", "notices", "alert", "popup", "modal", "overlay", "newsletter", "subscribe", "subscription", "signup", "login", "signin", "paywall", "sidebar", "sidebars", "aside", "rail", "menu", "menus", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "footer", "masthead", "topbar", "toolbar", "comment", "comments", "commentlist", "disqus", "replies", "reply", "respond", "responses", "related", "recommended", "recommendations", "share", "sharing", "social", "widget", "widgets", "pagination", "pager", "search", "outbrain", "taboola", "tags", "toc", "skip", "hidden", "copyright", "disclaimer", "sitemap"}
@@ -42,16 +52,26 @@ WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 PUNCTUATION = re.compile(r"[.,;:!?。，；：！？、…]")
 SPACES = re.compile(r"\s+")
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
-#: Width of the smoothing; share of the deviation that is the threshold; shares of the chosen text that the element which
-#: is the article holds, any or those so named together.
-SMOOTH, SHARE, HOLD, NAMED = 1.0, 0.5, 0.8, 0.4
+#: Weight of the prior against an element; width of the smoothing, and how fast it falls off in the tree; share of the content's score that the article holds.
+PRIOR, SMOOTH, NEAR, HOLD = 0.05, 1.0, 4, 0.8
+#: Elements too small to be an article.
+PARTS = HEADINGS | {"p", "li", "td", "th", "tr", "tbody", "thead", "tfoot", "dd", "dt", "pre", "blockquote", "ul", "ol", "dl", "table", "caption", "figcaption"}
+WHOLE = {"#", "html", "body"}
 
 
 class Element:
-    __slots__ = ("tag", "parent", "out", "linked")
+    """`out` counts the elements, from the root to this one, that the prior speaks against; `path` numbers its block tags."""
 
-    def __init__(self, tag: str, parent, out: bool, linked: bool):
-        self.tag, self.parent, self.out, self.linked = tag, parent, out, linked
+    __slots__ = ("tag", "parent", "number", "depth", "path", "out", "linked", "hidden", "in_article", "paragraph")
+
+    def __init__(self, tag: str, parent, number: int, path: int):
+        self.tag, self.parent, self.number, self.path = tag, parent, number, path
+        self.out, self.linked, self.hidden, self.in_article, self.paragraph, self.depth = 0, False, False, tag in ("article", "main"), None, 0
+        if parent is not None:
+            self.out, self.linked, self.hidden, self.in_article = parent.out, parent.linked or tag == "a", parent.hidden or tag in HIDDEN, parent.in_article or self.in_article
+            # The open paragraph that a block would end.
+            self.paragraph = self if tag == "p" else None if tag in SCOPE else parent.paragraph
+            self.depth = parent.depth + (tag in BLOCKS)
 
 
 def _marks(tag: str, words: list[str]) -> bool:
@@ -61,35 +81,56 @@ def _marks(tag: str, words: list[str]) -> bool:
     return not OTHER_ARTICLE.isdisjoint(words) if tag == "article" else words[0] in MARKS or words[-1] in MARKS
 
 
-def _is_outside(tag: str, attributes: str, parent: Element) -> bool:
-    if tag in OUTSIDE:
-        return True
-    in_article = False
-    e = parent
-    while e is not None:
-        in_article |= e.tag in ("article", "main")
-        e = e.parent
-    if tag == "header" and not in_article:
-        return True
+def _traits(tag: str, attributes: str, parent: Element) -> tuple[bool, bool]:
+    """Whether the prior speaks against an element, and whether a browser would not show it."""
+    if tag in OUTSIDE or (tag == "header" and not parent.in_article):
+        return True, False
     if not attributes or tag in ("html", "body", "main"):
-        return False
+        return False, False
     for m in ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name in ("class", "id") and any(_marks(tag, [w.lower() for w in WORD.findall(v)]) for v in value.split()):
-            return True
+            return True, False
         if name == "role" and value.lower() in ROLES and tag != "article":
-            return True
+            return True, False
         if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
-            return True
-    return False
-
-
-def blocks(page: str) -> list[tuple[Element, str, int]]:
-    """(element, text, characters inside links) of each block, in page order."""
-    root = Element("#", None, False, False)
-    here, at, out = root, 0, []
+            return False, True
+    return False, False
+
+
+class Tags:
+    """Where the tags of a page end. Quotes that never close would make each tag read to the end of the page; from the first
+    such tag on, ends come from one backward pass over quotes and brackets, and failing that are the next bracket."""
+
+    def __init__(self, page: str):
+        self.page, self.marks, self.ends = page, None, None
+
+    def rest(self, at: int) -> tuple[str, int] | None:
+        """The text up to the tag's end and the place behind it; None if no tag ends any more."""
+        if self.marks is None:
+            m = REST.match(self.page, at)
+            if m:
+                return m[1], m.end()
+            self.marks = [(m.start(), m[0]) for m in re.compile("[>\"']").finditer(self.page, at)]
+            self.ends, after = [-1] * (len(self.marks) + 1), {">": -1, '"': -1, "'": -1}
+            self.brackets = [-1] * (len(self.marks) + 1)
+            for k in range(len(self.marks) - 1, -1, -1):
+                place, mark = self.marks[k]
+                self.ends[k] = place if mark == ">" else -1 if after[mark] < 0 else self.ends[after[mark] + 1]
+                self.brackets[k] = place if mark == ">" else self.brackets[k + 1]
+                after[mark] = k
+        k = bisect_left(self.marks, (at, ""))
+        end = self.ends[k] if self.ends[k] >= 0 else self.brackets[k]
+        return None if end < 0 else (self.page[at:end], end + 1)
+
+
+def blocks(page: str) -> tuple[list[Element], list[tuple[Element, str, int]]]:
+    """All elements, parents first, and (element, text, characters inside links) of each block, in page order."""
+    root = Element("#", None, 0, 0)
+    elements, paths, here, at, out = [root], {}, root, 0, []
+    opened: dict[str, int] = {}
     parts: list[tuple[str, bool]] = []
-    owner = root
+    owner, tags, size = root, Tags(page), len(page)
 
     def flush() -> None:
         nonlocal parts
@@ -101,42 +142,64 @@ def blocks(page: str) -> list[tuple[Element, str, int]]:
 
     def say(raw: str) -> None:
         nonlocal owner
-        if raw and not here.out:
+        if raw and not here.hidden:
             if not parts:
                 owner = here
             parts.append((entities.unescape(raw), here.linked))
 
-    def close(tags: set, scope: set) -> None:
+    def leave(e: Element) -> None:
+        """Closes all elements down to e, and e."""
         nonlocal here
+        while here is not e.parent:
+            opened[here.tag] -= 1
+            here = here.parent
+
+    def close(names: set, scope: set) -> None:
+        if not any(opened.get(n) for n in names):
+            return
         e = here
-        while e is not root and e.tag not in tags:
+        while e is not root and e.tag not in names:
             if e.tag in scope:
                 return
             e = e.parent
         if e is not root:
-            here = e.parent
+            leave(e)
 
-    size = len(page)
     while at < size:
-        m = TOKEN.search(page, at)
-        if not m:
+        start = page.find("<", at)
+        if start < 0:
             say(page[at:])
             break
-        say(page[at : m.start()])
-        at = m.end()
-        if not m[2]:
-            if page.startswith("<![CDATA[", m.start()):
-                say(entities.escape(page[m.start() + 9 : at].removesuffix("]]>")))
+        say(page[at:start])
+        m = NAME.match(page, start)
+        if not m:
+            if page.startswith("<!--", start):
+                end = page.find("-->", start + 4)
+                at = size if end < 0 else end + 3
+            elif page.startswith("<![CDATA[", start):
+                end = page.find("]]>", start)
+                say(entities.escape(page[start + 9 : size if end < 0 else end]))
+                at = size if end < 0 else end + 3
+            elif page.startswith(("<!", "<?"), start):
+                at = page.find(">", start) + 1 or size
+            else:
+                say("<")
+                at = start + 1
             continue
+        found = tags.rest(m.end())
+        if found is None:
+            say(page[start:])
+            break
+        attributes, at = found
         tag = m[2].lower()
         if m[1]:
             if tag in BLOCKS:
                 flush()
-            e = here
-            while e is not root and e.tag != tag:
-                e = e.parent
-            if e is not root:
-                here = e.parent
+            if opened.get(tag):
+                e = here
+                while e.tag != tag:
+                    e = e.parent
+                leave(e)
             continue
         if tag == "br":
             say(" ")
@@ -149,92 +212,132 @@ def blocks(page: str) -> list[tuple[Element, str, int]]:
             continue
         if tag in BLOCKS:
             flush()
-            close({"p"}, SCOPE)
+            if here.paragraph is not None:
+                leave(here.paragraph)
         if tag in HEADINGS and here.tag in HEADINGS:
-            here = here.parent
+            leave(here)
         if tag in ENDS:
             close(*ENDS[tag])
         if tag in ("body", "main", "article"):
             close({"head"}, set())
-        if tag in VOID or m[3].rstrip().endswith("/") and tag not in BLOCKS and tag not in ("a", "b", "i", "em", "strong", "span"):
+        if tag in VOID or attributes.rstrip().endswith("/") and tag not in BLOCKS and tag not in ("a", "b", "i", "em", "strong", "span"):
             continue
-        here = Element(tag, here, here.out or _is_outside(tag, m[3], here), here.linked or tag == "a")
+        path = paths.setdefault((here.path, tag), len(paths) + 1) if tag in BLOCKS else here.path
+        e = Element(tag, here, len(elements), path)
+        against, unseen = _traits(tag, attributes, here)
+        e.out, e.hidden = e.out + against, e.hidden or unseen
+        elements.append(e)
+        opened[tag] = opened.get(tag, 0) + 1
+        here = e
     flush()
-    return out
+    return elements, out
 
 
-def _path(e: Element) -> tuple:
-    tags = []
-    while e is not None:
-        tags.append(e.tag)
-        e = e.parent
-    return tuple(reversed(tags))
-
-
-def _ancestors(e: Element) -> Iterator[Element]:
-    while e is not None:
-        yield e
-        e = e.parent
+def _nearness(a: Element, b: Element) -> float:
+    """How much of their way from the root two blocks share, 1 for blocks of one element."""
+    longer = max(a.depth, b.depth)
+    while a is not b:  # parents are numbered before their children
+        if a.number > b.number:
+            a = a.parent
+        else:
+            b = b.parent
+    return (a.depth + 1) / (longer + 1)
 
 
 def scores(found: list[tuple[Element, str, int]]) -> list[float]:
-    """The fused and smoothed ratio of each block's tag path."""
+    """The fused and smoothed ratio of each block's tag path, weighted by the prior; the mean over the path's blocks."""
     sums: dict[tuple, list] = {}
-    paths = [_path(e) for e, _, _ in found]
+    # Elements that the prior speaks against, more than against the whole page, do not share sums with others of their path.
+    base = min(e.out for e, _, _ in found)
+    paths = [(e.path, e.out > base) for e, _, _ in found]
     for p, (_, text, linked) in zip(paths, found, strict=True):
         s = sums.setdefault(p, [0, 0, 0])
         s[0] += max(0, len(text) - linked)
-        s[1] += len(PUNCTUATION.findall(text)) if not linked else 0
+        s[1] += len(PUNCTUATION.findall(text)) if 2 * linked <= len(text) else 0
         s[2] += 1
     length, points = ([sums[p][k] / sums[p][2] for p in paths] for k in (0, 1))
-    kernel = [math.exp(-(d * d) / (2 * SMOOTH * SMOOTH)) for d in (-1, 0, 1)]
+    side = math.exp(-1 / (2 * SMOOTH * SMOOTH))
+    weight = [side * _nearness(a[0], b[0]) ** NEAR for a, b in zip(found[:-1], found[1:], strict=True)]
 
     def smooth(x: list[float]) -> list[float]:
-        return [sum(kernel[d + 1] * x[i + d] for d in (-1, 0, 1) if 0 <= i + d < len(x)) / sum(kernel[d + 1] for d in (-1, 0, 1) if 0 <= i + d < len(x)) for i in range(len(x))]
+        out = []
+        for i, v in enumerate(x):
+            before, after = weight[i - 1] if i else 0.0, weight[i] if i < len(weight) else 0.0
+            out.append((v + (before * x[i - 1] if i else 0.0) + (after * x[i + 1] if i < len(weight) else 0.0)) / (1 + before + after))
+        return out
+
+    # Where a block says nothing itself, the neighbours' ratios do not lift it. A path's blocks stand or fall together.
+    fused = [math.sqrt(a * (1 + b)) * (PRIOR if e.out > base else 1.0) if n else 0.0 for a, b, n, (e, _, _) in zip(smooth(length), smooth(points), length, found, strict=True)]
+    means: dict[tuple, float] = {}
+    for p, r in zip(paths, fused, strict=True):
+        means[p] = means.get(p, 0.0) + r / sums[p][2]
+    return [means[p] for p in paths]
+
+
+def threshold(ratio: list[float]) -> float:
+    """The least score of the upper side, where the variance between the two sides is largest; blocks that say nothing
+    themselves are left out. The score itself if all are alike, 0 if all say nothing."""
+    order = sorted(r for r in ratio if r > 0 or min(ratio) < 0)
+    total, below, best, at = sum(order), 0.0, 0.0, order[0] if order else 0.0
+    for k in range(1, len(order)):
+        below += order[k - 1]
+        if order[k] - order[k - 1] > 1e-9:
+            gap = (total - below) / (len(order) - k) - below / k
+            if (gain := k * (len(order) - k) * gap * gap) > best:
+                best, at = gain, order[k]
+    return at
 
-    # Where a block says nothing itself, the neighbours' ratios do not lift it.
-    return [math.sqrt(a * (1 + b)) if n else 0.0 for a, b, n in zip(smooth(length), smooth(points), length, strict=True)]
+
+def _ancestors(e: Element) -> Iterator[Element]:
+    while e is not None:
+        yield e
+        e = e.parent
 
 
 def main_text(page: str | None) -> str:
     """The article's blocks joined by line ends; empty if there are none. Null counts as empty."""
-    found = blocks(page or "")
+    elements, found = blocks(page or "")
     if not found:
         return ""
+    # A page all of which is a menu or the like has no article; a form may hold a whole page, and then menus in it.
+    levels = {e.out for e, _, _ in found}
+    if levels == {1} and not any(a.tag == "form" for a in _ancestors(found[0][0])):
+        return ""
     ratio = scores(found)
-    mean = sum(ratio) / len(ratio)
-    bar = SHARE * math.sqrt(sum((r - mean) ** 2 for r in ratio) / len(ratio))
-    passed = [r >= bar and 2 * f[2] <= len(f[1]) for f, r in zip(found, ratio, strict=True)]
-    chosen = [f for f, own in zip(found, passed, strict=True) if own] or found
-    total = sum(len(t) for _, t, _ in chosen)
-    weight: dict[Element, int] = {}
-    for e, text, _ in chosen:
-        for a in _ancestors(e):
-            weight[a] = weight.get(a, 0) + len(text)
-    inside = [a for a in weight if weight[a] >= HOLD * total and (a.tag in BLOCKS or a.tag == "#") and a.tag not in HEADINGS | {"p", "li", "td", "th", "tr", "tbody", "dd", "dt", "pre", "blockquote", "ul", "ol", "dl", "table"}]
-    article = max(inside, key=lambda a: len(_path(a)))
-    named = [a for a in _ancestors(article) if a.tag in ("article", "main")][:1]
-    if not named:
-        tops = [a for a in weight if a.tag in ("article", "main") and not any(b.tag in ("article", "main") for b in _ancestors(a.parent))]
-        named = tops if sum(weight[a] for a in tops) >= NAMED * total else []
-    articles = set(named) or {article}
-    # The first and last chosen block of each parent, between which short ones belong to the article too.
-    ends: dict[Element, list] = {}
+    bar = threshold(ratio)
+    passed = [r >= bar and (bar != 0 or e.out == min(levels)) for r, (e, _, _) in zip(ratio, found, strict=True)]
+    # The score that each element holds, its own blocks' and those below it.
+    mass = [0.0] * len(elements)
+    for (e, _, _), r, own in zip(found, ratio, passed, strict=True):
+        if own:
+            mass[e.number] += r
+    for e in reversed(elements[1:]):
+        mass[e.parent.number] += mass[e.number]
+    article, inside = elements[0], [True] * len(elements)
+    for e in elements[1:]:
+        if e.parent is article and mass[e.number] >= HOLD * mass[0] and e.tag not in PARTS:
+            article = e
+    for e in elements:
+        inside[e.number] = e is article or (e.parent is not None and inside[e.parent.number])
+    is_whole = article.tag in WHOLE
+    # Blocks between content nodes belong to a page without an element for its article; of links, those of the same parent.
+    ends: dict[Element | None, list] = {}
     for k, ((e, _, _), own) in enumerate(zip(found, passed, strict=True)):
         if own:
-            ends.setdefault(e.parent, [k, k])[1] = k
-    kept = []
+            ends.setdefault(e.parent, [k, k])[1] = ends.setdefault(None, [k, k])[1] = k
+    kept: list[bool] = []
     for k, ((e, text, linked), own) in enumerate(zip(found, passed, strict=True)):
-        listed = 2 * linked > len(text) and any(a.tag in ("li", "ul", "ol", "td", "dd") for a in _ancestors(e))
-        within = not articles.isdisjoint(_ancestors(e)) and (not listed or any(a.tag not in ("#", "html", "body") for a in articles))
-        first, last = ends.get(e.parent, (k, k))
-        if own or within or first < k < last:
-            kept.append(text)
-    return "\n".join(kept)
+        first, last = ends.get(e.parent if 2 * linked > len(text) else None, (k, k))
+        within = inside[e.number] and e.out <= article.out and (not is_whole or first < k < last)
+        kept.append(own or within)
+    for k in range(len(found) - 2, -1, -1):  # headings right above what stays, of the same parent
+        e, below = found[k][0], found[k + 1][0]
+        kept[k] = kept[k] or (e.tag in HEADINGS and kept[k + 1] and e.out <= article.out and e.parent is below.parent)
+    return "\n".join(text for (_, text, _), own in zip(found, kept, strict=True) if own)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """page_id, url, text, n_chars of every row. No shuffle; memory is bounded by one page's blocks and a batch."""
+    """page_id, url, text, n_chars of every row. No shuffle; memory is bounded by one page's blocks and a batch of rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -2,20 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a local one only where that is unset (tests)."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = f"file://{tempfile.gettempdir()}/agorascope-checkpoints"
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root
-
+from agorascope.sources.store import shared_dir
 
 #: Shuffle files of a write are of no use once its table is there.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -26,6 +19,8 @@ class Stage:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        for held in _scratch:
+            held.append(self)
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
         path, before = f"{self.root}/{name}", self.spark.conf.get(CLEANUP, "false")
@@ -36,7 +31,22 @@ class Stage:
             self.spark.conf.set(CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self, name: str) -> None:
-        """Deletes a table that nothing will read again."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+    def drop(self, *names: str) -> None:
+        """Deletes tables that nothing will read again; without names, all of this run."""
+        for name in names or ("",):
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}".rstrip("/"))
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+_scratch: list[list[Stage]] = []
+
+
+@contextmanager
+def scratch() -> Iterator[None]:
+    """Deletes, on leaving, what runs begun inside have written: their results must have been written elsewhere by then."""
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for stage in _scratch.pop():
+            stage.drop()

@@ -128,16 +128,64 @@ def test_page_parts():
 
 
 def test_pages(spark):
-    import html
-
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     got = {r.page_id: r for r in html_extract.extract(pages).collect()}
     for r in pages.collect():
-        parts = re.split(r"</?(?:p|h1)>", re.search(r"<article>(.*)</article>", r.html, re.S)[1])
-        want = "\n".join(x for x in (re.sub(r"\s+", " ", html.unescape(re.sub(r"<[^>]+>", "", p.replace("<br>", " ")))).strip() for p in parts) if x)
+        want = article_of(r.html)
         assert got[r.page_id].text == want and got[r.page_id].n_chars == len(want) and got[r.page_id].url == r.url
     odd = spark.createDataFrame([(None, None, None, 1), (1, "u", "", 2), (1, "u", "", 2)], "page_id long, url string, html string, text int")
     assert [(r.page_id, r.text, r.n_chars) for r in html_extract.extract(odd).orderBy("page_id").collect()] == [(None, "", 0), (1, "", 0), (1, "", 0)]
+    assert html_extract.extract(odd.limit(0)).count() == 0
+
+
+def article_of(page):
+    """The text of a test page's article, by its markup."""
+    import html
+
+    parts = re.split(r"</?(?:p|h1)>", re.search(r"<article>(.*)</article>", page, re.S)[1])
+    return "\n".join(x for x in (re.sub(r"\s+", " ", html.unescape(re.sub(r"<[^>]+>", "", p.replace("<br>", " ")))).strip() for p in parts) if x)
+
+
+def test_page_ratios_decide(spark, monkeypatch):
+    """Without its names a page gives nearly the same; with other scores it does not."""
+    import random
+
+    pages = [r.html for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()]
+    want, n = [article_of(p) for p in pages], len(pages)
+    unnamed = [re.sub(r' (?:class|id)="[^"]*"', "", p).replace("article>", "div>") for p in pages]
+    bare = [re.sub(r"(</?)(?:nav|footer)>", r"\1div>", p) for p in unnamed]
+    for variant, least in ((pages, n), (unnamed, 0.9 * n), (bare, 0.9 * n)):
+        got = [html_extract.main_text(p) for p in variant]
+        assert sum(g == w for g, w in zip(got, want, strict=True)) >= least
+        assert all(set(w.split("\n")) - {""} <= set(g.split("\n")) for g, w in zip(got, want, strict=True)) or least < n
+    real, r = html_extract.scores, random.Random(5)
+    for other in (lambda f: [1.0] * len(f), lambda f: [-x for x in real(f)], lambda f: [r.random() for _ in f]):
+        monkeypatch.setattr(html_extract, "scores", other)
+        for variant in (pages, unnamed):
+            assert sum(html_extract.main_text(p) != w for p, w in zip(variant, want, strict=True)) > 0.9 * n
+
+
+def test_page_prior():
+    """A page that stands in a form as a whole keeps its article; long prose in sidebars and comments goes."""
+    said = lambda w, n: " ".join(f"{w}{i}, and more of it." for i in range(n))
+    body = "".join(f"<p>{said(w, 30)}</p>" for w in ("one", "two", "three"))
+    want = [said(w, 30) for w in ("one", "two", "three")]
+    assert html_extract.main_text(f"<body><form><nav><a href=x>Home</a></nav><div>{body}</div></form></body>").split("\n") == want
+    aside = f"<aside><p>{said('side', 40)}</p></aside><div class=comments><div><p>{said('said', 60)}</p></div></div>"
+    assert html_extract.main_text(f"<body><div>{body}</div>{aside}</body>").split("\n") == want
+    assert html_extract.main_text(f"<body><p hidden>{said('no', 50)}</p>{body}<ul><li>in between</li></ul><p>{said('four', 30)}</p></body>").split("\n") == [*want, "in between", said("four", 30)]
+
+
+def test_page_is_linear():
+    """Hostile pages of about a megabyte take no more than seconds."""
+    import time
+
+    pages = ['<a x="' * 170_000, "<a x='" * 170_000 + "<p>end", "<div>" * 200_000, "<div>x" * 150_000, "<div>x<span>" * 80_000, "<" * 1_000_000, "</div>" * 160_000, "<p>" + "<span>" * 50_000 + "</b>x<i>" * 80_000, "<!--" * 250_000, "<ul>" + "<li>x" * 160_000]
+    for page in pages:
+        began = time.perf_counter()
+        html_extract.main_text(page)
+        assert time.perf_counter() - began < 8, page[:20]
+    assert html_extract.main_text("<p>" + "x" * 30 + "</p><a title=\"unclosed><p>still here</p>").endswith("still here")
 
 
 def test_chat_oracle(spark):
