@@ -1,17 +1,23 @@
 """Benchmark decontamination: item-sized windows by SimHash, multi-index Hamming blocks, exact weighted-shingle check.
 
 Words are runs of letters and digits (and non-ASCII bytes), A-Z lower-cased; features are five-word shingles, weighted by
-one over the number of items that hold them, in the whole benchmark; items of equal shingles count once. Every window of a text as long as an item, unless it shares no shingle with
-any item (its similarity is nought then), gets a 64-bit SimHash of its distinct shingles, each a vector of 64 normal
-numbers times the root of its weight: a bit differs with probability angle / pi, whatever the weights, and at similarity
-0.8 the cosine is 8/9 at least, so 9.7 bits are expected to differ, and over RADIUS do in about one case of 10^5. Blocks
-of 8 bits index the items of that length: two fingerprints within RADIUS agree within RADIUS // 8 bits in one block at
-least, so the index misses none; candidates within the radius are decided by weighted Jaccard similarity, threshold 0.8.
+one over the number of items that hold them, in the whole benchmark; items of equal shingles count once.
+
+A window that is similar enough shares so much of an item's weight that it holds one at least of the item's heaviest
+shingles, those that make up more than 1 - threshold of its weight: its seeds. So a text meets only the items of seeds it
+holds, and openings that many items share, of little weight each, are no seeds. Every window of an item's length around
+such a seed gets a SimHash of BITS bits of its distinct shingles, each a vector of normal numbers times the root of its
+weight: a bit differs with probability angle / pi, whatever the weights. At similarity 0.8 the cosine is 8/9 at least, so
+29.1 of 192 bits are expected to differ, and over RADIUS do in about one case of 10^5. The bits are three blocks of 64:
+two fingerprints within RADIUS differ by at most NEAR bits in one block, so the blocks miss none; of unlike fingerprints
+one in some thousands gets through. Candidates within the radius are decided by weighted Jaccard similarity.
 
 Items of fewer than five words are one shingle, their whole sequence: they match texts equal to them. Items or texts
-without words match nothing; null ids are carried; repeated rows are matched alike; empty tables give no rows. Items are
-taken in passes of about ITEMS, those of one id together, so what a task holds of them is bounded; beside them it holds the
-weights of shingles that several items share, which are the same in every pass, as are the results.
+without words match nothing; null ids are carried; items of one id are one item, found at its best window; of equally good
+windows the first counts; repeated rows are matched alike; other columns are not used; empty tables give no rows. Items
+are taken in passes of about ITEMS rows and ITEM_BYTES of text, those of one id together, so what a task holds of them is
+bounded; beside them it holds the weights of shingles that several items share, which are the same in every pass, as are
+the results.
 """
 
 from __future__ import annotations
@@ -27,14 +33,18 @@ from pyspark.sql import functions as F
 from agorascope.llm.textkit import NO_WORD, shingle_rows, strings
 
 K = 5
-RADIUS = 23
-ITEMS = 20_000
-_NEAR = np.array([[bin(a ^ b).count("1") <= RADIUS // 8 for b in range(256)] for a in range(256)])
+BITS = 192
+RADIUS = 51
+#: Bits that may differ in a block: within RADIUS, one block of three is within its own.
+NEAR = np.array([16, 16, 17])
+ITEMS, ITEM_BYTES = 200_000, 32 << 20
+#: Windows and items compared at once.
+WINDOWS, SIDE = 2048, 256
 
 
 def _normals() -> np.ndarray:
     """Normal numbers per byte and its value, centred so that unlike shingles share nothing; whole, so sums are exact."""
-    found = np.random.Generator(np.random.PCG64(20240608)).normal(size=(8, 256, 64))
+    found = np.random.Generator(np.random.PCG64(20240608)).normal(size=(8, 256, BITS))
     return np.rint((found - found.mean(1, keepdims=True)) * 2**14).astype(np.int64)
 
 
@@ -63,42 +73,51 @@ def _window_sums(values: np.ndarray, weights: np.ndarray, m: int) -> np.ndarray:
 
 
 def _prints(sums: np.ndarray) -> np.ndarray:
-    return np.packbits(sums > 0, axis=1, bitorder="little").view("<u8").reshape(-1)
+    """Rows of three 64-bit blocks."""
+    return np.packbits(sums > 0, axis=1, bitorder="little").view("<u8")
 
 
 class Items:
-    """One pass of items: shingle weights, and per item length fingerprints with their block index.
+    """One pass of items: shingle weights, seeds with their items, and fingerprints.
 
     shared: sorted shingles of several items, and how many hold each; counted over the given items if there are none."""
 
-    def __init__(self, ids: list, texts: list[str], shared: tuple[np.ndarray, np.ndarray] | None = None):
-        sets = [(i, v) for i, (_, v) in zip(ids, shingle_rows(pa.array(texts, pa.large_string()), K, True, NO_WORD), strict=True) if len(v)]
+    def __init__(self, ids: list, texts: list[str], shared: tuple[np.ndarray, np.ndarray] | None = None, threshold: float = 0.8):
+        own = [(i, v) for i, (_, v) in zip(ids, shingle_rows(pa.array(texts, pa.large_string()), K, True, NO_WORD), strict=True) if len(v)]
+        sets = [np.unique(v) for _, v in own]
         if shared is None:
-            kinds = {u.tobytes(): u for u in (np.unique(v) for _, v in sets)}
+            kinds = {u.tobytes(): u for u in sets}
             shared = np.unique(np.concatenate(list(kinds.values())) if kinds else np.zeros(0, np.uint64), return_counts=True)
-        self.shared, self.weight = shared[0], 1.0 / shared[1]
-        every = np.unique(np.concatenate([v for _, v in sets]) if sets else np.zeros(0, np.uint64))
-        self.known = every
-        self.filter = np.zeros(1 << 20, bool)
-        self.filter[(every & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
-        self.lengths: dict[int, tuple] = {}
-        self.owner_lengths: list[set] = [set() for _ in every]
-        by: dict[int, list] = {}
-        for i, v in sets:
-            by.setdefault(len(v), []).append((i, v))
-            for at in np.searchsorted(every, np.unique(v)):
-                self.owner_lengths[at].add(len(v))
-        for n, own in by.items():
-            marks = np.concatenate([_prints(_rays(u, self.weights(u)).sum(0)[None]) for u in (np.unique(v) for _, v in own)])
-            blocks = marks.view(np.uint8).reshape(-1, 8)
-            index = np.stack([_NEAR[:, blocks[:, b]] for b in range(8)])  # block, value -> items that may be near
-            self.lengths[n] = ([i for i, _ in own], [np.unique(v) for _, v in own], marks, index)
-
-    def where(self, values: np.ndarray) -> np.ndarray:
-        """Positions of values that some item holds."""
-        maybe = np.flatnonzero(self.filter[(values & np.uint64((1 << 20) - 1)).astype(np.int64)])
-        at = np.minimum(np.searchsorted(self.known, values[maybe]), len(self.known) - 1)
-        return maybe[self.known[at] == values[maybe]] if len(self.known) else maybe[:0]
+        self.shared, self.weight, self.threshold = shared[0], 1.0 / shared[1], threshold
+        self.ids, self.length = [i for i, _ in own], np.array([len(v) for _, v in own], np.int64)
+        self.flat, self.at = (np.concatenate(sets) if sets else np.zeros(0, np.uint64)), np.cumsum([0, *map(len, sets)])
+        self.marks = np.concatenate([_prints(_rays(u, self.weights(u)).sum(0)[None]) for u in sets]) if sets else np.zeros((0, 3), np.uint64)
+        self.total = np.array([self.weights(u).sum() for u in sets])
+        heavy = [self._heaviest(u) for u in sets]
+        seeds, owners = np.concatenate(heavy) if heavy else self.flat, np.repeat(np.arange(len(sets)), [len(h) for h in heavy])
+        order = np.argsort(seeds, kind="stable")
+        self.owners, self.own_at = owners[order], np.cumsum([0, *map(len, heavy)])
+        self.seeds, first = np.unique(seeds[order], return_index=True)
+        self.first, self.own = np.append(first, len(seeds)), np.searchsorted(self.seeds, seeds)
+        self.mask = np.uint64((1 << max(16, (8 * len(self.seeds)).bit_length())) - 1)
+        self.filter = np.zeros(int(self.mask) + 1, bool)
+        self.filter[(self.seeds & self.mask).astype(np.int64)] = True
+
+    def _heaviest(self, values: np.ndarray) -> np.ndarray:
+        """The fewest of an item's shingles without which a window cannot reach the threshold, the heaviest first."""
+        weights = self.weights(values)
+        order = np.argsort(-weights, kind="stable")
+        enough = np.cumsum(weights[order]) > (1 - self.threshold) * weights.sum() * (1 + 1e-9)
+        return values[order[: int(np.argmax(enough)) + 1 if enough.any() else len(order)]]
+
+    def hits(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Positions of seeds among values, and which seed each is."""
+        maybe = np.flatnonzero(self.filter[(values & self.mask).astype(np.int64)])
+        if not len(maybe) or not len(self.seeds):
+            return maybe[:0], maybe[:0]
+        at = np.minimum(np.searchsorted(self.seeds, values[maybe]), len(self.seeds) - 1)
+        same = self.seeds[at] == values[maybe]
+        return maybe[same], at[same]
 
     def weights(self, values: np.ndarray) -> np.ndarray:
         if not len(self.shared):
@@ -106,34 +125,54 @@ class Items:
         at = np.minimum(np.searchsorted(self.shared, values), len(self.shared) - 1)
         return np.where(self.shared[at] == values, self.weight[at], 1.0)
 
-    def similarity(self, a: np.ndarray, b: np.ndarray) -> float:
-        """Weighted Jaccard of two sorted sets."""
-        both = self.weights(np.intersect1d(a, b, assume_unique=True)).sum()
-        return float(both / (self.weights(a).sum() + self.weights(b).sum() - both))
-
-    def matches(self, values: np.ndarray, threshold: float) -> list[tuple]:
-        """(item, similarity, first word, words) of the best window of each item that reaches the threshold."""
-        hits = self.where(values)
+    def similarity(self, a: np.ndarray, item: int) -> float:
+        """Weighted Jaccard similarity of a sorted set and an item's."""
+        b = self.flat[self.at[item] : self.at[item + 1]]
+        place = np.minimum(np.searchsorted(b, a), len(b) - 1)
+        weights = self.weights(a)
+        both = weights[b[place] == a].sum()
+        return float(both / (weights.sum() + self.total[item] - both))
+
+    def candidates(self, prints: np.ndarray, items: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Windows and items whose fingerprints are within the radius, found by their blocks."""
+        for k in range(0, len(items), SIDE):
+            side = items[k : k + SIDE]
+            may = np.zeros((len(prints), len(side)), bool)
+            for b in range(3):
+                may |= np.bitwise_count(prints[:, b, None] ^ self.marks[side, b][None]) <= NEAR[b]
+            w, i = np.nonzero(may)
+            close = np.bitwise_count(prints[w] ^ self.marks[side[i]]).sum(1, dtype=np.int64) <= RADIUS
+            yield w[close], side[i[close]]
+
+    def matches(self, values: np.ndarray, first: bool = False) -> list[tuple]:
+        """(item, similarity, first word, words) of the best window of each item that reaches the threshold; first: of one."""
+        hits, kinds = self.hits(values)
         if not len(hits):
             return []
         best: dict[int, tuple] = {}
-        wanted = set().union(*(self.owner_lengths[at] for at in np.searchsorted(self.known, values[hits])))
-        for n in sorted(wanted):
-            ids, sets, marks, index = self.lengths[n]
-            m = min(n, len(values))
-            begin = np.unique(np.clip(hits[:, None] - np.arange(m), 0, len(values) - m))
-            cuts = np.flatnonzero((np.diff(begin) > 512) | (np.arange(1, len(begin)) % 4096 == 0)) + 1
+        seeds = np.unique(kinds)
+        near = np.unique(np.concatenate([self.owners[self.first[k] : self.first[k + 1]] for k in seeds]))
+        for n in np.unique(self.length[near]).tolist():
+            m, items = min(n, len(values)), near[self.length[near] == n]
+            asked = np.isin(seeds, self._seeds_of(items), assume_unique=True)
+            begin = np.unique(np.clip(hits[np.isin(kinds, seeds[asked])][:, None] - np.arange(m), 0, len(values) - m))
+            cuts = np.flatnonzero((np.diff(begin) > 512) | (np.arange(1, len(begin)) % WINDOWS == 0)) + 1
             for own in np.split(begin, cuts):
                 lo, hi = own[0], own[-1] + m
                 prints = _prints(_window_sums(values[lo:hi], self.weights(values[lo:hi]), m)[own - lo])
-                pieces = prints.view(np.uint8).reshape(-1, 8)
-                may = np.logical_or.reduce([index[b, pieces[:, b]] for b in range(8)])
-                for w, i in zip(*np.nonzero(may), strict=True):
-                    if int(prints[w] ^ marks[i]).bit_count() <= RADIUS:
-                        s = self.similarity(np.unique(values[own[w] : own[w] + m]), sets[i])
-                        if s >= threshold and s > best.get(ids[i], (0,))[0]:
-                            best[ids[i]] = (s, int(own[w]), m + K - 1)
-        return [(i, *v) for i, v in best.items()]
+                for windows, found in self.candidates(prints, items):
+                    for w, i in zip(windows.tolist(), found.tolist(), strict=True):
+                        start, name = int(own[w]), self.ids[i]
+                        s = self.similarity(np.unique(values[start : start + m]), i)
+                        if s >= self.threshold and (s, -start) > best.get(name, (0.0, 0, 0))[:2]:
+                            best[name] = (s, -start, m + K - 1)
+                            if first:
+                                return [(name, s, start, m + K - 1)]
+        return [(i, s, -start, n) for i, (s, start, n) in best.items()]
+
+    def _seeds_of(self, items: np.ndarray) -> np.ndarray:
+        """Numbers of the seeds that some of the items own."""
+        return np.unique(np.concatenate([self.own[self.own_at[i] : self.own_at[i + 1]] for i in items.tolist()]))
 
 
 def shared_shingles(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -154,22 +193,24 @@ def shared_shingles(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return values[order], df[order]
 
 
-def item_passes(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> Iterator[Items]:
-    """The items in passes of about ITEMS, by a hash of their ids; weights are those of the whole table."""
+def item_passes(items: DataFrame, threshold: float = 0.8, id_col: str = "item_id", text_col: str = "text") -> Iterator[Items]:
+    """The items in passes of about ITEMS rows and ITEM_BYTES of text, by a hash of their ids; weights are those of the
+    whole table."""
     rows = items.select(F.col(id_col).cast("long").alias("i"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
-    total = rows.count()
-    if total <= ITEMS:
+    total, size = rows.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()
+    if not total:
+        return
+    if total <= ITEMS and size <= ITEM_BYTES:
         got = rows.collect()
-        if got:
-            yield Items([r["i"] for r in got], [r["t"] for r in got])
+        yield Items([r["i"] for r in got], [r["t"] for r in got], None, threshold)
         return
     shared = shared_shingles(rows)
-    cuts = -(-total // (ITEMS // 2))
+    cuts = max(-(-2 * total // ITEMS), -(-2 * size // ITEM_BYTES))
     parts = rows.withColumn("cut", F.expr(f"pmod(xxhash64(i), {cuts})"))
     for c in range(cuts):
         got = parts.where(F.col("cut") == c).collect()
         if got:
-            yield Items([r["i"] for r in got], [r["t"] for r in got], shared)
+            yield Items([r["i"] for r in got], [r["t"] for r in got], shared, threshold)
 
 
 def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -177,14 +218,14 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.8, id_c
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     schema = "doc_id long, item_id long, similarity double, start_word long, n_words long"
     out = docs.sparkSession.createDataFrame([], schema)
-    for own in item_passes(items):
+    for own in item_passes(items, threshold):
         held = docs.sparkSession.sparkContext.broadcast(own)
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 ids, found = batch.column("doc_id").to_pylist(), []
                 for r, values in shingle_rows(strings(batch.column("text")), K, True, NO_WORD):
-                    found += [(ids[r], *m) for m in held.value.matches(values, threshold)]
+                    found += [(ids[r], *m) for m in held.value.matches(values)]
                 cols = list(zip(*found, strict=True)) if found else [[]] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.float64() if n == "similarity" else pa.int64()) for n, c in zip(("doc_id", "item_id", "similarity", "start_word", "n_words"), cols, strict=True)], ["doc_id", "item_id", "similarity", "start_word", "n_words"])
 
@@ -194,12 +235,12 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.8, id_c
 
 def clean_of(docs: DataFrame, items: DataFrame, threshold: float = 0.8, text_col: str = "text") -> DataFrame:
     """The rows of docs, all columns, whose text holds no item. No shuffle."""
-    for own in item_passes(items):
+    for own in item_passes(items, threshold):
         held = docs.sparkSession.sparkContext.broadcast(own)
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                keep = [not held.value.matches(v, threshold) for _, v in shingle_rows(strings(batch.column(text_col)), K, True, NO_WORD)]
+                keep = [not held.value.matches(v, first=True) for _, v in shingle_rows(strings(batch.column(text_col)), K, True, NO_WORD)]
                 yield batch.filter(pa.array(keep, pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)

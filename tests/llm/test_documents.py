@@ -173,10 +173,14 @@ def brute_matches(own, text_sets, values, threshold=0.8):
     """Items whose best window of their length reaches the threshold, every window compared."""
     import numpy as np
 
+    def similarity(a, b):
+        both = own.weights(np.intersect1d(a, b)).sum()
+        return both / (own.weights(a).sum() + own.weights(b).sum() - both)
+
     out = set()
     for i, v in text_sets:
         m = min(len(v), len(values))
-        if any(own.similarity(np.unique(values[a : a + m]), np.unique(v)) >= threshold for a in range(len(values) - m + 1)):
+        if any(similarity(np.unique(values[a : a + m]), np.unique(v)) >= threshold for a in range(len(values) - m + 1)):
             out.add(i)
     return out
 
@@ -198,7 +202,75 @@ def test_contaminated_unequal_weights():
     own, sets = decontaminate.Items(list(range(len(items))), items), list(enumerate(cut(items)))
     want = [brute_matches(own, sets, v) for v in cut(docs)]
     assert sum(map(len, want)) > 1000
-    assert [{m[0] for m in own.matches(v, 0.8)} for v in cut(docs)] == want
+    assert [{m[0] for m in own.matches(v)} for v in cut(docs)] == want
+
+
+def test_contaminated_recall_with_repeats():
+    """Windows with other repeat counts, edits and swaps: at least 0.99 of what brute force finds, and nothing else."""
+    import random
+
+    import pyarrow as pa
+
+    from agorascope.llm.textkit import NO_WORD, shingle_rows
+
+    r = random.Random(9)
+    pool = [f"v{i}" for i in range(400)]
+    chorus = lambda k: " ".join(["row the boat ashore now"] * k)
+    items = [" ".join(r.choice(pool) for _ in range(r.randint(20, 90))) + " " + chorus(r.randint(0, 6)) for _ in range(150)]
+    docs = []
+    for t in items * 4:
+        w = edited(t.split(), r.choice([0, 1, 1, 2, 3]), r)
+        docs.append(f"{' '.join(r.choice(pool) for _ in range(40))} {' '.join(w)} {chorus(r.randint(0, 3))} {' '.join(r.choice(pool) for _ in range(40))}")
+    cut = lambda texts: [v for _, v in shingle_rows(pa.array(texts, pa.large_string()), decontaminate.K, True, NO_WORD)]
+    own, sets = decontaminate.Items(list(range(len(items))), items), list(enumerate(cut(items)))
+    found = hit = 0
+    for k, v in enumerate(cut(docs)):
+        want, got = brute_matches(own, [sets[k % 150]], v), {m[0] for m in own.matches(v)} & {k % 150}
+        assert got <= want and bool(own.matches(v, first=True)) == bool(own.matches(v))
+        found, hit = found + len(want), hit + len(got)
+    assert found > 300 and hit >= 0.99 * found
+
+
+def test_contaminated_common_opening():
+    """An opening that all items share costs a text no more for more items, and few items are compared."""
+    import random
+    import time
+
+    import pyarrow as pa
+
+    from agorascope.llm.textkit import NO_WORD, shingle_rows
+
+    r = random.Random(10)
+    word = lambda: "".join(r.choice("abcdefghijkl") for _ in range(6))
+    ask = "choose the right answer to this question from the list below"
+    items = [f"{ask} {' '.join(word() for _ in range(r.randint(40, 70)))}" for _ in range(8000)]
+    text = f"{' '.join(word() for _ in range(300))} {ask} {' '.join(word() for _ in range(300))} {items[17]}"
+    values = next(v for _, v in shingle_rows(pa.array([text], pa.large_string()), decontaminate.K, True, NO_WORD))
+    took = {}
+    for n in (500, 8000):
+        own = decontaminate.Items(list(range(n)), items[:n])
+        began = time.perf_counter()
+        assert [m[0] for m in own.matches(values)] == [17]
+        took[n] = time.perf_counter() - began
+        _, kinds = own.hits(values)
+        assert len({i for k in set(kinds.tolist()) for i in own.owners[own.first[k] : own.first[k + 1]].tolist()}) <= 0.01 * n
+    assert took[8000] < 0.3
+
+
+def test_hamming_blocks():
+    """Whatever is within the radius is within its share in some block; few unlike fingerprints are."""
+    import numpy as np
+
+    r = np.random.default_rng(12)
+    assert (decontaminate.NEAR + 1).sum() > decontaminate.RADIUS
+    own = decontaminate.Items(list(range(300)), [" ".join(f"x{i}y{j}" for j in range(30)) for i in range(300)])
+    prints = r.integers(0, 2**64, (300, 3), np.uint64)
+    assert sum(len(w) for w, _ in own.candidates(prints, np.arange(300))) == 0
+    flips = np.zeros((300, 192), np.uint8)
+    for row, flip in enumerate(flips):
+        flip[r.choice(192, min(row, decontaminate.RADIUS), replace=False)] = 1
+    near = own.marks ^ np.packbits(flips, axis=1, bitorder="little").view("<u8")
+    assert {(w, i) for a, b in own.candidates(near, np.arange(300)) for w, i in zip(a.tolist(), b.tolist(), strict=True)} >= {(k, k) for k in range(300)}
 
 
 def test_window_sums():
