@@ -36,35 +36,37 @@ def _apply(tree, x: np.ndarray) -> np.ndarray:
     return np.where(x[:, f] <= cut, _apply(low, x), _apply(high, x))
 
 
+def calibrated(score: np.ndarray, target: np.ndarray, precision: float) -> float:
+    """The least score from which on the precision among these rows is as asked for; halfway to the next row below."""
+    order = np.argsort(-score, kind="stable")
+    s, t = score[order], target[order]
+    good = (np.cumsum(t) / np.arange(1, len(t) + 1) >= precision) & (np.append(s[1:], -np.inf) < s)
+    if not good.any():
+        return float(s[0]) + 1.0
+    last = int(np.flatnonzero(good)[-1])
+    return float((s[last] + (s[last + 1] if last + 1 < len(s) else s[last] - 1)) / 2)
+
+
 class Boosted:
-    def __init__(self, trees: list, bias: float, threshold: float):
-        self.trees, self.bias, self.threshold = trees, bias, threshold
+    def __init__(self, trees: list, bias: float):
+        self.trees, self.bias = trees, bias
 
     @classmethod
-    def fit(cls, x: np.ndarray, y: np.ndarray, rounds: int = 24, depth: int = 3, rate: float = 0.3, precision: float = 0.99, seed: int = 7) -> Boosted:
-        """Four fifths of the rows fit the trees, the rest calibrate: the threshold is the least score from which on the
-        precision among the held-out rows is as asked for."""
-        held = np.random.Generator(np.random.PCG64(seed)).random(len(x)) < 0.2
-        own, target = x[~held], y[~held]
-        bias = float(np.log((target.mean() + 1e-6) / (1 - target.mean() + 1e-6)))
-        score, trees = np.full(len(own), bias), []
+    def fit(cls, x: np.ndarray, y: np.ndarray, rounds: int = 40, depth: int = 3, rate: float = 0.3) -> Boosted:
+        bias = float(np.log((y.mean() + 1e-6) / (1 - y.mean() + 1e-6)))
+        score, trees = np.full(len(x), bias), []
         for _ in range(rounds):
             p = 1 / (1 + np.exp(-score))
-            tree = _tree(own, p - target, p * (1 - p), depth, 1.0, 1.0)
-            step = _apply(tree, own) * rate
+            tree = _tree(x, p - y, p * (1 - p), depth, 1.0, 1.0)
+            score += _apply(tree, x) * rate
             trees.append((tree, rate))
-            score += step
-        out = cls(trees, bias, 0.0)
-        s, t = out.score(x[held]), y[held]
-        order = np.argsort(-s, kind="stable")
-        good = np.cumsum(t[order]) / np.arange(1, len(t) + 1) >= precision
-        last = int(np.flatnonzero(good)[-1]) if good.any() else 0
-        below = s[order][last + 1] if last + 1 < len(order) else s[order][last] - 1
-        out.threshold = float((s[order][last] + below) / 2)
-        return out
+        return cls(trees, bias)
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        return self.bias + sum(_apply(t, x) * rate for t, rate in self.trees)
+        out = np.full(len(x), self.bias)
+        for t, rate in self.trees:  # in the order of column(), so the last bits agree
+            out = out + _apply(t, x) * rate
+        return out
 
     def column(self, features: list[Column]) -> Column:
         """The score as an expression over the features."""

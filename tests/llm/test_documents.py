@@ -388,6 +388,73 @@ def test_pii_mail_test(spark):
     assert all("mail:" in x.spans for x in pii.report(rows).collect())
 
 
+def added_of(text):
+    """Scoring and selection in Python: candidates, what base spans leave of them, their scores, the best that fit."""
+    import numpy as np
+
+    text = text or ""
+    base, free = spans_of(text), []
+    for kind, pattern in pii.GENERATORS.items():
+        for m in re.finditer(pattern, text, re.A):
+            inner, value = sorted((a, z) for _, a, z in base if a < m.end() and z > m.start()), m[0]
+            if inner:
+                value = text[m.start() : inner[0][0]]
+                if kind != "secret" or not re.fullmatch(pii.GENERATORS["secret"], value, re.A):
+                    continue
+            x = pii.features(value, text[max(0, m.start() - pii.CONTEXT) : m.start()], text[m.start() + len(value) :][: pii.CONTEXT], kind)
+            loss = pii.thresholds()[kind] - pii.model().score(np.array([x]))[0]
+            if loss <= 0:
+                free.append((loss, m.start(), m.end(), kind, inner))
+    chosen = []
+    for s in sorted(free):
+        if not any(s[1] < t[2] and t[1] < s[2] for t in chosen):
+            chosen.append(s)
+    out = []
+    for _, a, z, kind, inner in chosen:
+        starts, ends = [a, *sorted(i[1] for i in inner)], [*sorted(i[0] for i in inner), z]
+        out += [(kind, p, q) for p, q in zip(starts, ends, strict=True) if p < q]
+    return sorted(out, key=lambda t: (pii.ADDED.index(t[0]), t[1], t[2]))
+
+
+def test_pii_added_is_brute_force(spark, edge, documents):
+    """Every added span of texts of all kinds, beside base spans and in prose."""
+    import random
+
+    r = random.Random(21)
+    digits = lambda k: "".join(r.choice("0123456789") for _ in range(k))
+    parts = ["call ", "tel: ", "ssn ", "iban ", "key ", "token: ", "password=", "order ", "version ", " at ", " dot ", "(at)", "[dot]", ".com", " . ", "example", "joe", "He was", ". Then", ", ", " ", "\n", "a@b.cc", "10.0.0.1", "+1 212 555 0199 12"]
+    made = lambda: r.choice([f"({digits(3)}) {digits(3)}-{digits(4)}", f"{digits(3)}-{digits(2)}-{digits(4)}", f"{digits(3)}.{digits(3)}.{digits(4)}", f"DE{digits(20)}", "AKIA" + digits(16), "x" * r.randint(14, 40), "ab12" * r.randint(3, 20)])
+    texts = ["".join(r.choice(parts) if r.random() < 0.7 else made() for _ in range(r.randint(2, 14))) for _ in range(1500)]
+    texts += TRICKY + [x.text for x in edge.collect()] + [x.text for x in documents.collect()]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    told = lambda spans: ",".join(f"{k}:{a}:{z}" for k, a, z in spans)
+    want, got = {i: told(spans_of(t) + added_of(t)) for i, t in enumerate(texts)}, {x.doc_id: x.spans for x in pii.report(rows).collect()}
+    assert {i: (texts[i], got[i], want[i]) for i in got if got[i] != want[i]} == {} and sum(len(added_of(t)) > 0 for t in texts) > 300
+
+
+def test_pii_prose_stays(spark):
+    """A span does not depend on what stands elsewhere: addresses go, sentences stay."""
+    rows = {
+        "He was at home. Then she looked at Paris. Later, joe(at)site.org wrote.": "He was at home. Then she looked at Paris. Later, <MAIL> wrote.",
+        "we saw as at erortion. Ofthonenen said, or at example.Then": "we saw as at erortion. Ofthonenen said, or at example.Then",
+        "we saw as at erortion. Ofthonenen said; jo.e [at] mail dot example [dot] org. Then": "we saw as at erortion. Ofthonenen said; <MAIL>. Then",
+        "they met at noon . Rain fell. She looked at polka dot dresses.": "they met at noon . Rain fell. She looked at polka dot dresses.",
+    }
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(rows)], "doc_id long, text string")
+    assert [x.text for x in pii.redacted(df).orderBy("doc_id").collect()] == list(rows.values())
+
+
+def test_pii_on_documents(spark):
+    """On the test documents, whose secrets all read token = "...": each is found whole, and nothing else is a secret, a
+    mail address or a number of an account."""
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    planted = {r.doc_id: [(m.start(), m.end()) for m in re.finditer(r'token = "[0-9a-f]{40}', r.text or "")] for r in rows.collect()}
+    found = {r.doc_id: [s.split(":") for s in r.spans.split(",") if s] for r in pii.report(rows).collect()}
+    secrets = {i: [(int(a), int(z)) for k, a, z in s if k == "secret"] for i, s in found.items()}
+    assert secrets == planted and sum(map(len, planted.values())) > 5
+    assert not [s for spans in found.values() for s in spans if s[0] in ("mail", "ssn", "iban")]
+
+
 def test_pii_features_agree(spark):
     from pyspark.sql import functions as F
 
@@ -399,10 +466,12 @@ def test_pii_features_agree(spark):
 
 
 def test_pii_held_out():
-    x, y = pii.labelled(3000, seed=99)
-    m = pii.model()
-    hit = m.score(x) >= m.threshold
-    assert y[hit].mean() >= 0.97 and hit[y > 0].mean() >= 0.85
+    x, y = pii.labelled(5000, seed=99)
+    score = pii.model().score(x)
+    for i, kind in enumerate(pii.ADDED):
+        own = x[:, i] > 0
+        hit = score >= pii.thresholds()[kind]
+        assert y[own & hit].mean() >= 0.97 and hit[own & (y > 0)].mean() >= 0.95
 
 
 def test_boosting_column(spark):
