@@ -64,8 +64,8 @@ def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    manifest, root = warc.write_archives(table(spark, sf_dir, "pages"), Stage(spark, "warc"))
-    return warc.records(warc.read_chunks(manifest, root, with_data=False))
+    manifest = warc.write_archives(table(spark, sf_dir, "pages"), Stage(spark, "warc"))
+    return warc.pages(warc.read_chunks(manifest, with_data=False))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality, op2_chat, op3_pack, op4_decontaminate, op5_html, op6_ngram_jaccard, op7_pii, op8_token_count, op9_token_store, op10_warc)}

@@ -46,8 +46,9 @@ def test_archives(spark):
     big = "z" * (2 * warc.CHUNK + 77)
     rows = [(1, "http://a/x y", "<p>é"), (2, None, None), (3, "u", ""), (0, "u", "<p>é"), (5, "u", big), (4, "u", big), (9, "u", "a\r\n\r\nWARC/1.1\r\n"), (9, "u", "a\r\n\r\nWARC/1.1\r\n"), (None, "u", "alone"), (None, "u", big)]
     df = spark.createDataFrame([(*r, 1) for r in rows], "page_id long, url string, html string, sha1 int").repartition(2)
-    manifest, root = warc.write_archives(df, Stage(spark, "warc"))
-    got = sorted((r.page_id if r.page_id is not None else -1, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in warc.records(warc.read_chunks(manifest, root)).collect())
+    manifest = warc.write_archives(df, Stage(spark, "warc"))
+    assert warc.read_chunks(manifest).rdd.getNumPartitions() == manifest.count() == 2
+    got = sorted((r.page_id if r.page_id is not None else -1, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in warc.pages(warc.read_chunks(manifest)).collect())
     body = lambda t: (t or "").encode()
     first: dict = {}
     for i, _, t in rows:
@@ -58,7 +59,7 @@ def test_archives(spark):
         f = first.get(body(t), i)
         want.append((i if i is not None else -1, len(body(t)), base64.b32encode(hashlib.sha1(body(t)).digest()).decode(), "response" if f == i else "revisit", None if f == i else f))
     assert got == sorted(want, key=lambda w: w[:4])
-    chunks = warc.read_chunks(manifest, root).where("record_id = 4").orderBy("chunk_no").collect()
+    chunks = warc.read_chunks(manifest).where("record_id = 'urn:x-page:4'").orderBy("chunk_no").collect()
     assert b"".join(c.data for c in chunks) == big.encode() and all(len(c.data) <= warc.CHUNK for c in chunks) and len(chunks) == 3
     assert [c.is_last for c in chunks] == [False] * (len(chunks) - 1) + [True]
 
@@ -87,14 +88,65 @@ def test_archive_is_standard(spark):
     import gzip
 
     df = spark.createDataFrame([(1, "http://a/", "<p>x")], "page_id long, url string, html string")
-    manifest, _ = warc.write_archives(df, Stage(spark, "warc"))
-    path = manifest.first().path
+    manifest = warc.write_archives(df, Stage(spark, "warc"))
+    path = manifest.first().path.removeprefix("file:")
     body = gzip.open(path).read().decode()
     head, _, rest = body.partition("\r\n\r\n")
     assert head.startswith("WARC/1.1\r\nWARC-Type: response") and rest.endswith("<p>x\r\n\r\n")
     size = int(re.search(r"Content-Length: (\d+)$", head)[1])
     assert len(rest.encode()) == size + 4
-    assert warc.write_archives(df.limit(0), Stage(spark, "warc"))[0].count() == 0
+    empty = warc.write_archives(df.limit(0), Stage(spark, "warc"))
+    assert empty.count() == 0 and warc.read_chunks(empty).count() == 0 and warc.pages(warc.read_chunks(empty)).count() == 0
+
+
+def test_foreign_archives(spark, tmp_path):
+    """Records of other writers: any id and type, other blocks, names of fields in other cases, compressed or not."""
+    import gzip
+
+    def record(kind, name, body, more=""):
+        return f"WARC/1.0\r\nwarc-type: {kind}\r\nWARC-Record-ID: <{name}>\r\nContent-Length: {len(body)}\r\n{more}\r\n".encode() + body + b"\r\n\r\n"
+
+    http = "Content-Type: application/http; msgtype=response\r\n"
+    some = [
+        record("warcinfo", "urn:uuid:a", b"software: x\r\n\r\n", "Content-Type: application/warc-fields\r\n"),
+        record("response", "urn:uuid:b", b"HTTP/1.1 200 OK\r\nX: y\r\n\r\nbody", http),
+        record("response", "urn:uuid:c", b"no header end", http),
+        record("resource", "urn:uuid:d", b"", ""),
+        record("revisit", "urn:uuid:e", b"HTTP/1.1 200 OK\r\n\r\n", http + "WARC-Payload-Digest: sha1:ABC\r\nWARC-Refers-To: <urn:uuid:b>\r\n"),
+    ]
+    (tmp_path / "a.warc.gz").write_bytes(b"".join(map(gzip.compress, some)))
+    (tmp_path / "b.warc").write_bytes(b"".join(some))
+    rows = warc.read_chunks(warc.archives_at(spark, f"file://{tmp_path}/*")).collect()
+    told = sorted((r.record_id, r.warc_type, bytes(r.data), r.payload_bytes, r.refers_to) for r in rows)
+    want = [("urn:uuid:a", "warcinfo", b"software: x\r\n\r\n", 15, None), ("urn:uuid:b", "response", b"body", 4, None), ("urn:uuid:c", "response", b"no header end", 13, None), ("urn:uuid:d", "resource", b"", 0, None), ("urn:uuid:e", "revisit", b"", None, "urn:uuid:b")]
+    assert told == sorted(want * 2, key=lambda w: w[0]) and all(r.is_last for r in rows)
+    assert {r.payload_digest for r in rows if r.record_id == "urn:uuid:e"} == {"ABC"}
+
+
+def test_archives_inflate_in_bounds(tmp_path):
+    """A record that inflates two hundredfold costs a few chunks of memory."""
+    import gzip
+    import tracemalloc
+
+    size = 60 << 20
+    path = tmp_path / "big.warc.gz"
+    with gzip.open(path, "wb") as f:
+        f.write(f"WARC/1.0\r\nWARC-Type: resource\r\nContent-Length: {size}\r\n\r\n".encode())
+        for _ in range(size >> 20):
+            f.write(bytes(1 << 20))
+        f.write(b"\r\n\r\n")
+    end = path.stat().st_size
+    tracemalloc.start()
+    with open(path, "rb") as f:
+        stream, got = warc.RecordStream(), 0
+        for piece in warc.inflated(f, 0, end):
+            got += sum(len(p) for _, p, _ in stream.feed(piece))
+        stream.end()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got == size and peak < 12 * warc.CHUNK
+    with open(path, "rb") as f, pytest.raises(ValueError, match="ends within"):
+        list(warc.inflated(f, 0, end - 100))
 
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body class="has-sidebar"><header><h1>Site</h1><a href=/>Home</a></header>
