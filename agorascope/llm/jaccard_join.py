@@ -7,7 +7,8 @@ Stages, none of which drops a link between different sets:
 2. Each set gets a digest, a prefix under that order (linked sets share a prefix shingle) and a bitmap, whose
    width follows from its size band. Texts with equal sets fold into the one with the smallest id.
 3. Per prefix shingle, sorted by size, each set is paired with the smallest and the one before it. Bitmaps bound the
-   overlap from above, sorted arrays decide; links make components.
+   overlap from above, sorted arrays decide; links make components. Shingles are dealt by ranges of (shingle, size, id), so
+   a frequent one is spread over tasks, whose ends are paired in a step of two rows per task.
 4. Shingles that still hold several components are cut into size-banded tiles of bounded length; bitmaps are compared
    across components and compatible tiles, and give groups of sets that may link. Each group, once for all its shingles,
    is cut into such tiles again and decided by the sorted arrays.
@@ -25,7 +26,8 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from agorascope.llm.components import connected
@@ -128,14 +130,20 @@ def _profile_batch(rows: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int64()), prefix, pa.array(cols[5], pa.binary())], ["doc_id", "n", "d1", "d2", "prefix", "sig"])
 
 
+RUNS = "key long, doc_id long, n long, pivot long, prev long, edge int, part int"
+
+
 def _runs(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
     """Over postings sorted by key, size and id: those that may link within their key, with the pair of each to the
-    first of its run that is large enough for it, and to the one before. Keeps one row of the run between batches."""
-    last, pivot, alone = None, None, True
+    first of its run that is large enough for it, and to the one before. Keeps one row of the run between batches.
+    The first and last row (edge 1 and 2) meet those of the neighbouring partitions."""
+    last, pivot, alone, part = None, None, True, TaskContext.get().partitionId()
     for batch in batches:
         key, doc, n = (batch.column(c).to_numpy() for c in ("key", "doc_id", "n"))
         if not len(key):
             continue
+        if last is None:
+            yield _run_rows([key[:1], doc[:1], n[:1], doc[:1], doc[:1]], 1, part)
         head = np.append(True, key[1:] != key[:-1])
         carried = last is not None and key[0] == last[0]
         head[0] = not carried
@@ -163,7 +171,24 @@ def _runs(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.
             shared = np.append(True, shared)
         alone = not shared[-1]
         last = (key[-1], doc[-1], n[-1])
-        yield pa.RecordBatch.from_arrays([pa.array(x[shared]) for x in out], ["key", "doc_id", "n", "pivot", "prev"])
+        yield _run_rows([x[shared] for x in out], 0, part)
+    if last is not None:
+        yield _run_rows([np.array([v]) for v in (*last, last[1], last[1])], 2, part)
+
+
+def _run_rows(cols: list[np.ndarray], edge: int, part: int) -> pa.RecordBatch:
+    more = [np.full(len(cols[0]), v, np.int32) for v in (edge, part)]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in [*cols, *more]], [c.split()[0] for c in RUNS.split(", ")])
+
+
+def _met(runs: DataFrame, num: int, den: int) -> DataFrame:
+    """The rows on either side of a border between partitions that may link to each other; two rows per partition come in."""
+    order = Window.partitionBy("key").orderBy("part", "edge")
+    before = lambda c: F.lag(c).over(order).alias(f"{c}_")
+    rows = runs.where("edge > 0").select("key", "doc_id", "n", "part", *[before(c) for c in ("doc_id", "n", "part")])
+    rows = rows.where(f"part_ < part and {num} * n <= {den} * n_")
+    row = lambda d, n: F.struct("key", F.col(d).alias("doc_id"), F.col(n).alias("n"), F.col("doc_id_").alias("pivot"), F.col("doc_id_").alias("prev"))
+    return rows.select(F.explode(F.array(row("doc_id", "n"), row("doc_id_", "n_"))).alias("r")).select("r.*")
 
 
 def _bitmap_pairs(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
@@ -350,9 +375,15 @@ def _decided(pairs: DataFrame, docs: DataFrame, stage: Stage, name: str, k: int,
 
 def _in_tiles(rows: DataFrame, stage: Stage, name: str, num: int, den: int) -> DataFrame:
     """rows(key, doc_id, n, comp) -> (key, ti, tj, side, doc_id, n, comp): each key's sets, sorted by size, are cut into
-    tiles of TILE shingles, and every two tiles whose sizes allow a link are set side by side."""
-    order = "sum(n) over (partition by key order by n, doc_id rows between unbounded preceding and current row) - n"
-    rows = stage.table(rows.withColumn("tile", F.expr(f"cast(({order}) div {TILE} as int)")), name)
+    tiles of TILE shingles, and every two tiles whose sizes allow a link are set side by side.
+
+    The running sum has two levels, ranges of a key and rows of a range, so no key is one task."""
+    ranges = stage.table(rows.repartitionByRange("key", "n", "doc_id").withColumn("part", F.spark_partition_id()), f"{name}-ranges")
+    sums = ranges.groupBy("key", "part").agg(F.sum("n").alias("own")).withColumn("before", F.sum("own").over(Window.partitionBy("key").orderBy("part")) - F.col("own")).drop("own")
+    within = F.sum("n").over(Window.partitionBy("key", "part").orderBy("n", "doc_id").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
+    tile = F.expr(f"cast((before + within) div {TILE} as int)")
+    rows = stage.table(ranges.join(sums, ["key", "part"]).withColumn("within", within).withColumn("tile", tile).drop("part", "before", "within"), name)
+    stage.drop(f"{name}-ranges")
     tiles = rows.groupBy("key", "tile").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
     i, j = tiles.toDF("key", "ti", "lo_i", "hi_i"), tiles.toDF("key", "tj", "lo_j", "hi_j")
     both = i.join(j, "key").where(f"ti <= tj and {num} * lo_j <= {den} * hi_i").select("key", "ti", "tj")
@@ -377,8 +408,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     copies = stage.table(members(profile).where("class_id <> doc_id").select("doc_id"), "copies")
     reps = profile.where("n > 0 and doc_id is not null").join(copies, "doc_id", "left_anti")
     postings = reps.select(F.explode("prefix").alias("key"), "doc_id", "n")
-    postings = postings.repartition("key").sortWithinPartitions("key", "n", "doc_id")
-    shared = stage.table(postings.mapInArrow(partial(_runs, num=num, den=den), "key long, doc_id long, n long, pivot long, prev long"), "shared")
+    postings = postings.repartitionByRange("key", "n", "doc_id").sortWithinPartitions("key", "n", "doc_id")
+    runs = stage.table(postings.mapInArrow(partial(_runs, num=num, den=den), RUNS), "runs")
+    met = stage.table(_met(runs, num, den), "met")
+    shared = runs.where("edge = 0").drop("edge", "part").unionByName(met)
     slim = stage.table(profile.drop("prefix"), "slim")
     stage.drop("profile")
 
@@ -403,5 +436,6 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         work = _in_tiles(own, stage, "grouped", num, den).join(items, "doc_id").select("key", "ti", "tj", "side", "doc_id", "n", "comp", "items")
         links = stage.table(links.unionByName(_by_tile(work).mapInArrow(partial(_tile_links, num=num, den=den), "a long, b long")), "links")
         comps = connected(links, stage, "round2")
+    stage.drop("copies", "runs", "met", "near", "near-ids", "near-items", "near-links", "mixed", "trees", "tile-ids", "tile-items", "grouped", "links")
     labels = comps.toDF("class_id", "component")
     return members(slim).join(labels, "class_id", "left").select("doc_id", F.col("n").alias("n_shingles"), "class_id", F.coalesce("component", "class_id").alias("component_id"))

@@ -100,8 +100,20 @@ def planted():
     return [(1000 - i, t) for i, t in enumerate(texts + texts[:20] + [None, "", " ", "a", "A b", "a B"])]
 
 
-@pytest.mark.parametrize("tile", [1 << 20, 1500])
-def test_jaccard_planted(spark, monkeypatch, tile):
+@pytest.fixture
+def many_partitions(spark, request):
+    """Shuffles of that many partitions, so that ranges cut through frequent shingles."""
+    conf = {"spark.sql.shuffle.partitions": str(request.param), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in (conf if request.param else {}).items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize(("tile", "many_partitions"), [(1 << 20, 0), (1500, 0), (1 << 20, 61), (1500, 61)], indirect=["many_partitions"])
+def test_jaccard_planted(spark, monkeypatch, tile, many_partitions):
     monkeypatch.setattr(jaccard_join, "TILE", tile)
     rows = planted()
     sets = sets_of(rows)
@@ -118,6 +130,30 @@ def test_jaccard_edge(spark, edge, nothing):
     assert jaccard_join.jaccard_components(nothing).count() == 0
 
 
+def test_runs_meet_at_borders(spark):
+    """Wherever ranges cut a run, its rows and pairs make the same groups as uncut."""
+    from functools import partial
+
+    from pyspark.sql import functions as F
+
+    rows = spark.createDataFrame([(k, 100 * k + i, 100 + i // 3) for k in range(3) for i in range(60)], "key long, doc_id long, n long")
+    for parts in (1, 7, 50):
+        runs = rows.repartitionByRange(parts, "key", "n", "doc_id").sortWithinPartitions("key", "n", "doc_id").mapInArrow(partial(jaccard_join._runs, num=85, den=100), jaccard_join.RUNS)
+        shared = runs.where("edge = 0").drop("edge", "part").unionByName(jaccard_join._met(runs, 85, 100))
+        pairs = shared.select(F.explode(F.array("pivot", "prev")).alias("x"), "doc_id", "key").where("x <> doc_id").collect()
+        parent = {r.doc_id: r.doc_id for r in rows.collect()}
+
+        def top(x, parent=parent):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        for r in pairs:
+            a, b = sorted((top(r.x), top(r.doc_id)))
+            parent[b] = a
+        assert {top(x) for x in parent} == {0, 100, 200} and {r.doc_id for r in shared.collect()} == set(parent)
+
+
 def test_bitmap_bound():
     import numpy as np
 
