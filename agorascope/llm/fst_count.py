@@ -34,6 +34,8 @@ START, IN_LETTERS, IN_NUMBERS, IN_OTHERS, AFTER_BLANK, AFTER_SPACE, AFTER_QUOTE,
 STATES, CLASSES, UNKNOWN = 11, 12, 255
 CHUNK = 4096
 MOST_STATES = 300_000
+#: So few pre-tokens are walked one by one; more side by side.
+FEW = 48
 
 
 def _next(state: int, cls: int) -> int:
@@ -175,6 +177,7 @@ class Counter:
         """Drops the determinised states."""
         self.known: dict[tuple, int] = {}
         self.states: list[tuple] = []
+        self.walked: dict[int, tuple[int, int]] = {}
         # Arcs: state * 256 + byte -> state and change in tokens, in an open-addressed table.
         self.arcs = 0
         self.keys = np.full(1 << 12, -1, np.int64)
@@ -255,6 +258,23 @@ class Counter:
         chain = (*((c, t, s + delta) for c, t, s in carried if self.child[c]), (0, entry, 0))
         return self._state(chain), delta
 
+    def _walk(self, data: bytes, chain: tuple) -> int:
+        """Tokens that a long pre-token's rest adds, from a state on; states are started anew beyond MOST_STATES here too."""
+        state, total, arcs = self._state(chain), 0, self.walked
+        for byte in data:
+            key = state << 8 | byte
+            arc = arcs.get(key)
+            if arc is None:
+                if len(self.states) > MOST_STATES or len(arcs) > 4 * MOST_STATES:
+                    chain = self.states[state]
+                    self.reset()
+                    state, arcs = self._state(chain), self.walked
+                    key = state << 8 | byte
+                arc = arcs[key] = self._arc(state, byte)
+            state, delta = arc
+            total += delta
+        return total
+
     def counts(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Tokens of each pre-token data[start:end]."""
         if len(self.states) > MOST_STATES:
@@ -266,6 +286,11 @@ class Counter:
         tokens = np.zeros(len(at), np.int64)
         active = np.searchsorted(-lengths, -np.arange(1, lengths[0] + 1 if len(lengths) else 1), "right")
         for k, m in enumerate(active):
+            if m <= FEW:
+                chains = [self.states[s] for s in state[:m].tolist()]
+                for j, chain in enumerate(chains):
+                    tokens[j] += self._walk(data[at[j] + k : at[j] + lengths[j]].tobytes(), chain)
+                break
             key = state[:m] * 256 + data[at[:m] + k]
             slot = self._slots(key)
             new = self.keys[slot] != key
@@ -340,9 +365,10 @@ def machine(path: str) -> Machine:
 
 
 def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", limit: int = 512) -> DataFrame:
-    """doc_id, n_bytes, n_tokens, over_limit for each row; null text counts as empty, ids pass as they are.
+    """doc_id, n_bytes, n_tokens, over_limit for each row; null text counts as empty, ids pass as they are, null or not.
 
-    No shuffle; memory is bounded by a 2 MB slice of text (or one text) and the tables of the machines."""
+    Every column is a function of one row: repeated rows get equal rows, ties do not arise, other columns are not used, an
+    empty table gives no rows. No shuffle; memory is bounded by a 2 MB slice of text (or one text) and the tables of the machines."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = machine(path)

@@ -108,36 +108,53 @@ def encode(ids: np.ndarray) -> bytes:
     return b"".join((MAGIC, head, table, counts.astype("<u4").tobytes(), crcs.tobytes(), states.astype("<u8").tobytes(), words.astype("<u4").tobytes()))
 
 
-def decode(shard: bytes) -> np.ndarray:
-    """The ids of a shard; ValueError if it is damaged."""
-    if shard[:8] != MAGIC:
-        raise ValueError("not a shard of ids")
-    n, distinct, size = struct.unpack_from("<QII", shard, 8)
-    if not n:
-        return np.zeros(0, np.uint32)
-    at = 24
-    table = np.frombuffer(zlib.decompress(shard[at : at + size]), "<u4")
-    symbols, scaled = np.cumsum(table[:distinct], dtype=np.uint32), table[distinct:]
-    at += size
-    blocks = -(-n // BLOCK)
-    counts, crcs = np.frombuffer(shard, "<u4", blocks, at).astype(np.int64), np.frombuffer(shard, "<u4", blocks, at + 4 * blocks)
-    at += 8 * blocks
-    states = np.frombuffer(shard, "<u8", blocks * LANES, at).reshape(blocks, LANES)
-    words = np.frombuffer(shard, "<u4", offset=at + 8 * blocks * LANES)
-    freq, cum = scaled.astype(np.uint64), (np.cumsum(scaled, dtype=np.int64) - scaled).astype(np.uint64)
-    slots = np.repeat(np.arange(distinct), scaled)
-    begin = np.cumsum(counts) - counts
-    full = n // BLOCK
-    out = np.empty(n, np.uint32)
-    if full:
-        out[: full * BLOCK] = symbols[_uncode(states[:full], words, begin[:full], BLOCK, freq, cum, slots)].reshape(-1)
-    if n % BLOCK:
-        rest = n - full * BLOCK
-        out[full * BLOCK :] = symbols[_uncode(states[full:], words, begin[full:], rest + -rest % LANES, freq, cum, slots)].reshape(-1)[:rest]
-    for b in range(blocks):
-        if zlib.crc32(out[b * BLOCK : (b + 1) * BLOCK].astype("<u4").tobytes()) != crcs[b]:
-            raise ValueError(f"block {b}: checksum differs")
-    return out
+class Shard:
+    """A shard's tables and index; ValueError if it is none. Blocks decode alone or side by side."""
+
+    def __init__(self, body: bytes):
+        if body[:8] != MAGIC:
+            raise ValueError("not a shard of ids")
+        self.n, distinct, size = struct.unpack_from("<QII", body, 8)
+        self.blocks = -(-self.n // BLOCK)
+        if not self.n:
+            return
+        at = 24
+        table = np.frombuffer(zlib.decompress(body[at : at + size]), "<u4")
+        self.symbols, scaled = np.cumsum(table[:distinct], dtype=np.uint32), table[distinct:]
+        at += size
+        counts, self.crcs = np.frombuffer(body, "<u4", self.blocks, at).astype(np.int64), np.frombuffer(body, "<u4", self.blocks, at + 4 * self.blocks)
+        at += 8 * self.blocks
+        self.states = np.frombuffer(body, "<u8", self.blocks * LANES, at).reshape(self.blocks, LANES)
+        self.words = np.frombuffer(body, "<u4", offset=at + 8 * self.blocks * LANES)
+        self.freq, self.cum = scaled.astype(np.uint64), (np.cumsum(scaled, dtype=np.int64) - scaled).astype(np.uint64)
+        self.slots = np.repeat(np.arange(distinct), scaled)
+        self.begin = np.cumsum(counts) - counts
+
+    def ids(self, first: int = 0, last: int | None = None) -> np.ndarray:
+        """The ids of blocks first to last (not included; all, if none is given), from their checkpoints alone; ValueError
+        if one is damaged."""
+        last = self.blocks if last is None else min(last, self.blocks)
+        if first >= last:
+            return np.zeros(0, np.uint32)
+        end = min(last * BLOCK, self.n)
+        full, out = end // BLOCK, np.empty(end - first * BLOCK, np.uint32)
+        if full > first:
+            out[: (full - first) * BLOCK] = self._blocks(first, full, BLOCK).reshape(-1)
+        if end % BLOCK:
+            rest = end % BLOCK
+            out[(full - first) * BLOCK :] = self._blocks(full, full + 1, rest + -rest % LANES).reshape(-1)[:rest]
+        for b in range(first, last):
+            if zlib.crc32(out[(b - first) * BLOCK : (b - first + 1) * BLOCK].astype("<u4").tobytes()) != self.crcs[b]:
+                raise ValueError(f"block {b}: checksum differs")
+        return out
+
+    def _blocks(self, first: int, last: int, n: int) -> np.ndarray:
+        return self.symbols[_uncode(self.states[first:last], self.words, self.begin[first:last], n, self.freq, self.cum, self.slots)]
+
+
+def decode(body: bytes) -> np.ndarray:
+    """All ids of a shard; ValueError if it is damaged."""
+    return Shard(body).ids()
 
 
 SHARDS = "part int, seq int, n_ids long, doc_ids array<long>, lengths array<long>, shard binary"
@@ -146,8 +163,9 @@ SHARDS = "part int, seq int, n_ids long, doc_ids array<long>, lengths array<long
 def write_shards(docs: DataFrame, stage: Stage, path: str, end_id: int, kind: type = WordBpe, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encodes each text, appends end_id and writes shards in ascending id order (null ids first); returns their table.
 
-    One shuffle, of the texts, by ranges of ids. Null texts count as empty: their only id is end_id. A text longer than a
-    shard fills a shard of its own."""
+    One shuffle, of the texts, by ranges of ids, and within an id by a hash of the text, so no id is one task; texts of one
+    id come by that hash, then by themselves, and repeated rows beside each other. Null texts count as empty: their only id
+    is end_id. A text longer than a shard fills a shard of its own. Other columns are not used; an empty table gives none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, part, seq = encoder(kind, path), TaskContext.get().partitionId(), 0
@@ -172,11 +190,13 @@ def write_shards(docs: DataFrame, stage: Stage, path: str, end_id: int, kind: ty
             yield shard()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return stage.table(rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id").mapInArrow(run, SHARDS), "shards")
+    rows = rows.withColumn("text", F.coalesce("text", F.lit(""))).withColumn("order_", F.xxhash64("text"))
+    return stage.table(rows.repartitionByRange("doc_id", "order_").sortWithinPartitions("doc_id", "order_", "text").drop("order_").mapInArrow(run, SHARDS), "shards")
 
 
 def read_shards(shards: DataFrame) -> DataFrame:
-    """doc_id, start (ids of all documents before it), n_tokens, ids (little-endian unsigned 32-bit) per document."""
+    """doc_id, start (ids of all documents before it), n_tokens, ids_crc32 (of little-endian unsigned 32-bit ids) per
+    document; no shards, no rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -191,8 +211,11 @@ def read_shards(shards: DataFrame) -> DataFrame:
                     values = [ids[e - m : e].tobytes() for e, m in zip(ends[cut], lengths[cut], strict=True)]
                     yield pa.RecordBatch.from_arrays([pa.array([batch.column(c)[i].as_py()] * n, pa.int32()) for c in ("part", "seq")] + [pa.array(names[cut], pa.int64()), pa.array(ends[cut] - lengths[cut]), pa.array(lengths[cut]), pa.array(values, pa.binary())], ["part", "seq", "doc_id", "place", "n_tokens", "ids"])
 
-    # One row per shard of millions of ids; their running sum is the only global step.
-    begin = shards.select("part", "seq", (F.sum("n_ids").over(Window.orderBy("part", "seq")) - F.col("n_ids")).alias("begin"))
+    # The running sum in two levels: over partitions, a row each, and over the shards of one.
+    parts = shards.groupBy("part").agg(F.sum("n_ids").alias("own"))
+    parts = parts.select("part", (F.sum("own").over(Window.orderBy("part")) - F.col("own")).alias("before"))
+    within = F.sum("n_ids").over(Window.partitionBy("part").orderBy("seq")) - F.col("n_ids")
+    begin = shards.select("part", "seq", within.alias("within")).join(F.broadcast(parts), "part").select("part", "seq", (F.col("before") + F.col("within")).alias("begin"))
     found = shards.mapInArrow(run, "part int, seq int, doc_id long, place long, n_tokens long, ids binary")
     found = found.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return found.join(begin, ["part", "seq"]).select("doc_id", (F.col("begin") + F.col("place")).alias("start"), "n_tokens", "ids_crc32")

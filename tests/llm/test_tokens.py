@@ -73,6 +73,69 @@ def test_shard_round_trip(n):
     assert (rans_store.decode(rans_store.encode(ids)) == ids).all()
 
 
+def test_shard_blocks():
+    """Any block decodes alone, and a damaged one harms no other."""
+    ids = (np.random.default_rng(3).zipf(1.3, 70_000) % 49408).astype(np.uint32)
+    body = bytearray(rans_store.encode(ids))
+    shard = rans_store.Shard(bytes(body))
+    for b in range(shard.blocks):
+        assert (shard.ids(b, b + 1) == ids[b * rans_store.BLOCK : (b + 1) * rans_store.BLOCK]).all()
+    assert (shard.ids(1, 3) == ids[rans_store.BLOCK : 3 * rans_store.BLOCK]).all() and not len(shard.ids(9, 12))
+    body[-2000] ^= 1
+    harmed = rans_store.Shard(bytes(body))
+    assert (harmed.ids(0, shard.blocks - 1) == ids[: (shard.blocks - 1) * rans_store.BLOCK]).all()
+    with pytest.raises(ValueError, match="checksum"):
+        harmed.ids(shard.blocks - 1)
+
+
+def test_store_ties(spark):
+    """Texts of one id, null ids and repeats: the same starts however rows are dealt."""
+    rows = [(5, f"text {i % 7} of five") for i in range(20)] + [(None, f"null {i}") for i in range(9)] + [(2, None), (2, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    told = []
+    for parts in (1, 5):
+        shards = rans_store.write_shards(df.repartition(parts), Stage(spark, "ties"), WORD, 2)
+        told.append(sorted((-1 if r.doc_id is None else r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in rans_store.read_shards(shards).collect()))
+    assert told[0] == told[1] and len(told[0]) == len(rows)
+    assert sorted(r[1] for r in told[0]) == np.cumsum([0, *[r[2] for r in sorted(told[0], key=lambda r: r[1])]])[:-1].tolist()
+
+
+BLANKS = [" " * 3_000_000, "\n" * 3_000_000, "\t " * 1_000_000, "a" + " " * 20_000 + "b\n" * 10_000]
+
+
+@pytest.mark.parametrize(("kind", "path"), [(ByteBpe, BYTE), (WordBpe, WORD)])
+def test_long_blanks(kind, path):
+    slow, fast = Tokenizer.from_file(path), kind(path)
+    for t in BLANKS:
+        assert fast.many([t])[0].tolist() == slow.encode(t, add_special_tokens=False).ids
+
+
+def test_long_blanks_in_operators(spark):
+    """Millions of blanks go through packing, the store and the counter."""
+    df = spark.createDataFrame(list(enumerate(BLANKS)), "doc_id long, text string")
+    slow = {path: {i: len(Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids) for i, t in enumerate(BLANKS)} for path in (BYTE, WORD)}
+    rows = packing.pack(df, BYTE).groupBy("doc_id").sum("length").collect()
+    assert {r.doc_id: r[1] - 1 for r in rows} == slow[BYTE]
+    assert {r.doc_id: r.n_tokens for r in fst_count.count_tokens(df, BYTE).collect()} == slow[BYTE]
+    shards = rans_store.write_shards(df, Stage(spark, "blanks"), WORD, 2)
+    assert {r.doc_id: r.n_tokens - 1 for r in rans_store.read_shards(shards).collect()} == slow[WORD]
+
+
+def test_count_long_run(monkeypatch):
+    """One run of letters is walked at a few microseconds a byte, and states started anew within it change nothing."""
+    import time
+
+    r = random.Random(6)
+    text = "".join(r.choice("abcdefghij") for _ in range(200_000))
+    want = len(Tokenizer.from_file(BYTE).encode(text, add_special_tokens=False).ids)
+    machine = fst_count.Machine(BYTE)
+    began = time.perf_counter()
+    assert machine.count(pa.array([text], pa.large_string()))[0] == want
+    assert time.perf_counter() - began < 5
+    monkeypatch.setattr(fst_count, "MOST_STATES", 500)
+    assert fst_count.Machine(BYTE).count(pa.array([text], pa.large_string()))[0] == want
+
+
 def test_shard_damage():
     body = bytearray(rans_store.encode(np.arange(20_000, dtype=np.uint32) % 300))
     body[-5000] ^= 1
