@@ -2,7 +2,8 @@
 
 Each stage works on all rows its predecessor kept, written as Parquet and read again. All but the last return the columns
 of documents. Repeated rows and null ids go through the stages as their operators define, but for the second: each row is
-a document of its own there, and one row of each group stays.
+a document of its own there, and one row of each group stays. Empty tables, null or very long texts and further columns go
+through as well; run() deletes a stage's tables once the next one is written.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from agorascope.llm import decontaminate, jaccard_join, packing, pii, quality
 from agorascope.llm.queries import table, tokenizer
-from agorascope.llm.staging import Stage
+from agorascope.llm.staging import Stage, scratch
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,11 +37,12 @@ def with_keys(stage: Stage, docs: DataFrame) -> DataFrame:
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of linked documents: that with the smallest id; rows without an id come last, repeats of one too."""
     stage = Stage(spark, "copies")
-    rows = with_keys(stage, docs)
+    # Whole rows go in one column, so theirs clash with none of those made here.
+    rows = with_keys(stage, docs.select(F.struct("*").alias("whole_"), "doc_id", "text"))
     groups = jaccard_join.jaccard_components(rows, id_col="key_")
     gone = stage.table(groups.where("doc_id <> component_id").select(F.col("doc_id").alias("key_")).distinct(), "gone")
     few = gone.count() <= jaccard_join.BROADCAST_IDS
-    return rows.join(F.broadcast(gone) if few else gone, "key_", "left_anti").select(docs.columns)
+    return rows.join(F.broadcast(gone) if few else gone, "key_", "left_anti").select("whole_.*")
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -67,8 +69,16 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over the documents of sf_dir."""
-    stage = Stage(spark, "pipeline")
-    docs = table(spark, sf_dir, "documents")
-    for name, work in STAGES[:-1]:
-        docs = stage.table(work(spark, docs, sf_dir), name)
-    return stage.table(STAGES[-1][1](spark, docs, sf_dir), STAGES[-1][0])
+    return run_on(spark, table(spark, sf_dir, "documents"), sf_dir)
+
+
+def run_on(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The stages over given documents, with the benchmark of sf_dir."""
+    stage, before = Stage(spark, "pipeline"), None
+    for name, work in STAGES:
+        with scratch():
+            docs = stage.table(work(spark, docs, sf_dir), name)
+        if before:
+            stage.drop(before)
+        before = name
+    return docs
