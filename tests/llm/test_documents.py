@@ -35,6 +35,67 @@ def test_quality_base(edge, documents, nothing):
     assert quality.quality(nothing).count() == 0 and quality.kept_rows(edge).columns == edge.columns
 
 
+def distances(rows):
+    """Both distances and the verdict of (doc_id, text, lang) rows by plain Python, medians and all."""
+    import math
+    import statistics
+
+    import regex
+
+    classes = [r"\p{Lu}", r"[^\W\d_a-z]", r"\p{Nd}", r"[\n\r]", r"[.,;:]", r"[!?]", r"[#*$%&|<>=_{}\[\]\\~^@+/]"]
+
+    def chars(t):
+        odd = re.sub("[ \t]", "", re.sub("[a-z]", "", t))
+        upper, digit = regex.findall(r"\p{Lu}", odd), regex.findall(r"\p{Nd}", odd)
+        accented = regex.findall(r"[\p{L}--[\p{Lu}a-z]]", odd, regex.V1)
+        found = [len(upper), len(accented), len(digit), *(len(re.findall(p, odd)) for p in classes[3:])]
+        found += [len(re.findall("[a-z]", t)), len(re.findall("[ \t]", t))]
+        return [x / len(t) if t else 0.0 for x in [*found, len(t) - sum(found)]]
+
+    def common(w, lang):
+        if lang not in quality.COMMON:
+            return None
+        share = [w.count(x) / len(w) if w else 0.0 for x in quality.COMMON[lang]]
+        return [*share, 1 - (sum(w.count(x) for x in set(quality.COMMON[lang])) / len(w) if w else 0.0)]
+
+    def distance(p, q):
+        kl = lambda a, m: sum(x * math.log2(x / y) for x, y in zip(a, m, strict=True) if x > 0)
+        m = [(x + y) / 2 for x, y in zip(p, q, strict=True)]
+        return math.sqrt(max(0.0, (kl(p, m) + kl(q, m)) / 2))
+
+    def rounded(x):
+        return math.floor(x * 1000 + 0.5) / 1000
+
+    own = [(i, t or "", lang, chars(t or ""), common(WORD.findall(t or ""), lang), measured(t)) for i, t, lang in rows]
+    refs = {}
+    for lang in {x[2] for x in own if x[2] is not None}:
+        long = [x for x in own if x[2] == lang and len(x[1]) >= quality.MIN_CHARS and x[5][0] >= quality.MIN_JUDGED_WORDS]
+        if len(long) >= quality.LEAST_TEXTS or (long and lang in quality.COMMON):
+            middle = lambda h: [x / (sum(z) or 1.0) for z in [[statistics.median(map(rounded, c)) for c in zip(*h, strict=True)]] for x in z]
+            refs[lang] = (middle([x[3] for x in long]), middle([x[4] for x in long]) if lang in quality.COMMON else None)
+    out = []
+    for i, t, lang, c, w, base in own:
+        ref, n = refs.get(lang), base[0]
+        char = distance(c, ref[0]) if ref and len(t) >= quality.MIN_CHARS else None
+        word = distance(w, ref[1]) if ref and ref[1] and n >= quality.MIN_JUDGED_WORDS else None
+        far = (char or 0.0) > quality.MAX_CHAR + quality.CHAR_SLACK / max(n, 1) and (word is None or word > quality.MIN_WORD)
+        failed = n < 20 or 100 * base[4] > 30 * n
+        out.append((i, char, word, not failed and not (far or (word or 0.0) > quality.MAX_WORD)))
+    return out
+
+
+def test_quality_is_brute_force(spark, edge, documents):
+    """References, distances and verdicts of every text."""
+    for df in (documents, edge):
+        rows = [(r.doc_id, r.text, r.lang) for r in df.collect()]
+        key = lambda r: (repr(r[0]), round(r[1] or -1, 4), round(r[2] or -1, 4), r[3])
+        want = sorted(distances(rows), key=key)
+        got = sorted(((r.doc_id, r.char_distance, r.word_distance, r.kept) for r in quality.quality(df).collect()), key=key)
+        assert len(got) == len(want) and sum(w[1] is not None for w in want) > 3
+        for g, w in zip(got, want, strict=True):
+            assert g[0] == w[0] and g[3] == w[3] and g[1] == pytest.approx(w[1], abs=1e-6) and g[2] == pytest.approx(w[2], abs=1e-6)
+
+
 def test_quality_labels(spark):
     """Held-out labels: junk goes, good texts stay."""
     d = "/root/testdata/sf0.01"

@@ -270,6 +270,48 @@ def test_one_row_of_each_group(spark):
     assert got.columns == docs.columns and sorted(((r.doc_id, r.text) for r in got.collect()), key=repr) == sorted(want, key=repr)
 
 
+def test_pipeline_edge(spark, edge, nothing):
+    """Nulls, blanks, long texts, ties, repeats and clashing names go through every stage and through all of them."""
+    import corpus_pipeline as cp
+    from agorascope.llm import packing
+
+    d = "/root/testdata/sf0.001"
+    long = spark.createDataFrame([(900, " " * 3_000_000 + "end of it", "en", "s", 5, *edge.first()[5:])], edge.schema)
+    docs = edge.unionByName(long)
+    for name, work in cp.STAGES:
+        got, none = work(spark, docs, d), work(spark, nothing, d)
+        assert none.count() == 0
+        if name == "pack":
+            assert {r.doc_id for r in got.select("doc_id").distinct().collect()} == {r.doc_id for r in docs.select("doc_id").distinct().collect()}
+        else:
+            assert got.columns == docs.columns and 0 < got.count() <= docs.count()
+    assert cp.run_on(spark, nothing, d).count() == 0
+    rows = cp.run_on(spark, docs, d).collect()
+    stays = docs
+    for _, work in cp.STAGES[:-1]:
+        stays = work(spark, stays, d)
+    packed = packing.pack(stays, queries.tokenizer("byte_bpe_50k.json")).groupBy("doc_id").sum("length").collect()
+    total: dict = {}
+    for r in rows:
+        total[r.doc_id] = total.get(r.doc_id, 0) + r.length
+    assert total == {r.doc_id: r[1] for r in packed} and total
+
+
+def test_no_machine_local_folder(spark):
+    """Without a named folder only a local master gets one of its own."""
+    from types import SimpleNamespace
+
+    from agorascope.sources.store import shared_dir
+
+    made = {}
+    conf = SimpleNamespace(get=lambda k, other=None: made.get(k, other), set=made.__setitem__)
+    session = lambda master: SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+    for master in ("spark://host:7077", "yarn", "local-cluster[3,2,1000]", "k8s://x"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_dir(session(master))
+    assert shared_dir(session("local[4]")).startswith("file:")
+
+
 def test_pipeline(spark):
     """run() equals its stages done one by one, and each stage's decisions hold by brute force."""
     import corpus_pipeline as cp
