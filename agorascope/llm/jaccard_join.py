@@ -37,7 +37,7 @@ from agorascope.llm.textkit import shingle_rows, strings
 SKETCH = 1 << 20
 BLOCK = 1 << 12
 #: Shingles in a tile, all its sets together, but for the last set.
-TILE = 1 << 20
+TILE = 1 << 16
 #: ids whose set is broadcast to pick texts; more are joined by a shuffle.
 BROADCAST_IDS = 100_000
 
