@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from agorascope.queries import dashboard, operators
+from agorascope.queries import dashboard, more, operators
 
-QUERIES = dashboard.QUERIES | operators.QUERIES
-ORACLES = dashboard.ORACLES | operators.ORACLES
+QUERIES = dashboard.QUERIES | operators.QUERIES | more.QUERIES
+ORACLES = dashboard.ORACLES | operators.ORACLES | more.ORACLES
 FLAGSHIP = "post_distribution"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 import time
 from collections.abc import Callable
 from pathlib import Path
@@ -22,9 +23,37 @@ def merged(base: dict, more: dict | None) -> dict:
     return out
 
 
-def load(path: str | None = None) -> dict:
-    """Defaults with a JSON file's values over them; no file, no changes."""
-    return merged(DEFAULTS, json.loads(Path(path).read_text()) if path and Path(path).exists() else None)
+def read(path: str) -> dict:
+    """A file of settings: JSON, or YAML where a parser for it is installed. A missing file, or one of another kind, is an error."""
+    text = Path(path).read_text(encoding="utf-8")
+    if path.endswith((".yaml", ".yml")):
+        try:
+            import yaml
+        except ImportError as e:
+            raise ValueError(f"{path}: no YAML parser is installed; use JSON") from e
+        found = yaml.safe_load(text) or {}
+    else:
+        found = json.loads(text)
+    if not isinstance(found, dict):
+        raise ValueError(f"{path}: settings must be a dictionary")
+    return found
+
+
+def load(path: str | None = None, required: bool = False) -> dict:
+    """Defaults with a file's values over them. No path, or a missing file that is not required, changes nothing."""
+    if not path or not (required or Path(path).exists()):
+        return merged(DEFAULTS, None)
+    return merged(DEFAULTS, read(path))
+
+
+def credential(settings: dict, keys: tuple[str, ...], variable: str, environment: dict[str, str] | None = None) -> str | None:
+    """A secret from the environment, or else from nested settings; null if neither has it."""
+    value: object = (os.environ if environment is None else environment).get(variable)
+    if not value:
+        value = settings
+        for k in keys:
+            value = value.get(k) if isinstance(value, dict) else None
+    return str(value) if value else None
 
 
 def paced(model: Callable[[str], str], seconds: float) -> Callable[[str], str]:

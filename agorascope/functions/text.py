@@ -102,8 +102,35 @@ def shorten(text: Column, most: int, keep: int | None = None) -> Column:
     return F.when(F.length(text) > most, F.concat(cut, F.lit("..."))).otherwise(text)
 
 
+def trim_text(text: Column, limit: int) -> Column:
+    """The text, its first `limit` characters and three dots if it is longer; null gives an empty text."""
+    own = F.coalesce(text, F.lit(""))
+    return F.when(F.length(own) > limit, F.concat(F.substring(own, 1, limit), F.lit("..."))).otherwise(own)
+
+
 def title_case(text: Column) -> Column:
-    return F.initcap(F.regexp_replace(F.coalesce(text, F.lit("")), r"[_-]+", " "))
+    """Parts between underscores, each with its first letter in upper case and the rest as it is."""
+    parts = F.split(F.coalesce(text, F.lit("")), "_", -1)
+    return F.array_join(F.transform(parts, lambda p: F.concat(F.upper(F.substring(p, 1, 1)), F.substring(p, 2, 2**31 - 1))), " ")
+
+
+def _or_dash(value: Column, said: Column) -> Column:
+    return F.when(value.isNull() | F.isnan(value.cast("double")), "-").otherwise(said)
+
+
+def format_number(value: Column) -> Column:
+    """Thousands with commas, up to three decimals; a dash for none."""
+    return _or_dash(value, F.regexp_replace(F.format_number(F.round(value.cast("double"), 3), 3), r"\.?0+$", ""))
+
+
+def format_percent(value: Column) -> Column:
+    """A share in per cent with one decimal; a dash for none."""
+    return _or_dash(value, F.format_string("%.1f%%", value.cast("double") * 100))
+
+
+def format_date_time(at: Column) -> Column:
+    """Month, day, hour and minute of a timestamp; a dash for none."""
+    return F.coalesce(F.date_format(at, "MMM dd, hh:mm a"), F.lit("-"))
 
 
 def is_bot(body: Column) -> Column:

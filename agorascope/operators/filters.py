@@ -57,3 +57,19 @@ def comments_with_posts(comments: DataFrame, posts: DataFrame, f: Filters, *colu
     """Comments of a time, joined to columns of their posts; comments without a post are left out."""
     rows = comments.where(F.col("created_utc") >= f.since) if f.since else comments
     return rows.join(posts.where(of_posts(f, time=False)).select("post_id", *columns), "post_id")
+
+
+def has_embedding() -> Column:
+    return F.col("embedding").isNotNull()
+
+
+def lacks_topic() -> Column:
+    return F.coalesce("topic_id", F.lit("")) == ""
+
+
+def is_noise(topic: Column) -> Column:
+    return F.coalesce(topic == "noise", F.lit(False))
+
+
+def is_noise_cluster(topic: Column) -> Column:
+    return F.coalesce(topic.startswith("noise_"), F.lit(False))

@@ -132,3 +132,13 @@ def ingest(posts: DataFrame, existing: DataFrame, comments: DataFrame, s: Select
     chosen = clean_posts(not_existing(apply_filters(posts, s, as_of), existing, refresh_days, as_of))
     own = comments.join(chosen.select("post_id"), "post_id", "left_semi")
     return chosen, clean_comments(top_comments(own, None, min_count))
+
+
+def unprocessed_images(posts: DataFrame, done: DataFrame) -> DataFrame:
+    """Posts that link to an image whose address is not among those done; of equal addresses the post with the smallest id."""
+    return first_of(posts.where(text.is_image_url(F.col("url"))).join(done.select("url"), "url", "left_anti"), "url", "post_id")
+
+
+def mark_processed(done: DataFrame, posts: DataFrame) -> DataFrame:
+    """The addresses done, with those of the posts."""
+    return done.select("url").union(posts.select("url").where("url is not null")).distinct()

@@ -7,9 +7,16 @@ from pyspark.sql import functions as F
 
 from agorascope.functions import text
 
-#: Fields that the report covers unless told otherwise.
-POST_FIELDS = ["post_id", "subreddit", "title", "selftext", "topic_text", "created_utc", "score", "num_comments", "embedding", "topic_id", "center_distance", "topic_name", "topic_description", "umap_x", "umap_y", "polarization_score", "snapshot_week"]
-COMMENT_FIELDS = ["comment_id", "post_id", "comment_text", "comment_text_clean", "upvote_score", "created_utc", "sentiment_label", "stance_label", "llm_confidence", "weight", "snapshot_week"]
+#: Fields that the report covers unless told otherwise.
+POST_FIELDS = ["post_id", "subreddit", "title", "selftext", "cleaned_selftext", "topic_text", "embedding", "embedding_model", "embedding_dim", "topic_id", "topic_name", "topic_description", "stance_dist_weighted", "sentiment_dist_weighted", "polarization_score", "snapshot_week", "created_utc"]
+COMMENT_FIELDS = ["comment_id", "post_id", "comment_text", "comment_text_clean", "sentiment_label", "stance_label", "weight", "llm_confidence", "llm_comment_exp", "snapshot_week", "created_utc"]
+
+
+def table_reports(posts: DataFrame | None, comments: DataFrame | None, fields: list[str] | None = None) -> DataFrame:
+    """The null reports of either table or both, with the table's name; over the fields given or those of each table."""
+    given = [("posts", posts, POST_FIELDS), ("comments", comments, COMMENT_FIELDS)]
+    parts = [null_report(rows, fields or own).withColumn("table", F.lit(name)) for name, rows, own in given if rows is not None]
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def null_report(rows: DataFrame, fields: list[str] | None = None) -> DataFrame:
@@ -67,5 +74,7 @@ def percentiles(rows: DataFrame, group: str, value: str, share: float) -> DataFr
 
 
 def topic_inventory(posts: DataFrame) -> DataFrame:
+    """Topics with the name, description and confidence (null where posts have none) of their first post, by id."""
+    rows = posts if "confidence" in posts.columns else posts.withColumn("confidence", F.lit(None).cast("double"))
     first = lambda c: F.min_by(c, "post_id").alias(c)
-    return posts.where("topic_id is not null").groupBy("topic_id").agg(first("topic_name"), first("topic_description"), F.count("*").alias("posts")).orderBy("topic_id")
+    return rows.where("coalesce(topic_id, '') <> ''").groupBy("topic_id").agg(first("topic_name"), first("topic_description"), first("confidence"), F.count("*").alias("posts")).orderBy("topic_id")

@@ -25,28 +25,28 @@ def near_far(rows: DataFrame, near: int = 20, far: int = 5) -> DataFrame:
     return rows.withColumn("tag", tag).where("tag is not null").withColumn("post_index", F.col("n_") - 1).drop("n_", "m_")
 
 
-def _take(rows: DataFrame, quota: Column, *order: Column | str) -> DataFrame:
+def _take(rows: DataFrame, how: str, quota: Column, *order: Column | str) -> DataFrame:
     """Marks the first `quota` rows of each topic among those not taken."""
-    w = Window.partitionBy("topic_id", F.col("taken")).orderBy(*order)
-    return rows.withColumn("taken", F.col("taken") | (F.row_number().over(w) <= quota))
+    w = Window.partitionBy("topic_id", F.col("taken").isNotNull()).orderBy(*order)
+    return rows.withColumn("taken", F.coalesce("taken", F.when(F.row_number().over(w) <= quota, F.lit(how))))
 
 
 def sample(rows: DataFrame, size: Column, dominant: Column, seed: int = 42) -> DataFrame:
-    """A stratified sample of `size` posts per topic, all of smaller topics.
+    """A stratified sample of `size` posts per topic, all of smaller topics; adds how each was taken.
 
     Dominant topics: a third each by score, by time (half earliest, half latest) and at random; others half by score, half
     at random. What a step leaves short is filled up at random."""
-    rows = rows.withColumns({"size_": size, "dom_": dominant, "taken": F.lit(False)})
+    rows = rows.withColumns({"size_": size, "dom_": dominant, "taken": F.lit(None).cast("string")})
     n = F.col("size_")
     third = F.floor(n / 3)
     by_score = F.when(F.col("dom_"), third + F.when(n % 3 >= 1, 1).otherwise(0)).otherwise(F.floor(n / 2))
     by_time = F.when(F.col("dom_"), third).otherwise(F.lit(0))
-    rows = _take(rows, by_score, F.desc("score"), "post_id")
-    rows = _take(rows, F.floor(by_time / 2), F.asc("created_utc"), "post_id")
-    rows = _take(rows, by_time - F.floor(by_time / 2), F.desc("created_utc"), "post_id")
-    rows = rows.withColumn("left_", n - F.count_if("taken").over(Window.partitionBy("topic_id")))
-    rows = _take(rows, F.col("left_"), shuffled(seed), "post_id")
-    return rows.where("taken").drop("size_", "dom_", "taken", "left_")
+    rows = _take(rows, "score", by_score, F.desc("score"), "post_id")
+    rows = _take(rows, "early", F.floor(by_time / 2), F.asc("created_utc"), "post_id")
+    rows = _take(rows, "late", by_time - F.floor(by_time / 2), F.desc("created_utc"), "post_id")
+    rows = rows.withColumn("left_", n - F.count("taken").over(Window.partitionBy("topic_id")))
+    rows = _take(rows, "random", F.col("left_"), shuffled(seed), "post_id")
+    return rows.where("taken is not null").drop("size_", "dom_", "left_")
 
 
 def sample_plan(counts: DataFrame, share: float = 0.1, most: int = 80, small: int = 50, dominance: float = 0.25, small_noise: int | None = None) -> DataFrame:
@@ -58,6 +58,20 @@ def sample_plan(counts: DataFrame, share: float = 0.1, most: int = 80, small: in
     return counts.withColumns({"dominant": ~noise & (F.col("count") > dominance * F.coalesce(total, F.lit(0))), "sample_size": size.cast("long")})
 
 
+def topic_counts(posts: DataFrame, text: str = "topic_text") -> DataFrame:
+    """Posts with a text per topic; posts without a topic are left out."""
+    return posts.where((F.coalesce("topic_id", F.lit("")) != "") & (F.coalesce(text, F.lit("")) != "")).groupBy("topic_id").agg(F.count("*").alias("count"))
+
+
+def top_texts(posts: DataFrame, limit: int | None, text: str = "topic_text") -> DataFrame:
+    """The texts of each topic by votes, then by time, newest first, then by id; at most `limit` of them. Adds rank.
+
+    Groups are cut before the sort's rows leave their tasks, as Spark plans a limit on a rank."""
+    w = Window.partitionBy("topic_id").orderBy(F.desc("score"), F.desc("created_utc"), "post_id")
+    rows = posts.where((F.coalesce("topic_id", F.lit("")) != "") & (F.coalesce(text, F.lit("")) != "")).withColumn("rank", F.row_number().over(w))
+    return rows.where(F.col("rank") <= limit) if limit else rows
+
+
 def trim_long(rows: DataFrame, share: float = 0.95, min_words: int = 1, text: str = "text") -> DataFrame:
     """Posts of min_words or more, per topic without those longer than the percentile."""
     rows = rows.withColumn("words", word_count(F.col(text))).where(F.col("words") >= min_words)

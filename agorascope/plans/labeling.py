@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -18,23 +20,34 @@ TOPIC = "topic_id string, chunk_id int, topic_name string, topic_description str
 RATING = "post_id string, matches boolean, fit_score double, rationale string, better_topic_name string, better_topic_description string"
 
 
-def ask(requests: DataFrame, model: Model, prompt: str = "prompt", tries: int = 3) -> DataFrame:
-    """Adds reply: the model's answer, empty if all tries failed. The model is called on the workers, prompt by prompt."""
-    schema = requests.withColumn("reply", F.lit("").cast("string")).schema
+def answered(model: Model, prompt: str, tries: int = 3, wait: float = 0.0, timeout: float | None = None) -> tuple[str, str | None]:
+    """The model's reply, or an empty one and what the last try failed with. Waits double from try to try; a call longer
+    than timeout counts as failed."""
+    error = None
+    for turn in range(tries):
+        if turn and wait:
+            time.sleep(wait * 2 ** (turn - 1))
+        try:
+            if timeout is None:
+                return model(prompt), None
+            pool = ThreadPoolExecutor(1)
+            try:
+                return pool.submit(model, prompt).result(timeout), None
+            finally:
+                pool.shutdown(wait=False, cancel_futures=True)
+        except Exception as e:  # noqa: BLE001 a client may raise anything; the caller gets what it was
+            error = f"{type(e).__name__}: {e}"[:500]
+    return "", error
+
+
+def ask(requests: DataFrame, model: Model, prompt: str = "prompt", tries: int = 3, wait: float = 0.0, timeout: float | None = None) -> DataFrame:
+    """Adds reply, empty if all tries failed, and reply_error. The model is called on the workers, prompt by prompt."""
+    schema = requests.withColumns({"reply": F.lit("").cast("string"), "reply_error": F.lit(None).cast("string")}).schema
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            replies = []
-            for p in part[prompt]:
-                reply = ""
-                for _ in range(tries):
-                    try:
-                        reply = model(p)
-                        break
-                    except Exception:  # noqa: BLE001 a client may raise anything; the audit shows what stayed empty
-                        continue
-                replies.append(reply)
-            yield part.assign(reply=replies)
+            got = [answered(model, p, tries, wait, timeout) for p in part[prompt]]
+            yield part.assign(reply=[r for r, _ in got], reply_error=[e for _, e in got])
 
     return requests.mapInPandas(run, schema)
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from graphlib import TopologicalSorter
 
 from pyspark.sql import DataFrame
 
+from agorascope.sources.store import shared_dir
+
 
 @dataclass(frozen=True)
 class Step:
@@ -22,15 +25,23 @@ def order(steps: list[Step]) -> list[str]:
     return [n for n in TopologicalSorter({s.name: [x for x in s.needs if x in by] for s in steps}).static_order() if n in by]
 
 
-def run(steps: list[Step], tables: dict[str, DataFrame], dry_run: bool = False, continue_on_error: bool = False) -> tuple[dict[str, DataFrame], dict[str, Exception]]:
-    """Tables by name, given and made, and the errors of steps that failed; steps that need those are left out."""
+def written(name: str, df: DataFrame) -> DataFrame:
+    """The table in the shared folder, so a step has run when it counts as done."""
+    path = f"{shared_dir(df.sparkSession)}/step-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def run(steps: list[Step], tables: dict[str, DataFrame], dry_run: bool = False, continue_on_error: bool = False, keep: Callable[[str, DataFrame], DataFrame] = written) -> tuple[dict[str, DataFrame], dict[str, Exception]]:
+    """Tables by name, given and made, and the errors of steps that failed, when planned or when run; steps that need those
+    are left out. keep: what makes a step's table before it counts as done."""
     by, made, failed = {s.name: s for s in steps}, dict(tables), {}
     for name in order(steps):
         step = by[name]
         if dry_run or any(x not in made for x in step.needs):
             continue
         try:
-            made[name] = step.work(*[made[x] for x in step.needs])
+            made[name] = keep(name, step.work(*[made[x] for x in step.needs]))
         except Exception as e:  # noqa: BLE001 the caller decides
             if not (continue_on_error or step.optional):
                 raise

@@ -68,9 +68,16 @@ def bubbles(points: DataFrame, size: str = "size") -> DataFrame:
 
 
 def polar_layout(topics: DataFrame, n: int = 42) -> DataFrame:
-    """Topics on a plane: the angle from a hash of the id, the radius from the distance to the centre."""
-    top = topics.orderBy(F.desc("count"), "topic_id").limit(n).withColumn("hash", string_hash(F.col("topic_id")))
-    far = F.greatest(F.max(F.coalesce("avg_center_distance", F.lit(0.0))).over(Window.partitionBy()), F.lit(1e-9))
-    radius = 40 + F.coalesce("avg_center_distance", F.lit(0.0)) / far * 140 + (F.col("hash") % 17)
-    angle = F.radians((F.col("hash") % 360).cast("double"))
-    return top.select("topic_id", "count", (F.cos(angle) * radius).alias("x"), (F.sin(angle) * radius).alias("y"), F.sqrt(F.col("count").cast("double")).alias("size"))
+    """Topics on a plane around (240, 190): the angle from a hash of the id, the radius from the distance to the centre (of
+    topics without one, from their rank), both shifted a little by the hash; sizes by the square root of the count.
+
+    Fixed values: the centre, radii, shift and sizes. All windows are over n rows."""
+    rank = F.row_number().over(Window.orderBy(F.desc("count"), "topic_id")) - 1
+    top = topics.orderBy(F.desc("count"), "topic_id").limit(n).withColumns({"rank": rank, "seed": string_hash(F.coalesce(F.nullif("topic_id", F.lit("")), F.nullif("topic_name", F.lit("")), rank.cast("string")))})
+    every = Window.partitionBy()
+    far = F.greatest(F.max(F.coalesce("avg_center_distance", F.lit(0.0))).over(every), F.lit(1.0))
+    distance = F.coalesce("avg_center_distance", F.col("rank") / F.count("*").over(every))
+    shift = F.shiftright(F.col("seed"), 4) % 100 / 100 - 0.5
+    radius, angle = 40 + distance / far * 140 + shift * 18, F.col("seed") % 360 / 360 * 2 * F.pi()
+    size = 6 + F.sqrt(F.col("count") / F.max("count").over(every)) * 22
+    return top.select("topic_id", "count", (240 + F.cos(angle) * radius).alias("x"), (190 + F.sin(angle) * radius).alias("y"), size.alias("size"))

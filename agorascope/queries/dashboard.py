@@ -136,4 +136,18 @@ register("view_group_sizes", lambda p, c, f: views.group_sizes(d.umap_landscape(
 register("view_topic_table", lambda p, c, f: views.topic_table(d.topics(p, f)).select("topic_id", "count", "title"), lambda f: "SELECT topic_id, count(*) AS count, CASE WHEN topic_id = 'noise' THEN 'Noise' ELSE any_value(topic_name) END AS title FROM p WHERE topic_id IS NOT NULL GROUP BY topic_id ORDER BY count DESC, topic_id LIMIT 12", ("all",), alone=True)
 register("view_flows", lambda p, c, f: views.prefixed_flows(d.sankey(p, c, f)), lambda f: f"SELECT 'sentiment:' || coalesce(sentiment_label, 'unknown') AS source, 'stance:' || ({MERGED}) AS target, {r('sum(weight)')} AS value FROM c GROUP BY 1, 2", ("all",), alone=True)
 register("view_bubbles", lambda p, c, f: views.bubbles(d.opinion_map_topics(p, f)).select("id", "size", "radius"), lambda f: f"SELECT topic_id AS id, CAST(sum(num_comments) AS BIGINT) AS size, {r('5 + sqrt(sum(num_comments) / max(sum(num_comments)) OVER ()) * 22')} AS radius FROM p WHERE {HAS} AND topic_id IS NOT NULL GROUP BY topic_id", ("all",), alone=True)
-register("view_polar_layout", lambda p, c, f: views.polar_layout(d.topics(p, f)), None, ("all",), alone=True)
+HASH = "abs(list_reduce(list_prepend(0::BIGINT, list_transform(string_split(topic_id, ''), lambda x: CAST(ascii(x) AS BIGINT))), lambda h, x: (h * 31 + x + 139586437120) % 4294967296 - 2147483648))"
+register("view_polar_layout", lambda p, c, f: views.polar_layout(d.topics(p, f)), lambda f: f"""
+SELECT topic_id, count, {r('240 + cos(angle) * radius')} AS x, {r('190 + sin(angle) * radius')} AS y, {r('6 + sqrt(count / most) * 22')} AS size
+FROM (SELECT *, seed % 360 / 360.0::DOUBLE * 2 * pi() AS angle, 40 + coalesce(d, rank / n) / far * 140 + (((seed >> 4) % 100) / 100.0::DOUBLE - 0.5) * 18 AS radius
+  FROM (SELECT *, {HASH} AS seed, row_number() OVER (ORDER BY count DESC, topic_id) - 1 AS rank, CAST(count(*) OVER () AS DOUBLE) AS n, greatest(max(coalesce(d, 0)) OVER (), 1) AS far, CAST(max(count) OVER () AS DOUBLE) AS most
+    FROM (SELECT topic_id, count(*) AS count, avg(center_distance) AS d FROM p WHERE topic_id IS NOT NULL GROUP BY topic_id ORDER BY count DESC, topic_id LIMIT 42)))""", ("all",), alone=True)
+SIZES = {
+    "overview": "1", "stance_sentiment": "(SELECT count(*) FROM (SELECT DISTINCT stance_label, sentiment_label FROM c))", "trends_stance": f"(SELECT count(*) FROM (SELECT DISTINCT {_bucket(FILTERS['all'])}, stance_label FROM c WHERE created_utc > 0))",
+    "trends_sentiment": f"(SELECT count(*) FROM (SELECT DISTINCT {_bucket(FILTERS['all'])}, sentiment_label FROM c WHERE created_utc > 0))", "topics": "(SELECT least(80, count(DISTINCT topic_id)) FROM p)", "subreddits": "(SELECT least(60, count(DISTINCT subreddit)) FROM p)",
+    "opinion_map": f"(SELECT least(1500, count(*)) FROM p WHERE {HAS})", "umap_landscape": "(SELECT least(2000, count(*)) FROM p WHERE umap_x IS NOT NULL AND umap_y IS NOT NULL)", "topic_insights": f"(SELECT least(40, count(DISTINCT topic_id)) FROM p WHERE {HAS})",
+    "sankey": f"(SELECT count(*) FROM (SELECT DISTINCT coalesce(sentiment_label, 'unknown'), {MERGED} FROM c))", "polarization_timeline": "(SELECT count(DISTINCT snapshot_week) FROM j)", "controversy_leaderboard": "(SELECT least(30, count(DISTINCT post_id)) FROM j)",
+    "topic_heatmap": "(SELECT count(*) FROM (SELECT DISTINCT topic_id, snapshot_week FROM p WHERE topic_id IN (SELECT topic_id FROM top)))",
+}
+QUERIES["q13_snapshot_sizes"] = lambda spark, sf_dir: snapshot.snapshot(tables.posts(spark, sf_dir), tables.weighted_comments(spark, sf_dir), FILTERS["all"]).select("name", "rows", F.size(F.from_json("document", "array<string>")).cast("long").alias("parsed"))
+ORACLES["q13_snapshot_sizes"] = sql(" UNION ALL ".join(f"SELECT '{n}' AS name, CAST({x} AS BIGINT) AS rows, CAST({x} AS BIGINT) AS parsed" for n, x in SIZES.items()), *filtered(FILTERS["all"]), TOP12)

@@ -141,11 +141,11 @@ def upserted(spark, sf_dir):
     return merge.upsert(old, new, "post_id", F.lit("2002-01-01").cast(dict(old.dtypes)["created_at"]))
 
 
-@query(f"WITH {COMMENTS} SELECT coalesce(stance_label, CASE WHEN sentiment_label IS NULL THEN 'agree' END) AS stance_label, coalesce(sentiment_label, CASE WHEN stance_label IS NULL THEN 'positive' END) AS sentiment_label, count(*) AS count FROM comments GROUP BY 1, 2")
+@query(f"WITH {COMMENTS} SELECT coalesce(stance_label, CASE WHEN sentiment_label IS NULL THEN 'agree' END) AS stance_label, coalesce(sentiment_label, CASE WHEN stance_label IS NULL THEN 'positive' END) AS sentiment_label, CASE WHEN stance_label IS NULL AND sentiment_label IS NULL THEN 0.5 ELSE llm_confidence END AS llm_confidence, comment_id FROM comments")
 def saved_labels(spark, sf_dir):
     rows = tables.comments(spark, sf_dir)
     both = rows.select("comment_id", F.explode(F.array(F.struct(F.lit(1).alias("order_"), F.lit("positive").alias("sentiment"), F.lit("agree").alias("stance")), F.struct(F.lit(2).alias("order_"), F.lit("negative").alias("sentiment"), F.lit("disagree").alias("stance")))).alias("x")).select("comment_id", "x.*", F.lit(0.5).alias("confidence"), F.lit("").alias("rationale"))
-    return merge.save_labels(rows, both).groupBy("stance_label", "sentiment_label").agg(F.count("*").alias("count"))
+    return merge.save_labels(rows, both).select("stance_label", "sentiment_label", "llm_confidence", "comment_id")
 
 
 @query("SELECT label, count(*) AS rows, CAST(count(*) FILTER (WHERE label > 0) AS BIGINT) AS named FROM embeddings GROUP BY label")
@@ -171,14 +171,14 @@ def unresolved(spark, sf_dir):
     return sets.unresolved(_results(spark, sf_dir), ["topic_id", "chunk_id"])
 
 
-@query(f"WITH x AS ({RESULTS}) SELECT status, error, count(*) AS count FROM x WHERE NOT (status = 'error' AND error = 'missing_result' AND EXISTS (SELECT 1 FROM x y WHERE y.status = 'ok' AND y.topic_id = x.topic_id AND y.chunk_id = x.chunk_id)) GROUP BY 1, 2")
+@query(f"WITH x AS ({RESULTS}) SELECT row_idx, topic_id, chunk_id, status, error FROM x WHERE NOT (status = 'error' AND error = 'missing_result' AND EXISTS (SELECT 1 FROM x y WHERE y.status = 'ok' AND y.topic_id = x.topic_id AND y.chunk_id = x.chunk_id))")
 def pruned(spark, sf_dir):
-    return sets.pruned(_results(spark, sf_dir), ["topic_id", "chunk_id"]).groupBy("status", "error").agg(F.count("*").alias("count"))
+    return sets.pruned(_results(spark, sf_dir), ["topic_id", "chunk_id"]).select("row_idx", "topic_id", "chunk_id", "status", "error")
 
 
-@query(f"WITH x AS ({RESULTS}) SELECT topic_id, max(CAST(confidence AS DOUBLE)) AS best FROM x WHERE status = 'ok' AND topic_name <> '' GROUP BY topic_id")
+@query(f"WITH x AS ({RESULTS}) SELECT topic_id, topic_name, CAST(confidence AS DOUBLE) AS best, row_idx FROM x WHERE status = 'ok' AND topic_name <> '' QUALIFY row_number() OVER (PARTITION BY topic_id ORDER BY CAST(confidence AS DOUBLE) DESC, row_idx) = 1")
 def best_per_topic(spark, sf_dir):
-    return sets.best_per_topic(_results(spark, sf_dir), "row_idx").select("topic_id", F.col("confidence").cast("double").alias("best"))
+    return sets.best_per_topic(_results(spark, sf_dir), "row_idx").select("topic_id", "topic_name", F.col("confidence").cast("double").alias("best"), "row_idx")
 
 
 @query("SELECT o_custkey AS key, CASE WHEN bool_or(o_orderkey % 2 = 0) THEN 'ok' ELSE 'error' END AS status, CASE WHEN bool_or(o_orderkey % 2 = 0) THEN '' ELSE 'missing_result' END AS error, max(CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey END) AS value FROM orders GROUP BY o_custkey")
@@ -304,7 +304,7 @@ def value_histogram(spark, sf_dir):
     return quality.histogram(tables.read(spark, sf_dir, "events"), "value")
 
 
-@query(sql("SELECT topic_id, arg_min_null(topic_name, post_id) AS topic_name, arg_min_null(topic_description, post_id) AS topic_description, count(*) AS posts FROM posts WHERE topic_id IS NOT NULL GROUP BY topic_id"))
+@query(sql("SELECT topic_id, arg_min_null(topic_name, post_id) AS topic_name, arg_min_null(topic_description, post_id) AS topic_description, CAST(NULL AS DOUBLE) AS confidence, count(*) AS posts FROM posts WHERE topic_id IS NOT NULL GROUP BY topic_id"))
 def topic_inventory(spark, sf_dir):
     return quality.topic_inventory(tables.bare_posts(spark, sf_dir))
 
@@ -385,9 +385,10 @@ def embedded_texts(spark, sf_dir):
 
 # --- batches
 
-@query("SELECT doc_id, CASE WHEN n = 0 THEN 0 ELSE CAST(greatest(0, ceil((n - 100) / 80.0)) AS BIGINT) + 1 END AS chunks FROM (SELECT doc_id, len(string_split(text, ' ')) AS n FROM documents)")
+@query("SELECT doc_id, CAST(i AS INTEGER) AS chunk, sha256(array_to_string(w[i * 80 + 1 : i * 80 + 100], ' ')) AS said FROM (SELECT doc_id, w, unnest(range(0, CAST(greatest(0, ceil((len(w) - 100) / 80.0)) AS BIGINT) + 1)) AS i FROM (SELECT doc_id, string_split(text, ' ') AS w FROM documents))")
 def token_chunks(spark, sf_dir):
-    return tables.read(spark, sf_dir, "documents").select("doc_id", F.size(sequences.chunk_tokens(F.split("text", " "), 100, 20)).cast("long").alias("chunks"))
+    rows = tables.read(spark, sf_dir, "documents").select("doc_id", F.posexplode(sequences.chunk_tokens(F.split("text", " "), 100, 20)).alias("chunk", "w"))
+    return rows.select("doc_id", "chunk", F.sha2(F.array_join("w", " "), 256).alias("said"))
 
 
 @query("SELECT conv_id, CAST(floor((row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1) / 4) AS BIGINT) AS batch, turn FROM conversations")
@@ -399,12 +400,28 @@ def _sized(spark, sf_dir) -> DataFrame:
     return tables.threads(spark, sf_dir).withColumn("tokens", text.estimate_tokens(F.col("comment_text"))).select("post_id", "seq", "tokens")
 
 
-@query()
+def fit_sql(budget: int, most: int) -> str:
+    """The fold of next fit, row by row: f(g, n, size, batch, used, held, own) over s(g, n, size)."""
+    fresh = f"(f.held > 0 AND (f.used + s.size > {budget} OR f.held >= {most}))"
+    fits = f"s.size <= {budget}"
+    return f"""f AS (
+  SELECT g, n, size, 0 AS batch, CASE WHEN size <= {budget} THEN size ELSE 0 END AS used, CASE WHEN size <= {budget} THEN 1 ELSE 0 END AS held, CASE WHEN size <= {budget} THEN 0 END AS own FROM s WHERE n = 1
+  UNION ALL SELECT s.g, s.n, s.size, CASE WHEN {fits} AND {fresh} THEN f.batch + 1 ELSE f.batch END, CASE WHEN NOT {fits} THEN f.used WHEN {fresh} THEN s.size ELSE f.used + s.size END,
+    CASE WHEN NOT {fits} THEN f.held WHEN {fresh} THEN 1 ELSE f.held + 1 END, CASE WHEN {fits} THEN CASE WHEN {fresh} THEN f.batch + 1 ELSE f.batch END END
+  FROM f JOIN s ON s.g = f.g AND s.n = f.n + 1)"""
+
+
+SIZED = "s AS (SELECT CAST(conv_id AS VARCHAR) AS g, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS n, greatest(1, CAST(ceil(length(coalesce(text, '')) / 4.0) AS BIGINT)) AS size FROM conversations)"
+
+
+@query(f"WITH RECURSIVE {SIZED}, {fit_sql(400, 4)} SELECT f.g AS post_id, s.turn AS seq, f.size AS tokens, CAST(f.own AS BIGINT) AS batch FROM f JOIN s ON f.g = s.g AND f.n = s.n WHERE f.own IS NOT NULL")
 def next_fit_batches(spark, sf_dir):
     return packing.packed(_sized(spark, sf_dir), "post_id", ["seq"], "tokens", lambda s: packing.next_fit(s, 400, 4))
 
 
-@query()
+@query(f"""WITH RECURSIVE {SIZED}, f AS (SELECT g, n, 50 + CASE WHEN 50 + size <= 600 THEN size ELSE 0 END AS used, 50 + size <= 600 AS fits FROM s WHERE n = 1
+  UNION ALL SELECT s.g, s.n, f.used + CASE WHEN f.used + s.size <= 600 THEN s.size ELSE 0 END, f.used + s.size <= 600 FROM f JOIN s ON s.g = f.g AND s.n = f.n + 1)
+SELECT f.g AS post_id, s.turn AS seq, s.size AS tokens, 0::BIGINT AS batch FROM f JOIN s ON f.g = s.g AND f.n = s.n WHERE f.fits""")
 def skip_fit_batches(spark, sf_dir):
     return packing.packed(_sized(spark, sf_dir), "post_id", ["seq"], "tokens", lambda s: packing.first_fit_skip(s, 600, 50))
 
@@ -434,17 +451,25 @@ def model_stance_labels(spark, sf_dir):
     return labeling.stance_labels(requests, labeling.rule_model)[0].drop("request")
 
 
-@query()
+CHUNKED = f"""WITH RECURSIVE {DIST}, o AS (SELECT CAST(vec_id AS VARCHAR) AS post_id, CAST(label AS VARCHAR) AS topic_id, round(d, 6) AS d FROM dd),
+  w AS (SELECT *, row_number() OVER (PARTITION BY topic_id ORDER BY d, post_id) AS n, count(*) OVER (PARTITION BY topic_id) AS m FROM o),
+  l AS (SELECT topic_id AS g, row_number() OVER (PARTITION BY topic_id ORDER BY n) AS n, n <= 20 AS near, '[' || CASE WHEN n <= 20 THEN 'NEAR' ELSE 'FAR' END || ' ' || printf('%.6f', d) || '] post ' || post_id AS line FROM w WHERE n <= 20 OR n > m - 5),
+  s AS (SELECT g, n, CAST(ceil(length(line) / 4.0) AS BIGINT) AS size, near, line FROM l), {fit_sql(200, 1_000_000)},
+  c AS (SELECT s.g AS topic_id, CAST(f.own + 1 AS INTEGER) AS chunk_id, count(*) AS post_count, count(*) FILTER (WHERE near) AS near_count, count(*) FILTER (WHERE NOT near) AS far_count, CAST(sum(s.size) AS BIGINT) AS token_estimate, string_agg(line, chr(10) ORDER BY s.n) AS body FROM f JOIN s ON f.g = s.g AND f.n = s.n GROUP BY 1, 2)"""
+
+
+@query(f"{CHUNKED} SELECT topic_id, chunk_id, 'Name of ' || topic_id AS topic_name, 'ok' AS status, '' AS error FROM c")
 def model_topic_labels(spark, sf_dir):
     rows = _measured(spark, sf_dir).withColumn("text", F.concat(F.lit("post "), "post_id"))
     terms = rows.select("topic_id").distinct().withColumn("terms", F.array(F.lit("term")))
     return labeling.label_topics(labeling.label_chunks(rows, terms, budget=200), labeling.rule_model).select("topic_id", "chunk_id", "topic_name", "status", "error")
 
 
-@query()
+@query(f"""{CHUNKED}
+SELECT topic_id, chunk_id, post_count, near_count, far_count, token_estimate, CAST(sum(token_estimate) OVER (PARTITION BY topic_id) AS BIGINT) AS cluster_token_sum, 'topic_id: ' || topic_id || ' chunk_id: ' || chunk_id || chr(10) || 'terms: ' || CASE WHEN topic_id = '0' THEN '' ELSE 'term' END || chr(10) || chr(10) || body AS block FROM c""")
 def label_chunks(spark, sf_dir):
     rows = _measured(spark, sf_dir).withColumn("text", F.concat(F.lit("post "), "post_id"))
-    terms = rows.select("topic_id").distinct().withColumn("terms", F.array(F.lit("term")))
+    terms = rows.where("topic_id <> '0'").select("topic_id").distinct().withColumn("terms", F.array(F.lit("term")))
     return labeling.label_chunks(rows, terms, budget=200).drop("terms")
 
 

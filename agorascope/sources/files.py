@@ -17,6 +17,30 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.csv(path, header=True, escape='"', quote='"', mode=mode, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
+def write_chunks(chunks: DataFrame, path: str) -> None:
+    """The chunks of topics, their terms joined by bars."""
+    write_csv(chunks.select("topic_id", "chunk_id", "post_count", "near_count", "far_count", "token_estimate", "cluster_token_sum", F.array_join("terms", "|").alias("ctfidf_terms")), path)
+
+
+def write_chunk_posts(posts: DataFrame, path: str) -> None:
+    """The posts of chunks, distances with six decimals."""
+    write_csv(posts.select("topic_id", "chunk_id", "post_index", "tag", "post_id", F.format_string("%.6f", "distance").alias("distance"), "text"), path)
+
+
+def write_results(results: DataFrame, path: str, append: bool = False) -> None:
+    """Results of labelling; append adds files to those there, each with its header."""
+    write_csv(results.select(*[c.split()[0] for c in schema.RESULTS_CSV.split(", ")]), path, "append" if append else "overwrite")
+
+
+def posts_path(chunks_path: str) -> str:
+    """Where the posts of chunks go: beside the chunks, by the same name with posts for chunks (or chunk), else with _posts."""
+    folder, slash, name = chunks_path.rpartition("/")
+    stem, dot, ending = name.rpartition(".")
+    stem, dot, ending = (stem, dot, ending) if stem else (name, "", "")
+    part = next((p for p in ("chunks", "chunk") if p in stem), None)
+    return f"{folder}{slash}{stem.replace(part, 'posts') if part else stem + '_posts'}{dot}{ending}"
+
+
 def read_terms(spark: SparkSession, path: str) -> DataFrame:
     """topic_id and its terms, blank ones dropped."""
     rows = read_csv(spark, path, schema.TERMS_CSV)
@@ -37,6 +61,11 @@ def read_chunk_posts(spark: SparkSession, path: str) -> DataFrame:
     return rows.groupBy("topic_id", "chunk_id").agg(F.sort_array(F.collect_list(F.struct("post_index", "tag", "post_id", "distance", "text"))).alias("posts"))
 
 
+def chunk_items(chunks: DataFrame, posts: DataFrame) -> DataFrame:
+    """Chunks with their posts; chunks without posts, and posts without a chunk, are left out."""
+    return chunks.join(posts.select("topic_id", "chunk_id", "posts"), ["topic_id", "chunk_id"])
+
+
 def read_results(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, schema.RESULTS_CSV)
 

@@ -162,3 +162,95 @@ def test_standard_steps(spark):
     comments = spark.createDataFrame([("00", "c1", "ok", 3, "agree", "positive", 0.5)], "post_id string, comment_id string, comment_text string, upvote_score long, stance_label string, sentiment_label string, llm_confidence double")
     made, failed = runner.run(runner.standard_steps(), {"posts": posts, "comments": comments}, continue_on_error=True)
     assert "topics" in made and made["topics"].where("topic_id is not null").count() == 40 and made["distributions"].count() == 1
+
+
+def test_runner_catches_what_fails_when_run(spark):
+    """A step that fails on its rows counts as failed, and what needs it is left out; others go on."""
+    bad = F.udf(lambda x: 1 // 0, "int")
+    steps = [runner.Step("one", ("t",), lambda t: t.withColumn("b", F.lit(1))), runner.Step("two", ("one",), lambda t: t.withColumn("c", bad("a"))), runner.Step("three", ("two",), lambda t: t), runner.Step("four", ("one",), lambda t: t.limit(1))]
+    made, failed = runner.run(steps, {"t": spark.createDataFrame([(1,), (2,)], "a int")}, continue_on_error=True)
+    assert set(made) == {"t", "one", "four"} and set(failed) == {"two"} and made["one"].count() == 2
+    with pytest.raises(Exception, match="division"):
+        runner.run(steps, {"t": spark.createDataFrame([(1,)], "a int")})
+    assert runner.run(steps, {}, dry_run=True) == ({}, {})
+
+
+def test_answered():
+    import time
+
+    calls = []
+
+    def flaky(prompt):
+        calls.append(prompt)
+        if len(calls) < 3:
+            raise OSError("busy")
+        return "yes"
+
+    assert labeling.answered(flaky, "p") == ("yes", None) and len(calls) == 3
+    assert labeling.answered(lambda p: 1 // 0, "p", tries=2) == ("", "ZeroDivisionError: integer division or modulo by zero")
+    reply, error = labeling.answered(lambda p: time.sleep(0.5), "p", tries=1, timeout=0.05)
+    assert reply == "" and error.startswith("TimeoutError")
+
+
+def test_stop_words_have_no_limit(spark):
+    more = spark.range(20_500).select(F.concat(F.lit("w"), F.col("id").cast("string")).alias("word"))
+    assert {f"w{i}" for i in range(20_500)} <= set(ctfidf.stop_words(spark, more))
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_ctfidf_seams(spark, parts):
+    """Bigrams across posts, however the posts are dealt."""
+    posts = [(f"t{i % 3}", f"{i:03d}", f"w{i} common" if i % 5 else "") for i in range(40)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        got = {(r.topic_id, r.term): r.n for r in ctfidf.term_scores(spark.createDataFrame(posts, "topic_id string, post_id string, text string"), [], min_df=1, max_df=1.0).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    want: dict = {}
+    for t in ("t0", "t1", "t2"):
+        words = " ".join(x for topic, _, x in sorted(posts, key=lambda p: p[1]) if topic == t).split()
+        for term in words + [f"{a} {b}" for a, b in zip(words, words[1:])]:
+            want[t, term] = want.get((t, term), 0) + 1
+    # One-letter words are no terms; here all have two letters at least.
+    assert got == want
+
+
+def test_settings(tmp_path):
+    from agorascope import config
+
+    path = tmp_path / "s.json"
+    path.write_text('{"embedding": {"batch": 7}, "key": "from file"}')
+    assert config.load(str(path))["embedding"] == {"batch": 7, "max_tokens": 512, "overlap": 50} and config.load(str(tmp_path / "none.json")) == config.DEFAULTS
+    with pytest.raises(FileNotFoundError):
+        config.load(str(tmp_path / "none.json"), required=True)
+    assert config.credential({"a": {"key": "x"}}, ("a", "key"), "SOME_KEY", {}) == "x" and config.credential({"a": {"key": "x"}}, ("a", "key"), "SOME_KEY", {"SOME_KEY": "env"}) == "env" and config.credential({}, ("a",), "SOME_KEY", {}) is None
+
+
+def test_label_files(spark, tmp_path):
+    from agorascope.sources import files, schema
+
+    assert [files.posts_path(p) for p in ("a/topic_label_chunks.csv", "x_chunk.csv", "s3a://b/c/other.csv", "plain")] == ["a/topic_label_posts.csv", "x_posts.csv", "s3a://b/c/other_posts.csv", "plain_posts"]
+    chunks = spark.createDataFrame([("t", 1, 2, 1, 1, 9, 9, ["a", "b c"])], "topic_id string, chunk_id int, post_count int, near_count int, far_count int, token_estimate int, cluster_token_sum int, terms array<string>")
+    files.write_chunks(chunks, f"file://{tmp_path}/c.csv")
+    assert [(r.topic_id, r.chunk_id, r.ctfidf_terms) for r in files.read_chunks(spark, f"file://{tmp_path}/c.csv").collect()] == [("t", 1, "a|b c")]
+    posts = spark.createDataFrame([("t", 1, 0, "NEAR", "p", 0.5, 'two\nlines, "quoted"')], "topic_id string, chunk_id int, post_index int, tag string, post_id string, distance double, text string")
+    files.write_chunk_posts(posts, f"file://{tmp_path}/p.csv")
+    back = files.read_chunk_posts(spark, f"file://{tmp_path}/p.csv").first()
+    assert (back.posts[0].distance, back.posts[0].text) == ("0.500000", 'two\nlines, "quoted"')
+    names = [c.split()[0] for c in schema.RESULTS_CSV.split(", ")]
+    rows = spark.createDataFrame([tuple(str(i) for i in range(len(names)))], names)
+    files.write_results(rows, f"file://{tmp_path}/r.csv")
+    files.write_results(rows, f"file://{tmp_path}/r.csv", append=True)
+    assert files.read_results(spark, f"file://{tmp_path}/r.csv").count() == 2
+
+
+def test_landed_tables_join_without_shuffle(spark):
+    """Posts and comments are bucketed alike, so grouping and joining them by post needs no exchange but the last."""
+    from agorascope.sources import tables
+
+    d = "/root/testdata/sf0.001"
+    posts, comments = tables.posts(spark, d), tables.weighted_comments(spark, d)
+    both = comments.groupBy("post_id").agg(F.sum("weight").alias("w")).join(posts.hint("merge"), "post_id")
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and posts.count() == 1500 and tables.posts(spark, d).count() == 1500
