@@ -38,8 +38,8 @@ RADIUS = 51
 #: Bits that may differ in a block: within RADIUS, one block of three is within its own.
 NEAR = np.array([16, 16, 17])
 ITEMS, ITEM_BYTES = 200_000, 32 << 20
-#: Windows and items compared at once.
-WINDOWS, SIDE = 2048, 256
+#: Positions in a row whose windows are summed at once, and items compared with them at once.
+SPAN, SIDE = 4096, 256
 
 
 def _normals() -> np.ndarray:
@@ -156,7 +156,8 @@ class Items:
             m, items = min(n, len(values)), near[self.length[near] == n]
             asked = np.isin(seeds, self._seeds_of(items), assume_unique=True)
             begin = np.unique(np.clip(hits[np.isin(kinds, seeds[asked])][:, None] - np.arange(m), 0, len(values) - m))
-            cuts = np.flatnonzero((np.diff(begin) > 512) | (np.arange(1, len(begin)) % WINDOWS == 0)) + 1
+            # Windows that do not overlap are summed apart, so memory is bounded by SPAN positions and one window.
+            cuts = np.flatnonzero((np.diff(begin) > m) | (np.diff(begin // SPAN) > 0)) + 1
             for own in np.split(begin, cuts):
                 lo, hi = own[0], own[-1] + m
                 prints = _prints(_window_sums(values[lo:hi], self.weights(values[lo:hi]), m)[own - lo])

@@ -117,8 +117,8 @@ def shingles(hashes: np.ndarray, before: np.ndarray, k: int) -> tuple[np.ndarray
 
 
 def shingle_rows(column: pa.Array, k: int, lower: bool, blank: np.ndarray = SPACE) -> Iterator[tuple[int, np.ndarray]]:
-    """Row number and all shingle hashes in order, row by row."""
-    for a, z in slices(column):
+    """Row number and all shingle hashes in order, row by row; a megabyte of text, or one text, at a time."""
+    for a, z in slices(column, 1 << 20):
         data, at = utf8(column.slice(a, z - a))
         starts, ends, before = words(data, at, blank)
         values, offset = shingles(word_hashes(data, starts, ends, lower, blank), before, k)
