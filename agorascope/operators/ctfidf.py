@@ -53,6 +53,12 @@ def _seam_terms(ends: DataFrame) -> DataFrame:
     return found.where("edge = 0").select("topic_id", "before", "head").unionByName(meets).select("topic_id", F.concat_ws(" ", "before", "head").alias("term"), F.lit(1).cast("long").alias("n"))
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """Rows of few files dealt over all cores, whose maps of terms stay small then; many partitions stay as they are."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(2 * cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def term_scores(rows: DataFrame, stop: list[str], min_df: int = 2, max_df: float = 0.95, min_posts: int = 1, bigrams: bool = True, across_posts: bool = True) -> DataFrame:
     """rows(topic_id, post_id, text) -> topic_id, term, n, tf, df, score.
 
@@ -64,7 +70,7 @@ def term_scores(rows: DataFrame, stop: list[str], min_df: int = 2, max_df: float
     if min_posts > 1:
         many = rows.groupBy("topic_id").agg(F.count("*").alias("m_")).where(F.col("m_") >= min_posts).select("topic_id")
         rows = rows.join(many, "topic_id", "left_semi")
-    rows = rows.select("topic_id", "post_id", words.alias("w"))
+    rows = _spread(rows.select("topic_id", "post_id", "text")).select("topic_id", "post_id", words.alias("w"))
     pairs = lambda w: F.zip_with(F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0))), F.slice(w, 2, F.greatest(F.size(w) - 1, F.lit(0))), lambda a, b: F.concat_ws(" ", a, b))
     counts = rows.select("topic_id", F.explode(F.concat("w", pairs(F.col("w"))) if bigrams else F.col("w")).alias("term")).groupBy("topic_id", "term").agg(F.count("*").alias("n"))
     if bigrams and across_posts:
