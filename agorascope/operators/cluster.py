@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import uuid
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from agorascope.functions import vectors
+from agorascope.operators import manifold
+from agorascope.sources import store
 
 
 def usable(rows: DataFrame, key: str = "post_id", vector: str = "embedding") -> DataFrame:
@@ -48,24 +50,23 @@ def project(rows: DataFrame, k: int, vector: str = "embedding", out: str = "proj
     return fitted.transform(held).withColumn(out, vector_to_array("p_")).drop("v_", "p_")
 
 
-def neighbour_pairs(rows: DataFrame, eps: float, key: str, vector: str) -> DataFrame:
+def neighbour_pairs(rows: DataFrame, eps: float, key: str, vector: str, axes: int = 3) -> DataFrame:
     """(a, b) of different rows within eps, both ways.
 
-    Vectors are dealt into cells of width eps along their two widest random directions; rows within eps lie in
-    neighbouring cells there, so every pair is found, and only neighbouring cells are compared."""
+    Vectors are dealt into cells of width eps along their widest directions, the principal axes; rows within eps lie in
+    neighbouring cells there, so every pair is found, and only neighbouring cells are compared. Vectors that hardly spread
+    (many dimensions, a wide eps) share few cells: project() them first. A full cell is one join key, whose partition AQE splits."""
     dim = rows.select(F.max(F.size(vector))).first()[0] or 1
-    r = np.random.Generator(np.random.PCG64(5)).normal(size=(2, dim))
-    r /= np.linalg.norm(r, axis=1, keepdims=True)
-    cell = [F.floor(vectors.dot(F.col(vector), F.array(*[F.lit(float(x)) for x in axis])) / eps).cast("long") for axis in r]
-    own = rows.select(F.col(key).alias("k"), F.col(vector).alias("v"), cell[0].alias("x"), cell[1].alias("y"))
-    around = [(i, j) for i in (-1, 0, 1) for j in (-1, 0, 1)]
-    spread = own.select(F.col("k").alias("b"), F.col("v").alias("w"), F.explode(F.array(*[F.struct((F.col("x") + i).alias("x"), (F.col("y") + j).alias("y")) for i, j in around])).alias("c")).select("b", "w", "c.*")
-    return own.join(spread, ["x", "y"]).where("k <> b").where(vectors.distance(F.col("v"), F.col("w")) <= eps).select(F.col("k").alias("a"), "b")
+    own = project(rows.select(F.col(key).alias("k"), F.col(vector).alias("v")), min(axes, dim), "v", "flat_")
+    own = own.select("k", "v", F.transform("flat_", lambda x: F.floor(x / eps).cast("long")).alias("cell"))
+    moves = [F.array(*[F.lit(m) for m in move]) for move in itertools.product((-1, 0, 1), repeat=min(axes, dim))]
+    spread = own.select(F.col("k").alias("b"), F.col("v").alias("w"), F.col("cell").alias("c_"), F.explode(F.array(*moves)).alias("m_")).select("b", "w", F.zip_with("c_", "m_", lambda c, m: c + m).alias("cell"))
+    return own.join(spread, "cell").where("k <> b").where(vectors.distance(F.col("v"), F.col("w")) <= eps).select(F.col("k").alias("a"), "b")
 
 
 def dbscan(rows: DataFrame, eps: float = 0.5, min_samples: int = 5, key: str = "post_id", vector: str = "embedding") -> DataFrame:
     """key, label: density clusters numbered by their smallest key; border rows join the smallest core near them; noise -1."""
-    pairs = _kept(neighbour_pairs(rows, eps, key, vector))
+    pairs = store.kept(neighbour_pairs(rows, eps, key, vector), "cluster")
     core = pairs.groupBy("a").agg(F.count("*").alias("n")).where(F.col("n") + 1 >= min_samples).select("a")
     if min_samples <= 1:
         core = rows.select(F.col(key).alias("a"))
@@ -78,24 +79,14 @@ def dbscan(rows: DataFrame, eps: float = 0.5, min_samples: int = 5, key: str = "
     return rows.select(key).join(labeled, key, "left").select(key, F.coalesce("label", F.lit(-1)).alias("label"))
 
 
-def _kept(df: DataFrame) -> DataFrame:
-    """The rows as a table in the shared folder, where one is named; else as they are."""
-    root = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        return df
-    path = f"{root}/cluster-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _components(nodes: DataFrame, arcs: DataFrame) -> DataFrame:
     """Smallest key reachable from each node, by rounds of min-labels with pointer jumps."""
-    labels, arcs = nodes.select("a", F.col("a").alias("comp")), _kept(arcs)
+    labels, arcs = nodes.select("a", F.col("a").alias("comp")), store.kept(arcs, "cluster")
     while True:
         heard = arcs.join(labels.toDF("b", "c"), "b").groupBy("a").agg(F.min("c").alias("h"))
         hop = labels.toDF("comp", "further")
         moved = labels.join(heard, "a", "left").join(hop, "comp", "left").select("a", F.least("comp", "h", "further").alias("next"), "comp")
-        moved = _kept(moved)
+        moved = store.kept(moved, "cluster")
         done = moved.where("next <> comp").isEmpty()
         labels = moved.select("a", F.col("next").alias("comp"))
         if done:
@@ -108,16 +99,20 @@ def hdbscan_labels(points: np.ndarray, min_cluster_size: int = 8, min_samples: i
     if n < max(2, min_cluster_size):
         return np.full(n, -1)
     sq = (points**2).sum(1)
-    dist = np.sqrt(np.maximum(sq[:, None] + sq - 2 * points @ points.T, 0))
-    core = np.sort(dist, axis=1)[:, min(k, n) - 1]
-    reach = np.maximum(np.maximum(dist, core[:, None]), core)
+
+    def distances(i: int, j: int) -> np.ndarray:
+        return np.sqrt(np.maximum(sq[i:j, None] + sq - 2 * points[i:j] @ points.T, 0))
+
+    # Distances are made block by block and row by row, so memory grows with the points and not with their pairs.
+    core = np.concatenate([np.partition(distances(i, i + 256), min(k, n) - 1, axis=1)[:, min(k, n) - 1] for i in range(0, n, 256)])
     # Prim's tree.
     seen, best, link = np.zeros(n, bool), np.full(n, np.inf), np.zeros(n, int)
     edges, at = [], 0
     for _ in range(n - 1):
         seen[at] = True
-        closer = ~seen & (reach[at] < best)
-        best[closer], link[closer] = reach[at][closer], at
+        reach = np.maximum(np.maximum(distances(at, at + 1)[0], core), core[at])
+        closer = ~seen & (reach < best)
+        best[closer], link[closer] = reach[closer], at
         at = int(np.argmin(np.where(seen, np.inf, best)))
         edges.append((best[at], link[at], at))
     edges.sort()
@@ -207,11 +202,12 @@ def hdbscan(rows: DataFrame, min_cluster_size: int = 8, min_samples: int | None
     return held.groupBy(F.lit("all")).applyInPandas(run, "key string, label int").withColumnRenamed("key", key)
 
 
-def cluster_posts(posts: DataFrame, method: str = "hdbscan", components: int = 50, prefix: str = "topic", after: int = 0, **options) -> DataFrame:
-    """post_id, label, topic_id, center_distance of posts with vectors: projected, clustered, named, measured."""
+def cluster_posts(posts: DataFrame, method: str = "hdbscan", components: int = 50, prefix: str = "topic", after: int = 0, reduce: str = "pca", **options) -> DataFrame:
+    """post_id, label, topic_id, center_distance of posts with vectors: projected (reduce: pca or umap), clustered, named, measured."""
     rows = usable(posts.select("post_id", "embedding"))
     dim = rows.select(F.max(F.size("embedding"))).first()[0] or 1
-    flat = project(rows, min(components, dim)).select("post_id", F.col("projected").alias("embedding"))
+    flat = manifold.umap(rows, components) if reduce == "umap" else project(rows, min(components, dim))
+    flat = flat.select("post_id", F.col("projected").alias("embedding"))
     found = (hdbscan if method == "hdbscan" else dbscan)(flat, **options)
     named = found.join(topic_names(found, prefix, after), "label", "left")
     return center_distances(flat.join(named, "post_id")).select("post_id", "label", F.coalesce("topic_id", F.lit("noise")).alias("topic_id"), "center_distance")

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from agorascope.functions.sequences import batch_number
+from agorascope.sources import store
 
 
 def next_fit(sizes: list[int], budget: int, most: int | None = None) -> list[int | None]:
@@ -49,30 +51,98 @@ def packed(rows: DataFrame, group: str, order: list[str], size: str, pack: Calla
     return rows.groupBy(group).applyInPandas(run, schema)
 
 
-def packed_in_order(rows: DataFrame, order: list[str], size: str, budget: int, most: int | None = None) -> DataFrame:
-    """Adds batch: next fit along one global order, range by range.
-
-    Each range partition starts a batch of its own, so all partitions work at once; a batch never spans two."""
-    schema = rows.withColumn("batch", F.lit("").cast("string")).schema
+def next_starts(sizes: np.ndarray, breaks: np.ndarray, budget: int, most: int | None) -> np.ndarray:
+    """For each item, where the next batch begins if one begins at the item. breaks: items that no batch may reach from before."""
+    n, total = len(sizes), np.concatenate(([0], np.cumsum(sizes)))
+    out = np.searchsorted(total, total[:-1] + budget, side="right") - 1
+    cuts = np.append(np.flatnonzero(breaks), n)
+    out = np.minimum(out, cuts[np.searchsorted(cuts, np.arange(n), side="right")])
+    return np.minimum(out, np.arange(n) + most) if most else out
+
+
+def summary(sizes: np.ndarray, budget: int, most: int | None, ends: bool) -> tuple:
+    """How a range of items changes any open batch: (first, shut, closed, batches, used, held).
+
+    An open batch takes p of the first items and a new one begins at p, with p at most what an empty batch takes. The
+    lists hold, for each such p, the batches begun and the tokens and count of the one left open. `first` are the sizes
+    of those items; shut and closed: whether the batch open before, or that left open, is ended by an item over the budget."""
+    fits = sizes <= budget
+    own = sizes[fits]
+    n, breaks = len(own), np.zeros(len(own), bool)
+    if ends and not fits.all():
+        over = np.cumsum(~fits)[fits]
+        breaks = np.diff(over, prepend=0) > 0
+    shut, closed = bool(n and breaks[0]), bool(ends and len(sizes) and not fits[-1])
+    if not n:
+        return [], closed, closed, [0], [0], [0]
+    starts, sums = next_starts(own, breaks, budget, most).tolist(), np.concatenate(([0], np.cumsum(own))).tolist()
+    begun, used, held = [0] * (n + 1), [0] * (n + 1), [0] * (n + 1)
+    for i in range(n - 1, -1, -1):
+        j = starts[i]
+        begun[i] = begun[j] + 1
+        used[i], held[i] = (used[j], held[j]) if j < n else (0, 0) if closed else (sums[n] - sums[i], n - i)
+    last = starts[0]
+    return own[:last].tolist(), shut, closed, begun[: last + 1], used[: last + 1], held[: last + 1]
+
+
+def entered(parts: list[tuple], budget: int, most: int | None) -> list[tuple[int, int, int, int]]:
+    """(part, batches begun before, tokens and count of the batch open there) from (part, *summary) in order."""
+    out, batches, used, held = [], 0, 0, 0
+    for part, first, shut, closed, begun, left, count in parts:
+        out.append((part, batches, used, held))
+        p, u, h = 0, used, held
+        if held and not shut:
+            while p < len(first) and u + first[p] <= budget and not (most and h >= most):
+                p, u, h = p + 1, u + first[p], h + 1
+        if begun[p]:
+            batches, used, held = batches + begun[p], left[p], count[p]
+        else:
+            used, held = (0, 0) if closed else (u, h)
+    return out
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyspark import TaskContext
 
-        here, batch, used, count = TaskContext.get().partitionId(), 0, 0, 0
-        for part in parts:
-            names = []
-            for s in part[size].tolist():
+def packed_in_order(rows: DataFrame, order: list[str], size: str, budget: int, most: int | None = None, ends: bool = False) -> DataFrame:
+    """Adds batch, numbered from 0: next fit along one global order; items over the budget or without a size get no batch
+    and are left out, and end the open batch if `ends`.
+
+    Rows are sorted by ranges into a table. Each range says how it changes any open batch (a summary as long as one batch
+    has items); these few rows are composed in order on the driver, and then all ranges are packed at once, each from the
+    batch that is open where it begins. Batches do not depend on the number of ranges. Ties keep the table's order."""
+    spark = rows.sparkSession
+    held = rows.where(F.col(size).isNotNull() if ends else F.col(size) <= budget).repartitionByRange(*order).sortWithinPartitions(*order)
+    table = store.kept(held.withColumn("at_", F.monotonically_increasing_id()).withColumn("part_", F.shiftright("at_", 33)), "packed")
+
+    def summed(part: pd.DataFrame) -> pd.DataFrame:
+        got = summary(part.sort_values("at_")["n_"].to_numpy(), budget, most, ends)
+        return pd.DataFrame([(part["part_"].iloc[0], *got)], columns=["part_", "first", "shut", "closed", "begun", "used", "held"])
+
+    narrow = table.select("part_", "at_", F.col(size).cast("long").alias("n_"))
+    sums = narrow.groupBy("part_").applyInPandas(summed, "part_ long, first array<long>, shut boolean, closed boolean, begun array<long>, used array<long>, held array<long>")
+    begins = entered(sorted(tuple(r) for r in sums.collect()), budget, most)
+    begins = spark.createDataFrame(begins, "part_ long, b_ long, u_ long, h_ long")
+    schema = rows.withColumn("batch", F.lit(None).cast("long")).schema
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        here, batch, used, count = None, 0, 0, 0
+        for frame in frames:
+            own = []
+            for s, part, b, u, h in zip(*(frame[c].tolist() for c in (size, "part_", "b_", "u_", "h_")), strict=True):
+                if part != here:
+                    here, batch, used, count = part, b - 1, u, h
                 if s > budget:
-                    names.append(None)
-                    continue
-                if count and (used + s > budget or (most and count >= most)):
-                    batch, used, count = batch + 1, 0, 0
-                names.append(f"{here:05d}-{batch:07d}")
-                used, count = used + s, count + 1
-            part = part.assign(batch=names)
-            yield part[part["batch"].notna()]
-
-    return rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInPandas(run, schema)
+                    used, count = 0, 0
+                    own.append(None)
+                elif not count or used + s > budget or (most and count >= most):
+                    batch, used, count = batch + 1, s, 1
+                    own.append(batch)
+                else:
+                    used, count = used + s, count + 1
+                    own.append(batch)
+            frame = frame.drop(columns=["at_", "part_", "b_", "u_", "h_"]).assign(batch=pd.array(own, dtype="Int64"))
+            yield frame[frame["batch"].notna()]
+
+    # One row per range, so the side that is broadcast does not grow with the rows of a range.
+    return table.join(F.broadcast(begins), "part_").repartition("part_").sortWithinPartitions("part_", "at_").mapInPandas(run, schema)
 
 
 def by_count(rows: DataFrame, group: str, order: list[str], most: int) -> DataFrame:

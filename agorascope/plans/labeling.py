@@ -17,6 +17,8 @@ from agorascope.operators import packing, sampling, sets
 Model = Callable[[str], str]
 LABEL = "post_id string, comment_id string, sentiment string, stance string, confidence double, rationale string"
 TOPIC = "topic_id string, chunk_id int, topic_name string, topic_description string, confidence double, representative_indices array<int>"
+#: Fixed value: what stands between the chunks of a prompt.
+BETWEEN = "\n\n---\n\n"
 RATING = "post_id string, matches boolean, fit_score double, rationale string, better_topic_name string, better_topic_description string"
 
 
@@ -102,10 +104,11 @@ def stance_requests(exported: DataFrame, template: str, budget: int = 100_000, m
     each = each.select("post_id", "post_text", "i", "z.c.comment_id", "z.c.comment_text", "z.batch").where("batch is not null")
     batches = each.groupBy("post_id", "batch").agg(F.first("post_text").alias("post_text"), F.sort_array(F.collect_list(F.struct("i", "comment_id", "comment_text"))).alias("c"))
     rows = batches.select("post_id", "batch", written(F.transform("c", said)).alias("entry"), F.transform("c", lambda c: c["comment_id"]).alias("ids"))
-    # A batch that fits by its own prompt is never over the limit here, where the template is rounded apart.
-    limit = max(1, budget - max(1, -(-len(template) // 4)))
-    rows = rows.withColumnRenamed("batch", "part").withColumn("tokens", F.least(text.estimate_tokens(F.col("entry")), F.lit(limit)))
-    rows = packing.packed_in_order(rows, ["post_id", "part"], "tokens", limit, most_batches)
+    # The prompt of some entries: the template, two brackets, and per entry its text and all but once a comma.
+    places = template.count(place)
+    whole = (4 * budget - len(template.replace(place, ""))) // max(1, places) - 1
+    rows = rows.withColumnRenamed("batch", "part").withColumn("chars", F.length("entry") + 1 if places else F.lit(0))
+    rows = packing.packed_in_order(rows, ["post_id", "part"], "chars", whole, most_batches, ends=True)
     found = rows.groupBy(F.col("batch").alias("request")).agg(F.sort_array(F.collect_list(F.struct("post_id", "part", "entry"))).alias("e"), F.flatten(F.collect_list("ids")).alias("comment_ids"))
     body = F.concat(F.lit("["), F.array_join("e.entry", ","), F.lit("]"))
     return found.select("request", text.render(template, place, body).alias("prompt"), "comment_ids")
@@ -137,9 +140,11 @@ def label_chunks(posts: DataFrame, terms: DataFrame, near: int = 20, far: int =
 def label_topics(chunks: DataFrame, model: Model, template: str = "{{CHUNKS}}", budget: int = 30_000, most: int = 3, passes: int = 2) -> DataFrame:
     """Results per chunk; chunks that a reply leaves out are asked for again, up to `passes` times. Few rows: topics, not posts."""
     left, done = chunks.select("topic_id", "chunk_id", "block"), None
+    room = 4 * budget - len(template.replace("{{CHUNKS}}", "")) + len(BETWEEN)
     for turn in range(1, passes + 1):
-        rows = packing.packed_in_order(left.withColumn("tokens", text.estimate_tokens(F.col("block"))), ["topic_id", "chunk_id"], "tokens", budget, most)
-        calls = rows.groupBy("batch").agg(text.render(template, "{{CHUNKS}}", F.array_join(F.sort_array(F.collect_list("block")), "\n\n")).alias("prompt"))
+        rows = packing.packed_in_order(left.withColumn("chars", F.length("block") + len(BETWEEN)), ["topic_id", "chunk_id"], "chars", room, most, ends=True)
+        blocks = F.transform(F.sort_array(F.collect_list(F.struct("topic_id", "chunk_id", "block"))), lambda c: c["block"])
+        calls = rows.groupBy("batch").agg(text.render(template, "{{CHUNKS}}", F.array_join(blocks, BETWEEN)).alias("prompt"))
         parsed = ask(calls, model).select("batch", F.explode(jsontext.rows_of(F.col("reply"), f"struct<{TOPIC.replace(', ', ',').replace(' ', ':')}>")).alias("r")).select(F.col("batch").alias("order_"), "r.*")
         own = sets.with_results(left.select("topic_id", "chunk_id"), parsed, ["topic_id", "chunk_id"], "order_").withColumn("turn", F.lit(turn))
         done = own if done is None else done.unionByName(own)
@@ -175,8 +180,10 @@ def splitting(items: list, attempt: Callable[[list], list | None], depth: int =
 def rate(posts: DataFrame, model: Model, template: str = "{{POSTS_JSON}}", budget: int = 8_000, most: int = 20) -> DataFrame:
     """Ratings of topic names per post, from batches under a token budget; oversized entries are left out."""
     entry = F.to_json(F.struct("post_id", "topic_name", "topic_description", "text"))
-    rows = posts.select("post_id", entry.alias("entry")).withColumn("tokens", text.estimate_tokens(F.col("entry")))
-    rows = packing.packed_in_order(rows, ["post_id"], "tokens", budget, most)
+    rows = posts.select("post_id", entry.alias("entry")).withColumn("chars", F.length("entry") + 1)
+    # What the template leaves of the budget, as characters of the list between its brackets.
+    empty = max(1, -(-len(template.replace("{{POSTS_JSON}}", "[]")) // 4))
+    rows = packing.packed_in_order(rows, ["post_id"], "chars", 4 * (budget - empty + 1) - 1, most)
     calls = rows.groupBy("batch").agg(text.render(template, "{{POSTS_JSON}}", F.concat(F.lit("["), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("post_id", "entry"))), lambda s: s["entry"]), ","), F.lit("]"))).alias("prompt"))
     replies = ask(calls, model)
     return replies.select(F.explode(F.from_json(jsontext.loose_json(F.col("reply")), f"array<struct<{RATING.replace(', ', ',').replace(' ', ':')}>>")).alias("r")).select("r.*")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from agorascope.functions import labels, sequences, text, timeutil, vectors
-from agorascope.operators import cluster, ctfidf, ingest, merge, packing, quality, sampling, sets, weights
+from agorascope.operators import cluster, ctfidf, ingest, manifold, merge, packing, quality, sampling, sets, weights
 from agorascope.plans import labeling
 from agorascope.queries.base import COMMENTS, distribution, r, rounded, sql
 from agorascope.sources import scan, tables
@@ -372,6 +372,12 @@ def hdbscan_clusters(spark, sf_dir):
     return cluster.hdbscan(cluster.usable(tables.vectors(spark, sf_dir)))
 
 
+@query()
+def umap_vectors(spark, sf_dir):
+    """Two coordinates of each vector, held against its neighbourhoods in tests."""
+    return manifold.umap(cluster.usable(tables.vectors(spark, sf_dir)), 2).select("post_id", F.round(F.col("projected")[0], 4).alias("x"), F.round(F.col("projected")[1], 4).alias("y"))
+
+
 @query()
 def projected_vectors(spark, sf_dir):
     return cluster.project(cluster.usable(tables.vectors(spark, sf_dir)), 2).select("post_id", F.round(F.abs(F.col("projected")[0]), 4).alias("x"), F.round(F.abs(F.col("projected")[1]), 4).alias("y"))
@@ -419,6 +425,18 @@ def next_fit_batches(spark, sf_dir):
     return packing.packed(_sized(spark, sf_dir), "post_id", ["seq"], "tokens", lambda s: packing.next_fit(s, 400, 4))
 
 
+@query("""WITH RECURSIVE s AS (SELECT conv_id, turn, row_number() OVER (ORDER BY CAST(conv_id AS VARCHAR), turn) AS n, greatest(1, CAST(ceil(length(coalesce(text, '')) / 4.0) AS BIGINT)) AS size FROM conversations),
+  f AS (SELECT CAST(0 AS BIGINT) AS n, CAST(-1 AS BIGINT) AS batch, CAST(0 AS BIGINT) AS used, 0 AS held, false AS fits
+  UNION ALL SELECT s.n, CASE WHEN s.size <= 300 AND (f.held = 0 OR f.used + s.size > 300 OR f.held >= 6) THEN f.batch + 1 ELSE f.batch END,
+    CASE WHEN s.size > 300 THEN 0 WHEN f.held = 0 OR f.used + s.size > 300 OR f.held >= 6 THEN s.size ELSE f.used + s.size END,
+    CASE WHEN s.size > 300 THEN 0 WHEN f.held = 0 OR f.used + s.size > 300 OR f.held >= 6 THEN 1 ELSE f.held + 1 END, s.size <= 300
+  FROM f JOIN s ON s.n = f.n + 1)
+SELECT CAST(s.conv_id AS VARCHAR) AS post_id, s.turn AS seq, s.size AS tokens, f.batch FROM f JOIN s ON f.n = s.n WHERE f.fits""")
+def next_fit_over_all(spark, sf_dir):
+    """One run of batches over all rows, whatever their post; rows over the budget end the open batch."""
+    return packing.packed_in_order(_sized(spark, sf_dir), ["post_id", "seq"], "tokens", 300, 6, ends=True)
+
+
 @query(f"""WITH RECURSIVE {SIZED}, f AS (SELECT g, n, 50 + CASE WHEN 50 + size <= 600 THEN size ELSE 0 END AS used, 50 + size <= 600 AS fits FROM s WHERE n = 1
   UNION ALL SELECT s.g, s.n, f.used + CASE WHEN f.used + s.size <= 600 THEN s.size ELSE 0 END, f.used + s.size <= 600 FROM f JOIN s ON s.g = f.g AND s.n = f.n + 1)
 SELECT f.g AS post_id, s.turn AS seq, s.size AS tokens, 0::BIGINT AS batch FROM f JOIN s ON f.g = s.g AND f.n = s.n WHERE f.fits""")

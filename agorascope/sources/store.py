@@ -48,3 +48,10 @@ def landed(spark: SparkSession, name: str, source: str, size: int, key: str, bui
         rows.write.option("path", f"{shared_dir(spark)}/{table}").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
         _landed[held] = table
     return spark.table(_landed[held])
+
+
+def kept(rows: DataFrame, name: str) -> DataFrame:
+    """The rows as a table of their own in the shared folder: what follows reads it and does not compute them anew."""
+    path = f"{shared_dir(rows.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

@@ -4,7 +4,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from agorascope.operators import cluster, ctfidf, ingest, merge, packing, quality, sampling, sets
+from agorascope.operators import cluster, ctfidf, ingest, manifold, merge, packing, quality, sampling, sets
 from agorascope.plans import labeling, runner
 
 
@@ -32,10 +32,99 @@ def test_first_fit_skip():
     assert packing.first_fit_skip([5, 9, 3, 2], 10) == [0, None, 0, 0] and packing.first_fit_skip([5], 10, 6) == [None]
 
 
-def test_packed_in_order(spark):
-    rows = spark.createDataFrame([(i, 1 + i % 7) for i in range(200)] + [(999, 50)], "k long, n long")
-    got = packing.packed_in_order(rows, ["k"], "n", 20, 5).groupBy("batch").agg(F.sum("n").alias("s"), F.count("*").alias("c"), F.min("k").alias("a"), F.max("k").alias("z")).collect()
-    assert all(r.s <= 20 and r.c <= 5 and r.z - r.a == r.c - 1 for r in got) and sum(r.c for r in got) == 200
+def folded(sizes, budget, most, ends):
+    """Next fit in one pass, by its definition."""
+    out, batch, used, count = [], -1, 0, 0
+    for s in sizes:
+        if s is None or s > budget:
+            used, count = (0, 0) if ends and s is not None else (used, count)
+            out.append(None)
+        elif not count or used + s > budget or (most and count >= most):
+            batch, used, count = batch + 1, s, 1
+            out.append(batch)
+        else:
+            used, count = used + s, count + 1
+            out.append(batch)
+    return out
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 12), max_size=9), max_size=6), st.integers(1, 10), st.sampled_from([None, 1, 2, 5]), st.booleans())
+def test_ranges_compose(ranges, budget, most, ends):
+    """Packing every range from the batch open where it begins is packing all in one pass."""
+    sums = [(i, *packing.summary(np.array([s for s in part if ends or s <= budget], int), budget, most, ends)) for i, part in enumerate(ranges)]
+    entered = packing.entered(sums, budget, most)
+    whole, at = folded([s for part in ranges for s in part], budget, most, ends), 0
+    for (_, batches, _, _), part in zip(entered, ranges, strict=True):
+        begun = [b for b in whole[:at] if b is not None]
+        assert batches == (max(begun) + 1 if begun else 0)
+        at += len(part)
+
+
+@pytest.mark.parametrize("ends", [False, True])
+@pytest.mark.parametrize("parts", [1, 7])
+def test_packed_in_order(spark, ends, parts):
+    sizes = [1 + (i * i) % 7 for i in range(200)] + [50, 3, None, 4, 50]
+    rows = spark.createDataFrame(list(enumerate(sizes)), "k long, n long")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        got = {r.k: r.batch for r in packing.packed_in_order(rows, ["k"], "n", 20, 5, ends).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got == {k: b for k, b in enumerate(folded(sizes, 20, 5, ends)) if b is not None}
+
+
+def kept_neighbours(points, placed, k=15):
+    """The share of each point's nearest that are its nearest in the layout as well."""
+    near, _ = manifold.nearest(manifold.unit(points), manifold.unit(points), k + 1)
+    far = ((placed[:, None] - placed[None]) ** 2).sum(-1)
+    return np.mean([len(set(a) & set(b)) / (k + 1) for a, b in zip(near, np.argsort(far, 1)[:, : k + 1], strict=True)])
+
+
+def test_umap(spark):
+    r = np.random.default_rng(3)
+    groups = [r.normal(0, 1, 16) for _ in range(3)]
+    points = np.vstack([g + r.normal(0, 0.15, (80, 16)) for g in groups] + [groups[0][None], groups[0][None], np.zeros((1, 16))])
+    rows = spark.createDataFrame([(f"{i:03d}", p.tolist(), "x") for i, p in enumerate(points)], "post_id string, embedding array<double>, more string")
+    for sample in (4_000, 120):
+        found = manifold.umap(rows, 2, sample=sample, epochs=100)
+        assert found.columns == ["post_id", "embedding", "more", "projected"]
+        got = {x.post_id: x.projected for x in found.collect()}
+        again = {x.post_id: x.projected for x in manifold.umap(rows.repartition(5), 2, sample=sample, epochs=100).collect()}
+        assert set(got) == set(again) and all(got[i] == pytest.approx(again[i], abs=1e-9) for i in got)
+        y = np.array([got[f"{i:03d}"] for i in range(len(points))])
+        assert np.isfinite(y).all()
+        middles = [y[i * 80 : (i + 1) * 80].mean(0) for i in range(3)]
+        nearest = np.argmin([((y[:240] - m) ** 2).sum(1) for m in middles], axis=0)
+        assert (nearest == np.repeat([0, 1, 2], 80)).mean() > 0.98
+    assert [x.projected for x in manifold.umap(rows.limit(1), 3).collect()] == [[0.0] * 3]
+    assert manifold.umap(rows.where("false"), 3).collect() == []
+    assert all(np.isfinite(x.projected).all() for x in manifold.umap(rows.limit(2), 2, epochs=20).collect())
+
+
+def test_umap_keeps_more_neighbours_than_axes(spark, small):
+    rows = spark.read.parquet(f"{small}/embeddings.parquet").select(F.col("vec_id").cast("string").alias("post_id"), "embedding")
+    got = cluster.project(manifold.umap(cluster.usable(rows)), 2, out="flat").collect()
+    points, placed, flat = (np.array([x[c] for x in got], float) for c in ("embedding", "projected", "flat"))
+    assert kept_neighbours(points, placed) > 1.5 * kept_neighbours(points, flat)
+
+
+def test_neighbour_pairs_are_all(spark):
+    r = np.random.default_rng(4)
+    for dim in (1, 2, 6):
+        points = r.normal(0, 1, (60, dim))
+        rows = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "k long, v array<double>")
+        want = {(i, j) for i in range(60) for j in range(60) if i != j and np.linalg.norm(points[i] - points[j]) <= 0.7}
+        got = [tuple(x) for x in cluster.neighbour_pairs(rows, 0.7, "k", "v").collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_packed_in_order_empty(spark):
+    rows = spark.createDataFrame([], "k long, n long")
+    assert packing.packed_in_order(rows, ["k"], "n", 20).collect() == []
 
 
 def test_upsert(spark):

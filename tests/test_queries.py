@@ -41,7 +41,7 @@ def test_without_sql(spark):
     import numpy as np
 
     rows = lambda name: catalog.QUERIES[name](spark, SMALL).collect()
-    assert set(catalog.QUERIES) - set(catalog.ORACLES) == {"q13_snapshot", "random_rows", "hdbscan_clusters", "projected_vectors", "embedded_texts"}
+    assert set(catalog.QUERIES) - set(catalog.ORACLES) == {"q13_snapshot", "random_rows", "hdbscan_clusters", "projected_vectors", "umap_vectors", "embedded_texts"}
     snapshot = {r["name"]: (r["rows"], json.loads(r["document"])) for r in rows("q13_snapshot")}
     assert len(snapshot) == 13 and all(n == len(d) for n, d in snapshot.values())
     posts = catalog.QUERIES["q6_opinion_map_posts_all"](spark, SMALL).collect()
@@ -57,6 +57,8 @@ def test_without_sql(spark):
     _, _, axes = np.linalg.svd(x - x.mean(0), full_matrices=False)
     want = dict(zip(keys, np.abs(x @ axes[:2].T).round(4).tolist(), strict=True))
     assert all([r.x, r.y] == pytest.approx(want[r.post_id], abs=2e-3) for r in rows("projected_vectors"))
+    placed = {r.post_id: (r.x, r.y) for r in rows("umap_vectors")}
+    assert set(placed) == set(vectors) and np.isfinite(list(placed.values())).all()
     texts = {str(r.doc_id): r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
     embedded = rows("embedded_texts")
     assert {r.post_id for r in embedded} == {k for k, t in texts.items() if (t or "").split()} and all(r["size"] == 16 and r.norm in (0.0, 1.0) for r in embedded)
