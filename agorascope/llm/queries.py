@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agorascope.llm import chat, decontaminate, fst_count, html_extract, jaccard_join, packing, pii, quality, rans_store, warc
+from agorascope.llm import chat, decontaminate, filter_audit, fst_count, html_extract, jaccard_join, packing, pii, quality, rans_store, simhash_ball, vector_codes, warc
 from agorascope.llm.staging import Stage
 
 
@@ -68,7 +68,19 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.pages(warc.read_chunks(manifest, with_data=False))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality, op2_chat, op3_pack, op4_decontaminate, op5_html, op6_ngram_jaccard, op7_pii, op8_token_count, op9_token_store, op10_warc)}
+def op11_simhash_ball(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_ball.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality, op2_chat, op3_pack, op4_decontaminate, op5_html, op6_ngram_jaccard, op7_pii, op8_token_count, op9_token_store, op10_warc, op11_simhash_ball, op12_filter_audit, op13_vector_codes)}
 
 ORACLES: dict[str, str] = {
     "op2_chat": r"""
@@ -94,4 +106,6 @@ SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
   CAST(sum(chars) AS BIGINT) AS formatted_chars
 FROM n GROUP BY conv_id
 """,
+    "op12_filter_audit": filter_audit.SQL,
+    "op13_vector_codes": vector_codes.sql(),
 }
