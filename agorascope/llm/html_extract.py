@@ -2,8 +2,11 @@
 
 A page becomes blocks of text, each with the path of block tags from the root. Text length outside links and punctuation
 are summed per path and set against its number of nodes; the two ratios are smoothed along the page over blocks near each
-other in the tree, fused, and weighted by a prior for elements that are seldom part of an article (menus, footers, forms, class names
-of adverts or comments). The threshold that separates the page's positive scores best, by the variance between the two
+other in the tree, fused, and weighted by a prior for elements that are seldom part of an article (menus, footers, forms, elements
+whose class or id is nothing but words for adverts, comments and the like). A name that holds such a word beside others (share-price)
+halves the weight and no more. Where an <article>, or else a <main>, holds text outside links, what lies outside it weighs
+as little as a menu, however dense it is: so comments below an article that say more than its paragraphs do not take its
+place. The threshold that separates the page's positive scores best, by the variance between the two
 sides, chooses paths; their blocks are content nodes. The deepest element that holds nearly all their score is the article: its
 other blocks belong to it too (headings, captions, lists), but for what the prior speaks against. Outside it, content nodes
 stay, and so do headings right above them. Where the article's element is the whole page, other blocks stay only between
@@ -45,6 +48,8 @@ OUTSIDE = {"nav", "footer", "aside", "form", "button", "menu", "dialog", "fields
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "alertdialog", "menu", "menubar", "toolbar", "tablist"}
 #: Words in class or id that mark what is no part of an article.
 MARKS = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "adsense", "sponsor", "sponsored", "sponsors", "promo", "promotion", "promoted", "banner", "cookie", "cookies", "consent", "gdpr", "notice", "notices", "alert", "popup", "modal", "overlay", "newsletter", "subscribe", "subscription", "signup", "login", "signin", "paywall", "sidebar", "sidebars", "aside", "rail", "menu", "menus", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "footer", "masthead", "topbar", "toolbar", "comment", "comments", "commentlist", "disqus", "replies", "reply", "respond", "responses", "related", "recommended", "recommendations", "share", "sharing", "social", "widget", "widgets", "pagination", "pager", "search", "outbrain", "taboola", "tags", "toc", "skip", "hidden", "copyright", "disclaimer", "sitemap"}
+#: Words that class names are built with and that say nothing of what an element holds.
+PLAIN = {"list", "item", "items", "box", "block", "blocks", "container", "wrapper", "wrap", "area", "section", "inner", "outer", "bar", "button", "buttons", "btn", "link", "links", "icon", "icons", "form", "top", "bottom", "left", "right", "header", "head", "title", "content", "body", "text", "slot", "unit", "panel", "module", "row", "col", "column", "primary", "secondary", "main", "site", "page", "global", "mobile", "desktop", "inline", "sticky", "fixed", "article", "story", "post", "posts", "entry", "news", "blog", "user", "reader", "readers", "group", "grid", "card", "cards", "thread", "feed", "count", "tools", "media", "message", "wrapper", "holder", "placeholder", "google", "facebook", "twitter", "whatsapp", "email", "mail", "all", "more", "you", "may", "like", "the", "and", "web", "elementor", "bootstrap", "nested"}
 #: Openings of class names that tell a state or category, and what an article element is called that is not the article.
 STATES = {"has", "no", "with", "without", "is", "tag", "category", "type", "status", "format", "js", "layout", "page", "single"}
 OTHER_ARTICLE = {"comment", "comments", "reply", "ad", "ads", "advert", "advertisement", "promo", "promoted", "sponsored", "related", "recommended", "teaser"}
@@ -52,50 +57,60 @@ WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 PUNCTUATION = re.compile(r"[.,;:!?。，；：！？、…]")
 SPACES = re.compile(r"\s+")
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
-#: Weight of the prior against an element; width of the smoothing, and how fast it falls off in the tree; share of the content's score that the article holds.
-PRIOR, SMOOTH, NEAR, HOLD = 0.05, 1.0, 4, 0.8
+#: Weight of the prior against an element, of a doubtful name, and the least share of a page's text that a named article has,
+#: and one of several paragraphs; width of the smoothing, and how fast it falls off in the tree; share of the content's score that the article holds.
+PRIOR, DOUBT, NAMED, LONG_NAMED = 0.05, 0.5, 0.04, 0.01
+SMOOTH, NEAR, HOLD = 1.0, 4, 0.8
 #: Elements too small to be an article.
 PARTS = HEADINGS | {"p", "li", "td", "th", "tr", "tbody", "thead", "tfoot", "dd", "dt", "pre", "blockquote", "ul", "ol", "dl", "table", "caption", "figcaption"}
 WHOLE = {"#", "html", "body"}
 
 
 class Element:
-    """`out` counts the elements, from the root to this one, that the prior speaks against; `path` numbers its block tags."""
+    """`out` counts the elements, from the root to this one, that the prior speaks against, `doubt` those of a doubtful name;
+    `path` numbers its block tags."""
 
-    __slots__ = ("tag", "parent", "number", "depth", "path", "out", "linked", "hidden", "in_article", "paragraph")
+    __slots__ = ("tag", "parent", "number", "depth", "path", "out", "doubt", "linked", "hidden", "in_article", "paragraph")
 
     def __init__(self, tag: str, parent, number: int, path: int):
         self.tag, self.parent, self.number, self.path = tag, parent, number, path
-        self.out, self.linked, self.hidden, self.in_article, self.paragraph, self.depth = 0, False, False, tag in ("article", "main"), None, 0
+        self.out, self.doubt, self.linked, self.hidden, self.in_article, self.paragraph, self.depth = 0, 0, False, False, tag in ("article", "main"), None, 0
         if parent is not None:
+            self.doubt = parent.doubt
             self.out, self.linked, self.hidden, self.in_article = parent.out, parent.linked or tag == "a", parent.hidden or tag in HIDDEN, parent.in_article or self.in_article
             # The open paragraph that a block would end.
             self.paragraph = self if tag == "p" else None if tag in SCOPE else parent.paragraph
             self.depth = parent.depth + (tag in BLOCKS)
 
 
-def _marks(tag: str, words: list[str]) -> bool:
-    """Whether the words of a class or id name what is no part of an article; states and categories do not."""
+def _marks(tag: str, words: list[str]) -> float:
+    """How far the words of a class or id name what is no part of an article: 1 where they say nothing else, DOUBT where such
+    a word opens or ends them beside others, 0 if none does. States and categories do not count."""
     if not words or words[0] in STATES:
-        return False
-    return not OTHER_ARTICLE.isdisjoint(words) if tag == "article" else words[0] in MARKS or words[-1] in MARKS
+        return 0
+    if tag == "article":
+        return float(not OTHER_ARTICLE.isdisjoint(words))
+    if words[0] not in MARKS and words[-1] not in MARKS:
+        return 0
+    return 1 if all(w in MARKS or w in PLAIN or len(w) <= 2 for w in words) and not {"of", "in", "to", "on", "at", "by"} & set(words) else DOUBT
 
 
-def _traits(tag: str, attributes: str, parent: Element) -> tuple[bool, bool]:
-    """Whether the prior speaks against an element, and whether a browser would not show it."""
+def _traits(tag: str, attributes: str, parent: Element) -> tuple[float, bool]:
+    """How far the prior speaks against an element (1, DOUBT or 0), and whether a browser would not show it."""
     if tag in OUTSIDE or (tag == "header" and not parent.in_article):
-        return True, False
+        return 1, False
     if not attributes or tag in ("html", "body", "main"):
-        return False, False
+        return 0, False
+    against = 0.0
     for m in ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
-        if name in ("class", "id") and any(_marks(tag, [w.lower() for w in WORD.findall(v)]) for v in value.split()):
-            return True, False
+        if name in ("class", "id"):
+            against = max([against, *(_marks(tag, [w.lower() for w in WORD.findall(v)]) for v in value.split())])
         if name == "role" and value.lower() in ROLES and tag != "article":
-            return True, False
+            against = 1
         if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
-            return False, True
-    return False, False
+            return 0, True
+    return against, False
 
 
 class Tags:
@@ -225,7 +240,7 @@ def blocks(page: str) -> tuple[list[Element], list[tuple[Element, str, int]]]:
         path = paths.setdefault((here.path, tag), len(paths) + 1) if tag in BLOCKS else here.path
         e = Element(tag, here, len(elements), path)
         against, unseen = _traits(tag, attributes, here)
-        e.out, e.hidden = e.out + against, e.hidden or unseen
+        e.out, e.doubt, e.hidden = e.out + (against == 1), e.doubt + (against == DOUBT), e.hidden or unseen
         elements.append(e)
         opened[tag] = opened.get(tag, 0) + 1
         here = e
@@ -244,12 +259,35 @@ def _nearness(a: Element, b: Element) -> float:
     return (a.depth + 1) / (longer + 1)
 
 
-def scores(found: list[tuple[Element, str, int]]) -> list[float]:
-    """The fused and smoothed ratio of each block's tag path, weighted by the prior; the mean over the path's blocks."""
-    sums: dict[tuple, list] = {}
-    # Elements that the prior speaks against, more than against the whole page, do not share sums with others of their path.
+def named_article(elements: list[Element], found: list[tuple[Element, str, int]]) -> set[int]:
+    """Numbers of the <article> with most text outside links, or else the <main>, and of what it holds; with it go others of
+    its kind beside it. Empty if the page has none that the prior does not speak against, or none with enough text."""
     base = min(e.out for e, _, _ in found)
-    paths = [(e.path, e.out > base) for e, _, _ in found]
+    own, many, said = [0] * len(elements), [0] * len(elements), 0
+    for e, text, linked in found:
+        if e.out == base:
+            said += max(0, len(text) - linked)
+            if e.tag not in HEADINGS:
+                own[e.number] += max(0, len(text) - linked)
+                many[e.number] += 2 * linked < len(text)
+    for e in reversed(elements[1:]):
+        own[e.parent.number] += own[e.number]
+        many[e.parent.number] += many[e.number]
+    for tag in ("article", "main"):
+        some = [e for e in elements if e.tag == tag and e.out == base and own[e.number] and own[e.number] >= (NAMED if many[e.number] < 2 else LONG_NAMED) * said]
+        if some:
+            best = max(some, key=lambda e: (own[e.number], -e.number))
+            held = {e.number for e in some if e.parent is best.parent and e.path == best.path}
+            for e in elements[1:]:
+                if e.parent.number in held:
+                    held.add(e.number)
+            return held
+    return set()
+
+
+def ratios(found: list[tuple[Element, str, int]], paths: list[tuple]) -> list[float]:
+    """The two ratios of each block's tag path, length and punctuation to nodes, smoothed and fused."""
+    sums: dict[tuple, list] = {}
     for p, (_, text, linked) in zip(paths, found, strict=True):
         s = sums.setdefault(p, [0, 0, 0])
         s[0] += max(0, len(text) - linked)
@@ -266,12 +304,21 @@ def scores(found: list[tuple[Element, str, int]]) -> list[float]:
             out.append((v + (before * x[i - 1] if i else 0.0) + (after * x[i + 1] if i < len(weight) else 0.0)) / (1 + before + after))
         return out
 
-    # Where a block says nothing itself, the neighbours' ratios do not lift it. A path's blocks stand or fall together.
-    fused = [math.sqrt(a * (1 + b)) * (PRIOR if e.out > base else 1.0) if n else 0.0 for a, b, n, (e, _, _) in zip(smooth(length), smooth(points), length, found, strict=True)]
-    means: dict[tuple, float] = {}
+    # Where a block says nothing itself, the neighbours' ratios do not lift it.
+    return [math.sqrt(a * (1 + b)) if n else 0.0 for a, b, n in zip(smooth(length), smooth(points), length, strict=True)]
+
+
+def scores(found: list[tuple[Element, str, int]]) -> list[float]:
+    """Each block's ratio weighted by the prior; the mean over the path's blocks, which stand or fall together."""
+    # Elements that the prior speaks against, more than against the whole page, do not share sums with others of their path.
+    base = min(e.out for e, _, _ in found)
+    paths = [(e.path, e.out > base, e.doubt > 0) for e, _, _ in found]
+    fused = [r * (PRIOR if e.out > base else DOUBT if e.doubt else 1.0) for r, (e, _, _) in zip(ratios(found, paths), found, strict=True)]
+    sums: dict[tuple, list] = {}
     for p, r in zip(paths, fused, strict=True):
-        means[p] = means.get(p, 0.0) + r / sums[p][2]
-    return [means[p] for p in paths]
+        s = sums.setdefault(p, [0.0, 0])
+        s[0], s[1] = s[0] + r, s[1] + 1
+    return [sums[p][0] / sums[p][1] for p in paths]
 
 
 def threshold(ratio: list[float]) -> float:
@@ -303,6 +350,14 @@ def main_text(page: str | None) -> str:
     levels = {e.out for e, _, _ in found}
     if levels == {1} and not any(a.tag == "form" for a in _ancestors(found[0][0])):
         return ""
+    named = named_article(elements, found)
+    if named:
+        least, first = min(levels), min(named)
+        roots = {elements[n].parent for n in named if elements[n].parent.number not in named}
+        for e in elements:
+            title = e.tag in HEADINGS and e.number < first and e.out == least and e.parent in roots
+            e.out += e.number not in named and not title
+        levels = {e.out for e, _, _ in found}
     ratio = scores(found)
     bar = threshold(ratio)
     passed = [r >= bar and (bar != 0 or e.out == min(levels)) for r, (e, _, _) in zip(ratio, found, strict=True)]
@@ -319,7 +374,7 @@ def main_text(page: str | None) -> str:
             article = e
     for e in elements:
         inside[e.number] = e is article or (e.parent is not None and inside[e.parent.number])
-    is_whole = article.tag in WHOLE
+    is_whole, most = article.tag in WHOLE, min(levels) if named else article.out
     # Blocks between content nodes belong to a page without an element for its article; of links, those of the same parent.
     ends: dict[Element | None, list] = {}
     for k, ((e, _, _), own) in enumerate(zip(found, passed, strict=True)):
@@ -328,11 +383,11 @@ def main_text(page: str | None) -> str:
     kept: list[bool] = []
     for k, ((e, text, linked), own) in enumerate(zip(found, passed, strict=True)):
         first, last = ends.get(e.parent if 2 * linked > len(text) else None, (k, k))
-        within = inside[e.number] and e.out <= article.out and (not is_whole or first < k < last)
+        within = inside[e.number] and e.out <= most and (not is_whole or first < k < last)
         kept.append(own or within)
-    for k in range(len(found) - 2, -1, -1):  # headings right above what stays, of the same parent
+    for k in range(len(found) - 2, -1, -1):  # headings right above what stays, of the same parent or above its element
         e, below = found[k][0], found[k + 1][0]
-        kept[k] = kept[k] or (e.tag in HEADINGS and kept[k + 1] and e.out <= article.out and e.parent is below.parent)
+        kept[k] = kept[k] or (e.tag in HEADINGS and kept[k + 1] and e.out <= most and (e.parent is below.parent or bool(named) and below.number in named))
     return "\n".join(text for (_, text, _), own in zip(found, kept, strict=True) if own)
 
 

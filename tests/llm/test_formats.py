@@ -217,6 +217,69 @@ def test_page_ratios_decide(spark, monkeypatch):
             assert sum(html_extract.main_text(p) != w for p, w in zip(variant, want, strict=True)) > 0.9 * n
 
 
+def test_page_ratios_decide_beside_the_prior(spark, monkeypatch):
+    """The prior stays and the ratios alone are replaced: pages without names lose their articles."""
+    pages = [r.html for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()]
+    want = [article_of(p) for p in pages]
+    bare = [re.sub(r"(</?)(?:nav|footer|article)>", r"\1div>", re.sub(r' (?:class|id)="[^"]*"', "", p)) for p in pages]
+    right = lambda: sum(html_extract.main_text(p) == w for p, w in zip(bare, want, strict=True))
+    before, real = right(), html_extract.ratios
+    assert before > 0.9 * len(bare)
+    for other in (lambda f, paths: [1.0] * len(f), lambda f, paths: [1 / (1 + x) for x in real(f, paths)]):
+        monkeypatch.setattr(html_extract, "ratios", other)
+        assert right() < 0.1 * len(bare)
+
+
+def words_of(r, n):
+    """Prose of n characters."""
+    out = ""
+    while len(out) < n:
+        out += r.choice(["the", "report", "was", "read", "by", "many,", "and", "then", "it", "was", "discussed."]) + " "
+    return out[: n - 1].strip().ljust(n - 1, "x") + "."
+
+
+@pytest.mark.parametrize("paragraph", [60, 100, 120, 250, 400])
+@pytest.mark.parametrize("comment", [110, 250, 300, 500])
+def test_an_article_beside_denser_comments(paragraph, comment):
+    """Comments without a name of their own do not take the place of a named article, however long and many they are."""
+    import random
+
+    r = random.Random(paragraph * comment)
+    for n in (3, 12):
+        article, said = [words_of(r, paragraph) for _ in range(4)], [words_of(r, comment) for _ in range(n)]
+        for tag in ("article", "main"):
+            body = "".join(f"<p>{p}</p>" for p in article)
+            for talk in ("".join(f"<p>{c}</p>" for c in said), "".join(f"<div><b>Ann</b><p>{c}</p></div>" for c in said)):
+                page = f"<body><nav><a href=/>Home</a></nav><{tag}><h1>Title here</h1>{body}</{tag}><section><h2>Responses</h2>{talk}</section><footer>c</footer></body>"
+                assert html_extract.main_text(page).split("\n") == ["Title here", *article]
+                page = f"<body><div><h1>Title here</h1><{tag}>{body}</{tag}><section><h2>Responses</h2>{talk}</section></div></body>"
+                assert html_extract.main_text(page).split("\n") == ["Title here", *article]
+
+
+@pytest.mark.parametrize("name", ["notice-of-award", "share-price", "comments-policy", "related-work", "search-results-section", "alert-level", "modal-verbs", "hidden-figures", "tags-of-war", "promotion-prospects", "tag-history", "reply-to-critics"])
+def test_names_weigh_and_do_not_filter(name):
+    """Prose in an element whose name only holds such a word stays, in a named article and in one found by its ratios."""
+    import random
+
+    r = random.Random(len(name))
+    a, b, c = (words_of(r, n) for n in (220, 180, 240))
+    for tag in ("article", "div"):
+        page = f'<body><nav><a href=/>Home</a></nav><{tag}><h1>T</h1><p>{a}</p><div class="{name}"><p>{b}</p></div><p>{c}</p></{tag}><footer>c</footer></body>'
+        assert html_extract.main_text(page).split("\n") == ["T", a, b, c]
+
+
+@pytest.mark.parametrize("name", ["ad", "ads", "ad-slot", "advert", "share", "share-buttons", "related-posts", "comments", "comment-list", "cookie-notice", "newsletter-signup", "sidebar", "td-post-sharing", "commentBody", "wp-block-ad", "recommended-articles ad"])
+def test_names_that_say_nothing_else(name):
+    """What is called nothing but an advert, a comment or the like goes, in an article too."""
+    import random
+
+    r = random.Random(len(name))
+    a, b, c = (words_of(r, n) for n in (220, 200, 240))
+    for tag in ("article", "div"):
+        page = f'<body><{tag}><h1>T</h1><p>{a}</p><div class="{name}"><p>{b}</p></div><p>{c}</p></{tag}><footer>c</footer></body>'
+        assert html_extract.main_text(page).split("\n") == ["T", a, c]
+
+
 def test_page_prior():
     """A page that stands in a form as a whole keeps its article; long prose in sidebars and comments goes."""
     said = lambda w, n: " ".join(f"{w}{i}, and more of it." for i in range(n))
