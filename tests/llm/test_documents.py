@@ -35,8 +35,9 @@ def test_quality_base(edge, documents, nothing):
     assert quality.quality(nothing).count() == 0 and quality.kept_rows(edge).columns == edge.columns
 
 
-def distances(rows):
-    """Both distances and the verdict of (doc_id, text, lang) rows by plain Python, medians and all."""
+def distances(rows, refs=None, fit=False):
+    """Both distances and the verdict of (doc_id, text, lang) rows by plain Python; fit: references from the rows' medians,
+    which are returned."""
     import math
     import statistics
 
@@ -67,12 +68,15 @@ def distances(rows):
         return math.floor(x * 1000 + 0.5) / 1000
 
     own = [(i, t or "", lang, chars(t or ""), common(WORD.findall(t or ""), lang), measured(t)) for i, t, lang in rows]
-    refs = {}
-    for lang in {x[2] for x in own if x[2] is not None}:
-        long = [x for x in own if x[2] == lang and len(x[1]) >= quality.MIN_CHARS and x[5][0] >= quality.MIN_JUDGED_WORDS]
-        if len(long) >= quality.LEAST_TEXTS or (long and lang in quality.COMMON):
-            middle = lambda h: [x / (sum(z) or 1.0) for z in [[statistics.median(map(rounded, c)) for c in zip(*h, strict=True)]] for x in z]
-            refs[lang] = (middle([x[3] for x in long]), middle([x[4] for x in long]) if lang in quality.COMMON else None)
+    if fit:
+        found = {}
+        for lang in {x[2] for x in own if x[2] is not None}:
+            long = [x for x in own if x[2] == lang and len(x[1]) >= quality.MIN_CHARS and x[5][0] >= quality.MIN_JUDGED_WORDS]
+            if long:
+                middle = lambda h: [x / (sum(z) or 1.0) for z in [[statistics.median(map(rounded, c)) for c in zip(*h, strict=True)]] for x in z]
+                found[lang] = (middle([x[3] for x in long]), middle([x[4] for x in long]) if lang in quality.COMMON else None)
+        return found
+    refs = quality.REFERENCES if refs is None else refs
     out = []
     for i, t, lang, c, w, base in own:
         ref, n = refs.get(lang), base[0]
@@ -104,19 +108,59 @@ def test_quality_labels(spark):
     assert sum(good) >= 0.99 * len(good) and sum(bad) <= 0.15 * len(bad)
 
 
+def test_references_are_brute_force(spark, documents, edge):
+    """Medians of a given table, and verdicts by them."""
+    for df in (documents, edge):
+        rows = [(r.doc_id, r.text, r.lang) for r in df.collect()]
+        want, got = distances(rows, fit=True), quality.references(df)
+        assert got.keys() == want.keys()
+        for k, (char, word) in want.items():
+            assert got[k][0] == pytest.approx(char, abs=1e-9) and (got[k][1] is None) == (word is None) and (word is None or got[k][1] == pytest.approx(word, abs=1e-9))
+        verdicts = {repr((r.doc_id, r.kept)) for r in quality.quality(df, got).collect()}
+        assert verdicts == {repr((x[0], x[3])) for x in distances(rows, want)}
+
+
+def test_given_references_hold(spark):
+    """What the module holds is what good texts give, and sums to one."""
+    d = "/root/testdata/sf0.01"
+    good = spark.read.parquet(f"{d}/labels.parquet").where("quality = 1").select("doc_id")
+    fitted = quality.references(spark.read.parquet(f"{d}/documents.parquet").join(good, "doc_id"))
+    assert quality.REFERENCES.keys() == quality.COMMON.keys() == fitted.keys()
+    for k, both in quality.REFERENCES.items():
+        for own, other in zip(both, fitted[k], strict=True):
+            assert sum(own) == pytest.approx(1, abs=0.002) and own == pytest.approx(other, abs=0.01)
+
+
+def test_a_text_has_one_verdict(spark, documents):
+    """Alone, in a part of the table or in all of it."""
+    key = lambda df: {r.doc_id: (r.kept, r.char_distance, r.word_distance) for r in df.collect()}
+    whole = key(quality.quality(documents))
+    for part in (documents.where("doc_id % 7 = 3"), documents.where("n_chars > 2000"), documents.limit(1)):
+        assert all(whole[k] == v for k, v in key(quality.quality(part)).items())
+
+
 def test_quality_other_languages(spark):
-    """Clean texts of languages without common words stay, odd ones among many go; without a reference only base rules hold."""
+    """Texts of a language without a reference are judged by base rules alone, however many there are; a fitted one judges them."""
     import random
 
     r = random.Random(7)
     word = lambda s: "".join(r.choice(s) for _ in range(r.randint(3, 9)))
     text = lambda s: " ".join(word(s) for _ in range(80)) + "."
     ru, el, en = "абвгдежзиклмнопрстуфхцчшыья", "αβγδεζηθικλμνξοπρστυφχψω", "abcdefghijklmnopqrstuvwxyz"
-    rows = [(i, text(ru), "ru") for i in range(40)] + [(50, text("0123456789#*"), "ru"), (60, text(el), "el"), (61, text(el), None), (62, "α " * 5, "el")]
+    clean, odd = [(i, text(ru), "ru") for i in range(40)], (50, text("0123456789#*"), "ru")
+    frame = lambda rows: spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    fitted = quality.references(frame(clean[:5]))
+    assert list(fitted) == ["ru"] and fitted["ru"][1] is None
+    rows = [*clean, odd, (60, text(el), "el"), (61, text(el), None), (62, "α " * 5, "el")]
     rows += [(70 + i, "the of and to in " * 2 + text(en), "en") for i in range(5)]
-    got = {x.doc_id: x for x in quality.quality(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
-    assert all(got[i].kept and got[i].char_distance < 0.17 and got[i].word_distance is None for i in range(40)) and not got[50].kept
+    for some in (rows, [odd, rows[0]]):
+        got = {x.doc_id: x for x in quality.quality(frame(some)).collect()}
+        assert got[50].kept and got[0].kept and got[50].char_distance is None and got[50].word_distance is None
+        got = {x.doc_id: x for x in quality.quality(frame(some), quality.REFERENCES | fitted).collect()}
+        assert got[0].kept and got[0].char_distance < 0.17 and got[0].word_distance is None and not got[50].kept
+    got = {x.doc_id: x for x in quality.quality(frame(rows)).collect()}
     assert got[60].kept and got[61].kept and got[60].char_distance is None and not got[62].kept and got[70].kept and got[70].word_distance is not None
+    assert all(x.char_distance is None for x in quality.quality(frame(rows), {}).collect())
 
 
 def sets_of(rows):
