@@ -12,8 +12,10 @@ of them, and buckets are taken in passes of which none sends a fingerprint to mo
 passes at any size. Fingerprints are distinct and each spreads over the buckets, so no text or group of copies is a hot key.
 
 All fingerprints that share a variant are within the radius of each other, so a group of equal variants is told by its smallest
-member and each other one: no pairs within a group. Links make components over distinct fingerprints, and documents
-join them by fingerprint.
+member and each other one: no pairs within a group. A bucket's pairs are deduplicated, verified by their distance, and come
+out as its components: each fingerprint with the smallest that links join it to. So a bucket gives fewer rows than it has
+fingerprints, and a large group of near copies about the same ones from every bucket. These rows make components over
+distinct fingerprints, and documents join them by fingerprint.
 
 Null, empty and blank texts have fingerprint zero and link like any other. A null id gets the component of its text, which is
 the smallest id there that is not null, and null if there is none. Repeated rows are copies of each other; extra columns are
@@ -132,8 +134,8 @@ def _emit(batches: Iterator[pa.RecordBatch], radius: int, bits: int, turn: int,
             yield pa.RecordBatch.from_arrays([pa.array(to[cuts], pa.int64()), blocks], ["bucket", "prints"])
 
 
-def met(bucket: int, prints: np.ndarray, deal: Deal) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct pairs of fingerprints that share a variant of the bucket: the smallest of each variant, and each other one."""
+def collisions(bucket: int, prints: np.ndarray, deal: Deal) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs (places in prints) that share a variant of the bucket: the first of each variant, and each other one."""
     variants, of = deal.variants(bucket, prints)
     if len(variants) < 1 << PLACE:
         # Sorted by a hash with the entry's place in the low bits: one sort of plain numbers, wrong only in a few too many.
@@ -145,36 +147,52 @@ def met(bucket: int, prints: np.ndarray, deal: Deal) -> tuple[np.ndarray, np.nda
         entries = (keys[near] & low).astype(np.int64)
     else:
         entries = np.argsort(variants, kind="stable")
-    variants, own = variants[entries], prints[of[entries]]
+    variants, own = variants[entries], of[entries]
     order = np.lexsort((own, variants))
     variants, own = variants[order], own[order]
     head = np.append(True, variants[1:] != variants[:-1])[: len(variants)]
     first = own[np.flatnonzero(head)][np.cumsum(head) - 1]
-    pairs = np.unique(np.stack((first[~head], own[~head]), 1), axis=0)
-    return pairs[:, 0], pairs[:, 1]
+    pairs = np.unique(first[~head] * len(prints) + own[~head])
+    return np.divmod(pairs, max(1, len(prints)))
+
+
+def joined(bucket: int, prints: np.ndarray, deal: Deal, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """The components that links of the bucket make: the smallest fingerprint of each, and each other one."""
+    prints = np.unique(prints)
+    a, b = collisions(bucket, prints, deal)
+    close = np.bitwise_count(prints[a] ^ prints[b]) <= radius
+    a, b, least = a[close], b[close], np.arange(len(prints))
+    while (least[a] != least[b]).any():
+        both = np.minimum(least[a], least[b])
+        for side in (a, b):
+            np.minimum.at(least, least[side], both)
+        while (least[least] != least).any():
+            least = least[least]
+    others = np.flatnonzero(least != np.arange(len(prints)))
+    return prints[least[others]], prints[others]
 
 
 def _collide(batches: Iterator[pa.RecordBatch], radius: int, bits: int) -> Iterator[pa.RecordBatch]:
-    """Over blocks sorted by bucket: the pairs of each bucket."""
+    """Over blocks sorted by bucket: the components of each."""
     deal, bucket, held = Deal(radius, bits), None, []
 
-    def pairs() -> pa.RecordBatch:
-        a, b = met(bucket, np.frombuffer(b"".join(held), np.uint64), deal)
+    def rows() -> pa.RecordBatch:
+        a, b = joined(bucket, np.frombuffer(b"".join(held), np.uint64), deal, radius)
         return pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (a, b)], ["a", "b"])
 
     for batch in batches:
         for own, block in zip(batch.column("bucket").to_pylist(), batch.column("prints"), strict=True):
             if held and own != bucket:
-                yield pairs()
+                yield rows()
                 held = []
             bucket = own
             held.append(block.as_py())
     if held:
-        yield pairs()
+        yield rows()
 
 
 def linked(prints: DataFrame, stage: Stage, radius: int = 4) -> DataFrame:
-    """prints(print), distinct -> (a, b): pairs within the radius that join all fingerprints which links join."""
+    """prints(print), distinct -> (a, b): pairs that join all fingerprints which links join, and no others."""
     if radius % 2 or not 0 <= radius <= 8:
         raise ValueError("the radius is an even number up to 8")
     total = sum(math.comb(64, n) for n in range(radius // 2 + 1))
@@ -188,7 +206,7 @@ def linked(prints: DataFrame, stage: Stage, radius: int = 4) -> DataFrame:
     pairs = found[0]
     for more in found[1:]:
         pairs = pairs.unionByName(more)
-    return pairs.distinct().where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)
+    return pairs.distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, radius: int = 4, seed: int = 42) -> DataFrame:
