@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from agorascope.queries import dashboard, more, operators
+from agorascope.queries import dashboard, kept, more, operators
 
-QUERIES = dashboard.QUERIES | operators.QUERIES | more.QUERIES
-ORACLES = dashboard.ORACLES | operators.ORACLES | more.ORACLES
+QUERIES = dashboard.QUERIES | operators.QUERIES | more.QUERIES | kept.QUERIES
+ORACLES = dashboard.ORACLES | operators.ORACLES | more.ORACLES | kept.ORACLES
 FLAGSHIP = "post_distribution"

@@ -66,3 +66,29 @@ def paced(model: Callable[[str], str], seconds: float) -> Callable[[str], str]:
         return model(prompt)
 
     return call
+
+
+class Pace:
+    """When the calls of one task may begin, so that `tasks` tasks together make at most `rate` a second.
+
+    Each task has its share of the rate; the first call of task k comes k shares of a turn late, so tasks do not call in step. A
+    service that says how long to wait (`Busy`) moves the next call by that, and nothing is saved up meanwhile."""
+
+    def __init__(self, rate: float, tasks: int, task: int, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep):
+        self.turn, self.clock, self.sleep = max(1, tasks) / rate, clock, sleep
+        self.next = clock() + task / rate
+
+    def wait(self) -> None:
+        self.sleep(max(0.0, self.next - self.clock()))
+        self.next = max(self.next, self.clock()) + self.turn
+
+    def hold(self, seconds: float) -> None:
+        self.next = max(self.next, self.clock() + seconds)
+
+
+class Busy(OSError):
+    """A service asks to be left alone for some seconds."""
+
+    def __init__(self, message: str, seconds: float):
+        super().__init__(message)
+        self.seconds = seconds

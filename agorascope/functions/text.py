@@ -160,7 +160,8 @@ def render(template: str, placeholder: str, value: Column) -> Column:
 
 
 def string_hash(text: Column) -> Column:
-    """The absolute value of a 31-polynomial hash in 32-bit arithmetic over UTF-16 units (of the basic plane)."""
+    """The absolute value of a 31-polynomial hash in 32-bit arithmetic over UTF-16 units, pairs beyond the basic plane included."""
     wrap = lambda x: F.when(F.pmod(x, F.lit(2**32)) >= 2**31, F.pmod(x, F.lit(2**32)) - 2**32).otherwise(F.pmod(x, F.lit(2**32)))
-    chars = F.filter(F.split(F.coalesce(text, F.lit("")), ""), lambda c: c != "")
-    return F.abs(F.aggregate(chars, F.lit(0).cast("long"), lambda h, c: wrap(h * 31 + F.ascii(c).cast("long"))))
+    units = F.hex(F.encode(F.coalesce(text, F.lit("")), "UTF-16BE"))
+    places = F.when(units != "", F.sequence(F.lit(0), (F.length(units) / 4).cast("int") - 1)).otherwise(F.array().cast("array<int>"))
+    return F.abs(F.aggregate(places, F.lit(0).cast("long"), lambda h, i: wrap(h * 31 + F.conv(F.substr(units, i * 4 + 1, F.lit(4)), 16, 10).cast("long"))))

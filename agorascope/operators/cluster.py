@@ -14,12 +14,13 @@ from pyspark.sql import functions as F
 
 from agorascope.functions import vectors
 from agorascope.operators import manifold
+from agorascope.operators.filters import has_embedding
 from agorascope.sources import store
 
 
 def usable(rows: DataFrame, key: str = "post_id", vector: str = "embedding") -> DataFrame:
     """Rows with a vector of the dimension that the row with the smallest key has; null and empty ones are left out."""
-    held = rows.where(F.size(F.coalesce(vector, F.array().cast(rows.schema[vector].dataType))) > 0)
+    held = rows.where(has_embedding(vector))
     dim = held.agg(F.min_by(F.size(vector), key).alias("d_"))
     return held.join(F.broadcast(dim), F.size(vector) == F.col("d_")).drop("d_")
 
@@ -213,28 +214,56 @@ def cluster_posts(posts: DataFrame, method: str = "hdbscan", components: int = 5
     return center_distances(flat.join(named, "post_id")).select("post_id", "label", F.coalesce("topic_id", F.lit("noise")).alias("topic_id"), "center_distance")
 
 
-def embed_texts(rows: DataFrame, encode, text: str = "text", size: int = 64, max_tokens: int = 512, overlap: int = 50) -> DataFrame:
+def batches_of(sizes: list[int], most: int, tokens: int) -> list[list[int]]:
+    """Places of windows in batches, by length: at most `most` windows, and `tokens` with each as long as the longest, or one."""
+    out: list[list[int]] = []
+    for i in sorted(range(len(sizes)), key=lambda i: (sizes[i], i)):
+        if not out or len(out[-1]) >= most or (len(out[-1]) + 1) * sizes[i] > tokens:
+            out.append([])
+        out[-1].append(i)
+    return out
+
+
+def embed_texts(rows: DataFrame, encode, text: str = "text", max_tokens: int = 512, overlap: int = 50, batch: int = 32, batch_tokens: int = 16_384, held: int = 1024) -> DataFrame:
     """Adds embedding: texts within max_tokens - 2 whole, longer ones as the length-weighted mean of their windows; unit length.
 
-    encode: a function from a list of texts to an array of `size` columns, called once per batch on the workers."""
+    encode: a function from a list of texts to an array of a row for each, on the workers. It is called for `batch` windows of
+    about one length at a time, of whichever rows: windows are sorted by length among `held` of them, a batch holds at most
+    batch_tokens words with the shorter ones filled up, and what comes back is added up row by row. So a long text costs as many
+    calls as its windows ask for and short texts share theirs; memory is bounded by the windows held."""
     from agorascope.functions.sequences import chunk_tokens
 
     words = F.split(F.regexp_replace(F.coalesce(text, F.lit("")), r"(?U)^\s+|\s+$", ""), r"(?U)\s+")
     windows = F.when(F.size(words) <= max_tokens - 2, F.array(words)).otherwise(chunk_tokens(words, max_tokens - 2, overlap))
 
     @F.pandas_udf("array<double>")
-    def encoded(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for part in parts:
-            out = []
-            for chunks in part:
-                v = np.asarray(encode([" ".join(c) for c in chunks]), float)
-                mean = np.average(v, axis=0, weights=[max(1, len(c)) for c in chunks])
-                length = np.linalg.norm(mean)
-                out.append((mean / length if length else mean).tolist())
-            yield pd.Series(out)
-
-    held = rows.where(F.regexp_replace(F.coalesce(text, F.lit("")), r"(?U)\s+", "") != "")
-    return held.withColumn("embedding", encoded(windows))
+    def encoded(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for texts, lengths in parts:
+            sums: list = [0.0] * len(texts)
+            weights = np.zeros(len(texts))
+            waiting: list[tuple[int, str, int]] = []
+
+            def flush(sums=sums, weights=weights, waiting=waiting) -> None:
+                for own in batches_of([n for _, _, n in waiting], batch, batch_tokens):
+                    found = np.asarray(encode([waiting[i][1] for i in own]), float)
+                    for i, v in zip(own, found, strict=True):
+                        row, _, n = waiting[i]
+                        sums[row] = sums[row] + v * max(1, n)
+                        weights[row] += max(1, n)
+                waiting.clear()
+
+            for row, (chunks, counts) in enumerate(zip(texts, lengths, strict=True)):
+                for chunk, n in zip(chunks, counts, strict=True):
+                    waiting.append((row, chunk, int(n)))
+                    if len(waiting) >= held:
+                        flush()
+            flush()
+            mean = np.array(sums).reshape(len(texts), -1) / weights[:, None]
+            length = np.linalg.norm(mean, axis=1, keepdims=True)
+            yield pd.Series(list(np.where(length > 0, mean / np.where(length > 0, length, 1), mean)), index=texts.index)
+
+    said = rows.where(F.regexp_replace(F.coalesce(text, F.lit("")), r"(?U)\s+", "") != "").withColumn("w_", windows)
+    return said.withColumn("embedding", encoded(F.transform("w_", lambda w: F.array_join(w, " ")), F.transform("w_", F.size))).drop("w_")
 
 
 def hashing_encoder(size: int = 64):

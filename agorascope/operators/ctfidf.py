@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import partial
+from itertools import pairwise
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -10,8 +14,13 @@ from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from agorascope.sources import store
+
 #: Letters, digits and underscores, two at least.
-TOKEN = r"[\p{L}\p{N}_]{2,}"
+TOKEN = re.compile(r"\w{2,}")
+#: Terms that a task counts before it passes them on; bytes of texts for each core below which they are dealt out.
+HELD, SPREAD = 500_000, 16 << 20
+TERMS = "topic_id string, term string, n long, post_id string, head string, tail string"
 SEAMS = "topic_id string, before string, head string, edge int, part int"
 
 
@@ -54,9 +63,47 @@ def _seam_terms(ends: DataFrame) -> DataFrame:
 
 
 def _spread(rows: DataFrame) -> DataFrame:
-    """Rows of few files dealt over all cores, whose maps of terms stay small then; many partitions stay as they are."""
+    """Rows of small files dealt over all cores; larger inputs stay as their files cut them."""
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(2 * cores) if rows.rdd.getNumPartitions() < cores else rows
+    return rows.repartition(2 * cores) if store.size_of(rows) < cores * SPREAD else rows
+
+
+def _counted(batches: Iterator[pa.RecordBatch], stop: frozenset, bigrams: bool, ends: bool) -> Iterator[pa.RecordBatch]:
+    """Terms of each topic with their counts, summed in the task; and with `ends` a row per post with its first and last word."""
+    kinds = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string()]
+    names = [c.split()[0] for c in TERMS.split(", ")]
+    held: dict[str, Counter] = defaultdict(Counter)
+    size = 0
+
+    def rows(columns: list[list]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
+    def summed() -> Iterator[pa.RecordBatch]:
+        for topic, terms in held.items():
+            n = len(terms)
+            yield rows([[topic] * n, list(terms), list(terms.values()), [None] * n, [None] * n, [None] * n])
+        held.clear()
+
+    for batch in batches:
+        edges: list[tuple] = []
+        for topic, post, text in zip(*(batch.column(c).to_pylist() for c in ("topic_id", "post_id", "text")), strict=True):
+            words = [w for w in TOKEN.findall(text) if w not in stop]
+            if not words:
+                continue
+            own = held[topic]
+            before = len(own)
+            own.update(words)
+            if bigrams:
+                own.update(map(" ".join, pairwise(words)))
+            size += len(own) - before
+            if ends:
+                edges.append((topic, None, None, post, words[0], words[-1]))
+            if size > HELD:
+                yield from summed()
+                size = 0
+        if edges:
+            yield rows([list(c) for c in zip(*edges, strict=True)])
+    yield from summed()
 
 
 def term_scores(rows: DataFrame, stop: list[str], min_df: int = 2, max_df: float = 0.95, min_posts: int = 1, bigrams: bool = True, across_posts: bool = True) -> DataFrame:
@@ -64,28 +111,29 @@ def term_scores(rows: DataFrame, stop: list[str], min_df: int = 2, max_df: float
 
     Stop words go before bigrams are made. Bigrams also span neighbouring posts (in order of post_id) unless
     across_posts=False; then no topic's text is ever gathered in one row. df counts topics; max_df is their share.
-    Words and bigrams are one explode, summed before its shuffle; the ends of posts are a second pass over the texts."""
-    words = F.filter(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(TOKEN), F.lit(0)), lambda w: ~w.isin(stop))
+
+    Texts are cut into words once: tasks sum the terms of their posts by topic, at most HELD at a time, and write these and
+    the ends of posts to a table. Terms move once, by term: counts by topic and df are sums over one and the same exchange, and a
+    term that too few or too many topics hold goes right there."""
+    spark = rows.sparkSession
+    kind = dict(rows.dtypes)["topic_id"]
     rows = rows.where("topic_id is not null")
     if min_posts > 1:
         many = rows.groupBy("topic_id").agg(F.count("*").alias("m_")).where(F.col("m_") >= min_posts).select("topic_id")
         rows = rows.join(many, "topic_id", "left_semi")
-    rows = _spread(rows.select("topic_id", "post_id", "text")).select("topic_id", "post_id", words.alias("w"))
-    pairs = lambda w: F.zip_with(F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0))), F.slice(w, 2, F.greatest(F.size(w) - 1, F.lit(0))), lambda a, b: F.concat_ws(" ", a, b))
-    counts = rows.select("topic_id", F.explode(F.concat("w", pairs(F.col("w"))) if bigrams else F.col("w")).alias("term")).groupBy("topic_id", "term").agg(F.count("*").alias("n"))
+    texts = _spread(rows.select(F.col("topic_id").cast("string"), F.col("post_id").cast("string"), F.lower(F.coalesce("text", F.lit(""))).alias("text")))
+    found = store.kept(texts.mapInArrow(partial(_counted, stop=frozenset(stop), bigrams=bigrams, ends=bigrams and across_posts), TERMS), "terms")
+    counts = found.where("term is not null").select("topic_id", "term", "n")
     if bigrams and across_posts:
-        ends = rows.where(F.size("w") > 0).select("topic_id", "post_id", F.get("w", F.lit(0)).alias("head"), F.element_at("w", -1).alias("tail"))
-        seams = _seam_terms(ends).groupBy("topic_id", "term").agg(F.sum("n").alias("n"))
-        # Summed rows: a term has two at most for each topic.
-        counts = counts.withColumn("topic_id", F.col("topic_id").cast("string")).unionByName(seams).repartition("term").groupBy("topic_id", "term").agg(F.sum("n").alias("n"))
-    topics = rows.select("topic_id").distinct().agg(F.count("*").alias("topics")).withColumn("one_", F.lit(1))
-    df = counts.groupBy("term").agg(F.count("*").alias("df")).where(F.col("df") >= min_df).withColumn("one_", F.lit(1))
-    df = df.join(F.broadcast(topics), "one_").where(F.col("df") <= max_df * F.col("topics")).drop("one_")
-    # Dealt by all its columns but n, so the sums and the rows beside them read one and the same exchange.
-    kept = counts.join(df, "term").repartition("term", "topic_id", "df", "topics")
+        counts = counts.unionByName(_seam_terms(found.where("term is null").select("topic_id", "post_id", "head", "tail")))
+    counts = counts.repartition("term").groupBy("term", "topic_id").agg(F.sum("n").alias("n"))
+    topics = rows.agg(F.countDistinct("topic_id")).first()[0]
+    terms = counts.groupBy("term").agg(F.count("*").alias("df"), F.collect_list(F.struct("topic_id", "n")).alias("in_"))
+    kept = store.kept(terms.where((F.col("df") >= min_df) & (F.col("df") <= max_df * topics)).select("term", "df", F.inline("in_")), "terms")
     totals = kept.groupBy("topic_id").agg(F.sum("n").alias("total"))
-    idf = F.log((1 + F.col("topics")) / (1 + F.col("df"))) + 1
-    return kept.join(totals, "topic_id").withColumn("tf", F.col("n") / F.col("total")).select("topic_id", "term", "n", "tf", "df", (F.col("tf") * idf).alias("score"))
+    idf = F.log((1 + F.lit(topics)) / (1 + F.col("df"))) + 1
+    scored = kept.join(totals, "topic_id").withColumn("tf", F.col("n") / F.col("total"))
+    return scored.select(F.col("topic_id").cast(kind).alias("topic_id"), "term", "n", "tf", "df", (F.col("tf") * idf).alias("score"))
 
 
 def top_terms(scores: DataFrame, n: int = 12) -> DataFrame:

@@ -59,8 +59,9 @@ def comments_with_posts(comments: DataFrame, posts: DataFrame, f: Filters, *colu
     return rows.join(posts.where(of_posts(f, time=False)).select("post_id", *columns), "post_id")
 
 
-def has_embedding() -> Column:
-    return F.col("embedding").isNotNull()
+def has_embedding(vector: str = "embedding") -> Column:
+    """A vector that is there and not empty; a null counts as missing, and so does an empty one."""
+    return F.coalesce(F.size(vector) > 0, F.lit(False))
 
 
 def lacks_topic() -> Column:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from agorascope.functions import text
+from agorascope.operators.ranks import placed
 
 #: Fields that the report covers unless told otherwise.
 POST_FIELDS = ["post_id", "subreddit", "title", "selftext", "cleaned_selftext", "topic_text", "embedding", "embedding_model", "embedding_dim", "topic_id", "topic_name", "topic_description", "stance_dist_weighted", "sentiment_dist_weighted", "polarization_score", "snapshot_week", "created_utc"]
@@ -47,10 +48,8 @@ def count_distribution(stats: DataFrame) -> DataFrame:
 
 def weighted_median(counts: DataFrame, value: str, weight: str) -> DataFrame:
     """Mean, weighted mean and weighted median (the first value whose running weight reaches half) of distinct values."""
-    rows = counts.groupBy(value).agg(F.sum(weight).alias("w"))
-    # Distinct values only, so this window is short.
-    running = F.sum("w").over(Window.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
-    rows = rows.withColumns({"run": running, "all": F.sum("w").over(Window.partitionBy())})
+    rows = placed(counts.groupBy(value).agg(F.sum(weight).alias("w")).where(F.col(value).isNotNull()), [], [value], "w")
+    rows = rows.withColumns({"run": F.col("before_") + F.col("w"), "all": F.col("all_")})
     return rows.agg(F.avg(value).alias("mean"), (F.sum(F.col(value) * F.col("w")) / F.sum("w")).alias("weighted_mean"), F.min(F.when(F.col("run") >= 0.5 * F.col("all"), F.col(value))).alias("weighted_median"))
 
 

@@ -1,4 +1,4 @@
-"""Samples of posts per topic, as windows. Random order is a hash of key and seed: the same on every run and cluster."""
+"""Samples of posts per topic, by ranks under a limit. Random order is a hash of key and seed: the same on every run and cluster."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from agorascope.functions.text import word_count
+from agorascope.operators.ranks import first_rows
 
 
 def shuffled(seed: int, key: str = "post_id") -> Column:
@@ -18,11 +19,14 @@ def random_rows(rows: DataFrame, n: int, seed: int = 42, key: str = "post_id") -
 
 
 def near_far(rows: DataFrame, near: int = 20, far: int = 5) -> DataFrame:
-    """The nearest and farthest posts of each topic, tagged; NEAR wins where they overlap."""
-    topic = Window.partitionBy("topic_id")
-    rows = rows.withColumns({"n_": F.row_number().over(topic.orderBy("distance", "post_id")), "m_": F.count("*").over(topic)})
-    tag = F.when(F.col("n_") <= near, "NEAR").when(F.col("n_") > F.col("m_") - far, "FAR")
-    return rows.withColumn("tag", tag).where("tag is not null").withColumn("post_index", F.col("n_") - 1).drop("n_", "m_")
+    """The nearest and farthest posts of each topic, tagged; NEAR wins where they overlap. post_index is the place by distance.
+
+    Both ends are ranks under a limit, and the place of a far one follows from the topic's size: no topic is sorted whole."""
+    close = first_rows(rows, ["topic_id"], near, "distance", "post_id").select(*rows.columns, F.lit("NEAR").alias("tag"), (F.col("n_") - 1).alias("post_index"))
+    size = rows.groupBy(F.col("topic_id").alias("of_")).agg(F.count("*").alias("m_"))
+    away = first_rows(rows, ["topic_id"], far, F.desc("distance"), F.desc("post_id")).join(size, F.col("topic_id").eqNullSafe(F.col("of_")))
+    away = away.select(*rows.columns, F.lit("FAR").alias("tag"), (F.col("m_") - F.col("n_")).cast("int").alias("post_index"))
+    return close.unionByName(away.where(F.col("post_index") >= near))
 
 
 def _take(rows: DataFrame, how: str, quota: Column, *order: Column | str) -> DataFrame:
@@ -35,17 +39,25 @@ def sample(rows: DataFrame, size: Column, dominant: Column, seed: int = 42) -> D
     """A stratified sample of `size` posts per topic, all of smaller topics; adds how each was taken.
 
     Dominant topics: a third each by score, by time (half earliest, half latest) and at random; others half by score, half
-    at random. What a step leaves short is filled up at random."""
+    at random. What a step leaves short is filled up at random.
+
+    A step takes no more than the largest size, so it finds its rows among as many more by its own order as steps before it may
+    have taken: these candidates, a few times the size per topic, are all that is ranked in full."""
     rows = rows.withColumns({"size_": size, "dom_": dominant, "taken": F.lit(None).cast("string")})
+    orders = {"score": (F.desc("score"), "post_id"), "early": (F.asc("created_utc"), "post_id"), "late": (F.desc("created_utc"), "post_id"), "random": (shuffled(seed), "post_id")}
+    most = int(rows.agg(F.max("size_")).first()[0] or 0)
+    own = [first_rows(rows.select("topic_id", "post_id", "score", "created_utc"), ["topic_id"], 2 * most, *by).select("topic_id", "post_id") for by in orders.values()]
+    some = own[0].unionByName(own[1]).unionByName(own[2]).unionByName(own[3]).distinct().toDF("in_", "is_")
+    rows = rows.join(some, F.col("topic_id").eqNullSafe(F.col("in_")) & (F.col("post_id") == F.col("is_")), "left_semi")
     n = F.col("size_")
     third = F.floor(n / 3)
     by_score = F.when(F.col("dom_"), third + F.when(n % 3 >= 1, 1).otherwise(0)).otherwise(F.floor(n / 2))
     by_time = F.when(F.col("dom_"), third).otherwise(F.lit(0))
-    rows = _take(rows, "score", by_score, F.desc("score"), "post_id")
-    rows = _take(rows, "early", F.floor(by_time / 2), F.asc("created_utc"), "post_id")
-    rows = _take(rows, "late", by_time - F.floor(by_time / 2), F.desc("created_utc"), "post_id")
+    rows = _take(rows, "score", by_score, *orders["score"])
+    rows = _take(rows, "early", F.floor(by_time / 2), *orders["early"])
+    rows = _take(rows, "late", by_time - F.floor(by_time / 2), *orders["late"])
     rows = rows.withColumn("left_", n - F.count("taken").over(Window.partitionBy("topic_id")))
-    rows = _take(rows, "random", F.col("left_"), shuffled(seed), "post_id")
+    rows = _take(rows, "random", F.col("left_"), *orders["random"])
     return rows.where("taken is not null").drop("size_", "dom_", "left_")
 
 
@@ -73,10 +85,12 @@ def top_texts(posts: DataFrame, limit: int | None, text: str = "topic_text") ->
 
 
 def trim_long(rows: DataFrame, share: float = 0.95, min_words: int = 1, text: str = "text") -> DataFrame:
-    """Posts of min_words or more, per topic without those longer than the percentile."""
+    """Posts of min_words or more, per topic without those longer than the percentile.
+
+    The percentile is exact: an aggregate of how often each length occurs, combined before rows move."""
     rows = rows.withColumn("words", word_count(F.col(text))).where(F.col("words") >= min_words)
-    cut = F.percentile("words", F.lit(share)).over(Window.partitionBy("topic_id"))
-    return rows.withColumn("cut_", cut).where("words <= cut_").drop("cut_")
+    cut = rows.groupBy(F.col("topic_id").alias("of_")).agg(F.percentile("words", F.lit(share)).alias("cut_"))
+    return rows.join(cut, F.col("topic_id").eqNullSafe(F.col("of_"))).where("words <= cut_").drop("cut_", "of_")
 
 
 def capped(rows: DataFrame, per_post: int | None, posts: int | None, total: int | None) -> DataFrame:

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import re
 import time
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from agorascope.config import Busy, Pace
 from agorascope.functions import jsontext, text
 from agorascope.functions.labels import missing_labels
 from agorascope.operators import packing, sampling, sets
@@ -22,34 +25,60 @@ BETWEEN = "\n\n---\n\n"
 RATING = "post_id string, matches boolean, fit_score double, rationale string, better_topic_name string, better_topic_description string"
 
 
-def answered(model: Model, prompt: str, tries: int = 3, wait: float = 0.0, timeout: float | None = None) -> tuple[str, str | None]:
+def answered(model: Model, prompt: str, tries: int = 3, wait: float = 0.0, timeout: float | None = None, pace: Pace | None = None, pool: ThreadPoolExecutor | None = None) -> tuple[str, str | None]:
     """The model's reply, or an empty one and what the last try failed with. Waits double from try to try; a call longer
-    than timeout counts as failed."""
+    than timeout counts as failed.
+
+    pace: every try waits for its turn; a model that raises config.Busy is asked again when it said, which counts as a try.
+    pool: threads for calls under a timeout; one that never returns keeps its thread."""
     error = None
     for turn in range(tries):
         if turn and wait:
             time.sleep(wait * 2 ** (turn - 1))
+        if pace:
+            pace.wait()
         try:
             if timeout is None:
                 return model(prompt), None
-            pool = ThreadPoolExecutor(1)
+            own = pool or ThreadPoolExecutor(1)
             try:
-                return pool.submit(model, prompt).result(timeout), None
+                return own.submit(model, prompt).result(timeout), None
             finally:
-                pool.shutdown(wait=False, cancel_futures=True)
+                if own is not pool:
+                    own.shutdown(wait=False, cancel_futures=True)
+        except Busy as e:
+            error = f"{type(e).__name__}: {e}"[:500]
+            if pace:
+                pace.hold(e.seconds)
+            elif turn + 1 < tries:
+                time.sleep(e.seconds)
         except Exception as e:  # noqa: BLE001 a client may raise anything; the caller gets what it was
             error = f"{type(e).__name__}: {e}"[:500]
     return "", error
 
 
-def ask(requests: DataFrame, model: Model, prompt: str = "prompt", tries: int = 3, wait: float = 0.0, timeout: float | None = None) -> DataFrame:
-    """Adds reply, empty if all tries failed, and reply_error. The model is called on the workers, prompt by prompt."""
+def ask(requests: DataFrame, model: Model, prompt: str = "prompt", tries: int = 3, wait: float = 0.0, timeout: float | None = None, rate: float | None = None, workers: int | None = None) -> DataFrame:
+    """Adds reply, empty if all tries failed, and reply_error. The model is called on the workers, prompt by prompt.
+
+    rate: calls a second that all workers together may make, retries included. Requests are dealt to `workers` tasks (as many as
+    the cluster runs at once, unless told otherwise), and each has its share; fewer at a time only make fewer calls. Whoever
+    retries in the model itself (chat_model's retries) should not with a rate, as its tries have no turn."""
     schema = requests.withColumns({"reply": F.lit("").cast("string"), "reply_error": F.lit(None).cast("string")}).schema
+    tasks = 0
+    if rate:
+        tasks = workers or requests.sparkSession.sparkContext.defaultParallelism
+        requests = requests.repartition(tasks)
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            got = [answered(model, p, tries, wait, timeout) for p in part[prompt]]
-            yield part.assign(reply=[r for r, _ in got], reply_error=[e for _, e in got])
+        pace = Pace(rate, tasks, TaskContext.get().partitionId()) if rate else None
+        with_pool = ThreadPoolExecutor(tries) if timeout is not None else None
+        try:
+            for part in parts:
+                got = [answered(model, p, tries, wait, timeout, pace, with_pool) for p in part[prompt]]
+                yield part.assign(reply=[r for r, _ in got], reply_error=[e for _, e in got])
+        finally:
+            if with_pool:
+                with_pool.shutdown(wait=False, cancel_futures=True)
 
     return requests.mapInPandas(run, schema)
 
@@ -77,31 +106,19 @@ def export_missing(comments: DataFrame, posts: DataFrame, mode: str = "both", pe
     return found.select("post_id", "post_text", F.transform("c", lambda c: F.struct(c["comment_id"].alias("comment_id"), c["comment_text"].alias("comment_text"))).alias("comments"))
 
 
-def post_batches(sizes: list[int], room: int, most: int) -> list[int | None]:
-    """Next fit of one post's comments; one that is over the room alone gets no batch, and ends the open one."""
-    out, batch, used, count = [], 0, 0, 0
-    for s in sizes:
-        if count and (used + s > room or (most and count >= most)):
-            batch, used, count = batch + 1, 0, 0
-        fits = s <= room
-        out.append(batch if fits else None)
-        used, count = (used + s, count + 1) if fits else (used, count)
-    return out
-
-
 def stance_requests(exported: DataFrame, template: str, budget: int = 100_000, most_comments: int = 4, most_batches: int = 100, place: str = "{{POSTS_JSON}}") -> DataFrame:
     """request, prompt, comment_ids: comments in batches of a post, batches in requests under the token budget.
 
     A batch ends where its count or its own prompt would pass a limit; only a comment whose prompt alone does is left out."""
     said = lambda c: F.struct(c["comment_id"].alias("comment_id"), c["comment_text"].alias("comment_text"))
     written = lambda c: F.to_json(F.struct("post_id", "post_text", c.alias("comments")))
-    fold = F.udf(lambda sizes, room: post_batches(sizes, room, most_comments), "array<int>")
     # A prompt of k comments: the template, two brackets, the post, and per comment its text and all but once a comma.
-    sizes = F.transform("comments", lambda c: F.length(F.to_json(said(c))) + 1)
     fixed = len(template.replace(place, "")) + template.count(place) * (F.length(written(F.slice("comments", 1, 0))) + 1)
     room = F.floor((4 * budget - fixed) / max(1, template.count(place))).cast("long")
-    each = exported.select("post_id", "post_text", F.posexplode(F.arrays_zip(F.col("comments").alias("c"), fold(sizes, room).alias("batch"))).alias("i", "z"))
-    each = each.select("post_id", "post_text", "i", "z.c.comment_id", "z.c.comment_text", "z.batch").where("batch is not null")
+    each = exported.select("post_id", "post_text", room.alias("room"), F.posexplode("comments").alias("i", "c"))
+    each = each.select("post_id", "post_text", "room", "i", "c.comment_id", "c.comment_text", (F.length(F.to_json(said(F.col("c")))) + 1).alias("chars"))
+    # Packed along ranges of all comments, each post by itself: a post with very many is no one task.
+    each = packing.packed_in_order(each, ["i"], "chars", "room", most_comments, ends=True, group=["post_id"])
     batches = each.groupBy("post_id", "batch").agg(F.first("post_text").alias("post_text"), F.sort_array(F.collect_list(F.struct("i", "comment_id", "comment_text"))).alias("c"))
     rows = batches.select("post_id", "batch", written(F.transform("c", said)).alias("entry"), F.transform("c", lambda c: c["comment_id"]).alias("ids"))
     # The prompt of some entries: the template, two brackets, and per entry its text and all but once a comma.
@@ -109,9 +126,9 @@ def stance_requests(exported: DataFrame, template: str, budget: int = 100_000, m
     whole = (4 * budget - len(template.replace(place, ""))) // max(1, places) - 1
     rows = rows.withColumnRenamed("batch", "part").withColumn("chars", F.length("entry") + 1 if places else F.lit(0))
     rows = packing.packed_in_order(rows, ["post_id", "part"], "chars", whole, most_batches, ends=True)
-    found = rows.groupBy(F.col("batch").alias("request")).agg(F.sort_array(F.collect_list(F.struct("post_id", "part", "entry"))).alias("e"), F.flatten(F.collect_list("ids")).alias("comment_ids"))
+    found = rows.groupBy(F.col("batch").alias("request")).agg(F.sort_array(F.collect_list(F.struct("post_id", "part", "entry", "ids"))).alias("e"))
     body = F.concat(F.lit("["), F.array_join("e.entry", ","), F.lit("]"))
-    return found.select("request", text.render(template, place, body).alias("prompt"), "comment_ids")
+    return found.select("request", text.render(template, place, body).alias("prompt"), F.flatten("e.ids").alias("comment_ids"))
 
 
 def stance_labels(requests: DataFrame, model: Model) -> tuple[DataFrame, DataFrame]:
@@ -128,7 +145,7 @@ def label_chunks(posts: DataFrame, terms: DataFrame, near: int = 20, far: int =
     rows = sampling.near_far(posts.where("topic_id is not null and topic_id <> 'noise' and coalesce(text, '') <> ''"), near, far)
     line = F.concat(F.lit("["), F.col("tag"), F.lit(" "), F.format_string("%.6f", "distance"), F.lit("] "), F.col("text"))
     rows = rows.withColumns({"line": line, "tokens": text.estimate_tokens(line)})
-    rows = packing.packed(rows, "topic_id", ["post_index"], "tokens", lambda s: packing.next_fit(s, budget))
+    rows = packing.packed_in_order(rows, ["post_index"], "tokens", budget, group=["topic_id"])
     chunks = rows.groupBy("topic_id", (F.col("batch") + 1).cast("int").alias("chunk_id")).agg(F.count("*").alias("post_count"), F.count_if(F.col("tag") == "NEAR").alias("near_count"), F.count_if(F.col("tag") == "FAR").alias("far_count"), F.sum("tokens").alias("token_estimate"), F.sort_array(F.collect_list(F.struct("post_index", "line"))).alias("l"))
     from pyspark.sql import Window
 
@@ -177,13 +194,48 @@ def splitting(items: list, attempt: Callable[[list], list | None], depth: int =
     return out
 
 
-def rate(posts: DataFrame, model: Model, template: str = "{{POSTS_JSON}}", budget: int = 8_000, most: int = 20) -> DataFrame:
-    """Ratings of topic names per post, from batches under a token budget; oversized entries are left out."""
+def ask_parts(requests: DataFrame, model: Model, render: Callable[[list[str]], str], items: str = "items", split: bool = True, depth: int = 2, tries: int = 3) -> DataFrame:
+    """Rows with an array of items -> each row's columns but the items, asked (those of one prompt) and reply.
+
+    A prompt whose reply holds no JSON is asked again with fewer items. split: in halves, both of them, down to `depth`; else
+    its first half only, `tries` times in all. A row per prompt that was answered; items that never were are in none."""
+    others = [c for c in requests.columns if c != items]
+    schema = requests.select(*others).withColumns({"asked": F.array().cast("array<string>"), "reply": F.lit("").cast("string")}).schema
+
+    def attempt(own: list[str]) -> list | None:
+        reply, _ = answered(model, render(own), tries=1)
+        return [(own, reply)] if reply and re.search(r"[\[{]", reply) else None
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            out = []
+            for row in part.to_dict("records"):
+                own = list(row.pop(items))
+                found = splitting(own, attempt, depth) if split else halving(own, attempt, tries) or []
+                out += [{**row, "asked": asked, "reply": reply} for asked, reply in found]
+            yield pd.DataFrame(out, columns=[f.name for f in schema])
+
+    return requests.mapInPandas(run, schema)
+
+
+def rate(posts: DataFrame, model: Model, template: str = "{{POSTS_JSON}}", budget: int = 8_000, most: int = 20, depth: int = 2) -> DataFrame:
+    """Ratings of topic names per post, from batches under a token budget; oversized entries are left out. A batch whose reply
+    cannot be read is asked again in halves, down to `depth`."""
     entry = F.to_json(F.struct("post_id", "topic_name", "topic_description", "text"))
     rows = posts.select("post_id", entry.alias("entry")).withColumn("chars", F.length("entry") + 1)
     # What the template leaves of the budget, as characters of the list between its brackets.
     empty = max(1, -(-len(template.replace("{{POSTS_JSON}}", "[]")) // 4))
     rows = packing.packed_in_order(rows, ["post_id"], "chars", 4 * (budget - empty + 1) - 1, most)
-    calls = rows.groupBy("batch").agg(text.render(template, "{{POSTS_JSON}}", F.concat(F.lit("["), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("post_id", "entry"))), lambda s: s["entry"]), ","), F.lit("]"))).alias("prompt"))
-    replies = ask(calls, model)
+    calls = rows.groupBy("batch").agg(F.transform(F.sort_array(F.collect_list(F.struct("post_id", "entry"))), lambda s: s["entry"]).alias("items"))
+    replies = ask_parts(calls, model, lambda own: template.replace("{{POSTS_JSON}}", f"[{','.join(own)}]"), depth=depth)
     return replies.select(F.explode(F.from_json(jsontext.loose_json(F.col("reply")), f"array<struct<{RATING.replace(', ', ',').replace(' ', ':')}>>")).alias("r")).select("r.*")
+
+
+def label_topic(texts: DataFrame, model: Model, template: str = "{{POSTS_JSON}}", most: int = 40, tries: int = 3) -> DataFrame:
+    """topic_id, topic_name, topic_description, confidence, posts: each topic named from its first texts (topic_id, rank, text).
+
+    A reply that cannot be read is asked for again with the first half of the texts, `tries` times in all."""
+    rows = texts.where(F.col("rank") <= most).groupBy("topic_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", F.to_json(F.struct("topic_id", "rank", "text")).alias("j")))), lambda s: s["j"]).alias("items"))
+    replies = ask_parts(rows, model, lambda own: template.replace("{{POSTS_JSON}}", f"[{','.join(own)}]"), split=False, tries=tries)
+    named = F.get(F.from_json(jsontext.loose_json(F.col("reply")), "array<struct<topic_name:string,topic_description:string,confidence:double>>"), F.lit(0))
+    return replies.select("topic_id", F.size("asked").alias("posts"), named.alias("n")).select("topic_id", "n.*", "posts")

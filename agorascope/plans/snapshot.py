@@ -28,11 +28,23 @@ def results(posts: DataFrame, comments: DataFrame, f: Filters) -> dict[str, Data
     }
 
 
+def document(name: str, df: DataFrame) -> DataFrame:
+    """One row: name, number of rows, and these as a JSON array."""
+    rows = df.select(F.to_json(F.struct(*df.columns)).alias("j"))
+    body = F.concat(F.lit("["), F.array_join(F.sort_array(F.collect_list("j")), ","), F.lit("]"))
+    return rows.agg(F.count("*").alias("rows"), body.alias("document")).select(F.lit(name).alias("name"), "rows", "document")
+
+
+def read_back(documents: DataFrame, like: DataFrame) -> DataFrame:
+    """The rows that documents hold, in the columns and types of a result."""
+    return documents.select(F.explode(F.from_json("document", f"array<{like.schema.simpleString()}>")).alias("r")).select("r.*")
+
+
 def snapshot(posts: DataFrame, comments: DataFrame, f: Filters) -> DataFrame:
     """name, rows, document: a JSON array per query. All results are bounded by the queries' limits, labels or weeks."""
     out = None
     for name, df in results(posts, comments, f).items():
-        row = df.select(F.to_json(F.struct(*df.columns)).alias("j")).agg(F.count("*").alias("rows"), F.concat(F.lit("["), F.array_join(F.sort_array(F.collect_list("j")), ","), F.lit("]")).alias("document")).select(F.lit(name).alias("name"), "rows", "document")
+        row = document(name, df)
         out = row if out is None else out.unionByName(row)
     return out
 

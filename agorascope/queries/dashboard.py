@@ -27,7 +27,7 @@ def register(name: str, work: Callable, select: Callable[[Filters], str] | None,
     """work(posts, comments, filters) -> DataFrame, and its SQL over p, c, j."""
     for key in filters:
         f, full = FILTERS[key], name if alone else f"{name}_{key}"
-        QUERIES[full] = lambda spark, sf_dir, f=f: rounded(work(tables.posts(spark, sf_dir), tables.weighted_comments(spark, sf_dir), f))
+        QUERIES[full] = lambda spark, sf_dir, f=f: rounded(work(*tables.posts_and_comments(spark, sf_dir), f))
         if select:
             ORACLES[full] = sql(select(f), *filtered(f))
 
@@ -142,6 +142,28 @@ SELECT topic_id, count, {r('240 + cos(angle) * radius')} AS x, {r('190 + sin(ang
 FROM (SELECT *, seed % 360 / 360.0::DOUBLE * 2 * pi() AS angle, 40 + coalesce(d, rank / n) / far * 140 + (((seed >> 4) % 100) / 100.0::DOUBLE - 0.5) * 18 AS radius
   FROM (SELECT *, {HASH} AS seed, row_number() OVER (ORDER BY count DESC, topic_id) - 1 AS rank, CAST(count(*) OVER () AS DOUBLE) AS n, greatest(max(coalesce(d, 0)) OVER (), 1) AS far, CAST(max(count) OVER () AS DOUBLE) AS most
     FROM (SELECT topic_id, count(*) AS count, avg(center_distance) AS d FROM p WHERE topic_id IS NOT NULL GROUP BY topic_id ORDER BY count DESC, topic_id LIMIT 42)))""", ("all",), alone=True)
+#: The snapshot's documents, read back: what differs from the queries above is that unclear stays apart from unknown.
+_DATES = lambda df: df.withColumn("bucket", F.date_format("bucket", "yyyy-MM-dd"))
+UNMERGED = "coalesce(stance_label, 'unknown')"
+DOCUMENTS: dict[str, tuple[str, Callable]] = {
+    "overview": (ORACLES["q1_overview_all"], lambda x: x), "trends_sentiment": (ORACLES["q3_trends_sentiment_all"], _DATES), "topics": (ORACLES["q4_topics_all"], lambda x: x), "subreddits": (ORACLES["q5_subreddits_all"], lambda x: x),
+    "opinion_map": (ORACLES["q6_opinion_map_posts_all"], lambda x: x), "umap_landscape": (ORACLES["q7_umap_landscape_all"], lambda x: x), "topic_insights": (ORACLES["q8_topic_insights_all"], lambda x: x), "sankey": (ORACLES["q9_sankey_all"], lambda x: x),
+    "polarization_timeline": (ORACLES["q10_polarization_timeline_all"], lambda x: x), "controversy_leaderboard": (ORACLES["q11_leaderboard_posts_all"], lambda x: x), "topic_heatmap": (ORACLES["q12_topic_heatmap_all"], lambda x: x),
+    "stance_sentiment": (sql(f"SELECT {UNMERGED} AS stance, coalesce(sentiment_label, 'unknown') AS sentiment, count(*) AS count FROM c GROUP BY 1, 2", *filtered(FILTERS["all"])), lambda x: x),
+    "trends_stance": (sql(f"SELECT strftime({_bucket(FILTERS['all'])}, '%Y-%m-%d') AS bucket, {UNMERGED} AS label, count(*) AS count FROM c WHERE created_utc > 0 GROUP BY 1, 2", *filtered(FILTERS["all"])), _DATES),
+}
+
+
+def _document(name: str, shown: Callable) -> Callable:
+    def read(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = snapshot.results(*tables.posts_and_comments(spark, sf_dir), FILTERS["all"])[name]
+        return rounded(shown(snapshot.read_back(snapshot.document(name, df), df)))
+
+    return read
+
+
+for name, (text, shown) in DOCUMENTS.items():
+    QUERIES[f"q13_document_{name}"], ORACLES[f"q13_document_{name}"] = _document(name, shown), text
 SIZES = {
     "overview": "1", "stance_sentiment": "(SELECT count(*) FROM (SELECT DISTINCT stance_label, sentiment_label FROM c))", "trends_stance": f"(SELECT count(*) FROM (SELECT DISTINCT {_bucket(FILTERS['all'])}, stance_label FROM c WHERE created_utc > 0))",
     "trends_sentiment": f"(SELECT count(*) FROM (SELECT DISTINCT {_bucket(FILTERS['all'])}, sentiment_label FROM c WHERE created_utc > 0))", "topics": "(SELECT least(80, count(DISTINCT topic_id)) FROM p)", "subreddits": "(SELECT least(60, count(DISTINCT subreddit)) FROM p)",
@@ -149,5 +171,5 @@ SIZES = {
     "sankey": f"(SELECT count(*) FROM (SELECT DISTINCT coalesce(sentiment_label, 'unknown'), {MERGED} FROM c))", "polarization_timeline": "(SELECT count(DISTINCT snapshot_week) FROM j)", "controversy_leaderboard": "(SELECT least(30, count(DISTINCT post_id)) FROM j)",
     "topic_heatmap": "(SELECT count(*) FROM (SELECT DISTINCT topic_id, snapshot_week FROM p WHERE topic_id IN (SELECT topic_id FROM top)))",
 }
-QUERIES["q13_snapshot_sizes"] = lambda spark, sf_dir: snapshot.snapshot(tables.posts(spark, sf_dir), tables.weighted_comments(spark, sf_dir), FILTERS["all"]).select("name", "rows", F.size(F.from_json("document", "array<string>")).cast("long").alias("parsed"))
+QUERIES["q13_snapshot_sizes"] = lambda spark, sf_dir: snapshot.snapshot(*tables.posts_and_comments(spark, sf_dir), FILTERS["all"]).select("name", "rows", F.size(F.from_json("document", "array<string>")).cast("long").alias("parsed"))
 ORACLES["q13_snapshot_sizes"] = sql(" UNION ALL ".join(f"SELECT '{n}' AS name, CAST({x} AS BIGINT) AS rows, CAST({x} AS BIGINT) AS parsed" for n, x in SIZES.items()), *filtered(FILTERS["all"]), TOP12)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from agorascope.functions import jsontext, labels, text, timeutil, vectors
 from agorascope.operators import cluster, filters, ingest, merge, quality, sampling, sets
+from agorascope.plans import inference
 from agorascope.queries.base import COMMENTS, r, rounded, sql
 from agorascope.sources import files, scan, tables
 
@@ -237,6 +238,40 @@ def string_hashes(spark, sf_dir):
     return tables.read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), text.string_hash(F.concat("o_orderpriority", F.col("o_orderkey").cast("string"))).alias("hash"))
 
 
+@query(f"""WITH s AS (SELECT conv_id, turn, concat('POST: ', role, chr(10), 'COMMENT: ', coalesce(text, '')) AS p FROM conversations),
+x AS (SELECT conv_id, turn, h, exp((length(p) - length(replace(p, 'e', ''))) % 7 / 2) AS c, exp(length(p) % 5 / 2) AS n, exp(((length(p) - length(replace(p, 'a', ''))) + h) % 7 / 2) AS e FROM s, (SELECT unnest([32, 31]) AS h)),
+y AS (SELECT conv_id, turn, h, c / (c + n + e) AS c, n / (c + n + e) AS n, e / (c + n + e) AS e FROM x),
+z AS (SELECT conv_id, turn, max(CASE WHEN h = 32 THEN e ELSE c END) AS f, max(CASE WHEN h = 31 THEN e ELSE c END) AS a, max(n) AS n FROM y GROUP BY ALL),
+l AS (SELECT *, CASE WHEN greatest(f, a, n) = f THEN 'FAVOR' WHEN greatest(f, a, n) = a THEN 'AGAINST' ELSE 'NONE' END AS best FROM z)
+SELECT conv_id, turn, CASE WHEN best = 'NONE' OR greatest(f, a) < 0.55 THEN 'NONE' ELSE best END AS stance, {r("CASE WHEN best = 'NONE' OR greatest(f, a) < 0.55 THEN n ELSE greatest(f, a) END")} AS stance_score FROM l""")
+def inferred_stances(spark, sf_dir):
+    """Stances from raw scores of two hypotheses, by the stand-in for a model."""
+    rows = tables.read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return inference.stances(rows, inference.rule_scorer, "role", "text").select("conv_id", "turn", "stance", "stance_score")
+
+
+@query("SELECT label, count(*) AS posts, count(*) FILTER (WHERE vec_id % 3 > 0) AS with_vector FROM embeddings GROUP BY label")
+def posts_with_vectors(spark, sf_dir):
+    """Posts whose vector is there; a third are made null or empty."""
+    lost = F.when(F.col("post_id").cast("long") % 6 == 0, F.array().cast("array<float>"))
+    rows = tables.vectors(spark, sf_dir).withColumn("embedding", F.when(F.col("post_id").cast("long") % 3 > 0, F.col("embedding")).otherwise(lost))
+    return rows.groupBy("label").agg(F.count("*").alias("posts"), F.count_if(filters.has_embedding()).alias("with_vector"))
+
+
+SAID = "coalesce(comment_text, '') <> ''"
+
+
+@query(sql(f"""SELECT p.post_id, title AS cleaned, n AS comments FROM (SELECT * FROM posts WHERE score >= 50 AND num_comments >= 3 AND (CAST(post_id AS BIGINT) % 3 <> 0 OR created_utc >= {tables.AS_OF} - 2000 * 86400)) p
+  LEFT JOIN (SELECT post_id, count(*) AS n FROM comments WHERE {SAID} GROUP BY post_id HAVING count(*) >= 2) c ON p.post_id = c.post_id"""))
+def ingested(spark, sf_dir):
+    """Posts chosen, those that are there already left out unless recent, with the comments that come with them."""
+    posts = tables.bare_posts(spark, sf_dir).withColumns({"selftext": F.lit("**body**"), "is_self": F.lit(False)})
+    held = posts.where("cast(post_id as bigint) % 3 = 0")
+    chosen, own = ingest.ingest(posts, held, tables.comments(spark, sf_dir), ingest.Selection(min_score=50, min_comments=3), tables.AS_OF, 2000, 2)
+    counts = own.groupBy("post_id").agg(F.count("comment_text_clean").alias("comments"))
+    return chosen.select("post_id", F.col("topic_text").alias("cleaned")).join(counts, "post_id", "left")
+
+
 # --- replies
 
 @query("SELECT conv_id, turn, concat('c', turn) AS id, turn % 4 AS n FROM conversations")

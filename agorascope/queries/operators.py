@@ -422,7 +422,7 @@ SIZED = "s AS (SELECT CAST(conv_id AS VARCHAR) AS g, turn, row_number() OVER (PA
 
 @query(f"WITH RECURSIVE {SIZED}, {fit_sql(400, 4)} SELECT f.g AS post_id, s.turn AS seq, f.size AS tokens, CAST(f.own AS BIGINT) AS batch FROM f JOIN s ON f.g = s.g AND f.n = s.n WHERE f.own IS NOT NULL")
 def next_fit_batches(spark, sf_dir):
-    return packing.packed(_sized(spark, sf_dir), "post_id", ["seq"], "tokens", lambda s: packing.next_fit(s, 400, 4))
+    return packing.packed_in_order(_sized(spark, sf_dir), ["seq"], "tokens", 400, 4, group=["post_id"])
 
 
 @query("""WITH RECURSIVE s AS (SELECT conv_id, turn, row_number() OVER (ORDER BY CAST(conv_id AS VARCHAR), turn) AS n, greatest(1, CAST(ceil(length(coalesce(text, '')) / 4.0) AS BIGINT)) AS size FROM conversations),

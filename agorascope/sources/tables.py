@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,22 +61,44 @@ def _size(spark: SparkSession, sf_dir: str) -> int:
     return sum(store.size_of(read(spark, sf_dir, name)) for name in ("lineitem", "orders"))
 
 
-def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Posts with distributions and polarization from their comments, as a landed table."""
+def sources(sf_dir: str) -> list[str]:
+    """The files that posts and comments are made of."""
+    return [f"{sf_dir}/{name}.parquet" for name in ("lineitem", "orders")]
+
+
+def version(spark: SparkSession, sf_dir: str) -> str:
+    """The fingerprint of these files, as they are now, and of the code that reads them."""
+    return store.fingerprint(spark, *sources(sf_dir), more=store.code_digest())
+
+
+def _landed(spark: SparkSession, name: str, sf_dir: str, at: str | None, build: Callable[[], DataFrame]) -> DataFrame:
+    return store.landed(spark, name, sources(sf_dir), at or version(spark, sf_dir), _size(spark, sf_dir), "post_id", build)
+
+
+def posts(spark: SparkSession, sf_dir: str, at: str | None = None) -> DataFrame:
+    """Posts with distributions and polarization from their comments, as a landed table. at: the version, if it is known."""
     from agorascope.operators.weights import post_distribution
 
+    at = at or version(spark, sf_dir)
+
     def build() -> DataFrame:
-        found = post_distribution(weighted_comments(spark, sf_dir), weighted=True).drop("stance_count", "sentiment_count")
+        found = post_distribution(weighted_comments(spark, sf_dir, at), weighted=True).drop("stance_count", "sentiment_count")
         return bare_posts(spark, sf_dir).join(found, "post_id", "left")
 
-    return store.landed(spark, "posts", sf_dir, _size(spark, sf_dir), "post_id", build)
+    return _landed(spark, "posts", sf_dir, at, build)
 
 
-def weighted_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def weighted_comments(spark: SparkSession, sf_dir: str, at: str | None = None) -> DataFrame:
     """Comments with their weights, as a landed table."""
     from agorascope.operators.weights import with_weight
 
-    return store.landed(spark, "comments", sf_dir, _size(spark, sf_dir), "post_id", lambda: with_weight(comments(spark, sf_dir)))
+    return _landed(spark, "comments", sf_dir, at, lambda: with_weight(comments(spark, sf_dir)))
+
+
+def posts_and_comments(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Both landed tables at one version of their files."""
+    at = version(spark, sf_dir)
+    return posts(spark, sf_dir, at), weighted_comments(spark, sf_dir, at)
 
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:

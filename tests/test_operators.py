@@ -4,8 +4,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from agorascope.operators import cluster, ctfidf, ingest, manifold, merge, packing, quality, sampling, sets
-from agorascope.plans import labeling, runner
+from agorascope.operators import cluster, ctfidf, ingest, manifold, merge, packing, quality, ranks, sampling, sets
+from agorascope.plans import inference, labeling, runner
 
 
 @pytest.mark.parametrize("total", [1, 20, 22, 25, 26])
@@ -52,15 +52,114 @@ def folded(sizes, budget, most, ends):
 @given(st.lists(st.lists(st.integers(0, 12), max_size=9), max_size=6), st.integers(1, 10), st.sampled_from([None, 1, 2, 5]), st.booleans())
 def test_ranges_compose(ranges, budget, most, ends):
     """Packing every range from the batch open where it begins is packing all in one pass."""
-    sums = [(i, *packing.summary(np.array([s for s in part if ends or s <= budget], int), budget, most, ends)) for i, part in enumerate(ranges)]
-    entered = packing.entered(sums, budget, most)
+    sums = [(i, "", budget, "", *packing.summary(np.array([s for s in part if ends or s <= budget], int), budget, most, ends)) for i, part in enumerate(ranges)]
+    entered = packing.entered(sums, most)
     whole, at = folded([s for part in ranges for s in part], budget, most, ends), 0
-    for (_, batches, _, _), part in zip(entered, ranges, strict=True):
+    for (_, batches, _, _, _), part in zip(entered, ranges, strict=True):
         begun = [b for b in whole[:at] if b is not None]
         assert batches == (max(begun) + 1 if begun else 0)
         at += len(part)
 
 
+def by_group(groups, sizes, budget, most, ends):
+    """Next fit of each group by itself, in one pass."""
+    out = {}
+    for g in set(groups):
+        at = [i for i, x in enumerate(groups) if x == g]
+        out |= {i: b for i, b in zip(at, folded([sizes[i] for i in at], budget, most, ends), strict=True) if b is not None}
+    return out
+
+
+@pytest.mark.parametrize("ends", [False, True])
+@pytest.mark.parametrize("parts", [1, 4, 23])
+def test_packed_by_group(spark, ends, parts):
+    """A group with nearly all rows and many small ones, cut by ranges anywhere: each is packed by itself."""
+    r = np.random.default_rng(parts)
+    groups = [None if i % 97 == 0 else "hot" if i % 3 else f"g{i // 7}" for i in range(600)]
+    sizes = [int(x) if x else None for x in r.integers(0, 26, 600)]
+    rows = spark.createDataFrame([(i, g, s) for i, (g, s) in enumerate(zip(groups, sizes, strict=True))], "k long, g string, n long")
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": str(parts)}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        found = packing.packed_in_order(rows, ["k"], "n", 20, 4, ends, group=["g"])
+        got = {x.k: x.batch for x in found.collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert found.columns == ["k", "g", "n", "batch"] and got == by_group(groups, sizes, 20, 4, ends)
+
+
+def test_each_group_has_its_budget(spark):
+    groups = [f"g{i // 9 % 5}" for i in range(300)]
+    sizes = [1 + i * i % 11 for i in range(300)]
+    rooms = {f"g{k}": 6 + 5 * k for k in range(5)}
+    rows = spark.createDataFrame([(i, g, s, rooms[g]) for i, (g, s) in enumerate(zip(groups, sizes, strict=True))], "k long, g string, n long, room long")
+    got = {x.k: x.batch for x in packing.packed_in_order(rows.repartition(5), ["k"], "n", "room", None, True, group=["g"]).collect()}
+    want = {}
+    for g, room in rooms.items():
+        at = [i for i, x in enumerate(groups) if x == g]
+        want |= {i: b for i, b in zip(at, folded([sizes[i] for i in at], room, None, True), strict=True) if b is not None}
+    assert got == want
+
+
+def test_no_group_is_packed_in_one_task(spark):
+    plan = packing.packed_in_order(spark.range(9).selectExpr("id as k", "1 as g", "2L as n"), ["k"], "n", 20, group=["g"])._jdf.queryExecution().toString()
+    assert "FlatMapGroupsInPandas" not in plan and "hashpartitioning(g" not in plan
+
+
+def test_first_rows_leave_tasks_cut(spark):
+    """A rank under a limit is cut before the shuffle, so a hot topic sends a few rows a task."""
+    rows = spark.range(5000).repartition(3).selectExpr("if(id < 5000, 'hot', cast(id as string)) as topic_id", "cast(id as string) as post_id", "cast(id % 100 as double) as distance", "id as score", "id % 1000 as created_utc")
+    plan = sampling.near_far(rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2
+    got = {x.post_index: (x.tag, x.distance) for x in sampling.near_far(rows).collect()}
+    assert sorted(got) == [*range(20), *range(4995, 5000)] and got[0] == ("NEAR", 0.0) and got[4999] == ("FAR", 99.0)
+    taken = sampling.sample(rows, F.lit(31), F.lit(True)).groupBy("taken").count().collect()
+    assert {x.taken: x["count"] for x in taken} == {"score": 11, "early": 5, "late": 5, "random": 10}
+
+
+def sampled(rows, size, dominant):
+    """Which row is taken how, step by step over all rows."""
+    def third(n):
+        return n // 3 + (n % 3 >= 1) if dominant else n // 2, n // 3 if dominant else 0
+
+    out, (score, time) = {}, third(size)
+    left = lambda: [r for r in rows if r["post_id"] not in out]
+    for how, quota, key in (("score", score, lambda r: (-r["score"], r["post_id"])), ("early", time // 2, lambda r: (r["created_utc"], r["post_id"])), ("late", time - time // 2, lambda r: (-r["created_utc"], r["post_id"]))):
+        out |= {r["post_id"]: how for r in sorted(left(), key=key)[:quota]}
+    return out | {r["post_id"]: "random" for r in sorted(left(), key=lambda r: (r["hash"], r["post_id"]))[: size - len(out)]}
+
+
+@pytest.mark.parametrize("dominant", [True, False])
+def test_sample_is_that_over_all_rows(spark, dominant):
+    """The candidates hold every row that a pass over whole topics would take, the random ones too."""
+    r = np.random.default_rng(6)
+    data = [(t, f"{t}{i:03d}", int(r.integers(0, 30)), int(r.integers(0, 60))) for t, n in (("a", 300), ("b", 12), ("c", 40)) for i in range(n)]
+    rows = spark.createDataFrame(data, "topic_id string, post_id string, score long, created_utc long").withColumn("hash", sampling.shuffled(42))
+    every = [x.asDict() for x in rows.collect()]
+    got = {x.post_id: x.taken for x in sampling.sample(rows, F.lit(20), F.lit(dominant)).collect()}
+    assert got == {k: v for t in "abc" for k, v in sampled([x for x in every if x["topic_id"] == t], 20, dominant).items()}
+
+
+@pytest.mark.parametrize("parts", [1, 9])
+def test_places_by_ranges(spark, parts):
+    """Running sums over a hot group, cut by ranges anywhere."""
+    data = [(None if i % 50 == 0 else "hot" if i % 4 else "cold", i * 7 % 500, i % 5) for i in range(500)]
+    rows = spark.createDataFrame(data, "g string, k long, w long")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        got = {x.k: (x.before_, x.all_) for x in ranks.placed(rows, ["g"], ["k"], "w").collect()}
+        counted = {x.k: (x.before_, x.all_) for x in ranks.placed(rows, [], ["k"]).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    for g, k, _ in data:
+        own = sorted((b, c) for a, b, c in data if a == g)
+        assert got[k] == (sum(c for b, c in own if b < k), sum(c for _, c in own)) and counted[k] == (k, 500)
+
+
 @pytest.mark.parametrize("ends", [False, True])
 @pytest.mark.parametrize("parts", [1, 7])
 def test_packed_in_order(spark, ends, parts):
@@ -281,6 +380,141 @@ def test_answered():
     assert reply == "" and error.startswith("TimeoutError")
 
 
+def test_windows_are_encoded_in_batches(spark):
+    """Texts of all lengths: vectors are the weighted means of their windows, and the encoder is called for 32 windows at a time."""
+    r = np.random.default_rng(11)
+    texts = [" ".join(f"w{int(x)}" for x in r.integers(0, 50, n)) for n in [*r.integers(1, 40, 150).tolist(), 300, 800, 95, 96, 94]] + ["", "  ", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "post_id long, text string").coalesce(1)
+    calls = spark.sparkContext.accumulator(0)
+    most = spark.sparkContext.accumulator(0)
+    hashed = cluster.hashing_encoder(16)
+
+    def encode(batch):
+        calls.add(1)
+        longest = max(len(t.split()) for t in batch)
+        assert len(batch) <= 32 and (len(batch) == 1 or longest * len(batch) <= 2000)
+        most.add(len(batch))
+        return hashed(batch) + 0.01
+
+    got = {x.post_id: x.embedding for x in cluster.embed_texts(rows, encode, max_tokens=98, overlap=10, batch_tokens=2000, held=100).collect()}
+    windows = 0
+    for i, t in enumerate(texts):
+        words = (t or "").split()
+        if not words:
+            assert i not in got
+            continue
+        cut = [words] if len(words) <= 96 else [words[a : a + 96] for a in range(0, len(words), 86) if a == 0 or a + 10 < len(words)]
+        windows += len(cut)
+        mean = np.average(hashed([" ".join(c) for c in cut]) + 0.01, axis=0, weights=[len(c) for c in cut])
+        assert got[i] == pytest.approx((mean / np.linalg.norm(mean)).tolist(), abs=1e-9), i
+    assert most.value == windows and windows / 32 <= calls.value <= windows / 32 + 12
+
+
+def test_batches_of_windows():
+    sizes = [5, 1, 9, 100, 2, 2, 2, 50]
+    got = cluster.batches_of(sizes, 3, 20)
+    assert sorted(i for b in got for i in b) == list(range(8)) and all(len(b) <= 3 and (len(b) == 1 or len(b) * max(sizes[i] for i in b) <= 20) for b in got)
+    assert cluster.batches_of([], 3, 20) == []
+
+
+def test_terms_in_pieces(spark, monkeypatch):
+    """However few terms a task holds at a time, and of whatever type topics are, scores are the same; by plain counting too."""
+    import math
+
+    r = np.random.default_rng(5)
+    posts = [(int(i % 4), int(i), " ".join(f"Wort{int(x)} é_{int(x) % 3}" for x in r.integers(0, 30, int(r.integers(0, 40))))) for i in range(60)] + [(None, 99, "nobody"), (2, 100, None)]
+    rows = spark.createDataFrame(posts, "topic_id long, post_id long, text string")
+    key = lambda df: {(x.topic_id, x.term): (x.n, x.df, round(x.score, 12)) for x in df.collect()}
+    want = key(ctfidf.term_scores(rows, ["wort1"]))
+    monkeypatch.setattr(ctfidf, "HELD", 5)
+    assert key(ctfidf.term_scores(rows.repartition(5), ["wort1"])) == want
+    plain: dict = {}
+    for t in range(4):
+        words = [w for _, _, x in sorted((p for p in posts if p[0] == t), key=lambda p: str(p[1])) for w in (x or "").lower().split() if w != "wort1"]
+        for term in words + [f"{a} {b}" for a, b in zip(words, words[1:])]:
+            plain.setdefault(term, {}).setdefault(t, 0)
+            plain[term][t] += 1
+    held = {term: c for term, c in plain.items() if 2 <= len(c) <= 0.95 * 4}
+    totals = {t: sum(c.get(t, 0) for c in held.values()) for t in range(4)}
+    assert want == {(t, term): (n, len(c), round(n / totals[t] * (math.log(5 / (1 + len(c))) + 1), 12)) for term, c in held.items() for t, n in c.items()}
+
+
+def test_parts_are_asked_again(spark):
+    """A model that fails on long prompts: halves down to a depth, or the first half only."""
+    import json
+
+    def model(prompt):
+        own = json.loads(prompt)
+        if len(own) > 2 or "bad" in own:
+            return "sorry"
+        return json.dumps([{"got": own}])
+
+    rows = spark.createDataFrame([(1, [str(i) for i in range(8)]), (2, ["a", "bad", "b"]), (3, ["x"]), (4, [])], "k long, items array<string>")
+    render = lambda own: json.dumps(list(own))
+    got = {}
+    for r in labeling.ask_parts(rows, model, render).collect():
+        got.setdefault(r.k, []).append(r.asked)
+    assert {k: sorted(v) for k, v in got.items()} == {1: [["0", "1"], ["2", "3"], ["4", "5"], ["6", "7"]], 2: [["a"], ["b"]], 3: [["x"]], 4: [[]]}
+    halved = {r.k: r.asked for r in labeling.ask_parts(rows, model, render, split=False).collect()}
+    assert halved == {1: ["0", "1"], 2: ["a"], 3: ["x"]}
+    assert labeling.ask_parts(rows, lambda p: 1 // 0, render).count() == 0
+
+
+def test_topics_by_halves(spark):
+    import json
+
+    def model(prompt):
+        own = json.loads(prompt)
+        return json.dumps([{"topic_name": f"of {len(own)}", "topic_description": own[0]["text"], "confidence": 0.5}]) if len(own) <= 3 else ""
+
+    rows = spark.createDataFrame([(t, i + 1, f"{t}{i}") for t, n in (("a", 9), ("b", 2), ("c", 40)) for i in range(n)], "topic_id string, rank int, text string")
+    got = {r.topic_id: (r.topic_name, r.topic_description, r.posts) for r in labeling.label_topic(rows, model, most=10).collect()}
+    assert got == {"a": ("of 2", "a0", 2), "b": ("of 2", "b0", 2), "c": ("of 2", "c0", 2)}
+
+
+def test_stances_by_inference(spark):
+    """From raw scores of both hypotheses, as the definition has it, in batches that mix rows."""
+    import math
+
+    r = np.random.default_rng(2)
+    texts = [("p" * int(r.integers(0, 9)) + "ea" * int(r.integers(0, 9)), "c" + "ae" * int(r.integers(0, 7))) for _ in range(75)] + [(None, "x"), ("", None)]
+    rows = spark.createDataFrame([(i, *t, "kept") for i, t in enumerate(texts)], "k long, post_text string, comment_text string, stance_scores_ string")
+
+    def scorer(pairs):
+        assert 0 < len(pairs) <= 10 and all(p.startswith("POST: ") and h.startswith("The commenter ") for p, h in pairs)
+        return inference.rule_scorer(pairs)
+
+    got = {x.k: x for x in inference.stances(rows, scorer, batch=10).collect()}
+    assert len(got) == len(texts)
+    for k, (post, comment) in enumerate(texts):
+        p = f"POST: {post or ''}\nCOMMENT: {comment or ''}"
+        shares = []
+        for h in ("The commenter supports the post.", "The commenter opposes the post."):
+            raw = [math.exp(x) for x in inference.rule_scorer([(p, h)])[0]]
+            shares.append([x / sum(raw) for x in raw])
+        (c1, n1, e1), (c2, n2, e2) = shares
+        scores = {"FAVOR": max(e1, c2), "AGAINST": max(e2, c1), "NONE": max(n1, n2)}
+        best = max(scores, key=scores.get)
+        label = best if scores[best] >= 0.55 else "NONE"
+        assert got[k].stance_scores.asDict() == pytest.approx(scores) and (got[k].stance, got[k].stance_score) == (label, pytest.approx(scores[label]))
+    assert len({x.stance for x in got.values()}) == 3
+
+
+def test_hash_beyond_the_basic_plane(spark):
+    """UTF-16 units, as scripts of a browser count them."""
+    from agorascope.functions import text
+
+    def of(s):
+        h = 0
+        for i in range(0, len(u := s.encode("utf-16-be")), 2):
+            h = (h * 31 + int.from_bytes(u[i : i + 2], "big")) & 0xFFFFFFFF
+        return abs(h - 2**32 if h >= 2**31 else h)
+
+    texts = ["", "a", "topic_12", "😀 grin", "né🇩🇪", "中文" * 20]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", text.string_hash(F.col("t")).alias("h"))
+    assert {x.t: x.h for x in rows.collect()} == {t: of(t) for t in texts}
+
+
 def test_stop_words_have_no_limit(spark):
     more = spark.range(20_500).select(F.concat(F.lit("w"), F.col("id").cast("string")).alias("word"))
     assert {f"w{i}" for i in range(20_500)} <= set(ctfidf.stop_words(spark, more))

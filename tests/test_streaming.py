@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from agorascope.operators.filters import parse
 from agorascope.plans import dashboard
 from agorascope.sources import tables
@@ -18,13 +16,6 @@ def test_trends_equal_batch(spark, small, tmp_path):
     assert got == {(str(r.bucket)[:10], r.label): r["count"] for r in batch.collect()}
 
 
-def test_upsert_sink(spark, tmp_path):
-    spark.createDataFrame([("a", 1), ("b", 2)], "id string, v int").coalesce(1).write.parquet(f"{tmp_path}/s")
-    stream = spark.readStream.schema("id string, v int").parquet(f"{tmp_path}/s")
-    incremental.upsert_sink(stream, spark, f"{tmp_path}/t", "id", f"{tmp_path}/k", F.current_timestamp()).awaitTermination()
-    assert sorted(tuple(r) for r in spark.read.parquet(f"{tmp_path}/t/v=0").collect()) == [("a", 1), ("b", 2)]
-
-
 def test_post_sums(spark, small):
     sums = incremental.post_sums(tables.comments(spark, small))
     assert sums.count() == tables.comments(spark, small).select("post_id").distinct().count()
