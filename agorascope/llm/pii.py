@@ -1,8 +1,8 @@
 """Personal data by candidates and gradient boosting, in DataFrame functions only.
 
 Base kinds (email, ip, card, phone) are found by fixed patterns and always stay. Beyond them, generators of high recall
-propose overlapping spans (tel, ssn, iban, secret, mail); boosted trees score each by its format and CONTEXT characters
-on either side, spans at or above their kind's calibrated threshold are selected, those furthest above it first where they
+propose overlapping spans (tel, ssn, iban, secret, mail); boosted trees score each by its format, its shape as a link, path, name,
+digest or number of something, the check digits of accounts, and CONTEXT characters on either side, spans at or above their kind's calibrated threshold are selected, those furthest above it first where they
 overlap. The trees are fitted on the driver to SAMPLE labelled candidates made by rule from a fixed seed (no table holds
 such labels), thresholds to as many others, and both run as column expressions. Tests of whole texts only spare work: each
 holds wherever its generator matches, so no span depends on what stands elsewhere in a text.
@@ -49,7 +49,27 @@ HINTS = {
     "mail": r"(?i)(?:mail|contact|write|reach)",
     "secret": r"(?i)(?:password|passwd|pwd|secret|token|key|credential)",
     "tax": r"(?i)(?:ssn|social|iban|account|bank|konto|tax|id)",
-    "goods": r"(?i)(?:version|order|invoice|part|isbn|item|model|build|price|date|page|no\.)",
+    "goods": r"(?i)(?:version|order|invoice|part|isbn|item|model|build|price|date|page|no\.|case|docket|court|serial|article|population|total|number of|figure|about|some|nearly)",
+    "digest": r"(?i)(?:commit|sha-?[0-9]*|md5|hash|checksum|digest|rev(?:ision)?|blob|uuid|guid|session|etag)[\s:=#]*$",
+    "link": r"(?:://|www\.)[^\s\"'<>]*$",
+    "sign": r"[=#_/\\]$",
+}
+#: What the value itself says: joined words, a path, camel case, hexadecimal digits, a UUID, groups of digits, an assignment, a label
+#: and what stands behind it.
+SHAPES = {
+    "words": r"^[A-Za-z]+(?:[-_/][A-Za-z]+)*$",
+    "path": r"/[^/]*/|^[a-z]+/|/[a-z]+$",
+    "hex": r"^(?:[0-9a-f]+|[0-9A-F]+)$",
+    "uuid": r"^[0-9A-Fa-f]{8}-(?:[0-9A-Fa-f]{4}-){3}[0-9A-Fa-f]{12}$",
+    "groups": r"^[0-9]+(?:[ -][0-9]+)+$",
+    "assigned": r"^[A-Za-z_]{1,12}=",
+    "equals": r"^(?i:password|passwd|pwd|secret|token|api_?key)=",
+    "said": r"^(?i:password|passwd|pwd|secret|token|api_?key)\s{0,2}[=:]\s{0,2}[\"']?[^\s]*[0-9]",
+    "place": r" at (?:this|that|these|those|the|a|an|it|noon|night|home|work|school|once|last|least|first|all|any|one|two|my|his|her|their|our|your|me|him|them|us|some|which|what|peace|war|sea|hand|end|times?|random|polka)\b",
+    "blank_dot": r" \. ",
+    "trunk": r"^\(?0",
+    "thousands": r"^[0-9]{3}[ -][0-9]{3}[ -][0-9]{3}$",
+    "camel": r"^[A-Z]?[a-z]++(?:[A-Z][a-z]++)++$",
 }
 #: Openings of access keys of well-known services.
 KEYS = r"^(?:AKIA|ASIA|AIza|gh[pousr]_|github_pat_|glpat-|sk-|sk_live_|xox[abprs]-|eyJ)[A-Za-z0-9_-]{12}"
@@ -61,7 +81,7 @@ ENDED = rf"(?i)(?:[ .)\]])(?:{DOMAINS})$"
 SIGNED = r"\(at\)|\[at\]"
 SPELLED = r"\(dot\)|\[dot\]| dot "
 SAMPLE, PRECISION = 6000, 0.99
-CONTEXT = 24
+CONTEXT = 40
 SPAN = "array<struct<kind:string,start:int,end:int>>"
 
 
@@ -118,6 +138,19 @@ def base_spans(text: Column, kind: str) -> Column:
 SPAN_VALUE = "array<struct<kind:string,start:int,end:int,value:string>>"
 
 
+def iban_valid(value: str) -> bool:
+    """Whether the check digits of an account number fit: its characters, the first four last, are 1 modulo 97."""
+    v = value.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in v[4:] + v[:4])) % 97 == 1
+
+
+def iban_valid_column(value: Column) -> Column:
+    v = F.replace(value, F.lit(" "), F.lit(""))
+    turned = F.concat(F.substr(v, F.lit(5), F.length(v)), F.substr(v, F.lit(1), F.lit(4)))
+    step = lambda a, c: F.when(c.between("0", "9"), (a * 10 + F.ascii(c) - 48) % 97).otherwise((a * 100 + F.ascii(c) - 55) % 97)
+    return F.aggregate(F.split(turned, ""), F.lit(0), step) == 1
+
+
 def features(value: str, before: str, after: str, kind: str) -> list[float]:
     """The features of a candidate in Python, for fitting; feature_columns() are their twins."""
     import re
@@ -127,6 +160,7 @@ def features(value: str, before: str, after: str, kind: str) -> list[float]:
     return [
         *(float(kind == k) for k in ADDED), float(len(value)), count(r"[0-9]") / n, count(r"[A-Z]") / n, count(r"[a-z]") / n, float(count(r"[ ./()-]")), float(count(r"-")), float(count(r"\.")), float(len(set(value))),
         float(count(r"[0-9](?=[A-Za-z])|[A-Za-z](?=[0-9])")), *(float(bool(re.search(p, before, re.A))) for p in HINTS.values()), float(bool(re.search(HINTS["secret"] + r"\s{0,2}[=:]", value, re.A))), float(bool(re.search(KEYS, value))), float(bool(re.search(r"[$€£#]\s?$", before, re.A))), float(bool(re.search(r"^\s?[%€$]", after, re.A))), *(float(bool(re.search(p, value, re.A))) for p in (ENDED, SIGNED, SPELLED)),
+        *(float(bool(re.search(p, value, re.A))) for p in SHAPES.values()), float(count(r"[a-z](?=[A-Z])")), float(count("/")), float(kind == "iban" and iban_valid(value)),
     ]
 
 
@@ -137,48 +171,69 @@ def feature_columns(value: Column, before: Column, after: Column, kind: Column)
     return [
         *(flag(kind == k) for k in ADDED), F.length(value).cast("double"), count(r"[0-9]") / n, count(r"[A-Z]") / n, count(r"[a-z]") / n, count(r"[ ./()-]"), count(r"-"), count(r"\."), F.size(F.array_distinct(F.split(value, ""))).cast("double"),
         count(r"[0-9](?=[A-Za-z])|[A-Za-z](?=[0-9])"), *(flag(before.rlike(p)) for p in HINTS.values()), flag(value.rlike(HINTS["secret"] + r"\s{0,2}[=:]")), flag(value.rlike(KEYS)), flag(before.rlike(r"[$€£#]\s?$")), flag(after.rlike(r"^\s?[%€$]")), *(flag(value.rlike(p)) for p in (ENDED, SIGNED, SPELLED)),
+        *(flag(value.rlike(p)) for p in SHAPES.values()), count(r"[a-z](?=[A-Z])"), count("/"), flag(F.when(kind == "iban", iban_valid_column(value)).otherwise(F.lit(False))),
     ]
 
 
 def labelled(n: int = SAMPLE, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
-    """Labelled candidates made by rule: personal data in usual formats and contexts, and what merely looks alike."""
+    """Labelled candidates made by rule: personal data in usual formats and contexts, and what merely looks alike: links, paths,
+    names in code, digests, numbers of books and cases, counts, and prose with "at" and "dot" in it."""
     r = random.Random(seed)
     d = lambda k: "".join(r.choice("0123456789") for _ in range(k))
     a = lambda k, s="abcdefghijklmnopqrstuvwxyz": "".join(r.choice(s) for _ in range(k))
-    upper, mixed = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    upper, mixed, hexa = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "0123456789abcdef"
     plain = lambda: r.choice(["", "and the ", "of a ", "we saw ", "in ", a(5) + " " + a(3) + " "])
     end = lambda: r.choice(DOMAINS.split("|"))
-    word = lambda: a(r.randint(4, 9))
-    say = {"tel": ["call ", "tel: ", "phone ", "mobile: ", "fax "], "ssn": ["ssn ", "social security ", "tax id "], "iban": ["iban ", "account ", "bank: "], "secret": ["key ", "token ", ""], "mail": ["mail me ", "contact ", "reach me: "]}
+    word = lambda: a(r.randint(3, 9))
+    words = lambda k, by: by.join(word() for _ in range(k))
+    place = lambda: r.choice(["this", "that", "the", "noon", "home", "work", "last", "a", "night", "once", "all", "random"])
+    label = lambda: r.choice(["password", "passwd", "pwd", "token", "api_key", "apikey", "secret", "Password", "TOKEN"])
+    say = {"tel": ["call ", "tel: ", "phone ", "mobile: ", "fax "], "ssn": ["ssn ", "social security ", "tax id ", "his ssn is "], "iban": ["iban ", "account ", "bank: ", "IBAN: "], "secret": ["key ", "token ", "the key is "], "mail": ["mail me ", "contact ", "reach me: ", "write to "]}
+    other = ["order ", "version ", "part no. ", "page ", "$", "case no. ", "docket ", "isbn ", "population of ", "total ", "serial "]
+
+    def account(k: int, valid: bool) -> str:
+        body, land = d(k), a(2, upper)
+        check = f"{98 - int(body + str(int(land[0], 36)) + str(int(land[1], 36)) + '00') % 97:02}" if valid else d(2)
+        whole = land + check + body
+        return r.choice([whole, " ".join(whole[i : i + 4] for i in range(0, len(whole), 4))])
+
+    # Each gives what is found, and before it what must or may stand there; None leaves the choice to the kind.
     good = {
-        "tel": lambda: r.choice([f"({d(3)}) {d(3)}-{d(4)}", f"{d(3)}-{d(3)}-{d(4)}", f"0{d(2)} {d(4)} {d(4)}", f"{d(3)}.{d(3)}.{d(4)}"]),
-        "ssn": lambda: f"{d(3)}-{d(2)}-{d(4)}",
-        "iban": lambda: r.choice([lambda s: f"{a(2, upper)}{d(2)} " + " ".join(d(4) for _ in range(4)) + s, lambda s: f"{a(2, upper)}{d(18)}" + s])(""),
-        "secret": lambda: r.choice([lambda: r.choice(["password", "token", "api_key", "secret"]) + r.choice(["=", ": ", ":"]) + a(r.randint(8, 24), mixed), lambda: "AKIA" + a(16, upper + "234567"), lambda: "ghp_" + a(36, mixed), lambda: "sk-" + a(40, mixed), lambda: r.choice(["ASIA", "AKIA"]) + a(16, upper), lambda: "AIza" + a(35, mixed), lambda: a(r.randint(28, 40), mixed), lambda: a(32, "0123456789abcdef")])(),
-        "mail": lambda: r.choice([f"{a(6)} [at] {a(6)} [dot] {end()}", f"{a(5)}(at){a(7)}.{end()}", f"{a(4)}.{a(5)} at {a(7)} dot {end()}", f"{a(r.randint(2, 9))} at {a(r.randint(3, 9))} dot {a(4)} dot {end()}", f"{a(5)} at {a(6)} (dot) {end()}", f"{a(5)} at {a(6)} . {end()}", f"{a(6)} [at] {a(6)} dot {a(r.randint(2, 5))}"]),
+        "tel": [lambda: (f"({d(3)}) {d(3)}-{d(4)}", None), lambda: (f"{d(3)}-{d(3)}-{d(4)}", None), lambda: (f"0{d(2)} {d(4)} {d(4)}", None), lambda: (f"{d(3)}.{d(3)}.{d(4)}", None), lambda: (f"{d(3)} {d(3)} {d(4)}", r.choice(say["tel"])), lambda: (f"{d(3)} {d(4)} {d(4)}", r.choice(say["tel"]))],
+        "ssn": [lambda: (f"{d(3)}-{d(2)}-{d(4)}", None), lambda: (f"{d(3)} {d(2)} {d(4)}", r.choice(say["ssn"]))],
+        "iban": [lambda: (account(r.choice([14, 16, 18, 20]), True), None), lambda: (account(r.choice([16, 18]), False), r.choice(say["iban"]))],
+        "secret": [
+            lambda: (label() + r.choice(["=", ": ", ":", " = "]) + r.choice(["", '"']) + a(r.randint(8, 40), mixed) + d(2), None), lambda: (label() + "=" + a(r.randint(6, 24)), None), lambda: (label() + r.choice([": ", "=", " = "]) + word() + d(r.randint(1, 4)), None), lambda: (label() + r.choice([' = "', "=", ": "]) + a(r.choice([32, 40, 64]), hexa), None),
+            lambda: ("AKIA" + a(16, upper + "234567"), None), lambda: ("ghp_" + a(36, mixed), None), lambda: ("sk-" + a(r.randint(24, 48), mixed), None), lambda: ("AIza" + a(35, mixed), None), lambda: (a(r.randint(28, 44), mixed), None), lambda: (a(r.choice([32, 40]), hexa), r.choice(say["secret"])), lambda: (a(r.randint(18, 30), mixed), r.choice(say["secret"])),
+        ],
+        "mail": [lambda: (f"{word()} [at] {word()} [dot] {end()}", None), lambda: (f"{word()}(at){word()}.{end()}", None), lambda: (f"{a(4)}.{a(5)} at {word()} dot {end()}", None), lambda: (f"{word()} at {word()} dot {end()}", r.choice(say["mail"])), lambda: (f"{word()} at {word()} dot {a(4)} dot {end()}", None), lambda: (f"{word()} at {word()} (dot) {end()}", None), lambda: (f"{word()} at {word()} . {end()}", r.choice(say["mail"])), lambda: (f"{word()} [at] {word()} dot {a(r.randint(2, 5))}", None)],
     }
     bad = {
-        "tel": lambda: r.choice([f"{d(4)}-{d(4)}-{d(3)}", f"19{d(2)}-{d(4)}-{d(4)}", f"{d(2)}/{d(3)}/{d(4)}", f"{d(2)} {d(3)} {d(3)}"]),
-        "ssn": lambda: f"{d(3)} {d(2)} {d(4)}",
-        "iban": lambda: f"{a(2, upper)}{d(2)} {a(4, upper)} {a(4, upper)}",
-        "secret": lambda: r.choice([a(r.randint(16, 30)), a(r.randint(4, 9)) + "-" + a(r.randint(5, 9)) + "-" + a(r.randint(4, 9)), "_".join(a(5) for _ in range(4)), a(1, upper) + a(r.randint(15, 28)), "=" * r.randint(16, 80), "-" * r.randint(16, 80), a(r.randint(16, 40), upper), d(r.randint(16, 20)), d(16), "/".join(a(6) for _ in range(4)), "token: " + a(6), r.choice(["Password", "secret", "token"]) + ": " + a(5)]),
-        "mail": lambda: r.choice([lambda: f"{a(r.randint(2, 9))} at {a(r.randint(2, 9))} . {a(1, upper)}{a(r.randint(1, 9))}", lambda: f"{a(r.randint(2, 9))} at {a(r.randint(2, 9))} . {word()}", lambda: f"{a(r.randint(2, 9))} at {a(r.randint(3, 9))} dot {word()}"])(),
+        "tel": [lambda: (f"{d(4)}-{d(4)}-{d(3)}", None), lambda: (f"19{d(2)}-{d(4)}-{d(4)}", None), lambda: (f"{d(2)}/{d(3)}/{d(4)}", None), lambda: (f"{d(2)} {d(3)} {d(3)}", None), lambda: (f"{r.choice('123456789')}{d(2)} {d(4)} {d(4)}", None), lambda: ("-".join(d(3) for _ in range(3)), None), lambda: (f"{r.choice('123456789')}{d(2)} {d(3)} {d(4)}", r.choice(["population of ", "total ", "about ", ""])), lambda: (f"{d(4)}-{d(4)}-{d(4)}", r.choice(["x=", "id_", "no. ", "#", ""])), lambda: (f"{d(3)}-{d(3)}-{d(4)}", r.choice(["part ", "order ", "serial "]))],
+        "ssn": [lambda: (f"{d(3)} {d(2)} {d(4)}", None), lambda: (f"{d(3)}-{d(2)}-{d(4)}", r.choice(["case no. ", "docket ", "court file ", "order ", "part ", "case ", "item "]))],
+        "iban": [lambda: (f"{a(2, upper)}{d(2)} {a(4, upper)} {a(4, upper)}", None), lambda: (account(r.choice([8, 12, 16]), False), None)],
+        "secret": [
+            lambda: (a(r.randint(16, 30)), None), lambda: (words(r.randint(3, 7), "-"), None), lambda: (words(r.randint(3, 5), "_"), None), lambda: (a(1, upper) + a(r.randint(15, 28)), None), lambda: ("=" * r.randint(16, 80), None), lambda: ("-" * r.randint(16, 80), None), lambda: (a(r.randint(16, 40), upper), None), lambda: (d(r.randint(16, 20)), None),
+            lambda: (words(r.randint(3, 6), "/"), r.choice(["", "./", "https://example."])), lambda: ("/" + words(r.randint(2, 5), "/") + r.choice(["", d(1), "/" + d(4)]), None), lambda: (f"{end()}/{word()}/20{d(2)}/{d(2)}/{words(4, '-')}", r.choice(["https://www.", "see https://" + word() + "."])), lambda: (f"{end()}/{word()}/{a(r.randint(8, 30), mixed)}", "http://" + word() + "."),
+            lambda: (a(r.choice([32, 40, 64]), hexa), r.choice(["commit ", "sha256: ", "md5 ", "hash ", "checksum: ", ""])), *[lambda: ("-".join(a(k, r.choice([hexa, hexa + "0123456789" * 3])) for k in (8, 4, 4, 4, 12)), r.choice([None, "uuid: ", "id "]))] * 2, lambda: ("".join(x.title() for x in words(r.randint(3, 8), " ").split()), None), lambda: (word() + "".join(x.title() for x in words(r.randint(3, 8), " ").split()), r.choice([None, "call "])),
+            lambda: (f"97{r.choice('89')}-{d(1)}-{d(2)}-{d(6)}-{d(1)}", r.choice(["isbn ", "", "ISBN: "])), lambda: (r.choice(["x", "id", "n", "ref"]) + "=" + "-".join(d(4) for _ in range(3)), None), lambda: ("-".join(d(r.randint(2, 5)) for _ in range(4)), None), *[lambda: (r.choice(["Password", "secret", "token", "Token", "Secret", "password"]) + ": " + word(), None)] * 2, lambda: (a(r.randint(16, 24), hexa), None), lambda: (word() + "_" + word() + "_" + d(r.randint(2, 6)), None), lambda: (words(3, "-") + "-" + d(r.randint(1, 4)), None),
+        ],
+        "mail": [lambda: (f"{word()} at {word()} . {a(1, upper)}{word()}", None), lambda: (f"{word()} at {word()} . {word()}", None), lambda: (f"{word()} at {word()} dot {word()}", None), lambda: (f"{word()} at {place()} dot {r.choice([end(), word()])}", None), lambda: (f"{word()} at {place()} . {r.choice([end(), word()])}", r.choice([None, "we "])), lambda: (f"{word()} at {word()} . {end()}", "")],
     }
     rows, y = [], []
     for _ in range(n):
-        kind = r.choice(ADDED)
-        if r.random() < 0.5:
-            rows.append(features(good[kind](), plain() + (r.choice(say[kind]) if r.random() < 0.6 else ""), r.choice([" ", ". ", ", "]) + a(4), kind))
-            y.append(1.0)
-        else:
-            rows.append(features(bad[kind](), plain() + (r.choice(["order ", "version ", "part no. ", "page ", "$"]) if r.random() < 0.5 else ""), r.choice([" ", ". ", "%"]) + a(4), kind))
-            y.append(0.0)
+        kind, is_good = r.choice(ADDED), r.random() < 0.5
+        value, must = r.choice((good if is_good else bad)[kind])()
+        if must is None:
+            must = (r.choice(say[kind]) if r.random() < 0.5 else "") if is_good else (r.choice(other) if r.random() < 0.4 else "")
+        rows.append(features(value, plain() + must, r.choice([" ", ". ", ", ", "%" if not is_good and r.random() < 0.3 else " "]) + a(4), kind))
+        y.append(float(is_good))
     return np.array(rows), np.array(y)
 
 
 @functools.lru_cache(1)
 def model() -> Boosted:
-    return Boosted.fit(*labelled())
+    return Boosted.fit(*labelled(), rounds=60)
 
 
 @functools.lru_cache(1)
