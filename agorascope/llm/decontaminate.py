@@ -17,19 +17,22 @@ without words match nothing; null ids are carried; items of one id are one item,
 windows the first counts; repeated rows are matched alike; other columns are not used; empty tables give no rows. Items
 are taken in passes of about ITEMS rows and ITEM_BYTES of text, those of one id together, so what a task holds of them is
 bounded; beside them it holds the weights of shingles that several items share, which are the same in every pass, as are
-the results.
+the results. One pass is one lazy plan. Of several each is run and written before the next is made, and its broadcast is let go,
+so driver and executors hold one at a time, however many there are.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from agorascope.llm.staging import Stage
 from agorascope.llm.textkit import NO_WORD, shingle_rows, strings
 
 K = 5
@@ -214,35 +217,75 @@ def item_passes(items: DataFrame, threshold: float = 0.8, id_col: str = "item_id
             yield Items([r["i"] for r in got], [r["t"] for r in got], shared, threshold)
 
 
-def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, item_id, similarity, start_word, n_words: each item that a text holds, at its best window. No shuffle."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    schema = "doc_id long, item_id long, similarity double, start_word long, n_words long"
-    out = docs.sparkSession.createDataFrame([], schema)
-    for own in item_passes(items, threshold):
-        held = docs.sparkSession.sparkContext.broadcast(own)
+FOUND = "doc_id long, item_id long, similarity double, start_word long, n_words long"
 
-        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                ids, found = batch.column("doc_id").to_pylist(), []
-                for r, values in shingle_rows(strings(batch.column("text")), K, True, NO_WORD):
-                    found += [(ids[r], *m) for m in held.value.matches(values)]
-                cols = list(zip(*found, strict=True)) if found else [[]] * 5
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.float64() if n == "similarity" else pa.int64()) for n, c in zip(("doc_id", "item_id", "similarity", "start_word", "n_words"), cols, strict=True)], ["doc_id", "item_id", "similarity", "start_word", "n_words"])
 
-        out = out.unionByName(rows.mapInArrow(run, schema))
+def _by_pass(rows: DataFrame, items: DataFrame, threshold: float, work: Callable, schema: str) -> DataFrame | None:
+    """What work(batches, broadcast items) gives for every pass; None without items."""
+    spark, passes = rows.sparkSession, item_passes(items, threshold)
+    first, second = next(passes, None), next(passes, None)
+    if first is None:
+        return None
+
+    def of(held) -> DataFrame:
+        return rows.mapInArrow(lambda batches: work(batches, held), schema)
+
+    if second is None:
+        return of(spark.sparkContext.broadcast(first))
+    stage, out = Stage(spark, "passes"), None
+    passes = chain([first, second], passes)
+    del first, second
+    for n, own in enumerate(passes):
+        held = spark.sparkContext.broadcast(own)
+        found = stage.table(of(held), f"pass-{n}")
+        held.destroy()
+        out = found if out is None else out.unionByName(found)
     return out
 
 
+def _matches(batches: Iterator[pa.RecordBatch], held) -> Iterator[pa.RecordBatch]:
+    names = [c.split()[0] for c in FOUND.split(", ")]
+    for batch in batches:
+        ids, found = batch.column("doc_id").to_pylist(), []
+        for r, values in shingle_rows(strings(batch.column("text")), K, True, NO_WORD):
+            found += [(ids[r], *m) for m in held.value.matches(values)]
+        cols = list(zip(*found, strict=True)) if found else [[]] * len(names)
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.float64() if n == "similarity" else pa.int64()) for n, c in zip(names, cols, strict=True)], names)
+
+
+def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, item_id, similarity, start_word, n_words: each item that a text holds, at its best window. No shuffle."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    found = _by_pass(rows, items, threshold, _matches, FOUND)
+    return docs.sparkSession.createDataFrame([], FOUND) if found is None else found
+
+
 def clean_of(docs: DataFrame, items: DataFrame, threshold: float = 0.8, text_col: str = "text") -> DataFrame:
-    """The rows of docs, all columns, whose text holds no item. No shuffle."""
-    for own in item_passes(items, threshold):
-        held = docs.sparkSession.sparkContext.broadcast(own)
+    """The rows of docs, all columns, whose text holds no item.
+
+    No shuffle where items make one pass; of several each tells the digests of the texts that it hits, and rows of these go."""
+    spark, passes = docs.sparkSession, item_passes(items, threshold)
+    first, second = next(passes, None), next(passes, None)
+    if first is None:
+        return docs
+    if second is None:
+        held = spark.sparkContext.broadcast(first)
 
-        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
+        def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 keep = [not held.value.matches(v, first=True) for _, v in shingle_rows(strings(batch.column(text_col)), K, True, NO_WORD)]
                 yield batch.filter(pa.array(keep, pa.bool_()))
 
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+        return docs.mapInArrow(clean, docs.schema)
+    del first, second
+
+    def hit(batches: Iterator[pa.RecordBatch], held) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digests = batch.column("digest").to_pylist()
+            yield pa.RecordBatch.from_arrays([pa.array([digests[r] for r, v in shingle_rows(strings(batch.column("text")), K, True, NO_WORD) if held.value.matches(v, first=True)], pa.string())], ["digest"])
+
+    text = F.col(text_col).cast("string")
+    rows = docs.select(text.alias("text"), F.sha2(text, 256).alias("digest"))
+    gone = Stage(spark, "passes").table(_by_pass(rows, items, threshold, hit, "digest string").distinct(), "gone").toDF("digest_")
+    kept = docs.select(F.struct("*").alias("row_"), F.sha2(text, 256).alias("digest_")).join(gone, "digest_", "left_anti")
+    return kept.select("row_.*")
