@@ -8,10 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agorascope.operators import merge
+from agorascope.operators import merge, neighbours
 from agorascope.plans.rollup import DAY, Rollups
 from agorascope.queries import dashboard
-from agorascope.queries.base import COMMENTS, rounded, sql
+from agorascope.queries.base import COMMENTS, r, rounded, sql
 from agorascope.sources import store, tables
 from agorascope.sources.versioned import Keyed
 from agorascope.streaming import incremental
@@ -120,3 +120,21 @@ def comment_sessions(spark, sf_dir):
 def sliding_trends(spark, sf_dir):
     found = incremental.sliding(tables.comments(spark, sf_dir))
     return found.select(F.date_format("begins", "yyyy-MM-dd").alias("begins"), "label", "count")
+
+
+# --- nearest neighbours
+
+
+@query(f"""WITH v AS (SELECT CAST(vec_id AS VARCHAR) AS id, vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+d AS (SELECT q.id AS post_id, r.id AS neighbour, sqrt(list_sum(list_transform(list_zip(q.e, r.e), lambda z: (z[1] - z[2]) * (z[1] - z[2])))) AS distance FROM v q, v r WHERE q.vec_id % 50 = 0)
+SELECT post_id, CAST(row_number() OVER (PARTITION BY post_id ORDER BY distance, neighbour) AS INTEGER) AS rank, neighbour, {r('distance')} AS distance FROM d QUALIFY row_number() OVER (PARTITION BY post_id ORDER BY distance, neighbour) <= 15""")
+def nearest_search(spark, sf_dir):
+    """Every fiftieth vector against all, all lists asked, so exact."""
+    rows = tables.vectors(spark, sf_dir)
+    return neighbours.search(rows.where("cast(post_id as long) % 50 = 0"), rows, probes=None)
+
+
+@query()
+def nearest_graph(spark, sf_dir):
+    """The 15 nearest of each vector among the lists nearest to it; tests measure its recall."""
+    return neighbours.graph(tables.vectors(spark, sf_dir))

@@ -41,7 +41,7 @@ def test_without_sql(spark):
     import numpy as np
 
     rows = lambda name: catalog.QUERIES[name](spark, SMALL).collect()
-    assert set(catalog.QUERIES) - set(catalog.ORACLES) == {"q13_snapshot", "random_rows", "hdbscan_clusters", "projected_vectors", "umap_vectors", "embedded_texts"}
+    assert set(catalog.QUERIES) - set(catalog.ORACLES) == {"q13_snapshot", "random_rows", "hdbscan_clusters", "projected_vectors", "umap_vectors", "embedded_texts", "nearest_graph"}
     snapshot = {r["name"]: (r["rows"], json.loads(r["document"])) for r in rows("q13_snapshot")}
     assert len(snapshot) == 13 and all(n == len(d) for n, d in snapshot.values())
     posts = catalog.QUERIES["q6_opinion_map_posts_all"](spark, SMALL).collect()
