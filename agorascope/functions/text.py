@@ -133,10 +133,14 @@ def format_date_time(at: Column) -> Column:
     return F.coalesce(F.date_format(at, "MMM dd, hh:mm a"), F.lit("-"))
 
 
+def is_empty(body: Column) -> Column:
+    return F.coalesce(body, F.lit("")) == ""
+
+
 def is_bot(body: Column) -> Column:
     """Whether a comment is automatic; empty ones count as such."""
     own = F.coalesce(body, F.lit(""))
-    return (own == "") | strip(F.lower(own)).rlike("|".join(f"(?:{p})" for p in BOT_PHRASES))
+    return is_empty(body) | strip(F.lower(own)).rlike("|".join(f"(?:{p})" for p in BOT_PHRASES))
 
 
 def is_deleted(text: Column, blank: bool = False) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -88,20 +89,22 @@ def not_existing(posts: DataFrame, existing: DataFrame, refresh_days: int | None
     return rows.where(keep).drop("held_")
 
 
-def human_comments(comments: DataFrame, body: str = "comment_text") -> DataFrame:
-    return comments.where(~text.is_bot(F.col(body)))
+def human_comments(comments: DataFrame, body: str = "comment_text", automatic: Callable[[Column], Column] = text.is_bot) -> DataFrame:
+    return comments.where(~automatic(F.col(body)))
 
 
 def long_comments(comments: DataFrame, least: int = 20, body: str = "comment_text") -> DataFrame:
     return comments.where(F.length(F.coalesce(body, F.lit(""))) >= least)
 
 
-def top_comments(comments: DataFrame, limit: int | None, min_count: int, *order: Column, body: str = "comment_text") -> DataFrame:
-    """Of each post the first `limit` comments, automatic ones left out; all or none if fewer than min_count stay."""
+def top_comments(comments: DataFrame, limit: int | None, min_count: int, *order: Column, body: str = "comment_text", automatic: Callable[[Column], Column] = text.is_bot) -> DataFrame:
+    """Of each post the first `limit` comments, automatic ones left out; all or none if fewer than min_count stay.
+
+    automatic: what tells them by their text; text.is_bot also takes any text that begins with "bot", whatever the word."""
     if limit:
         w = Window.partitionBy("post_id").orderBy(*order)
         comments = comments.withColumn("n_", F.row_number().over(w)).where(F.col("n_") <= limit).drop("n_")
-    rows = human_comments(comments, body)
+    rows = human_comments(comments, body, automatic)
     return rows.withColumn("n_", F.count("*").over(Window.partitionBy("post_id"))).where(F.col("n_") >= min_count).drop("n_")
 
 

@@ -34,6 +34,18 @@ def test_matches_sql(spark, duck, name):
     assert sorted((tuple(norm(r[k]) for k in keys) for r in df.collect()), key=repr) == want
 
 
+def test_top_comments_that_begin_like_bots(spark, tmp_path):
+    """Words such as "bota" begin no comment of a bot; empty and missing turns are left out as by the SQL."""
+    texts = ["Bota ciónasciado", "a", "b", None, "", "c", "d", "x", "bot", "  **bottles"]
+    rows = [(k // 5, k % 5, "user", t) for k, t in enumerate(texts)] + [(2, 0, "user", "Botte"), (2, 1, "user", "e"), (2, 2, "user", "")]
+    spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    with duckdb.connect() as con:
+        con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+        want = sorted(con.execute(catalog.ORACLES["top_comments"]).fetchall())
+    got = catalog.QUERIES["top_comments"](spark, str(tmp_path)).collect()
+    assert sorted((r.conv_id, r.turn) for r in got) == want and (0, 0) in want and (1, 3) in want
+
+
 def test_without_sql(spark):
     """What SQL cannot express is held against what it must be."""
     import json
