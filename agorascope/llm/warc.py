@@ -197,11 +197,12 @@ def inflated(file, begin: int, end: int) -> Iterator[bytes]:
     file.seek(begin)
     data, inflate = b"", None
     while True:
-        if not data and begin < end:
-            data = file.read(min(CHUNK, end - begin))
-            if not data:
+        # The two bytes that tell a gzip member may lie on either side of a chunk's end.
+        while begin < end and len(data) < (2 if inflate is None else 1):
+            more = file.read(min(CHUNK, end - begin))
+            if not more:
                 raise ValueError("the archive is shorter than its range")
-            begin += len(data)
+            begin, data = begin + len(more), data + more
         if inflate is None:
             if not data:
                 return

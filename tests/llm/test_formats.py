@@ -99,6 +99,19 @@ def test_archive_is_standard(spark):
     assert empty.count() == 0 and warc.read_chunks(empty).count() == 0 and warc.pages(warc.read_chunks(empty)).count() == 0
 
 
+def test_warc_members_at_any_place_of_chunks(monkeypatch):
+    """Wherever a chunk of the archive ends, between the bytes that tell a gzip member as well."""
+    import gzip
+    import io
+
+    some = [gzip.compress(bytes([65 + i]) * (3 + i)) for i in range(5)]
+    whole, want = b"".join(some), b"".join(map(gzip.decompress, some))
+    for size in range(1, len(whole) + 1):
+        monkeypatch.setattr(warc, "CHUNK", size)
+        assert b"".join(warc.inflated(io.BytesIO(whole), 0, len(whole))) == want
+    assert b"".join(warc.inflated(io.BytesIO(b"W"), 0, 1)) == b"W"
+
+
 def test_foreign_archives(spark, tmp_path):
     """Records of other writers: any id and type, other blocks, names of fields in other cases, compressed or not."""
     import gzip
