@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from agorascope.functions import vectors
-from agorascope.operators import manifold
+from agorascope.operators import manifold, tiles
 from agorascope.operators.filters import has_embedding
 from agorascope.sources import store
 
@@ -51,33 +50,110 @@ def project(rows: DataFrame, k: int, vector: str = "embedding", out: str = "proj
     return fitted.transform(held).withColumn(out, vector_to_array("p_")).drop("v_", "p_")
 
 
-def neighbour_pairs(rows: DataFrame, eps: float, key: str, vector: str, axes: int = 3) -> DataFrame:
-    """(a, b) of different rows within eps, both ways.
-
-    Vectors are dealt into cells of width eps along their widest directions, the principal axes; rows within eps lie in
-    neighbouring cells there, so every pair is found, and only neighbouring cells are compared. Vectors that hardly spread
-    (many dimensions, a wide eps) share few cells: project() them first. A full cell is one join key, whose partition AQE splits."""
-    dim = rows.select(F.max(F.size(vector))).first()[0] or 1
-    own = project(rows.select(F.col(key).alias("k"), F.col(vector).alias("v")), min(axes, dim), "v", "flat_")
-    own = own.select("k", "v", F.transform("flat_", lambda x: F.floor(x / eps).cast("long")).alias("cell"))
-    moves = [F.array(*[F.lit(m) for m in move]) for move in itertools.product((-1, 0, 1), repeat=min(axes, dim))]
-    spread = own.select(F.col("k").alias("b"), F.col("v").alias("w"), F.col("cell").alias("c_"), F.explode(F.array(*moves)).alias("m_")).select("b", "w", F.zip_with("c_", "m_", lambda c, m: c + m).alias("cell"))
-    return own.join(spread, "cell").where("k <> b").where(vectors.distance(F.col("v"), F.col("w")) <= eps).select(F.col("k").alias("a"), "b")
+def _strangers(a: dict, b: dict, at: int, near: np.ndarray) -> np.ndarray:
+    """Clears what joins rows of one key, in rows of a from `at` on."""
+    own = a["keys"][at : at + len(near)]
+    if a["tile"] == b["tile"] or not set(own).isdisjoint(b["keys"]):
+        near &= own[:, None] != b["keys"]
+    return near
+
+
+def _paired(eps: float):
+    """For tiles.compare: all pairs of rows within eps, both ways."""
+
+    def work(a: dict, b: dict) -> Iterator[tuple]:
+        for at in range(0, len(a["keys"]), tiles.BLOCK):
+            i, j = np.nonzero(_strangers(a, b, at, tiles.within(a["x"][at : at + tiles.BLOCK], b["x"], eps)))
+            yield a["keys"][at + i], b["keys"][j]
+            if a["tile"] != b["tile"]:
+                yield b["keys"][j], a["keys"][at + i]
+
+    return work
+
+
+def neighbour_pairs(rows: DataFrame, eps: float, key: str, vector: str) -> DataFrame:
+    """(a, b) of different rows within eps, both ways. dbscan() does without these pairs."""
+    held, spark = tiles.Tiles(rows, key, vector), rows.sparkSession
+    pairs = held.near(eps)
+    kind = rows.schema[key].dataType
+    return held.compare(spark.createDataFrame(pairs, "a long, b long"), len(pairs), _paired(eps), "a string, b string").select(F.col("a").cast(kind), F.col("b").cast(kind))
+
+
+def _counted(eps: float):
+    """For tiles.compare: how many rows of the other tile lie within eps of each."""
+
+    def work(a: dict, b: dict) -> Iterator[tuple]:
+        ahead, back = np.zeros(len(a["keys"]), int), np.zeros(len(b["keys"]), int)
+        for at in range(0, len(a["keys"]), tiles.BLOCK):
+            near = tiles.within(a["x"][at : at + tiles.BLOCK], b["x"], eps)
+            if near.any():
+                near = _strangers(a, b, at, near)
+                ahead[at : at + len(near)] = near.sum(1)
+                back += near.sum(0)
+        sides = ((a, ahead),) if a["tile"] == b["tile"] else ((a, ahead), (b, back))
+        for side, n in sides:
+            some = np.flatnonzero(n)
+            yield np.full(len(some), a["tile"]), np.full(len(some), b["tile"]), side["keys"][some], n[some]
+
+    return work
+
+
+def _linked(eps: float):
+    """For tiles.compare: links of core rows, as few as hold together what lies within eps, and core rows near other rows."""
+
+    def work(a: dict, b: dict) -> Iterator[tuple]:
+        core_a, core_b = (np.isin(side["keys"], side["core"]) if side["core"] is not None else np.zeros(len(side["keys"]), bool) for side in (a, b))
+        keys = np.concatenate([a["keys"], b["keys"]])
+        group, shift = np.arange(len(keys)), len(a["keys"])
+        if a["tile"] == b["tile"]:
+            group[shift:] = group[:shift]
+        for at in range(0, shift, tiles.BLOCK):
+            near = tiles.within(a["x"][at : at + tiles.BLOCK], b["x"], eps)
+            if not near.any():
+                continue
+            near = _strangers(a, b, at, near)
+            own = core_a[at : at + len(near)]
+            i, j = np.nonzero(near & (own[:, None] != core_b))
+            first, other = a["keys"][at + i], b["keys"][j]
+            # (core, other row)
+            yield np.where(own[i], first, other), np.where(own[i], other, first), np.zeros(len(i), bool)
+            links: list[tuple] = []
+            for k in np.flatnonzero(own):
+                found = np.flatnonzero(near[k] & core_b) + shift
+                if len(found) and ((held := group[found]) != group[at + k]).any():
+                    groups, some = np.unique(held, return_index=True)
+                    links += [(keys[at + k], keys[found[x]]) for x in some[groups != group[at + k]].tolist()]
+                    group[np.isin(group, groups)] = group[at + k]
+            if links:
+                yield (*zip(*links, strict=True), np.ones(len(links), bool))
+
+    return work
 
 
 def dbscan(rows: DataFrame, eps: float = 0.5, min_samples: int = 5, key: str = "post_id", vector: str = "embedding") -> DataFrame:
-    """key, label: density clusters numbered by their smallest key; border rows join the smallest core near them; noise -1."""
-    pairs = store.kept(neighbour_pairs(rows, eps, key, vector), "cluster")
-    core = pairs.groupBy("a").agg(F.count("*").alias("n")).where(F.col("n") + 1 >= min_samples).select("a")
+    """key, label: density clusters numbered by their smallest key, as strings; border rows join the smallest core near them; noise -1.
+
+    Rows within eps are counted tile by tile (operators.tiles), then tiles that hold such rows are gone through again: two of
+    them give a row for each core that they join and for each border row, so a dense group costs its rows and not its pairs."""
+    held = tiles.Tiles(rows, key, vector)
+    pairs = held.near(eps)
+    spark = rows.sparkSession
+    table = lambda p: spark.createDataFrame(p, "a long, b long")
+    counted = store.kept(held.compare(table(pairs), len(pairs), _counted(eps), "a long, b long, key string, n long"), "cluster")
+    core = counted.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") + 1 >= min_samples).select(F.col("key").alias("a"))
     if min_samples <= 1:
-        core = rows.select(F.col(key).alias("a"))
-    near = pairs.join(core, "a")
-    comps = _components(core, near.join(core.withColumnRenamed("a", "b"), "b").select("a", "b"))
-    border = near.join(comps, "a").groupBy("b").agg(F.min("comp").alias("comp")).withColumnRenamed("b", "a").join(core, "a", "left_anti")
+        core = rows.select(F.col(key).cast("string").alias("a")).distinct()
+    core = store.kept(core, "cluster")
+    hit = store.kept(counted.select("a", "b").distinct(), "cluster")
+    by_tile = held.rows.join(core, F.col("key") == F.col("a")).groupBy("tile").agg(F.collect_set("key").alias("core"))
+    linked = store.kept(held.compare(hit, hit.count(), _linked(eps), "a string, b string, both boolean", by_tile), "cluster")
+    near = linked.where("both").select("a", "b")
+    comps = _components(core, near.union(near.select("b", "a")))
+    border = linked.where("not both").join(comps, "a").groupBy("b").agg(F.min("comp").alias("comp")).withColumnRenamed("b", "a")
     found = comps.unionByName(border)
     names = comps.select("comp").distinct().withColumn("label", F.row_number().over(Window.orderBy("comp")) - 1)
-    labeled = found.join(names, "comp").select(F.col("a").alias(key), "label")
-    return rows.select(key).join(labeled, key, "left").select(key, F.coalesce("label", F.lit(-1)).alias("label"))
+    labeled = found.join(names, "comp").select(F.col("a").alias("key_"), "label")
+    return rows.select(key).join(labeled, F.col(key).cast("string") == F.col("key_"), "left").select(key, F.coalesce("label", F.lit(-1)).alias("label"))
 
 
 def _components(nodes: DataFrame, arcs: DataFrame) -> DataFrame:

@@ -276,6 +276,28 @@ def test_dbscan(spark):
     assert got == [0] * 20 + [1] * 25 + [-1, -1]
 
 
+def test_dbscan_of_a_dense_group(spark, monkeypatch):
+    """Tables grow with the rows of a dense group and not with its pairs; labels are those of brute force, over several tiles."""
+    r = np.random.default_rng(5)
+    points = np.vstack([np.tile(r.normal(0, 1, 8), (900, 1)), r.normal(0, 0.5, (500, 8)), r.normal(9, 1.2, (100, 8))])
+    keys = [f"{i:04d}" for i in r.permutation(len(points))]
+    far = np.sqrt(((points[:, None] - points) ** 2).sum(2))
+    near, n = (far <= 0.9) & ~np.eye(len(points), dtype=bool), len(points)
+    core = near.sum(1) + 1 >= 5
+    comp = {i: keys[i] for i in np.flatnonzero(core)}
+    while (moved := {i: min([comp[i], *(comp[j] for j in np.flatnonzero(near[i] & core))]) for i in comp}) != comp:
+        comp = moved
+    numbers = {c: k for k, c in enumerate(sorted(set(comp.values())))}
+    ends = {i: min((comp[j] for j in np.flatnonzero(near[i] & core)), default=None) for i in range(n) if not core[i]}
+    want = {keys[i]: numbers.get(comp.get(i) or ends.get(i), -1) for i in range(n)}
+    assert 0 < sum(c is not None for c in ends.values()) and len(numbers) > 1 and -1 in want.values()
+    sizes, kept = [], cluster.store.kept
+    monkeypatch.setattr(cluster.store, "kept", lambda df, name: (out := kept(df, name), sizes.append(out.count()))[0])
+    rows = spark.createDataFrame([(k, p.tolist()) for k, p in zip(keys, points, strict=True)] + [("x", [float("nan")] * 8), (None, [0.0] * 8)], "post_id string, embedding array<double>")
+    got = {x.post_id: x.label for x in cluster.dbscan(rows, 0.9, 5).collect()}
+    assert got == want | {"x": -1, None: -1} and max(sizes) < 12 * n < near.sum() / 20
+
+
 def test_hdbscan():
     r = np.random.default_rng(0)
     got = cluster.hdbscan_labels(np.vstack([r.normal(0, 0.1, (30, 2)), r.normal(5, 0.1, (40, 2)), [[20, 20]]]))
