@@ -38,6 +38,8 @@ SKETCH = 1 << 20
 BLOCK = 1 << 12
 #: Shingles in a tile, all its sets together, but for the last set.
 TILE = 1 << 16
+#: Sets in a pair of tiles that is compared together with others, and how many sets and bytes of bitmaps are taken together.
+SMALL, SMALL_ROWS, SMALL_BYTES = 64, 8192, 16 << 20
 #: ids whose set is broadcast to pick texts; more are joined by a shuffle.
 BROADCAST_IDS = 100_000
 
@@ -283,15 +285,78 @@ def _sides(tile: pa.RecordBatch, num: int, den: int) -> Iterator[tuple[int, Call
         yield i, lambda forest, i=i, rows=rows: forest.others(i, rows)
 
 
+def _small_groups(held: list[pa.RecordBatch], num: int, den: int) -> list[tuple]:
+    """What _tile_groups gives for pairs of tiles of SMALL sets at most, all of them at once and all their pairs compared."""
+    doc, n, comp, side = (np.concatenate([t.column(c).to_numpy() for t in held]) for c in ("doc_id", "n", "comp", "side"))
+    lengths = np.array([t.num_rows for t in held])
+    starts, own = np.cumsum(lengths) - lengths, np.repeat(np.arange(len(held)), lengths)
+    crossed = np.array([t.column("ti")[0].as_py() != t.column("tj")[0].as_py() for t in held])
+    pairs = []
+    for length in np.unique(lengths).tolist():
+        i, j = np.triu_indices(length, 1)
+        at = starts[lengths == length][:, None]
+        pairs.append(((at + i).ravel(), (at + j).ravel()))
+    i, j = (np.concatenate(x) for x in zip(*pairs, strict=True))
+    some = (comp[i] != comp[j]) & (num * np.maximum(n[i], n[j]) <= den * np.minimum(n[i], n[j])) & (~crossed[own[i]] | (side[i] != side[j]))
+    i, j = i[some], j[some]
+    if not len(i):
+        return []
+    sigs = [x for t in held for x in _views(t.column("sig"))]
+    size = np.array([len(x) for x in sigs])
+    widths, passed = np.minimum(size[i], size[j]), np.zeros(len(i), bool)
+    for to in np.unique(widths).tolist():
+        of = np.flatnonzero(widths == to)
+        rows, back = np.unique(np.concatenate([i[of], j[of]]), return_inverse=True)
+        words = np.empty((len(rows), to), np.uint64)
+        for k in np.unique(size[rows]).tolist():
+            alike = np.flatnonzero(size[rows] == k)
+            words[alike] = folded(np.vstack([sigs[r] for r in rows[alike].tolist()]), to)
+        lost = n[rows] - np.bitwise_count(words).sum(-1, dtype=np.int64)
+        left, right = back[: len(of)], back[len(of) :]
+        step = max(1, (1 << 16) // to)
+        both = np.concatenate([np.bitwise_count(words[left[a : a + step]] & words[right[a : a + step]]).sum(-1, dtype=np.int64) for a in range(0, len(of), step)])
+        passed[of] = enough(np.minimum(lost[left], lost[right]) + both, n[i[of]], n[j[of]], num, den)
+    i, j = i[passed], j[passed]
+    # The first row of a tile with a component stands for it.
+    _, first, back = np.unique(np.stack([own, comp]), axis=1, return_index=True, return_inverse=True)
+    before = first[back.ravel()]
+    root = np.arange(len(doc))
+    while True:
+        low = np.minimum(root[before[i]], root[before[j]])
+        moved = root.copy()
+        np.minimum.at(moved, before[i], low)
+        np.minimum.at(moved, before[j], low)
+        moved = moved[moved]
+        if (moved == root).all():
+            break
+        root = moved
+    root = root[before]
+    joined = np.flatnonzero(np.isin(root, root[root != before]) & (root != np.arange(len(doc))))
+    return list(zip(doc[root[joined]].tolist(), doc[joined].tolist(), strict=True))
+
+
 def _tile_groups(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
     """For each pair of tiles: what sizes and bitmaps allow to link across components, as a tree per group of sets.
 
-    Pairs that the tree joins already are not compared again, and no more rows come out than sets go in."""
+    Pairs that the tree joins already are not compared again, and no more rows come out than sets go in. Pairs of tiles of few
+    sets are taken together, SMALL_ROWS sets and SMALL_BYTES of bitmaps at a time."""
     out: list[tuple] = []
+    held: list[pa.RecordBatch] = []
+    rows_held = bytes_held = 0
     for tile in _tiles(batches, ["key", "ti", "tj"]):
         doc, n, comp = (tile.column(c).to_numpy() for c in ("doc_id", "n", "comp"))
         if comp.min() == comp.max():
             continue
+        if len(doc) <= SMALL:
+            held.append(tile)
+            rows_held, bytes_held = rows_held + len(doc), bytes_held + int(n.sum()) // 4
+            if rows_held >= SMALL_ROWS or bytes_held >= SMALL_BYTES:
+                out += _small_groups(held, num, den)
+                held, rows_held, bytes_held = [], 0, 0
+            if len(out) >= 20_000:
+                yield _pair_rows(out)
+                out = []
+            continue
         forest, sigs = _Forest(comp), None
         before = forest.root.copy()
         for i, others in _sides(tile, num, den):
@@ -318,6 +383,8 @@ def _tile_groups(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Itera
         if len(out) >= 20_000:
             yield _pair_rows(out)
             out = []
+    if held:
+        out += _small_groups(held, num, den)
     yield _pair_rows(out)
 
 

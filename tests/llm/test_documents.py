@@ -644,3 +644,34 @@ def test_boosting_column(spark):
     assert ((m.score(x) >= 0) == (y > 0)).mean() > 0.9
     rows = spark.createDataFrame([tuple(map(float, v)) for v in x[:50]], "a double, b double")
     assert [v[0] for v in rows.select(m.column([F.col("a"), F.col("b")])).collect()] == pytest.approx(m.score(x[:50]).tolist())
+
+
+def test_small_tiles_are_compared_together(monkeypatch):
+    """Groups of many small pairs of tiles at once are those of one pair of tiles after the other."""
+    import numpy as np
+    import pyarrow as pa
+
+    from agorascope.llm import jaccard_join as jj
+
+    r, rows = np.random.default_rng(8), []
+    for key in range(300):
+        base = r.integers(0, 2**63, 90).astype(np.uint64)
+        tj = key % 3 == 0
+        for side in range(1 + tj):
+            for n in sorted(r.integers(40, 90, r.integers(1, 12)).tolist()):
+                own = np.unique(np.append(base[: n - key % 9], r.integers(0, 2**63, key % 9).astype(np.uint64)))
+                rows.append((key, 0, int(tj), side, len(rows), len(own), int(r.integers(0, len(rows) + 1)) if r.random() < 0.3 else len(rows), jj.bitmap(own)))
+    names = ["key", "ti", "tj", "side", "doc_id", "n", "comp", "sig"]
+    batches = pa.Table.from_pydict(dict(zip(names, map(list, zip(*rows, strict=True)), strict=True))).to_batches(max_chunksize=64)
+
+    def groups(small: int, many: int) -> set:
+        monkeypatch.setattr(jj, "SMALL", small)
+        monkeypatch.setattr(jj, "SMALL_ROWS", many)
+        return {(a, b) for x in jj._tile_groups(iter(batches), 85, 100) for a, b in zip(*(x.column(i).to_pylist() for i in (0, 1)), strict=True)}
+
+    want, calls, bound = groups(0, 1), [], jj.overlap_bound
+    monkeypatch.setattr(jj, "overlap_bound", lambda *x: calls.append(1) or bound(*x))
+    assert len(want) > 300 and groups(64, 8192) == groups(5, 50) == want
+    calls.clear()
+    groups(64, 8192)
+    assert not calls
