@@ -192,7 +192,12 @@ def hdbscan_labels(points: np.ndarray, min_cluster_size: int = 8, min_samples: i
         best[closer], link[closer] = reach[closer], at
         at = int(np.argmin(np.where(seen, np.inf, best)))
         edges.append((best[at], link[at], at))
-    edges.sort()
+    return tree_labels(n, edges, min_cluster_size)
+
+
+def tree_labels(n: int, edges: list[tuple], min_cluster_size: int) -> np.ndarray:
+    """Labels of n points from the edges (height, a, b) of their spanning tree."""
+    edges = sorted(edges)
     # Dendrogram: node n + i joins two nodes at a height.
     parent, size, kids, height = list(range(2 * n - 1)), [1] * n, [], []
 
@@ -264,12 +269,115 @@ def hdbscan_labels(points: np.ndarray, min_cluster_size: int = 8, min_samples: i
     return np.array([order.get(x, -1) for x in out.tolist()])
 
 
+def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Of rows side by side; one value for a pair, whichever way round."""
+    return np.sqrt(((a - b) ** 2).sum(1))
+
+
+def _nearest(k: int):
+    """For tiles.compare: of each row of a the k nearest of b."""
+
+    def work(a: dict, b: dict) -> Iterator[tuple]:
+        x, y = a["x"].astype(float), b["x"].astype(float)
+        for at in range(0, len(x), tiles.BLOCK):
+            own = x[at : at + tiles.BLOCK]
+            far = tiles.squared(own, y)
+            if a["tile"] == b["tile"]:
+                far[np.arange(len(own)), at + np.arange(len(own))] = np.inf
+            # One more than asked for: what rounding swaps at the cut is as far but for rounding.
+            some = np.argpartition(far, k, axis=1)[:, : k + 1] if len(y) > k + 1 else np.tile(np.arange(len(y)), (len(own), 1))
+            row = np.repeat(np.arange(len(own)), some.shape[1])
+            exact = _distances(own[row], y[some.ravel()]).reshape(some.shape)
+            if a["tile"] == b["tile"]:
+                exact[some == at + np.arange(len(own))[:, None]] = np.inf
+            yield a["keys"][at : at + len(own)], list(exact), [b["keys"][p] for p in some]
+
+    return work
+
+
+def _outgoing(a: dict, b: dict) -> Iterator[tuple]:
+    """For tiles.compare: of each component asked for the lightest edge from a to rows of other components in b, ties by keys."""
+    asked = np.flatnonzero(a["asked"])
+    x, y = a["x"][asked].astype(float), b["x"].astype(float)
+    keys, comps, core = a["keys"][asked], a["comps"][asked], a["core"][asked]
+    slack = 1e-6 * (1 + np.sqrt(max((x**2).sum(1).max(), (y**2).sum(1).max()))) if len(x) else 0
+    best: dict[str, tuple] = {}
+    for at in range(0, len(x), tiles.BLOCK):
+        own = slice(at, at + tiles.BLOCK)
+        reach = np.maximum(np.maximum(np.sqrt(np.maximum(tiles.squared(x[own], y), 0)), core[own, None]), b["core"])
+        reach[comps[own, None] == b["comps"]] = np.inf
+        least = reach.min(1)
+        of = pd.Series(least).groupby(comps[own]).transform("min").to_numpy()
+        i, j = np.nonzero((reach <= of[:, None] + slack) & np.isfinite(reach))
+        for c in range(0, len(i), 1 << 16):
+            p, q = i[c : c + (1 << 16)] + at, j[c : c + (1 << 16)]
+            w = np.maximum(np.maximum(_distances(x[p], y[q]), core[p]), b["core"][q])
+            lo, hi = np.minimum(keys[p], b["keys"][q]), np.maximum(keys[p], b["keys"][q])
+            found = pd.DataFrame({"c": comps[p], "w": w, "lo": lo, "hi": hi, "o": b["comps"][q]}).sort_values(["c", "w", "lo", "hi"]).drop_duplicates("c")
+            for comp, *edge in found.itertuples(index=False):
+                best[comp] = min(best.get(comp, tuple(edge)), tuple(edge))
+    yield tuple(zip(*[(c, *e) for c, e in best.items()], strict=True)) or ((),) * 5
+
+
+def spanning_tree(rows: DataFrame, k: int, key: str = "post_id", vector: str = "embedding", listed: int = 15) -> DataFrame:
+    """a, b, w: the minimum spanning tree of mutual reachability, w being the greatest of the distance and the two distances to the
+    k-th nearest row, itself included; ties by keys. Keys are unique.
+
+    Boruvka's rounds over the `listed` nearest rows of each: a component's lightest listed edge is its lightest at all where
+    it is shorter than any list of the component reaches. Where no component is that sure, all but the largest are compared with all rows."""
+    held = tiles.Tiles(rows, key, vector)
+    spark, at, listed = rows.sparkSession, sorted(held.bounds), max(listed, k - 1)
+    pairs = lambda some: (spark.createDataFrame([(a, b) for a in some for b in at], "a long, b long"), len(some) * len(at))
+    near = held.compare(*pairs(at), _nearest(listed), "key string, d array<double>, b array<string>")
+    near = near.groupBy("key").agg(F.slice(F.sort_array(F.flatten(F.collect_list(F.arrays_zip("d", "b")))), 1, min(listed, held.count - 1)).alias("near"))
+    reach = F.col("near")[F.size("near") - 1]["d"] if held.count - 1 > listed else F.lit(float("inf"))
+    near = store.kept(near.withColumns({"core": F.col("near")[min(k, held.count) - 2]["d"] if k > 1 else F.lit(0.0), "reach": reach}), "near")
+    arcs = near.select(F.col("key").alias("a"), "core", F.explode("near").alias("n")).select("a", "core", F.col("n.b").alias("b"), F.col("n.d").alias("d"))
+    arcs = arcs.join(near.select(F.col("key").alias("b"), F.col("core").alias("core_b")), "b")
+    edge = F.struct(F.greatest("d", "core", "core_b").alias("w"), F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))
+    arcs = store.kept(arcs.select("a", "b", edge.alias("e")), "arcs")
+    labels = near.select(F.col("key").alias("a"), F.col("key").alias("comp"), "core", "reach")
+    tree = None
+    while True:
+        sizes = store.kept(labels.groupBy("comp").agg(F.count("*").alias("n"), F.min("reach").alias("reach")), "sizes")
+        largest = sizes.orderBy(F.desc("n"), "comp").limit(2).collect()
+        if len(largest) < 2:
+            return tree if tree is not None else spark.createDataFrame([], "a string, b string, w double")
+        arcs = arcs.join(labels.select("a", F.col("comp").alias("from")), "a").join(labels.select(F.col("a").alias("b"), F.col("comp").alias("to")), "b").where("`from` <> `to`")
+        arcs = store.kept(arcs, "arcs")
+        best = arcs.groupBy(F.col("from").alias("comp")).agg(F.min(F.struct("e.w", "e.lo", "e.hi", "to")).alias("e")).join(sizes, "comp").where(F.col("e.w") < F.col("reach"))
+        best = store.kept(best.select("comp", "e"), "best")
+        if best.isEmpty():
+            asked = F.col("comp") != largest[0]["comp"]
+            by_tile = held.rows.select("tile", F.col("key").alias("a")).join(labels, "a").groupBy("tile").agg(F.sort_array(F.collect_list(F.struct("a", "comp", "core", asked.alias("asked")))).alias("all"))
+            by_tile = store.kept(by_tile.select("tile", *[F.col("all")[c].alias(name) for c, name in (("comp", "comps"), ("core", "core"), ("asked", "asked"))]), "by-tile")
+            some = [r["tile"] for r in by_tile.where(F.exists("asked", lambda x: x)).select("tile").collect()]
+            found = held.compare(*pairs(some), _outgoing, "comp string, w double, lo string, hi string, to string", by_tile)
+            best = store.kept(found.groupBy("comp").agg(F.min(F.struct("w", "lo", "hi", "to")).alias("e")), "best")
+        more = best.select(F.col("e.lo").alias("a"), F.col("e.hi").alias("b"), F.col("e.w").alias("w")).distinct()
+        tree = store.kept(more if tree is None else tree.unionByName(more), "tree")
+        moves = best.select(F.col("comp").alias("a"), F.col("e.to").alias("b"))
+        moves = moves.union(moves.select("b", "a"))
+        joined = _components(moves.select("a").distinct(), moves).toDF("comp", "next")
+        labels = store.kept(labels.join(joined, "comp", "left").select("a", F.coalesce("next", "comp").alias("comp"), "core", "reach"), "labels")
+        arcs = arcs.select("a", "b", "e")
+
+
 def hdbscan(rows: DataFrame, min_cluster_size: int = 8, min_samples: int | None = None, key: str = "post_id", vector: str = "embedding", most: int = 20_000) -> DataFrame:
-    """key, label. The method needs all distances at once, so it is for the vectors of one sample or one partition of a
-    corpus; more than `most` rows are refused, and dbscan() is the way for them."""
+    """key, label. Up to `most` rows go through hdbscan_labels in one task; of more, the spanning tree is made by tiles of rows
+    (spanning_tree) and one task condenses its edges, two numbers and a height for each row. Keys are unique."""
     held = rows.select(F.col(key).cast("string").alias("key"), F.transform(vector, lambda x: x.cast("double")).alias("v"))
     if held.count() > most:
-        raise ValueError(f"more than {most} rows: use dbscan")
+        tree = spanning_tree(rows, min_samples or min_cluster_size, key, vector)
+
+        def condense(part: pd.DataFrame) -> pd.DataFrame:
+            keys = np.unique(np.concatenate([part["a"], part["b"]]).astype(str))
+            a, b = (np.searchsorted(keys, part[c].to_numpy().astype(str)) for c in "ab")
+            labels = tree_labels(len(keys), list(zip(part["w"].tolist(), a.tolist(), b.tolist(), strict=True)), min_cluster_size)
+            return pd.DataFrame({"key": keys.astype(object), "label": labels.astype("int32")})
+
+        found = tree.groupBy(F.lit("all")).applyInPandas(condense, "key string, label int")
+        return held.select("key").join(found, "key", "left").select(F.col("key").alias(key), F.coalesce("label", F.lit(-1)).alias("label"))
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("key", kind="stable")

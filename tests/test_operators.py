@@ -305,6 +305,29 @@ def test_hdbscan():
     assert cluster.hdbscan_labels(np.zeros((3, 2))).tolist() == [-1] * 3
 
 
+@pytest.mark.parametrize("apart", [0, 6])
+def test_hdbscan_beyond_one_task(spark, monkeypatch, apart):
+    """The spanning tree by tiles has the weight of one made from all distances, and its clusters those of hdbscan_labels."""
+    r = np.random.default_rng(7)
+    points = np.vstack([r.normal(c * apart, s, (60, 4)) for c, s in ((0, 0.3), (1, 0.6), (2, 0.4))] + [np.tile(r.normal(3, 1, 4), (30, 1))])
+    keys = [f"{i:03d}" for i in range(len(points))]
+    rows = spark.createDataFrame([(k, p.tolist()) for k, p in zip(keys, points, strict=True)], "post_id string, embedding array<double>")
+    monkeypatch.setattr(cluster.tiles, "LEAST", 64)
+    far = np.sqrt(((points[:, None] - points) ** 2).sum(2))
+    core = np.sort(far, axis=1)[:, 7]
+    reach = np.maximum(np.maximum(far, core), core[:, None])
+    best, total = reach[0].copy(), 0.0
+    left = set(range(1, len(points)))
+    while left:
+        at = min(left, key=lambda i: best[i])
+        total, best = total + best[at], np.minimum(best, reach[at])
+        left.remove(at)
+    tree = cluster.spanning_tree(rows, 8).collect()
+    assert len(tree) == len(points) - 1 and sum(e.w for e in tree) == pytest.approx(total)
+    got = {x.post_id: x.label for x in cluster.hdbscan(rows, most=100).collect()}
+    assert [got[k] for k in keys] == cluster.hdbscan_labels(points).tolist()
+
+
 def test_usable_vectors(spark):
     rows = spark.createDataFrame([("a", [1.0, 2.0]), ("b", []), ("c", None), ("d", [1.0]), ("e", [0.0, 0.0])], "post_id string, embedding array<double>")
     assert sorted(r.post_id for r in cluster.usable(rows).collect()) == ["a", "e"]
