@@ -302,13 +302,21 @@ def _outgoing(a: dict, b: dict) -> Iterator[tuple]:
     keys, comps, core = a["keys"][asked], a["comps"][asked], a["core"][asked]
     slack = 1e-6 * (1 + np.sqrt(max((x**2).sum(1).max(), (y**2).sum(1).max()))) if len(x) else 0
     best: dict[str, tuple] = {}
+    _, codes = np.unique(np.concatenate([comps, b["comps"]]).astype(str), return_inverse=True)
+    code, other = codes[: len(x)].astype("int32"), codes[len(x) :].astype("int32")
     for at in range(0, len(x), tiles.BLOCK):
         own = slice(at, at + tiles.BLOCK)
-        reach = np.maximum(np.maximum(np.sqrt(np.maximum(tiles.squared(x[own], y), 0)), core[own, None]), b["core"])
-        reach[comps[own, None] == b["comps"]] = np.inf
+        # Squares, as roots of all of them would take most of the time.
+        reach = tiles.squared(x[own], y)
+        np.maximum(reach, core[own, None] ** 2, out=reach)
+        np.maximum(reach, b["core"] ** 2, out=reach)
+        reach[code[own, None] == other] = np.inf
         least = reach.min(1)
-        of = pd.Series(least).groupby(comps[own]).transform("min").to_numpy()
-        i, j = np.nonzero((reach <= of[:, None] + slack) & np.isfinite(reach))
+        of = pd.Series(least).groupby(code[own]).transform("min").to_numpy()
+        bar = (np.sqrt(of) + slack) ** 2
+        some = np.flatnonzero((least <= bar) & np.isfinite(least))
+        i, j = np.nonzero(reach[some] <= bar[some, None])
+        i = some[i]
         for c in range(0, len(i), 1 << 16):
             p, q = i[c : c + (1 << 16)] + at, j[c : c + (1 << 16)]
             w = np.maximum(np.maximum(_distances(x[p], y[q]), core[p]), b["core"][q])
