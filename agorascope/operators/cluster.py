@@ -50,20 +50,24 @@ def project(rows: DataFrame, k: int, vector: str = "embedding", out: str = "proj
     return fitted.transform(held).withColumn(out, vector_to_array("p_")).drop("v_", "p_")
 
 
-def _strangers(a: dict, b: dict, at: int, near: np.ndarray) -> np.ndarray:
-    """Clears what joins rows of one key, in rows of a from `at` on."""
-    own = a["keys"][at : at + len(near)]
-    if a["tile"] == b["tile"] or not set(own).isdisjoint(b["keys"]):
-        near &= own[:, None] != b["keys"]
-    return near
+def _near(a: dict, b: dict, eps: float) -> Iterator[tuple[int, np.ndarray]]:
+    """(place in a, rows from there against all of b): which lie within eps and have different keys, where any do."""
+    codes, distinct = pd.factorize(np.concatenate([a["keys"], b["keys"]]))
+    own, other = np.split(codes, [len(a["keys"])])
+    for at in range(0, len(own), tiles.BLOCK):
+        near = tiles.within(a["x"][at : at + tiles.BLOCK], b["x"], eps)
+        if near.any():
+            if len(distinct) < len(codes):
+                near &= own[at : at + len(near), None] != other
+            yield at, near
 
 
 def _paired(eps: float):
     """For tiles.compare: all pairs of rows within eps, both ways."""
 
     def work(a: dict, b: dict) -> Iterator[tuple]:
-        for at in range(0, len(a["keys"]), tiles.BLOCK):
-            i, j = np.nonzero(_strangers(a, b, at, tiles.within(a["x"][at : at + tiles.BLOCK], b["x"], eps)))
+        for at, near in _near(a, b, eps):
+            i, j = np.nonzero(near)
             yield a["keys"][at + i], b["keys"][j]
             if a["tile"] != b["tile"]:
                 yield b["keys"][j], a["keys"][at + i]
@@ -79,49 +83,37 @@ def neighbour_pairs(rows: DataFrame, eps: float, key: str, vector: str) -> DataF
     return held.compare(spark.createDataFrame(pairs, "a long, b long"), len(pairs), _paired(eps), "a string, b string").select(F.col("a").cast(kind), F.col("b").cast(kind))
 
 
-def _counted(eps: float):
-    """For tiles.compare: how many rows of the other tile lie within eps of each."""
+def _linked(eps: float, enough: int):
+    """For tiles.compare: links of rows within eps. A row with `enough` of them in these two tiles alone is core whatever other
+    tiles hold, so of links between two such rows only as many are given (with sure) as hold them together. All others are given,
+    fewer than `enough` for each row that is not sure, so they count what such a row has near."""
 
     def work(a: dict, b: dict) -> Iterator[tuple]:
-        ahead, back = np.zeros(len(a["keys"]), int), np.zeros(len(b["keys"]), int)
-        for at in range(0, len(a["keys"]), tiles.BLOCK):
-            near = tiles.within(a["x"][at : at + tiles.BLOCK], b["x"], eps)
-            if near.any():
-                near = _strangers(a, b, at, near)
-                ahead[at : at + len(near)] = near.sum(1)
-                back += near.sum(0)
-        sides = ((a, ahead),) if a["tile"] == b["tile"] else ((a, ahead), (b, back))
-        for side, n in sides:
-            some = np.flatnonzero(n)
-            yield np.full(len(some), a["tile"]), np.full(len(some), b["tile"]), side["keys"][some], n[some]
-
-    return work
-
-
-def _linked(eps: float):
-    """For tiles.compare: links of core rows, as few as hold together what lies within eps, and core rows near other rows."""
-
-    def work(a: dict, b: dict) -> Iterator[tuple]:
-        core_a, core_b = (np.isin(side["keys"], side["core"]) if side["core"] is not None else np.zeros(len(side["keys"]), bool) for side in (a, b))
+        same, shift = a["tile"] == b["tile"], len(a["keys"])
+        ahead, back, held = np.zeros(shift, int), np.zeros(len(b["keys"]), int), []
+        for at, near in _near(a, b, eps):
+            i, j = np.divmod(np.flatnonzero(near), near.shape[1])
+            ahead[at : at + len(near)] = np.bincount(i, minlength=len(near))
+            back += np.bincount(j, minlength=len(back))
+            # Bits, as a dense pair of tiles may be all links.
+            held.append((at, np.packbits(near, axis=1)))
+        sure_a, sure_b = ahead >= enough, back >= enough
         keys = np.concatenate([a["keys"], b["keys"]])
-        group, shift = np.arange(len(keys)), len(a["keys"])
-        if a["tile"] == b["tile"]:
+        group = np.arange(len(keys))
+        if same:
             group[shift:] = group[:shift]
-        for at in range(0, shift, tiles.BLOCK):
-            near = tiles.within(a["x"][at : at + tiles.BLOCK], b["x"], eps)
-            if not near.any():
-                continue
-            near = _strangers(a, b, at, near)
-            own = core_a[at : at + len(near)]
-            i, j = np.nonzero(near & (own[:, None] != core_b))
-            first, other = a["keys"][at + i], b["keys"][j]
-            # (core, other row)
-            yield np.where(own[i], first, other), np.where(own[i], other, first), np.zeros(len(i), bool)
+        for at, bits in held:
+            near = np.unpackbits(bits, axis=1, count=len(back)).view(bool)
+            own = sure_a[at : at + len(near)]
+            i, j = np.divmod(np.flatnonzero(near & ~(own[:, None] & sure_b)), near.shape[1])
+            if same:
+                i, j = i[at + i < j], j[at + i < j]
+            yield a["keys"][at + i], b["keys"][j], np.zeros(len(i), bool)
             links: list[tuple] = []
             for k in np.flatnonzero(own):
-                found = np.flatnonzero(near[k] & core_b) + shift
-                if len(found) and ((held := group[found]) != group[at + k]).any():
-                    groups, some = np.unique(held, return_index=True)
+                found = np.flatnonzero(near[k] & sure_b) + shift
+                if len(found) and ((joined := group[found]) != group[at + k]).any():
+                    groups, some = np.unique(joined, return_index=True)
                     links += [(keys[at + k], keys[found[x]]) for x in some[groups != group[at + k]].tolist()]
                     group[np.isin(group, groups)] = group[at + k]
             if links:
@@ -133,23 +125,22 @@ def _linked(eps: float):
 def dbscan(rows: DataFrame, eps: float = 0.5, min_samples: int = 5, key: str = "post_id", vector: str = "embedding") -> DataFrame:
     """key, label: density clusters numbered by their smallest key, as strings; border rows join the smallest core near them; noise -1.
 
-    Rows within eps are counted tile by tile (operators.tiles), then tiles that hold such rows are gone through again: two of
-    them give a row for each core that they join and for each border row, so a dense group costs its rows and not its pairs."""
+    Rows are compared once, tile by tile (operators.tiles). Two tiles give fewer links than min_samples for each of their rows,
+    so a dense group costs its rows and not its pairs."""
     held = tiles.Tiles(rows, key, vector)
     pairs = held.near(eps)
-    spark = rows.sparkSession
-    table = lambda p: spark.createDataFrame(p, "a long, b long")
-    counted = store.kept(held.compare(table(pairs), len(pairs), _counted(eps), "a long, b long, key string, n long"), "cluster")
-    core = counted.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") + 1 >= min_samples).select(F.col("key").alias("a"))
+    links = held.compare(rows.sparkSession.createDataFrame(pairs, "a long, b long"), len(pairs), _linked(eps, max(1, min_samples - 1)), "a string, b string, sure boolean")
+    links = store.kept(links, "links")
+    ends = links.select(F.explode(F.array("a", "b")).alias("a"), "sure").groupBy("a").agg(F.count("*").alias("n"), F.max("sure").alias("sure"))
+    core = ends.where(F.col("sure") | (F.col("n") + 1 >= min_samples)).select("a")
     if min_samples <= 1:
         core = rows.select(F.col(key).cast("string").alias("a")).distinct()
-    core = store.kept(core, "cluster")
-    hit = store.kept(counted.select("a", "b").distinct(), "cluster")
-    by_tile = held.rows.join(core, F.col("key") == F.col("a")).groupBy("tile").agg(F.collect_set("key").alias("core"))
-    linked = store.kept(held.compare(hit, hit.count(), _linked(eps), "a string, b string, both boolean", by_tile), "cluster")
-    near = linked.where("both").select("a", "b")
+    core = store.kept(core, "core")
+    ended = links.join(core.select("a", F.lit(True).alias("core_a")), "a", "left").join(core.select(F.col("a").alias("b"), F.lit(True).alias("core_b")), "b", "left")
+    near = ended.where("core_a and core_b").select("a", "b")
     comps = _components(core, near.union(near.select("b", "a")))
-    border = linked.where("not both").join(comps, "a").groupBy("b").agg(F.min("comp").alias("comp")).withColumnRenamed("b", "a")
+    ends = ended.where("core_a and core_b is null").select("a", "b").union(ended.where("core_b and core_a is null").select("b", "a"))
+    border = ends.join(comps, "a").groupBy("b").agg(F.min("comp").alias("comp")).withColumnRenamed("b", "a")
     found = comps.unionByName(border)
     names = comps.select("comp").distinct().withColumn("label", F.row_number().over(Window.orderBy("comp")) - 1)
     labeled = found.join(names, "comp").select(F.col("a").alias("key_"), "label")
@@ -158,7 +149,8 @@ def dbscan(rows: DataFrame, eps: float = 0.5, min_samples: int = 5, key: str = "
 
 def _components(nodes: DataFrame, arcs: DataFrame) -> DataFrame:
     """Smallest key reachable from each node, by rounds of min-labels with pointer jumps."""
-    labels, arcs = nodes.select("a", F.col("a").alias("comp")), store.kept(arcs, "cluster")
+    arcs = store.kept(arcs, "cluster")
+    labels = nodes.join(arcs.groupBy("a").agg(F.min("b").alias("b")), "a", "left").select("a", F.least("a", "b").alias("comp"))
     while True:
         heard = arcs.join(labels.toDF("b", "c"), "b").groupBy("a").agg(F.min("c").alias("h"))
         hop = labels.toDF("comp", "further")

@@ -298,6 +298,45 @@ def test_dbscan_of_a_dense_group(spark, monkeypatch):
     assert got == want | {"x": -1, None: -1} and max(sizes) < 12 * n < near.sum() / 20
 
 
+@pytest.mark.parametrize("direct", [0, 32_768])
+def test_dbscan_compares_rows_once(spark, monkeypatch, direct):
+    """One comparison gives cores, links and borders, whether tiles come by place or by hash; labels are those of brute force."""
+    r = np.random.default_rng(11)
+    points = np.vstack([r.normal(0, 1, (260, 2)), r.normal(5, 0.1, (60, 2)), r.uniform(-4, 8, (80, 2))])
+    keys = [f"{i:03d}" for i in r.permutation(len(points))]
+    near = np.sqrt(((points[:, None] - points) ** 2).sum(2)) <= 0.3
+    np.fill_diagonal(near, False)
+    core = near.sum(1) + 1 >= 6
+    comp = np.where(core, keys, "~")
+    while (moved := [min([comp[i], *comp[near[i] & core]]) if core[i] else "~" for i in range(len(keys))]) != comp.tolist():
+        comp = np.array(moved)
+    numbers = {c: k for k, c in enumerate(sorted(set(comp[core])))} | {"~": -1}
+    want = {k: numbers[comp[i] if core[i] else min(["~", *comp[near[i] & core]])] for i, k in enumerate(keys)}
+    assert len(numbers) > 4 and sum(want[k] >= 0 for k in keys) > core.sum()
+    monkeypatch.setattr(cluster.tiles, "LEAST", 64)
+    monkeypatch.setattr(cluster.tiles, "DIRECT", direct, raising=False)
+    calls, compare = [], cluster.tiles.Tiles.compare
+    monkeypatch.setattr(cluster.tiles.Tiles, "compare", lambda *a, **k: (calls.append(a), compare(*a, **k))[1])
+    rows = spark.createDataFrame([(k, p.tolist()) for k, p in zip(keys, points, strict=True)], "post_id string, embedding array<double>")
+    got = {x.post_id: x.label for x in cluster.dbscan(rows, 0.3, 6).collect()}
+    assert got == want and len(calls) == 1
+
+
+@pytest.mark.parametrize("kind", ["float32", "float64"])
+def test_within(kind):
+    """Rows far from others, at the bound, of very different lengths and beyond what squares can hold."""
+    r = np.random.default_rng(2)
+    a, b = (r.normal(0, s, (40, 8)).astype(kind) for s in (1, 3))
+    a[:3], b[:3] = 0, 0
+    b[1, 0], b[2, 0] = 1.5, np.nextafter(np.array(1.5, kind), np.array(2, kind))
+    a[3:5], b[3:5] = 2e19, 2e19
+    b[5:20] = a[5:20] + r.normal(0, 0.53, (15, 8)).astype(kind)
+    want = np.sqrt(((a[:, None].astype(float) - b) ** 2).sum(2)) <= 1.5
+    got = cluster.tiles.within(a, b, 1.5)
+    assert (got == want).all() and want[0, 1] and not want[0, 2] and want[3, 4]
+    assert not cluster.tiles.within(a[5:], b[:5], 1e-3).any()
+
+
 def test_hdbscan():
     r = np.random.default_rng(0)
     got = cluster.hdbscan_labels(np.vstack([r.normal(0, 0.1, (30, 2)), r.normal(5, 0.1, (40, 2)), [[20, 20]]]))
